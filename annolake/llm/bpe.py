@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from . import util
 
-CACHE_PIECES = 600_000
+CACHE_PIECES = 250_000
 REPLAY_PIECES = 400_000
 
 
@@ -259,7 +259,7 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks, split = _ranks(path), regex.compile(pattern).findall
         for whole in batches:
-            for part in util.slices(whole, "__text", 6 << 20):
+            for part in util.slices(whole, "__text", 4 << 20):
                 ids = encode_texts(part.column("__text").to_pylist(), ranks, split)
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(c) for c in keep), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
