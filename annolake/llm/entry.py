@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, minhash, quality, tagpaths
+from . import ann, bpe, minhash, phrases, pii, ppm, quality, suffix_dedup, tagpaths
 from .util import table
 
 
@@ -14,20 +15,40 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removed_spans(table(spark, sf_dir, "documents")).drop("spans")
+
+
+def op6_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.language_scores(table(spark, sf_dir, "documents"))
+
+
+def op7_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.removed_words(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tagpaths.extract(table(spark, sf_dir, "pages"))
 
 
+def op9_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_classifier, op3_bpe, op8_html_text, op10_minhash)}
+    return {f.__name__: f for f in (op1_quality_classifier, op2_pii, op3_bpe, op5_suffix_dedup, op6_ppm, op7_phrases, op8_html_text, op9_ann, op10_minhash)}
 
 
 def oracle_sql() -> dict[str, str]:
