@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, minhash, phrases, pii, ppm, quality, suffix_dedup, tagpaths
+from . import ann, bpe, decontam, minhash, phrases, pii, ppm, quality, suffix_dedup, tagpaths
 from .util import table
 
 
@@ -23,6 +23,10 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.removed_spans(table(spark, sf_dir, "documents")).drop("spans")
 
@@ -48,7 +52,7 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_classifier, op2_pii, op3_bpe, op5_suffix_dedup, op6_ppm, op7_phrases, op8_html_text, op9_ann, op10_minhash)}
+    return {f.__name__: f for f in (op1_quality_classifier, op2_pii, op3_bpe, op4_decontamination, op5_suffix_dedup, op6_ppm, op7_phrases, op8_html_text, op9_ann, op10_minhash)}
 
 
 def oracle_sql() -> dict[str, str]:
