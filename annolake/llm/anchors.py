@@ -156,8 +156,9 @@ def repeated_windows(
     cut(chunk, runs, chosen): the text of each chosen run. compare(entries): (entry, from, to) intervals.
     finish(chunk, intervals by distinct row, rows): the result for the chunk's rows.
     """
-    n = util.shuffle_width(docs.sparkSession) * per_partition
-    table = keyed(docs, n, keep)
+    # chunks are small for memory's sake; a payload goes from each chunk to each bucket, so buckets are fewer
+    n = util.shuffle_width(docs.sparkSession)
+    table = keyed(docs, n * per_partition, keep)
     ints = lambda x: pa.array(x, pa.int32())
     blobs = lambda x: pa.array(x, pa.binary())
 

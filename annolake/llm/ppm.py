@@ -145,9 +145,10 @@ def _totals(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 def language_scores(docs: DataFrame, per_partition: int = 4) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and n_bytes for every row."""
-    n = util.shuffle_width(docs.sparkSession) * per_partition
+    # chunks are small for memory's sake; a payload goes from each chunk to each bucket, so buckets are fewer
+    n = util.shuffle_width(docs.sparkSession)
     held_out = F.coalesce(util.fold(F.col("doc_id"), FOLDS) == HELD, F.lit(False))
-    table = an.keyed(docs.select("doc_id", "text", held_out.alias("__held")), n, ["doc_id", "__held"])
+    table = an.keyed(docs.select("doc_id", "text", held_out.alias("__held")), n * per_partition, ["doc_id", "__held"])
     order_types = ("<u8", "<i8") * (ORDER + 1)
 
     def counted(rows: pa.Table):
