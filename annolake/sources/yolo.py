@@ -18,8 +18,8 @@ def yolo_lines(dets: DataFrame, frame: str, width: int, height: int, classes: Da
     if classes is not None:
         dets = dets.drop("class_id").join(F.broadcast(classes.select("name", "class_id")), "name")
     xc, yc, w, h = bx.to_yolo(bx.xywh(), F.lit(width), F.lit(height))
-    # bround: a tie goes to the even digit, as C's printf does
-    line = F.format_string("%d %.6f %.6f %.6f %.6f", F.col("class_id"), *(F.bround(v, 6) for v in (xc, yc, w, h)))
+    # a tie in the seventh decimal goes up
+    line = F.format_string("%d %.6f %.6f %.6f %.6f", F.col("class_id"), *(F.round(v, 6) for v in (xc, yc, w, h)))
     lines = dets.select(frame, F.struct("det_id", line.alias("line")).alias("s"))
     return lines.groupBy(frame).agg(F.array_join(F.transform(F.array_sort(F.collect_list("s")), lambda s: s["line"]), "\n").alias("text"))
 
