@@ -157,6 +157,7 @@ def repeated_windows(
     finish(chunk, intervals by distinct row, rows): the result for the chunk's rows.
     """
     # chunks are small for memory's sake; a payload goes from each chunk to each bucket, so buckets are fewer
+    util.small_batches(docs.sparkSession)
     n = util.shuffle_width(docs.sparkSession)
     table = keyed(docs, n * per_partition, keep)
     ints = lambda x: pa.array(x, pa.int32())
@@ -199,6 +200,7 @@ def repeated_windows(
 
             ids, out = _rows(bucket_of(hashes, n), n, payload)
         chunk_no = rows.column("__chunk")[0].as_py() if rows.num_rows else 0
+        util.tidy()
         return pa.table({"bucket": ints(ids), "chunk": ints([chunk_no] * len(ids)), "payload": blobs(out)})
 
     def settle(rows: pa.Table) -> pa.Table:
@@ -208,6 +210,7 @@ def repeated_windows(
         e, a, b = e[order], a[order], b[order]
         cuts = np.searchsorted(entries.source[e], np.arange(rows.num_rows + 1)).tolist()
         out = [pack(entries.row[e[x:y]].astype(np.int32), a[x:y].astype(np.int64), b[x:y].astype(np.int64)) for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
+        util.tidy()
         return pa.table({"chunk": rows.column("chunk"), "payload": blobs(out)})
 
     def apply(rows: pa.Table, marks: pa.Table) -> pa.Table:

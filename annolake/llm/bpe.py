@@ -16,8 +16,8 @@ from __future__ import annotations
 
 import base64
 import bisect
-import hashlib
 import heapq
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from . import util
 
-CACHE_PIECES = 250_000
+CACHE_PIECES = 150_000
 REPLAY_PIECES = 400_000
 
 
@@ -43,16 +43,17 @@ class Ranks:
         for token, i in self.ids.items():
             self.text[i] = token
         self.byte = [self.ids[bytes([b])] for b in range(256)]
-        self.pair: dict[int, int] = {}
+        found: dict[int, int] = {}
         for token, i in self.ids.items():
             for cut in range(1, len(token)):
                 a, b = self.ids.get(token[:cut]), self.ids.get(token[cut:])
                 if a is not None and b is not None:
-                    self.pair[a << 20 | b] = i
+                    found[a << 20 | b] = i
         #: rank of each pair of single bytes, -1 if there is none
-        self.of_bytes = np.array([[self.pair.get(a << 20 | b, -1) for b in self.byte] for a in self.byte])
-        keys = np.array(sorted(self.pair), dtype=np.int64)
-        self.pair_keys, self.pair_ranks = keys, np.array([self.pair[k] for k in keys.tolist()], dtype=np.int64)
+        self.of_bytes = np.array([[found.get(a << 20 | b, -1) for b in self.byte] for a in self.byte])
+        # a pair's key is its two ids; sorted arrays take a fifth of a dictionary's memory in every worker
+        self.pair_keys = np.array(sorted(found), dtype=np.int64)
+        self.pair_ranks = np.array([found[k] for k in self.pair_keys.tolist()], dtype=np.int64)
         self.cache: dict[str, bytes] = {}
 
     def rank_of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -138,7 +139,13 @@ class Ranks:
 
     def replay_singly(self, pieces: list[bytes]) -> list[bytes]:
         """As replay, one position at a time; a pair of lower rank goes first within its piece."""
-        pair = self.pair
+        keys, values = array("q", self.pair_keys.tobytes()), self.pair_ranks
+        last = len(keys) - 1
+
+        def get(pair: int) -> int | None:
+            at = min(bisect.bisect_left(keys, pair), last)
+            return int(values[at]) if keys[at] == pair else None
+
         lengths = np.array([len(p) for p in pieces], dtype=np.int64)
         starts = np.concatenate([[0], np.cumsum(lengths + 1)]).tolist()
         n = starts[-1]
@@ -160,7 +167,6 @@ class Ranks:
                 index[int(first[some[0]])] = some.tolist()
         ranks = list(index)
         heapq.heapify(ranks)
-        get = pair.get
         while ranks:
             rank = heapq.heappop(ranks)
             positions = index.pop(rank, None)
@@ -254,6 +260,7 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None,
     keep = ["doc_id"] if keep is None else keep
     path, pattern = path or default_path(), pattern or default_pattern()
     fields = [f.simpleString().replace(":", " ", 1) for f in docs.select(*keep).schema]
+    util.small_batches(docs.sparkSession)
     src = docs.select(*keep, F.col(text).alias("__text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -290,7 +297,3 @@ def round_trip(docs: DataFrame, path: str | None = None, pattern: str | None = N
     keep = ["doc_id"] if keep is None else keep
     both = decode(encode(docs, path, pattern, keep=keep), path, keep=[*keep, "n_tokens", "ids"])
     return both.select(*keep, "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
-
-
-def sha(data: bytes) -> str:
-    return hashlib.sha256(data).hexdigest()

@@ -206,6 +206,7 @@ class Index:
 
 def build(benchmark: DataFrame) -> Iterator[Index]:
     """Indexes of the benchmark's shards, one after another."""
+    util.small_batches(benchmark.sparkSession)
     items = benchmark.where("item_id is not null and text is not null").select("item_id", "text").distinct()
     term = items.select("item_id", "text", F.array_distinct(F.filter(F.split(F.lower("text"), r"[^\p{L}\p{N}_]+"), lambda w: w != "")).alias("terms"))
     sizes = items.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size(F.split("text", r"\s+"))).alias("w")).first()

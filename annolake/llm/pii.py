@@ -184,6 +184,7 @@ def training_windows(pieces: list[tuple[str, bytes]], seed: int = 11, least: int
 
 def train(docs: DataFrame, max_windows: int = 1500, epochs: int = 8, seed: int = 5) -> Tagger:
     """A tagger from at most `max_windows` windows of the corpus, taken in the order of a hash."""
+    util.small_batches(docs.sparkSession)
     rows = docs.select(F.xxhash64("doc_id", F.lit(seed)).alias("h"), "text").where("text is not null")
     # about as many documents as windows, before any text is looked at; the order of the hash then bounds the windows
     chosen = rows.orderBy("h").limit(max_windows)

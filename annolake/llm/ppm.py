@@ -146,6 +146,7 @@ def _totals(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 def language_scores(docs: DataFrame, per_partition: int = 4) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and n_bytes for every row."""
     # chunks are small for memory's sake; a payload goes from each chunk to each bucket, so buckets are fewer
+    util.small_batches(docs.sparkSession)
     n = util.shuffle_width(docs.sparkSession)
     held_out = F.coalesce(util.fold(F.col("doc_id"), FOLDS) == HELD, F.lit(False))
     table = an.keyed(docs.select("doc_id", "text", held_out.alias("__held")), n * per_partition, ["doc_id", "__held"])
@@ -220,6 +221,7 @@ def language_scores(docs: DataFrame, per_partition: int = 4) -> DataFrame:
         offsets = np.concatenate([[0], np.cumsum(np.diff(chunk.offsets) + 1)])
         model = _totals(Trie(tables).log10(code)[code_at], offsets)
         at = chunk.of
+        util.tidy()
         return pa.table(
             {
                 "doc_id": rows.column("doc_id").take(pa.array(chunk.order)),

@@ -129,7 +129,7 @@ class QualityModel:
 def _stats_rows(extra: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for part in util.slices(whole, "text"):
+            for part in util.slices(whole, "text", 2 << 20):
                 stats = document_stats(part.column("text"))
                 cols = [part.column(c) for c in extra]
                 yield pa.RecordBatch.from_arrays([*cols, pa.array(list(stats), pa.list_(pa.float64()))], [*extra, "stats"])
@@ -139,6 +139,7 @@ def _stats_rows(extra: list[str]):
 
 def fit(docs: DataFrame, labels: DataFrame, max_train: int = 20_000, features: int = 384, seed: int = 7, ridge: float = 1e-3, train=None) -> QualityModel:
     """Fit on labelled rows of `docs` for which `train` (a Column over doc_id; default: all) holds."""
+    util.small_batches(docs.sparkSession)
     usable = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
     if train is not None:
         usable = usable.where(train)
@@ -189,7 +190,7 @@ def score(docs: DataFrame, model: QualityModel) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for part in util.slices(whole, "text"):
+            for part in util.slices(whole, "text", 2 << 20):
                 s = model.score(document_stats(part.column("text")))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("held_out"), pa.array(s), pa.array((s >= THRESHOLD).astype(np.int32))],
@@ -208,7 +209,7 @@ def keep_good(docs: DataFrame, model: QualityModel, threshold: float = THRESHOLD
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for part in util.slices(whole, whole.schema.names[at]):
+            for part in util.slices(whole, whole.schema.names[at], 2 << 20):
                 s = model.score(document_stats(part.column(at).cast(pa.binary())))
                 yield part.filter(pa.array(s >= threshold))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 from collections.abc import Iterator
 
@@ -36,6 +37,20 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let no Arrow batch hold more than 16 MB of texts: a worker's memory then follows a batch, not its rows' length."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
+
+
+def tidy() -> None:
+    """Give freed memory back: workers are reused, and what one stage freed would else count against the next."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        return
+
+
 def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows whose `column` holds about `most_bytes` (one row at least)."""
     if batch.num_rows == 0:
@@ -48,6 +63,7 @@ def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 8 << 20) -> Ite
         stop = max(start + 1, int(np.searchsorted(ends, base + most_bytes, side="right")))
         yield batch.slice(start, stop - start)
         start = stop
+    tidy()
 
 
 def binary_lengths(col: pa.Array) -> np.ndarray:
