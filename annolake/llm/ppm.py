@@ -81,7 +81,33 @@ def _by_order(codes: np.ndarray, counts: np.ndarray, order: int) -> tuple[np.nda
 
 
 def _context_bucket(codes: np.ndarray, order: int, n: int) -> np.ndarray:
-    return an.bucket_of(words.mix64((codes >> np.uint64(8)) + np.uint64((order + 1) * 0x9E3779B97F4A7C15 % 2**64)), n)
+    """A bucket by the first three bytes of the context, so that a bucket's codes lie close together."""
+    ctx = codes >> np.uint64(8 * (1 + max(0, order - 3)))
+    return an.bucket_of(words.mix64(ctx + np.uint64((order + 1) * 0x9E3779B97F4A7C15 % 2**64)), n)
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """Numbers as byte planes: the planes of high bytes are zeros, which the shuffle's compression removes."""
+    return np.ascontiguousarray(values).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _numbers(planes: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(8, -1).T).view(np.uint64).ravel()
+
+
+def _rising(values: np.ndarray) -> bytes:
+    """Ascending numbers, as planes of their differences."""
+    return _planes(np.diff(values.astype(np.uint64), prepend=np.uint64(0)))
+
+
+def _pack(parts: list[np.ndarray]) -> bytes:
+    """Alternating ascending keys and counts."""
+    return an.pack(*(_planes(p.astype(np.uint64)) if k % 2 else _rising(p) for k, p in enumerate(parts)))
+
+
+def _unpack(data: bytes, n: int) -> list[np.ndarray]:
+    parts = [_numbers(p) for p in an.unpack(data, *[None] * n)]
+    return [p.astype(np.int64) if k % 2 else np.cumsum(p, dtype=np.uint64) for k, p in enumerate(parts)]
 
 
 class Trie:
@@ -143,14 +169,14 @@ def _totals(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return sums[offsets[1:]] - sums[offsets[:-1]]
 
 
-def language_scores(docs: DataFrame, per_partition: int = 4) -> DataFrame:
+def language_scores(docs: DataFrame, per_partition: int = 2) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and n_bytes for every row."""
     # chunks are small for memory's sake; a payload goes from each chunk to each bucket, so buckets are fewer
     util.small_batches(docs.sparkSession)
     n = util.shuffle_width(docs.sparkSession)
     held_out = F.coalesce(util.fold(F.col("doc_id"), FOLDS) == HELD, F.lit(False))
     table = an.keyed(docs.select("doc_id", "text", held_out.alias("__held")), n * per_partition, ["doc_id", "__held"])
-    order_types = ("<u8", "<i8") * (ORDER + 1)
+    parts_in_payload = 2 * PARTS
 
     def counted(rows: pa.Table):
         chunk = an.Chunk(rows)
@@ -164,7 +190,7 @@ def language_scores(docs: DataFrame, per_partition: int = 4) -> DataFrame:
         def deal(keys: np.ndarray, counts: np.ndarray, bucket: np.ndarray) -> None:
             order = np.argsort(bucket, kind="stable")
             cuts = np.searchsorted(bucket[order], np.arange(n + 1)).tolist()
-            keys, counts = keys[order], counts[order]
+            keys, counts = keys[order], counts[order]  # still ascending within a bucket
             for b in range(n):
                 parts[b] += [keys[cuts[b] : cuts[b + 1]], counts[cuts[b] : cuts[b + 1]]]
 
@@ -174,14 +200,15 @@ def language_scores(docs: DataFrame, per_partition: int = 4) -> DataFrame:
             deal(c, m, _context_bucket(c, k, n))
         # every chunk asks every bucket, as each answer carries the bucket's share of the corpus totals
         mine = rows.column("__chunk")[0].as_py()
-        return pa.table({"bucket": pa.array(range(n), pa.int32()), "chunk": pa.array([mine] * n, pa.int32()), "payload": pa.array([an.pack(*p) for p in parts], pa.binary())})
+        return pa.table({"bucket": pa.array(range(n), pa.int32()), "chunk": pa.array([mine] * n, pa.int32()), "payload": pa.array([_pack(p) for p in parts], pa.binary())})
 
     def answer(rows: pa.Table) -> pa.Table:
-        asked = [an.unpack(x.as_py(), "<u8", "<i8", *order_types) for x in rows.column("payload")]
+        asked = [_unpack(x.as_py(), parts_in_payload) for x in rows.column("payload")]
         replies: list[list] = [[] for _ in asked]
         word, which = np.unique(np.concatenate([a[0] for a in asked]), return_inverse=True)
         total = np.bincount(which, np.concatenate([a[1] for a in asked]), minlength=len(word)).astype(np.int64)
-        share = np.array([total.sum(), (total > 0).sum()], np.int64)
+        # two totals that ascend: distinct words, then words
+        share = np.array([(total > 0).sum(), total.sum()], np.int64)
         for a, r in zip(asked, replies, strict=True):
             r += [share, total[np.searchsorted(word, a[0])]]
         for k in range(ORDER + 1):
@@ -195,14 +222,14 @@ def language_scores(docs: DataFrame, per_partition: int = 4) -> DataFrame:
                 size = hi - lo
                 at = np.repeat(lo - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(int(size.sum())) if len(size) else np.zeros(0, np.int64)
                 r += [code[at], count[at]]
-        return pa.table({"chunk": rows.column("chunk"), "bucket": rows.column("bucket"), "payload": pa.array([an.pack(*r) for r in replies], pa.binary())})
+        return pa.table({"chunk": rows.column("chunk"), "bucket": rows.column("bucket"), "payload": pa.array([_pack(r) for r in replies], pa.binary())})
 
     def score(rows: pa.Table, answers: pa.Table) -> pa.Table:
         if rows.num_rows == 0:
             return pa.table({f.name: pa.array([], f.type) for f in _OUT})
         chunk, (word, word_at, _), (code, code_at, _) = counted(rows)
-        got = dict(zip(answers.column("bucket").to_pylist(), (an.unpack(x.as_py(), "<i8", "<i8", *order_types) for x in answers.column("payload")), strict=True))
-        all_tokens, all_types = (sum(int(g[0][i]) for g in got.values()) for i in (0, 1))
+        got = dict(zip(answers.column("bucket").to_pylist(), (_unpack(x.as_py(), parts_in_payload) for x in answers.column("payload")), strict=True))
+        all_types, all_tokens = (sum(int(g[0][i]) for g in got.values()) for i in (0, 1))
         bucket = an.bucket_of(words.mix64(word), n)
         known = np.zeros(len(word), np.int64)
         order = np.argsort(bucket, kind="stable")
