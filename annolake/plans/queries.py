@@ -542,3 +542,65 @@ def run_summary(spark: SparkSession, d: str) -> DataFrame:
 @query(f"with {GT}, {DT} select image_id, count_if(score > 0.5) n from dt group by 1")
 def objects_per_image(spark: SparkSession, d: str) -> DataFrame:
     return fx.pred_boxes(spark, d).groupBy("image_id").agg(F.count_if(F.col("score") > 0.5).alias("n"))
+
+
+# -- streams and track state ----------------------------------------------------------------------------------------------------
+
+
+def _folder(spark: SparkSession, name: str) -> str:
+    import uuid
+
+    root = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/annolake-streams"
+    return f"{root}/{name}-{uuid.uuid4().hex}"
+
+
+STREAM = f"""{FR}, t as (select distinct video_id, frame_idx from fr), g as (select t.*, c.category_id, coalesce(fr.n, 0) n from t cross join (select distinct category_id from fr) c
+ left join fr using (video_id, frame_idx, category_id)), o as (select *, lag(n) over (partition by video_id, category_id order by frame_idx) pn from g)"""
+
+
+@query(f"with {STREAM} select video_id, frame_idx, case when n=0 then 'class_missing' else 'sudden_decrease' end kind, category_id, pn prev_n, n from o where pn>0 and (n=0 or n/pn<0.5)")
+def streamed_frame_warnings(spark: SparkSession, d: str) -> DataFrame:
+    """Days with events as frames, checked against the day before by a stateful stream."""
+    from ..streaming import frames as st
+
+    stream = st.stream_warnings(st.event_stream(spark, f"{d}/event[s].parquet", 1_000_000))
+    name = "warnings_" + _folder(spark, "x")[-12:]
+    return st.drained(stream, name, _folder(spark, "warnings"))
+
+
+@query(f"with {FR} select video_id, category_id, sum(n)::bigint boxes, sum(n)::bigint as \"rows\" from fr group by 1, 2")
+def streamed_progress(spark: SparkSession, d: str) -> DataFrame:
+    from ..streaming import frames as st
+
+    stream = st.stream_progress(st.event_stream(spark, f"{d}/event[s].parquet", 1_000_000))
+    name = "progress_" + _folder(spark, "x")[-12:]
+    return st.drained(stream, name, _folder(spark, "progress"), "complete")
+
+
+EVENTS = f"""{FR}, e as (select video_id, frame_idx, video_id*10+category_id track_id, eid%3 det_id,
+ case when row_number() over (partition by video_id, category_id order by frame_idx)=1 then 'new' when eid%3=0 then 'unmatched' when eid%7=1 then 'empty' else 'matched' end kind from fr),
+f as (select *, min(frame_idx) over (partition by video_id, track_id) ff from e),
+u as (select *, row_number() over (partition by video_id, track_id order by frame_idx) c from f where kind='unmatched'),
+s as (select *, arg_min(track_id, ff*1000000+track_id) over (partition by video_id, frame_idx, det_id) ea from f where kind in ('matched','new')),
+p as (select *, row_number() over (partition by video_id, ea, track_id order by frame_idx) c from s where ea<>track_id),
+r as (select video_id, track_id, frame_idx, 'unmatched' reason from u where c=3 and ff>frame_idx-40 union all select video_id, track_id, frame_idx, 'duplicate' from p where c=2 and ff>frame_idx-40)"""
+
+
+def track_events(spark: SparkSession, d: str) -> DataFrame:
+    w = Window.partitionBy("video_id", "category_id").orderBy("frame_idx")
+    kind = F.when(F.row_number().over(w) == 1, "new").when(F.col("eid") % 3 == 0, "unmatched").when(F.col("eid") % 7 == 1, "empty").otherwise("matched")
+    return fx.frames(spark, d).select("video_id", "frame_idx", (F.col("video_id") * 10 + F.col("category_id")).alias("track_id"), (F.col("eid") % 3).alias("det_id"), kind.alias("kind"))
+
+
+@query(f"with {EVENTS} select video_id, track_id, min(frame_idx) frame_idx, arg_min(reason, frame_idx*10+(reason='unmatched')::int) reason from r group by 1,2")
+def hotstart_removed_tracks(spark: SparkSession, d: str) -> DataFrame:
+    from ..streaming.hotstart import prune_tracks
+
+    return prune_tracks(track_events(spark, d), delay=40, unmatch=3, dup=2)[0]
+
+
+@query()
+def hotstart_suppressed_tracks(spark: SparkSession, d: str) -> DataFrame:
+    from ..streaming.hotstart import prune_tracks
+
+    return prune_tracks(track_events(spark, d), delay=40, unmatch=3, dup=2, start=2, most=3)[1]
