@@ -604,3 +604,56 @@ def hotstart_suppressed_tracks(spark: SparkSession, d: str) -> DataFrame:
     from ..streaming.hotstart import prune_tracks
 
     return prune_tracks(track_events(spark, d), delay=40, unmatch=3, dup=2, start=2, most=3)[1]
+
+
+# -- masks: every box as a filled rectangle on a small canvas -----------------------------------------------------------------------
+
+PIX = "px as (select image_id, ann_id, class_id, iscrowd, least(floor(x/8), 80)::bigint x1, least(floor(y/8), 60)::bigint y1, least(floor((x+w)/8), 80)::bigint x2, least(floor((y+h)/8), 60)::bigint y2 from gt)"
+H, W = 60, 80
+
+
+def rectangle_masks(spark: SparkSession, d: str, boxes: DataFrame) -> DataFrame:
+    from ..operators import masks
+
+    px = boxes
+    for name, expr, top in (("x1", "floor(x / 8)", W), ("y1", "floor(y / 8)", H), ("x2", "floor((x + w) / 8)", W), ("y2", "floor((y + h) / 8)", H)):
+        px = px.withColumn(name, F.least(F.greatest(F.expr(expr), F.lit(0)), F.lit(top)).cast("int"))
+    runs = masks.rectangle_runs(F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"), H, W)
+    return px.withColumns({"runs": runs, "height": F.lit(H), "width": F.lit(W)})
+
+
+@query(
+    f"with {GT}, {PIX} select image_id, ann_id, ((x2-x1)*(y2-y1))::bigint area, round((x2-x1)*(y2-y1)/4800, 6) share, x1::int mx, y1::int my, (x2-x1)::int mw, (y2-y1)::int mh from px"
+)
+def mask_measures(spark: SparkSession, d: str) -> DataFrame:
+    from ..operators import masks
+
+    m = masks.bounds(rectangle_masks(spark, d, fx.gt_boxes(spark, d)).select("image_id", "ann_id", "runs", "height", "width"))
+    size = masks.area(F.col("runs"))
+    return rounded(m.select("image_id", "ann_id", size.alias("area"), (size / (H * W)).alias("share"), "mx", "my", "mw", "mh"), "share")
+
+
+@query(
+    f"with {GT}, {PIX}, p as (select a.image_id, a.ann_id, b.ann_id other, a.iscrowd, greatest(least(a.x2,b.x2)-greatest(a.x1,b.x1),0)*greatest(least(a.y2,b.y2)-greatest(a.y1,b.y1),0) i,"
+    " (a.x2-a.x1)*(a.y2-a.y1) na, (b.x2-b.x1)*(b.y2-b.y1) nb from px a join px b on a.image_id=b.image_id and a.ann_id<b.ann_id)"
+    " select image_id, ann_id, other, i::bigint \"inter\", round(i/(case when iscrowd=1 then nb else na+nb-i end), 6) iou, round(i/nb, 6) ioa, round(i/least(na,nb), 6) iom from p where i > 0"
+)
+def mask_similarity(spark: SparkSession, d: str) -> DataFrame:
+    from ..operators import masks
+
+    m = rectangle_masks(spark, d, fx.gt_boxes(spark, d)).select("image_id", "ann_id", "iscrowd", "runs", "x1", "y1", "x2", "y2")
+    other = m.select("image_id", F.col("ann_id").alias("other"), F.col("runs").alias("runs_b"), *(F.col(c).alias(f"o{c}") for c in ("x1", "y1", "x2", "y2")))
+    near = "ann_id < other and x1 < ox2 and ox1 < x2 and y1 < oy2 and oy1 < y2"  # boxes first: masks of other pairs cannot meet
+    both = m.join(other, "image_id").where(near).select("image_id", "ann_id", "other", F.col("iscrowd").alias("crowd"), F.col("runs").alias("runs_a"), "runs_b")
+    return rounded(masks.similarity(both).drop("crowd"), "iou", "ioa", "iom")
+
+
+@query(
+    f"with {GT}, {PIX}, cells as (select distinct image_id, c, r from (select image_id, unnest(range(x1, x2)) c, y1, y2 from px where class_id=1), lateral (select unnest(range(y1, y2)) r))"
+    " select image_id, count(*) area from cells group by 1"
+)
+def mask_union_area(spark: SparkSession, d: str) -> DataFrame:
+    from ..operators import masks
+
+    m = masks.union(rectangle_masks(spark, d, fx.gt_boxes(spark, d).where("class_id = 1")), ["image_id"])
+    return m.select("image_id", masks.area(F.col("runs")).alias("area"))
