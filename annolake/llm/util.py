@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import tempfile
 from collections.abc import Iterator
 
@@ -30,7 +31,11 @@ def materialise(df: DataFrame) -> DataFrame:
     sc = spark.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
-    return df.checkpoint(eager=True)
+    done = df.checkpoint(eager=True)
+    # shuffle and checkpoint files live until the driver's JVM has collected the plans that own them
+    gc.collect()
+    sc._jvm.System.gc()
+    return done
 
 
 def shuffle_width(spark: SparkSession) -> int:
