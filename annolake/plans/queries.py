@@ -137,7 +137,7 @@ def polygon_areas(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    f"with {GT}, {DT} select image_id, string_agg(class_id || ' ' || printf('%.6f', round((x+w/2)/640, 6)) || ' ' || printf('%.6f', round((y+h/2)/480, 6)) || ' ' || printf('%.6f', round(w/640, 6)) || ' ' || printf('%.6f', round(h/480, 6)),"
+    f"with {GT}, {DT} select image_id, string_agg(class_id || ' ' || printf('%.6f', floor(((x+w/2)/640)*1e6::double+0.5::double)/1e6::double) || ' ' || printf('%.6f', floor(((y+h/2)/480)*1e6::double+0.5::double)/1e6::double) || ' ' || printf('%.6f', floor((w/640)*1e6::double+0.5::double)/1e6::double) || ' ' || printf('%.6f', floor((h/480)*1e6::double+0.5::double)/1e6::double),"
     " chr(10) order by det_id) as text from dt group by 1"
 )
 def yolo_label_text(spark: SparkSession, d: str) -> DataFrame:

@@ -19,7 +19,7 @@ def yolo_lines(dets: DataFrame, frame: str, width: int, height: int, classes: Da
         dets = dets.drop("class_id").join(F.broadcast(classes.select("name", "class_id")), "name")
     xc, yc, w, h = bx.to_yolo(bx.xywh(), F.lit(width), F.lit(height))
     # a tie in the seventh decimal goes up
-    line = F.format_string("%d %.6f %.6f %.6f %.6f", F.col("class_id"), *(F.round(v, 6) for v in (xc, yc, w, h)))
+    line = F.format_string("%d %.6f %.6f %.6f %.6f", F.col("class_id"), *(F.floor(v * 1e6 + 0.5) / 1e6 for v in (xc, yc, w, h)))
     lines = dets.select(frame, F.struct("det_id", line.alias("line")).alias("s"))
     return lines.groupBy(frame).agg(F.array_join(F.transform(F.array_sort(F.collect_list("s")), lambda s: s["line"]), "\n").alias("text"))
 
@@ -49,9 +49,9 @@ def parse_lines(files: DataFrame, strict: bool = False) -> tuple[DataFrame, Data
 
 def read_yolo(spark: SparkSession, path: str, strict: bool = False) -> tuple[DataFrame, DataFrame]:
     """(frames, boxes) of a folder of label files; the file's stem is the frame."""
-    files = spark.read.text(path, wholetext=True).select(F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(\.[^.]*)?$", 1).alias("frame"), F.col("value").alias("text"))
-    listed = spark.read.format("binaryFile").load(path).select(F.regexp_extract("path", r"([^/]*?)(\.[^./]*)?$", 1).alias("frame"))
-    files = listed.join(files, "frame", "left").select("frame", F.coalesce("text", F.lit("")).alias("text"))
+    # the DataFrame readers skip empty files, and an empty label file is a frame without boxes
+    files = spark.createDataFrame(spark.sparkContext.wholeTextFiles(path), "path string, text string")
+    files = files.select(F.regexp_extract("path", r"([^/]*?)(\.[^./]*)?$", 1).alias("frame"), "text")
     return parse_lines(files, strict)
 
 
