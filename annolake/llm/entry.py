@@ -55,5 +55,29 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_quality_classifier, op2_pii, op3_bpe, op4_decontamination, op5_suffix_dedup, op6_ppm, op7_phrases, op8_html_text, op9_ann, op10_minhash)}
 
 
+WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+OP7_SQL = f"""
+with d as (select doc_id, {WORDS} w from documents),
+n as (select doc_id, s, w[s + 1:s + 35] v from (select doc_id, w, unnest(range(len(w) - 34)) s from d where len(w) >= 35)),
+dup as (select doc_id, s from n where v in (select v from n group by v having count(*) > 1)),
+p as (select doc_id, w[p + 1] x, p from (select doc_id, w, unnest(range(len(w))) p from d)),
+c as (select p.*, coalesce(max(dup.s) over (partition by p.doc_id order by p.p rows unbounded preceding) > p.p - 35, false) gone from p left join dup on dup.doc_id = p.doc_id and dup.s = p.p),
+o as (select doc_id, count_if(gone) n_removed, string_agg(x, ' ' order by p) filter (not gone) kept from c group by 1)
+select d.doc_id, len(w)::bigint n_words, coalesce(n_removed, 0)::bigint n_removed, sha256(coalesce(kept, '')) kept_sha256 from d left join o using (doc_id)"""
+
+OP10_SQL = f"""
+with recursive d as (select doc_id, {WORDS.replace("coalesce(text, '')", "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} w from documents),
+g as (select distinct doc_id, w[i + 1:i + 5] v from (select doc_id, w, unnest(range(greatest(1, len(w) - 4))) i from d where len(w) > 0)),
+n as (select doc_id, count(*) n from g group by 1),
+pairs as (select a.doc_id a, b.doc_id b, count(*) m from g a join g b on a.v = b.v and a.doc_id < b.doc_id group by 1, 2),
+links as (select a, b from pairs join n x on x.doc_id = a join n y on y.doc_id = b where 100 * m >= 75 * (x.n + y.n - m)),
+e as (select a, b from links union all select b, a from links),
+reach as (select a node, a root from e union select e.b, reach.root from reach join e on e.a = reach.node where reach.root < e.b),
+c as (select node, min(root) component from reach group by 1)
+select d.doc_id, coalesce(n, 0)::bigint n_shingles, least(d.doc_id, coalesce(component, d.doc_id)) component_id,
+  d.doc_id <= coalesce(component, d.doc_id) kept from d left join n using (doc_id) left join c on c.node = d.doc_id"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_phrases": OP7_SQL, "op10_minhash": OP10_SQL}
