@@ -50,7 +50,12 @@ def optimal_match(gt: DataFrame, dt: DataFrame, keys: list[str]) -> DataFrame:
 
     Only ids and overlaps travel. Pairs without overlap never change the sum, so they are left out.
     """
-    pairs = iou_join(gt, dt, keys, min_iou=0.0).select(*keys, "ann_id", "det_id", "iou")
+    return assigned(iou_join(gt, dt, keys, min_iou=0.0), keys)
+
+
+def assigned(pairs: DataFrame, keys: list[str]) -> DataFrame:
+    """The assignment of given pairs (keys, ann_id, det_id, iou) that maximises the summed iou of each group."""
+    pairs = pairs.select(*keys, "ann_id", "det_id", "iou")
     fields = {f.name: f.dataType.simpleString() for f in pairs.schema}
 
     def match(rows: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:

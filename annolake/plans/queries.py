@@ -657,3 +657,190 @@ def mask_union_area(spark: SparkSession, d: str) -> DataFrame:
 
     m = masks.union(rectangle_masks(spark, d, fx.gt_boxes(spark, d).where("class_id = 1")), ["image_id"])
     return m.select("image_id", masks.area(F.col("runs")).alias("area"))
+
+
+# -- association, samples, text and small joins -----------------------------------------------------------------------------------
+
+
+def frame_dets(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Truth boxes as existing tracks, predicted boxes as detections, keyed by video and frame."""
+    return fx.tracks_pred(spark, d).withColumnRenamed("track_id", "det_id"), fx.tracks_gt(spark, d)
+
+
+ASSOC = f"""{TD}, p as (select d.video_id, d.frame_idx, d.track_id det_id, t.track_id, {iou_sql('d', 't')} iou from td d join tg t using (video_id, frame_idx)),
+m as (select video_id, frame_idx, det_id, count_if(iou>=0.1) k, coalesce(array_to_string(list(track_id order by track_id) filter (iou>=0.1), ','), '') matched, max(struct_pack(i:=iou, t:=-track_id)) b from p where iou>0 group by 1,2,3),
+o as (select d.video_id, d.frame_idx, d.track_id det_id, d.score, coalesce(k,0)=0 and score>=0.7 is_new, coalesce(matched,'') matched, b from td d left join m on m.video_id=d.video_id and m.frame_idx=d.frame_idx and m.det_id=d.track_id)"""
+
+
+@query(f"with {ASSOC} select video_id, frame_idx, det_id, is_new, matched, case when score>=0.8 and not is_new and b.i>=0.8 then -b.t end anchor from o")
+def detection_track_association(spark: SparkSession, d: str) -> DataFrame:
+    from ..operators.associate import associate
+
+    out, _ = associate(*frame_dets(spark, d), ["video_id", "frame_idx"])
+    return out.select("video_id", "frame_idx", "det_id", "is_new", F.array_join(F.col("matched").cast("array<string>"), ",").alias("matched"), "anchor")
+
+
+@query(f"with {TD}, p as (select t.video_id, t.frame_idx, t.track_id, max({iou_sql('d', 't')}) iou from tg t left join td d using (video_id, frame_idx) group by 1,2,3) select video_id, frame_idx, track_id, case when iou>=0.5 then 'matched' else 'unmatched' end state from p")
+def track_states(spark: SparkSession, d: str) -> DataFrame:
+    from ..operators.associate import associate
+
+    return associate(*frame_dets(spark, d), ["video_id", "frame_idx"])[1]
+
+
+@query(
+    f"with {ASSOC}, n as (select *, row_number() over (partition by video_id order by score desc, det_id, frame_idx) r from o where is_new) select video_id, frame_idx, det_id from n where r<=2".replace(
+        "iou>=0.1", "iou>=0.6"
+    ).replace("score>=0.7", "score>=0.3")
+)
+def capped_new_detections(spark: SparkSession, d: str) -> DataFrame:
+    from ..operators.associate import associate
+
+    found = associate(*frame_dets(spark, d), ["video_id", "frame_idx"], iou_thr=0.6, new_thr=0.3)[0]
+    return prep.top_k(found.where("is_new"), ["video_id"], 2, "det_id", "frame_idx").select("video_id", "frame_idx", "det_id")
+
+
+@query(f"with {IMG}, r as (select id, (id*2654435761+5)%1000003 h from img) select id from r order by h, id limit 500")
+def seeded_subset(spark: SparkSession, d: str) -> DataFrame:
+    return fx.images(spark, d).select("id").orderBy(prep.hashed(F.col("id"), 5), "id").limit(500)
+
+
+@query(f"with {IMG} select ((id*2654435761)%1000003)%7 shard, count(*) n from img group by 1")
+def hashed_shards(spark: SparkSession, d: str) -> DataFrame:
+    return prep.shard_of(fx.images(spark, d), "id", 7).groupBy("shard").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"with {TD} select video_id, arg_max(track_id, score*1000000-track_id/1e9) track_id, round(max(score), 6) score from (select video_id, track_id, round(avg(score), 6) score from td group by 1,2) group by 1")
+def best_track_of_video(spark: SparkSession, d: str) -> DataFrame:
+    t = fx.tracks_pred(spark, d).groupBy("video_id", "track_id").agg(F.round(F.avg("score"), 6).alias("score"))
+    return t.groupBy("video_id").agg(F.max_by("track_id", F.struct("score", -F.col("track_id"))).alias("track_id"), F.round(F.max("score"), 6).alias("score"))
+
+
+@query(f"with {QO} select datapoint_id, query_idx, case when query_text = 'geometric' then query_text else 'a photo of ' || query_text || (case when lower(trim(role)) in ('user') then '.' else '' end) end query_text from q")
+def prefixed_texts(spark: SparkSession, d: str) -> DataFrame:
+    q, _ = query_tables(spark, d)
+    text = F.col("query_text")
+    end = F.when(F.lower(F.trim("role")).isin("user"), ".").otherwise("")
+    return q.select("datapoint_id", "query_idx", F.when(text == "geometric", text).otherwise(F.concat(F.lit("a photo of "), text, end)).alias("query_text"))
+
+
+@query(
+    f"with {QO}, c as (select q.datapoint_id, q.query_idx, count(distinct ob.obj_idx) n from q left join ob on ob.datapoint_id=q.datapoint_id and ob.obj_idx%2=q.query_idx%2 group by 1,2),"
+    " r as (select *, row_number() over (partition by datapoint_id order by n=0, ((query_idx+datapoint_id)*2654435761+9)%1000003, query_idx) r from c) select datapoint_id, query_idx, n from r where r<=2"
+)
+def capped_queries(spark: SparkSession, d: str) -> DataFrame:
+    q = query_tables(spark, d)[0].dropDuplicates(["datapoint_id", "query_idx"])
+    return prep.cap_queries(q, 2, positives_first=True, seed=9).select("datapoint_id", "query_idx", F.size("object_ids").cast("long").alias("n"))
+
+
+@query(
+    f"with {QO}, c as (select distinct q.datapoint_id, q.query_idx, q.processing_order from q where q.query_idx % 3 <> 1), k as (select * from c where datapoint_id in (select datapoint_id from c group by 1 having min(processing_order)=0)),"
+    " n as (select *, row_number() over (partition by datapoint_id order by query_idx)-1 new_query, dense_rank() over (partition by datapoint_id order by processing_order)-1 new_stage from k),"
+    " u as (select distinct n.datapoint_id, n.query_idx, ob.obj_idx from n join ob on ob.datapoint_id=n.datapoint_id and ob.obj_idx%2=n.query_idx%2),"
+    " o as (select datapoint_id, obj_idx, dense_rank() over (partition by datapoint_id order by obj_idx)-1 new_obj from (select distinct datapoint_id, obj_idx from u)),"
+    " i as (select u.datapoint_id, u.query_idx, string_agg(new_obj::varchar, ',' order by obj_idx) ids from u join o using (datapoint_id, obj_idx) group by 1,2)"
+    " select n.datapoint_id, new_query, new_stage, coalesce(ids,'') ids from n left join i using (datapoint_id, query_idx)"
+)
+def compacted_queries(spark: SparkSession, d: str) -> DataFrame:
+    q, ob = query_tables(spark, d)
+    q = q.dropDuplicates(["datapoint_id", "query_idx"]).where("query_idx % 3 <> 1")
+    out, _, _ = prep.compact(q, ob.select("datapoint_id", "obj_idx").distinct())
+    return out.select("datapoint_id", "new_query", "new_stage", F.array_join(F.col("new_ids").cast("array<string>"), ",").alias("ids"))
+
+
+@query("with q as (select conv_id datapoint_id, turn//2 o, count(*) n from conversations group by 1,2), s as (select datapoint_id, sum(n) n, min(n) <> max(n) u from q group by 1) select datapoint_id, case when n>6 then 'too_many_queries' else 'uneven_stages' end reason from s where n>6 or u")
+def rejected_datapoints(spark: SparkSession, d: str) -> DataFrame:
+    return prep.size_guards(query_tables(spark, d)[0], 6, 1_000_000)[1]
+
+
+@query(f"with {FR} select video_id, frame_idx, row_number() over (partition by video_id order by frame_idx)-1 step from (select distinct video_id, frame_idx from fr)")
+def timestep_index(spark: SparkSession, d: str) -> DataFrame:
+    w = Window.partitionBy("video_id").orderBy("frame_idx")
+    return fx.frames(spark, d).select("video_id", "frame_idx").distinct().withColumn("step", F.row_number().over(w) - 1)
+
+
+@query(f"with {TG}, v as (select video_id, 1+max(frame_idx) n from tg group by 1) select video_id, track_id, round(sum(w*h)/any_value(n), 6) over_all_frames, round(avg(w*h), 6) over_visible from tg join v using (video_id) group by 1,2")
+def track_mean_areas(spark: SparkSession, d: str) -> DataFrame:
+    t = fx.tracks_gt(spark, d)
+    n = t.groupBy("video_id").agg((F.max("frame_idx") + 1).alias("n"))
+    area = F.col("w") * F.col("h")
+    out = t.groupBy("video_id", "track_id").agg(F.sum(area).alias("s"), F.avg(area).alias("over_visible")).join(n, "video_id")
+    return rounded(out.select("video_id", "track_id", (F.col("s") / F.col("n")).alias("over_all_frames"), "over_visible"), "over_all_frames", "over_visible")
+
+
+@query(f"with {GT}, {DT} select image_id, det_id, class_id, round(x-5,6) l, round(y-5,6) t, round(x+w-5,6) r, round(y+h-5,6) b, round(greatest(0, 1-sqrt((x-100)*(x-100)+(y-100)*(y-100))/250), 6) sim from dt")
+def point_measures(spark: SparkSession, d: str) -> DataFrame:
+    b = bx.xywh()
+    l, t, r, bt = bx.point_distances(F.lit(5.0), F.lit(5.0), b)
+    sim = bx.point_similarity(b.x1, b.y1, F.lit(100.0), F.lit(100.0), 250.0)
+    return rounded(fx.pred_boxes(spark, d).select("image_id", "det_id", "class_id", (-l).alias("l"), (-t).alias("t"), r.alias("r"), bt.alias("b"), sim.alias("sim")), "l", "t", "r", "b", "sim")
+
+
+@query(f"with {GT}, {DT}, n as (select *, (x+w/2)/640 cx, (y+h/2)/480 cy from dt) select image_id, class_id, det_id from n where cx>0.025 and cy>0.025 and cx<1-0.025::double and cy<1-0.025::double")
+def away_from_edges(spark: SparkSession, d: str) -> DataFrame:
+    b = bx.scaled(bx.xywh(), F.lit(1 / 640), F.lit(1 / 480))
+    return fx.pred_boxes(spark, d).where(~bx.near_edge(b)).select("image_id", "class_id", "det_id")
+
+
+@query(f"with {TG}, m as (select 4 a, 2 b union all select 5, 3) select video_id, coalesce(b, category_id) category_id, count(*) n from tg left join m on a=category_id group by 1,2")
+def merged_categories(spark: SparkSession, d: str) -> DataFrame:
+    merge = spark.createDataFrame([(2, [4]), (3, [5])], "parent int, merged array<int>").select(F.explode("merged").alias("category_id"), "parent")
+    t = fx.tracks_gt(spark, d).join(F.broadcast(merge), "category_id", "left").withColumn("category_id", F.coalesce("parent", "category_id"))
+    return t.groupBy("video_id", "category_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    f"with {TD}, i as (select g.video_id, g.track_id gt_id, t.track_id dt_id, sum({inter_sql('g', 't')}) i from tg g join td t using (video_id, category_id, frame_idx) group by 1,2,3)"
+    " select video_id, count(distinct gt_id) matched_gt from i where i>0 group by 1"
+)
+def videos_with_overlap(spark: SparkSession, d: str) -> DataFrame:
+    p = pairs.tracklet_iou(fx.tracks_gt(spark, d).drop("eid", "cents"), fx.tracks_pred(spark, d), ["video_id", "category_id"])
+    return p.where(F.col("inter") > 0).groupBy("video_id").agg(F.count_distinct("gt_id").alias("matched_gt"))
+
+
+@query()
+def video_phrase_cgf1(spark: SparkSession, d: str) -> DataFrame:
+    """Phrase metrics over videos: an 'image' is a (video, phrase) pair, a box a track, overlap the tracklet IoU."""
+    gt, dt = fx.tracks_gt(spark, d), fx.tracks_pred(spark, d)
+    ids = remap.pair_ids(gt, dt).withColumnRenamed("new_id", "image_id")
+    keys = ["video_id", "category_id"]
+    p = pairs.tracklet_iou(gt.drop("eid", "cents"), dt, keys).where("iou > 0").join(ids, keys)
+    matched = matching.assigned(p.select("image_id", F.col("gt_id").alias("ann_id"), F.col("dt_id").alias("det_id"), "iou"), ["image_id"])
+    one = lambda df: df.select(*keys, "track_id").distinct().join(ids, keys)
+    per = metrics.image_counts(ids.select(F.col("image_id").alias("id")), one(gt), one(dt), matched)
+    return rounded(metrics.phrase_metrics(per), "f1", "positive_micro_f1", "positive_macro_f1", "il_f1", "il_fpr", "il_mcc", "cgf1")
+
+
+@query()
+def oracle_annotator(spark: SparkSession, d: str) -> DataFrame:
+    """Per image the annotator whose scoring has the best mean local F1; a true negative wins, ties go to the first."""
+    base, dt = fx.gt_boxes(spark, d), fx.pred_boxes(spark, d).where("score >= 0.5")
+    sets = [base, base.where("sk % 7 <> 0").withColumn("x", F.col("x") + 2), base.where("pk % 6 <> 0").withColumn("y", F.col("y") + 5)]
+    img = fx.images(spark, d)
+    out = None
+    for k, gt in enumerate(sets):
+        per = metrics.image_counts(img, gt, dt, matching.optimal_match(gt, dt, ["image_id"]))
+        f1 = F.aggregate("tps", F.lit(0.0), lambda s, tp: s + metrics.f1_of(tp, F.col("n_dt") - tp, F.col("n_gt") - tp, 1e-4)) / F.size("tps")
+        per = per.select("image_id", F.lit(k).alias("annotator"), ((F.col("n_gt") == 0) & (F.col("n_dt") == 0)).alias("tn"), F.round(f1, 6).alias("mean_f1"))
+        out = per if out is None else out.unionByName(per)
+    best = out.groupBy("image_id").agg(F.max_by(F.struct("annotator", "mean_f1", "tn"), F.struct("tn", "mean_f1", -F.col("annotator"))).alias("b"))
+    return best.select("image_id", "b.annotator", "b.mean_f1", "b.tn")
+
+
+@query()
+def mask_boundary_f(spark: SparkSession, d: str) -> DataFrame:
+    from ..operators import masks
+
+    gt, dt = fx.gt_boxes(spark, d), fx.pred_boxes(spark, d)
+    pairs_ = matching.optimal_match(gt, dt, ["image_id", "class_id"])
+    a = rectangle_masks(spark, d, gt).select("image_id", "ann_id", F.col("runs").alias("runs_a"), "height", "width")
+    b = rectangle_masks(spark, d, dt).select("image_id", "class_id", "det_id", F.col("runs").alias("runs_b"))
+    both = pairs_.join(a, ["image_id", "ann_id"]).join(b, ["image_id", "class_id", "det_id"]).select("image_id", "ann_id", "det_id", "height", "width", "runs_a", "runs_b")
+    return rounded(masks.boundary_f(both).drop("height", "width"), "boundary_f")
+
+
+@query(f"with {GT}, {PIX} select image_id, ann_id, (case when (x2-x1)*(y2-y1) <= least(20, (x2-x1)*(y2-y1)//2) then 0 else (x2-x1)*(y2-y1) end)::bigint area from px where class_id = 2")
+def cleaned_masks(spark: SparkSession, d: str) -> DataFrame:
+    from ..operators import masks
+
+    m = rectangle_masks(spark, d, fx.gt_boxes(spark, d).where("class_id = 2")).select("image_id", "ann_id", "runs", "height", "width")
+    return masks.clean(m, 20).select("image_id", "ann_id", masks.area(F.col("runs")).alias("area"))
