@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from . import anchors as an
 from . import util, words
 
-ORDER = 5
+ORDER = 5  # a code of ORDER + 1 bytes has to leave 16 bits free
 FOLDS, HELD = 7, 2
 END = 0xFF  # no byte of UTF-8
 PARTS = ORDER + 2  # payload: words, then the contexts of each order
@@ -67,9 +67,33 @@ def _weights(chunk: an.Chunk, held: np.ndarray) -> np.ndarray:
     return np.bincount(chunk.of, weights=~held[chunk.order], minlength=len(chunk.raw))
 
 
-def _count(values: np.ndarray, offsets: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    distinct, which = np.unique(values, return_inverse=True)
-    return distinct, which, np.bincount(which, np.repeat(weight, np.diff(offsets)), minlength=len(distinct)).astype(np.int64)
+def _runs(ordered: np.ndarray) -> np.ndarray:
+    """First position of each distinct value of a sorted array."""
+    new = np.ones(len(ordered), bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    return np.flatnonzero(new)
+
+
+def _count(values: np.ndarray, offsets: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values, ascending, and how often each occurs in training text."""
+    ordered = np.sort(values)
+    distinct = ordered[_runs(ordered)]
+    times = np.repeat(weight.astype(np.int64), np.diff(offsets))
+    trained = np.sort(np.repeat(values, times) if weight.max(initial=0) > 1 else values[times > 0])
+    first = _runs(trained)
+    counts = np.zeros(len(distinct), np.int64)
+    counts[np.searchsorted(distinct, trained[first])] = np.diff(np.append(first, len(trained)))
+    return distinct, counts
+
+
+def _places(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values, ascending, and the number of each position's value."""
+    order = np.argsort(values)
+    ordered = values[order]
+    first = _runs(ordered)
+    which = np.empty(len(values), np.int32)
+    which[order] = np.repeat(np.arange(len(first), dtype=np.int32), np.diff(np.append(first, len(values))))
+    return ordered[first], which
 
 
 def _by_order(codes: np.ndarray, counts: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
@@ -164,6 +188,23 @@ class Trie:
         return out
 
 
+def row_scores(codes: np.ndarray, offsets: np.ndarray, trie: Trie) -> np.ndarray:
+    """Sum of log10 P over each row's codes. A code takes 48 bits: with the row below it, one plain sort groups equal
+    codes, so each distinct one is looked up once and no index has to be sorted along."""
+    n = len(offsets) - 1
+    out = np.zeros(n)
+    for lo in range(0, n, 1 << 16):
+        hi = min(n, lo + (1 << 16))
+        row = np.repeat(np.arange(hi - lo, dtype=np.uint64), np.diff(offsets[lo : hi + 1]))
+        both = (codes[offsets[lo] : offsets[hi]] << np.uint64(16)) | row
+        both.sort()
+        ordered = both >> np.uint64(16)
+        first = _runs(ordered)
+        value = np.repeat(trie.log10(ordered[first]), np.diff(np.append(first, len(ordered))))
+        out[lo:hi] = np.bincount((both & np.uint64(0xFFFF)).astype(np.int64), weights=value, minlength=hi - lo)
+    return out
+
+
 def _totals(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     sums = np.concatenate([[0.0], np.cumsum(values)])
     return sums[offsets[1:]] - sums[offsets[:-1]]
@@ -178,13 +219,11 @@ def language_scores(docs: DataFrame, per_partition: int = 2) -> DataFrame:
     table = an.keyed(docs.select("doc_id", "text", held_out.alias("__held")), n * per_partition, ["doc_id", "__held"])
     parts_in_payload = 2 * PARTS
 
-    def counted(rows: pa.Table):
+    def ask(rows: pa.Table) -> pa.Table:
         chunk = an.Chunk(rows)
         weight = _weights(chunk, np.asarray(rows.column("__held")).astype(bool))
-        return chunk, _count(*tokens(chunk), weight), _count(*grams(chunk), weight)
-
-    def ask(rows: pa.Table) -> pa.Table:
-        _, (word, _, word_n), (code, _, code_n) = counted(rows)
+        word, word_n = _count(*tokens(chunk), weight)
+        code, code_n = _count(*grams(chunk), weight)
         parts: list[list] = [[] for _ in range(n)]
 
         def deal(keys: np.ndarray, counts: np.ndarray, bucket: np.ndarray) -> None:
@@ -227,14 +266,15 @@ def language_scores(docs: DataFrame, per_partition: int = 2) -> DataFrame:
     def score(rows: pa.Table, answers: pa.Table) -> pa.Table:
         if rows.num_rows == 0:
             return pa.table({f.name: pa.array([], f.type) for f in _OUT})
-        chunk, (word, word_at, _), (code, code_at, _) = counted(rows)
+        chunk = an.Chunk(rows)
+        token, offsets = tokens(chunk)
+        word, word_at = _places(token)
         got = dict(zip(answers.column("bucket").to_pylist(), (_unpack(x.as_py(), parts_in_payload) for x in answers.column("payload")), strict=True))
         all_types, all_tokens = (sum(int(g[0][i]) for g in got.values()) for i in (0, 1))
         bucket = an.bucket_of(words.mix64(word), n)
         known = np.zeros(len(word), np.int64)
         order = np.argsort(bucket, kind="stable")
         known[order] = np.concatenate([got[b][1] for b in sorted(got)])
-        offsets = tokens(chunk)[1]
         n_tokens = np.diff(offsets)
         c = known[word_at]
         base = _totals(np.log10(c + 1.0), offsets) - n_tokens * np.log10(all_tokens + 1.0 * (all_types + 1))
@@ -245,8 +285,7 @@ def language_scores(docs: DataFrame, per_partition: int = 2) -> DataFrame:
             counts = np.concatenate([g[3 + 2 * k] for g in got.values()])
             by = np.argsort(keys)
             tables.append((keys[by], counts[by]))
-        offsets = np.concatenate([[0], np.cumsum(np.diff(chunk.offsets) + 1)])
-        model = _totals(Trie(tables).log10(code)[code_at], offsets)
+        model = row_scores(*grams(chunk), Trie(tables))
         at = chunk.of
         util.tidy()
         return pa.table(
