@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,3 +39,52 @@ def tracklet_iou(gt: DataFrame, dt: DataFrame, keys: list[str], frame: str = "fr
     sized = sized.join(whole(right.selectExpr(*keys, "dt_id", "d_w w", "d_h h"), "dt_id", "d_area"), [*keys, "dt_id"])
     union = F.col("g_area") + F.col("d_area") - F.col("inter")
     return sized.select(*keys, "gt_id", "dt_id", "inter", union.alias("union"), F.when(union > 0, F.col("inter") / union).otherwise(F.lit(0.0)).alias("iou"))
+
+
+def _turned(xc: float, yc: float, w: float, h: float, angle: float) -> list[tuple[float, float]]:
+    c, s = math.cos(math.radians(angle)), math.sin(math.radians(angle))
+    return [(xc + c * dx + s * dy, yc - s * dx + c * dy) for dx, dy in ((-w / 2, -h / 2), (w / 2, -h / 2), (w / 2, h / 2), (-w / 2, h / 2))]
+
+
+def _shoelace(points: list[tuple[float, float]]) -> float:
+    return sum(a[0] * b[1] - a[1] * b[0] for a, b in zip(points, points[1:] + points[:1], strict=True)) / 2
+
+
+def _clipped(subject: list[tuple[float, float]], window: list[tuple[float, float]]) -> list[tuple[float, float]]:
+    """The part of a convex polygon within another, edge by edge."""
+    for (ax, ay), (bx_, by) in zip(window, window[1:] + window[:1], strict=True):
+        if not subject:
+            return []
+        side = [(bx_ - ax) * (y - ay) - (by - ay) * (x - ax) for x, y in subject]
+        out = []
+        for k, p in enumerate(subject):
+            q, s, t = subject[k - 1], side[k], side[k - 1]
+            if (s >= 0) != (t >= 0):
+                r = t / (t - s)
+                out.append((q[0] + r * (p[0] - q[0]), q[1] + r * (p[1] - q[1])))
+            if s >= 0:
+                out.append(p)
+        subject = out
+    return subject
+
+
+def rotated_iou(pairs: DataFrame) -> DataFrame:
+    """pairs with `iou` of two rotated boxes (a_ and b_ columns xc, yc, w, h, angle in degrees).
+
+    Filter the pairs by their upright bounds first: only what is left needs polygon clipping.
+    """
+    names = [f"{p}_{c}" for p in "ab" for c in ("xc", "yc", "w", "h", "angle")]
+
+    def run(batches):
+        for rows in batches:
+            got = []
+            for r in rows[names].itertuples(index=False):
+                a, b = _turned(*r[:5]), _turned(*r[5:])
+                a, b = (p if _shoelace(p) > 0 else p[::-1] for p in (a, b))
+                part = _clipped(a, b)
+                i = _shoelace(part) if len(part) > 2 else 0.0
+                whole = abs(r[2] * r[3]) + abs(r[7] * r[8]) - i
+                got.append(i / whole if whole > 0 else 0.0)
+            yield rows.assign(iou=got)
+
+    return pairs.mapInPandas(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pairs.schema) + ", iou double")

@@ -689,13 +689,13 @@ def track_states(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     f"with {ASSOC}, n as (select *, row_number() over (partition by video_id order by score desc, det_id, frame_idx) r from o where is_new) select video_id, frame_idx, det_id from n where r<=2".replace(
-        "iou>=0.1", "iou>=0.6"
+        "iou>=0.1", "iou>=0.8"
     ).replace("score>=0.7", "score>=0.3")
 )
 def capped_new_detections(spark: SparkSession, d: str) -> DataFrame:
     from ..operators.associate import associate
 
-    found = associate(*frame_dets(spark, d), ["video_id", "frame_idx"], iou_thr=0.6, new_thr=0.3)[0]
+    found = associate(*frame_dets(spark, d), ["video_id", "frame_idx"], iou_thr=0.8, new_thr=0.3)[0]
     return prep.top_k(found.where("is_new"), ["video_id"], 2, "det_id", "frame_idx").select("video_id", "frame_idx", "det_id")
 
 
@@ -844,3 +844,23 @@ def cleaned_masks(spark: SparkSession, d: str) -> DataFrame:
 
     m = rectangle_masks(spark, d, fx.gt_boxes(spark, d).where("class_id = 2")).select("image_id", "ann_id", "runs", "height", "width")
     return masks.clean(m, 20).select("image_id", "ann_id", masks.area(F.col("runs")).alias("area"))
+
+
+@query()
+def occlusion_suppressed(spark: SparkSession, d: str) -> DataFrame:
+    """Tracks of which every fifth box is hidden."""
+    from ..streaming.occlusion import occlusion_suppress
+
+    rows = fx.tracks_gt(spark, d).withColumn("w", F.when(F.col("eid") % 5 == 0, F.lit(0.0)).otherwise(F.col("w")))
+    return occlusion_suppress(rows.select("video_id", "frame_idx", "track_id", *"xywh"), 0.3)
+
+
+@query(f"with {GT}, p as (select a.image_id, a.ann_id, b.ann_id other, {iou_sql('a', 'b')} iou from gt a join gt b on a.image_id=b.image_id and a.class_id=b.class_id and a.ann_id<b.ann_id) select image_id, ann_id, other, round(iou, 6) iou from p where iou > 0")
+def rotated_pair_iou(spark: SparkSession, d: str) -> DataFrame:
+    """Both boxes turned by a right angle, with width and height exchanged: the overlap is that of the upright boxes."""
+    b = fx.gt_boxes(spark, d).selectExpr("image_id", "class_id", "ann_id", "x + w / 2 xc", "y + h / 2 yc", "h w", "w h", "cast(90 as double) angle")
+    side = lambda p, i: b.select("image_id", "class_id", F.col("ann_id").alias(i), *(F.col(c).alias(f"{p}_{c}") for c in ("xc", "yc", "w", "h", "angle")))
+    both = side("a", "ann_id").join(side("b", "other"), ["image_id", "class_id"]).where("ann_id < other")
+    lo = [bx.rotated_bounds(*(F.col(f"{p}_{c}") for c in ("xc", "yc", "w", "h", "angle"))) for p in "ab"]
+    near = both.where(bx.intersection(*lo) > 0)
+    return rounded(pairs.rotated_iou(near).where("iou > 1e-9").select("image_id", "ann_id", "other", "iou"), "iou")
