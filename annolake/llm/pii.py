@@ -186,8 +186,7 @@ def train(docs: DataFrame, max_windows: int = 1500, epochs: int = 8, seed: int =
     """A tagger from at most `max_windows` windows of the corpus, taken in the order of a hash."""
     util.small_batches(docs.sparkSession)
     rows = docs.select(F.xxhash64("doc_id", F.lit(seed)).alias("h"), "text").where("text is not null")
-    # about as many documents as windows, before any text is looked at; the order of the hash then bounds the windows
-    chosen = rows.orderBy("h").limit(max_windows)
+    chosen = util.hash_sample(rows, max_windows)  # about as many documents as windows
     found = chosen.mapInArrow(_sample(1), "h long, piece string, tags binary").orderBy("h", "piece").limit(max_windows).collect()
     tagger = Tagger()
     tagger.train(*training_windows([(r.piece, bytes(r.tags)) for r in found]), epochs=epochs)

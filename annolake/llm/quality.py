@@ -143,11 +143,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = 20_000, features: i
     usable = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
     if train is not None:
         usable = usable.where(train)
-    sample = (
-        usable.select("doc_id", F.col("quality").cast("double").alias("y"), F.xxhash64("doc_id", F.lit(seed)).alias("h"))
-        .orderBy("h", "doc_id", "y")
-        .limit(max_train)
-    )
+    keyed = usable.select("doc_id", F.col("quality").cast("double").alias("y"), F.xxhash64("doc_id", F.lit(seed)).alias("h"))
+    sample = util.hash_sample(keyed, max_train, "doc_id", "y")
     read = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(F.broadcast(sample), "doc_id")
     read = read.select("y", "h", "text")
     stats = util.materialise(read.mapInArrow(_stats_rows(["y", "h"]), "y double, h long, stats array<double>"))

@@ -42,6 +42,15 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def hash_sample(df: DataFrame, most: int, *ties: str) -> DataFrame:
+    """At most `most` rows in the order of the hash column h. A cut on the hash comes first, so no task ever gathers more
+    than about twice the sample, however many partitions there are."""
+    n = df.count()
+    if n > 2 * most:
+        df = df.where(F.pmod("h", F.lit(1 << 32)) < int(2 * most / n * (1 << 32)))
+    return df.orderBy("h", *ties).limit(most)
+
+
 def small_batches(spark: SparkSession) -> None:
     """Let no Arrow batch hold more than 16 MB of texts: a worker's memory then follows a batch, not its rows' length."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
