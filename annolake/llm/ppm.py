@@ -210,7 +210,7 @@ def _totals(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return sums[offsets[1:]] - sums[offsets[:-1]]
 
 
-def language_scores(docs: DataFrame, per_partition: int = 2) -> DataFrame:
+def language_scores(docs: DataFrame, per_partition: int = 3) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and n_bytes for every row."""
     # chunks are small for memory's sake; a payload goes from each chunk to each bucket, so buckets are fewer
     util.small_batches(docs.sparkSession)
@@ -237,6 +237,7 @@ def language_scores(docs: DataFrame, per_partition: int = 2) -> DataFrame:
         for k in range(ORDER + 1):
             c, m = _by_order(code, code_n, k)
             deal(c, m, _context_bucket(c, k, n))
+        util.tidy()
         # every chunk asks every bucket, as each answer carries the bucket's share of the corpus totals
         mine = rows.column("__chunk")[0].as_py()
         return pa.table({"bucket": pa.array(range(n), pa.int32()), "chunk": pa.array([mine] * n, pa.int32()), "payload": pa.array([_pack(p) for p in parts], pa.binary())})
@@ -261,6 +262,7 @@ def language_scores(docs: DataFrame, per_partition: int = 2) -> DataFrame:
                 size = hi - lo
                 at = np.repeat(lo - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(int(size.sum())) if len(size) else np.zeros(0, np.int64)
                 r += [code[at], count[at]]
+        util.tidy()
         return pa.table({"chunk": rows.column("chunk"), "bucket": rows.column("bucket"), "payload": pa.array([_pack(r) for r in replies], pa.binary())})
 
     def score(rows: pa.Table, answers: pa.Table) -> pa.Table:
