@@ -8,9 +8,10 @@ permutation at s therefore holds all coordinates of one shingle.
 Texts with equal sets form a class, and one document stands for it. Signatures are banded; every bucket of a band
 links its documents to a few chosen centres (never all pairs), the links are verified on the full sets, and
 components are labelled. In buckets that still span several components, members outside the largest one are then
-compared with `FRESH` fresh documents of it in each of a few rounds, and buckets of at most `FEW` members compare all
-pairs across components. So a near copy that misses the centres is found as well: its other buckets have other
-centres, and a pair that only shares crowded buckets has near copies all around it.
+compared with `FRESH` fresh documents of it, and buckets of at most `FEW` members compare all pairs across components.
+Larger buckets that are still mixed after that are settled exactly: their documents meet by the rarest shingles of
+their full sets (prefix filter with size and position bounds), and every pair of two components that can be similar
+enough is verified. So every pair that shares a bucket is linked, compared, ruled out by a bound, or in one component.
 
 Defined cases: texts without words have an empty set, no links, and form their own component; null text is empty;
 rows of equal doc_id are one node; a null doc_id gets component_id null and kept true; other columns are not
@@ -25,7 +26,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import util, words
@@ -36,7 +37,8 @@ BANDS, ROWS = 32, 4
 COORDS = BANDS * ROWS
 CENTRES = 4
 FEW = 16
-MORE_ROUNDS, FRESH = 2, 3
+FRESH = 3
+BLOCK = 1000
 BROADCAST_IDS = 500_000
 
 
@@ -96,6 +98,12 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield part.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
 
+def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    texts = docs.where("doc_id is not null").select("doc_id", F.col("text").cast("binary").alias("text"))
+    return texts.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
+
+
 def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough. Texts travel, as they are smaller than their sets.
 
@@ -103,14 +111,55 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     size); beyond that the documents are shuffled once more to meet their ids.
     """
     ids = util.materialise(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct())
-    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    texts = docs.where("doc_id is not null").select("doc_id", F.col("text").cast("binary").alias("text"))
-    texts = texts.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
+    texts = _texts(docs, ids)
     left = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
     full = left.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
     return full.select("a", "b", "text_a", "text_b").mapInArrow(_verify, "a long, b long")
 
 
+def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each shingle of each set; rows of one id may have several sets."""
+    for whole in batches:
+        for part in util.slices(whole, "text", 1 << 20):
+            sets = words.shingle_sets(*util.flat_bytes(part.column("text")))
+            n = np.array([len(s) for s in sets], np.int64)
+            own = np.array([int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True) for s in sets], np.int64)
+            cols = [np.repeat(np.asarray(part.column("doc_id")), n), np.repeat(own, n), np.repeat(n, n).astype(np.int32), np.concatenate(sets).view(np.int64)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["rep", "own", "n", "shingle"])
+
+
+def across(nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Pairs (a, b) of `nodes` (rep, component) in two components: all that can have 100 * intersection >= 75 * union.
+
+    Shingles of a set are ordered from rare to frequent. The first one that two such sets of n and m shingles share is at
+    places i and j with 7 * (1 + least(n - i, m - j)) >= 3 * (n + m), hence among the first n / 4 + 1 of either set
+    and the first n / 7 + 1 of the smaller one. A shingle's members outside its largest component meet its members in
+    blocks of about `BLOCK`, so a frequent one is spread over tasks.
+    """
+    sets = _texts(docs, nodes.select(F.col("rep").alias("doc_id"))).mapInArrow(_shingles, "rep long, own long, n int, shingle long")
+    sets = sets.repartition("shingle").dropDuplicates(["shingle", "rep", "own"])
+    times = sets.groupBy("shingle").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
+    one = Window.partitionBy("rep", "own")
+    # shingles that occur once come first in every order, and only count
+    place = F.col("n") - F.count(F.lit(1)).over(one) + F.row_number().over(one.orderBy("times", "shingle"))
+    rare = sets.join(times, "shingle").select("rep", "n", "shingle", place.alias("i")).where("4 * (i - 1) <= n")
+    rare = util.materialise(rare.join(nodes, "rep").select("shingle", "rep", "component", "n", "i", F.expr("7 * (i - 1) <= n").alias("early")))
+    parts = rare.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("size"), F.max("early").alias("early"))
+    keys = parts.groupBy("shingle").agg(
+        F.max_by("component", F.struct("size", "component")).alias("main"), F.ceil(F.sum("size") / BLOCK).cast("int").alias("blocks"), F.max("early").alias("any"), F.count(F.lit(1)).alias("parts")
+    )
+    rare = rare.join(keys.where("parts > 1 and any").drop("any", "parts"), "shingle")
+    # one of a pair is early: early ones meet all (kind 0), the others meet the early ones (kind 1)
+    left = rare.where("component <> main").select("shingle", F.expr("explode(sequence(0, blocks - 1))").alias("block"), F.expr("int(not early)").alias("kind"), "rep", "component", "n", "i")
+    right = rare.select(
+        "shingle", F.expr("int(pmod(xxhash64(rep), blocks))").alias("block"), F.expr("explode(if(early, array(0, 1), array(0)))").alias("kind"),
+        F.col("rep").alias("rep_b"), F.col("component").alias("component_b"), F.col("n").alias("m"), F.col("i").alias("j"), "main",
+    )
+    can = "component <> component_b and (component_b = main or rep < rep_b) and 7 * (1 + least(n - i, m - j)) >= 3 * (n + m)"
+    met = left.join(right, ["shingle", "block", "kind"]).where(can)
+    return met.select(F.least("rep", "rep_b").alias("a"), F.greatest("rep", "rep_b").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row."""
     util.small_batches(docs.sparkSession)
@@ -139,36 +188,42 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     label = components(links)
 
     # buckets that still span several components: small ones compare all members across components, all of them
-    # compare the members outside the bucket's largest component with a fresh document of that component
-    shared = util.materialise(rows.join(centres.select("bucket"), "bucket", "left_semi").select("bucket", "rep", "n"))
-    for turn_no in range(MORE_ROUNDS):
-        at = shared.join(label, F.col("rep") == F.col("node"), "left").select("bucket", "rep", "n", F.coalesce("component", "rep").alias("component"))
-        parts = at.groupBy("bucket", "component").agg(
-            F.count(F.lit(1)).alias("size"),
-            F.array_distinct(F.array(*(F.min_by(F.struct("rep", "n"), F.struct(F.xxhash64("rep", "bucket", F.lit(turn_no * FRESH + t)), "rep")) for t in range(FRESH)))).alias("heads"),
-        )
-        mixed = parts.groupBy("bucket").agg(
-            F.max_by(F.struct("component", "heads"), F.struct("size", "component")).alias("main"), F.sum("size").alias("members"), F.count(F.lit(1)).alias("parts")
-        )
-        mixed = mixed.where("parts > 1").select("bucket", "main", "members")
-        at = at.join(mixed, "bucket")
-        outside = at.where(F.col("component") != F.col("main.component")).select("rep", "n", F.explode("main.heads").alias("head"))
-        pairs = outside.where(alike(F.col("n"), F.col("head.n"))).select(F.col("rep").alias("a"), F.col("head.rep").alias("b"))
-        if turn_no == 0:
-            few = at.where(F.col("members") <= FEW).select("bucket", "rep", "n", "component")
-            other = few.select("bucket", F.col("rep").alias("b"), F.col("n").alias("m"), F.col("component").alias("other"))
-            across = few.join(other, "bucket").where((F.col("component") < F.col("other")) & alike(F.col("n"), F.col("m")))
-            pairs = pairs.unionByName(across.select(F.col("rep").alias("a"), "b"))
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        pairs = util.materialise(pairs.join(tried, ["a", "b"], "left_anti"))
+    # compare the members outside the bucket's largest component with a few fresh documents of that component
+    shared = util.materialise(rows.join(centres.select("bucket", "members"), "bucket").select("bucket", "rep", "n", "members"))
+
+    def labelled() -> DataFrame:
+        return shared.join(label, F.col("rep") == F.col("node"), "left").select("bucket", "rep", "n", "members", F.coalesce("component", "rep").alias("component"))
+
+    at = labelled()
+    parts = at.groupBy("bucket", "component").agg(
+        F.count(F.lit(1)).alias("size"),
+        F.array_distinct(F.array(*(F.min_by(F.struct("rep", "n"), F.struct(F.xxhash64("rep", "bucket", F.lit(t)), "rep")) for t in range(FRESH)))).alias("heads"),
+    )
+    mixed = parts.groupBy("bucket").agg(F.max_by(F.struct("component", "heads"), F.struct("size", "component")).alias("main"), F.count(F.lit(1)).alias("parts"))
+    at = at.join(mixed.where("parts > 1").select("bucket", "main"), "bucket")
+    outside = at.where(F.col("component") != F.col("main.component")).select("rep", "n", F.explode("main.heads").alias("head"))
+    pairs = outside.where(alike(F.col("n"), F.col("head.n"))).select(F.col("rep").alias("a"), F.col("head.rep").alias("b"))
+    few = at.where(F.col("members") <= FEW).select("bucket", "rep", "n", "component")
+    other = few.select("bucket", F.col("rep").alias("b"), F.col("n").alias("m"), F.col("component").alias("other"))
+    both = few.join(other, "bucket").where((F.col("component") < F.col("other")) & alike(F.col("n"), F.col("m")))
+    pairs = pairs.unionByName(both.select(F.col("rep").alias("a"), "b"))
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pairs = util.materialise(pairs.join(tried, ["a", "b"], "left_anti"))
+
+    def merged(label: DataFrame, pairs: DataFrame) -> DataFrame:
         if pairs.isEmpty():
-            break
+            return label
         found = util.materialise(verified(pairs, docs))
-        if found.isEmpty():
-            break
+        return label if found.isEmpty() else components(label.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(found))
+
+    label = merged(label, pairs)
+    # larger buckets that are still mixed: every pair across components that can be a link
+    at = labelled().where(F.col("members") > FEW)
+    mixed = at.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
+    open_ = util.materialise(at.join(mixed.select("bucket"), "bucket", "left_semi").select("rep", "component").distinct())
+    if not open_.isEmpty():
         tried = tried.unionByName(pairs)
-        links = links.unionByName(found)
-        label = components(links)
+        label = merged(label, util.materialise(across(open_, docs).join(tried, ["a", "b"], "left_anti")))
 
     # the smallest id of a component over its members, as a class is known by its smallest id
     named = classes.join(label, F.col("rep") == F.col("node"), "left").select("set_key", F.coalesce("component", "rep").alias("component"))

@@ -1,10 +1,11 @@
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from annolake.llm import minhash, util
+from annolake.llm import minhash, util, words
 from annolake.llm.components import components
 
 
@@ -65,6 +66,33 @@ def test_a_crowded_group_of_near_copies(spark):
     assert got(minhash.near_duplicates(docs)) == expected(docs.collect())
 
 
+def test_families_that_share_only_crowded_buckets(spark):
+    """Pairs of 0.75 and more around one long template, chosen so that all buckets they share are full of others."""
+    template = [f"t{k}" for k in range(160)]
+
+    def keys(text):
+        (s,) = words.shingle_sets(*util.flat_bytes(pa.array([text.encode()])))
+        return s, set(minhash.band_keys(minhash.signature(s)).tolist())
+
+    rows = [(i, " ".join([*template, *(f"m{k}" for k in range(30)), f"own{i}"])) for i in range(60)]
+    rows += [(100 + i, " ".join([*template, *(f"s{i}_{k}" for k in range(33))])) for i in range(100)]
+    times = Counter(k for _, text in rows for k in keys(text)[1])
+    crowded = {k for k, n in times.items() if n > 2 * minhash.FEW}
+    found = 0
+    for i in range(3000):
+        x, y = (" ".join([*template, *(f"b{i}_{k}" for k in range(7)), *(f"{side}{i}_{k}" for k in range(27))]) for side in "xy")
+        (s, a), (t, b) = keys(x), keys(y)
+        n = len(np.intersect1d(s, t))
+        if 100 * n >= 75 * (len(s) + len(t) - n) and a & b and a & b <= crowded:
+            rows += [(1000 + 2 * found, x), (1001 + 2 * found, y)]
+            found += 1
+            if found == 5:
+                break
+    assert found == 5
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert got(minhash.near_duplicates(docs)) == expected(docs.collect())
+
+
 def test_signature_is_the_minimum_of_shifts():
     s = np.random.default_rng(0).integers(0, 2**63, 50, dtype=np.uint64)
     scatter, slices = minhash._permutations()
