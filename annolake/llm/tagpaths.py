@@ -5,6 +5,8 @@ Per path, text length and punctuation are summed over its blocks; both sums, per
 neighbouring blocks in page order and fused into one weight. Paths above a threshold of the weights are content.
 The container that holds most of the content's text gives the page's article: its other blocks (headings, short
 paragraphs) belong to it unless their own path is boilerplate by name (nav, footer, aside, ads, comments and so on).
+Without <article> or <main>, a paragraph or another single block is never that container, and blocks on content paths
+outside the container are kept as well, in page order.
 
 Defined cases: null and empty pages, and pages without content, give an empty string; unclosed and stray tags are
 tolerated; unknown character references stay as they are; a page without any markup is its own text; repeated rows
@@ -57,6 +59,8 @@ CLOSES = {
     "th": frozenset(["td", "th", "p"]),
 }
 CLOSES_P = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
+#: Elements that are one block of a text even if line breaks divide it.
+PARTS = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre".split())
 SCOPE = frozenset("ul ol table div article section main body td th blockquote".split())
 DEEPEST = 64
 
@@ -185,13 +189,18 @@ def main_text(page: str | None, radius: int = 1, share: float = 0.5) -> str:
         fused[path] = max(fused[path], (a + 1) * (b + 1) * (length[path] ** 0.5))
     mean = sum(fused[p] * length[p] for p in fused) / max(1, sum(length.values()))
     content = {p for p, w in fused.items() if w >= share * mean}
-    # the deepest element that holds nearly all text of the content paths
+    # an article by name, or the deepest container that holds nearly all text of the content paths
     weight: dict = defaultdict(int)
     depth: dict = {}
     roots: set = set()
+    direct: dict = defaultdict(int)
+    containers: set = set()
     total = 0
     for path, numbers, _, text in own:
         total += len(text) * (path in content)
+        containers.update(numbers[:-1])
+        if numbers and path[-1].split(".", 1)[0] not in PARTS:
+            direct[numbers[-1]] += 1
         for k, number in enumerate(numbers):
             weight[number] += len(text) * (path in content)
             depth[number] = k
@@ -200,12 +209,11 @@ def main_text(page: str | None, radius: int = 1, share: float = 0.5) -> str:
     named = [r for r in roots if weight[r] >= 0.5 * total]
     if named:
         box = max(named, key=lambda r: (-depth[r], weight[r]))
-    else:
-        holds = [k for k, w in weight.items() if w >= 0.8 * total]
-        box = max(holds, key=lambda k: depth[k], default=None)
-    if box is not None:
         return " ".join(text for _, numbers, _, text in own if box in numbers)
-    return " ".join(text for path, _, _, text in own if path in content)
+    containers.update(k for k, n in direct.items() if n > 1)
+    holds = [k for k in containers if weight[k] >= 0.8 * total]
+    box = max(holds, key=lambda k: depth[k], default=None)
+    return " ".join(text for path, numbers, _, text in own if path in content or box in numbers)
 
 
 def extract(pages: DataFrame) -> DataFrame:

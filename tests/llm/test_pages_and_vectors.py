@@ -79,3 +79,15 @@ def test_passes_give_the_same(spark, monkeypatch):
     one = sorted(map(tuple, ann.nearest(vectors, F.col("vec_id") % 5 == 0).collect()))
     monkeypatch.setattr(ann, "PASS", 30)
     assert sorted(map(tuple, ann.nearest(vectors, F.col("vec_id") % 5 == 0).collect())) == one
+
+
+def test_a_long_block_does_not_hide_the_rest_of_the_page():
+    long, short = "A sentence of the long one, with words. " * 23, "A sentence of the short one, with words. " * 3
+    got = tagpaths.main_text(f"<html><body><h1>Title</h1><p>{long}</p><p>{short}</p></body></html>")
+    assert got == f"Title {long.strip()} {short.strip()}"
+
+
+def test_the_smaller_section_stays():
+    words = [f"Part {k} says a few things, and then some more of them. " * 2 for k in range(8)]
+    page = "".join(f"<section>{''.join(f'<p>{w}</p>' for w in part)}</section>" for part in (words[:7], words[7:]))
+    assert tagpaths.main_text(f"<html><body>{page}</body></html>") == " ".join(w.strip() for w in words)
