@@ -52,6 +52,26 @@ def test_stream_and_batch_agree(spark, tmp_path):
     assert key(got.collect()) == key(label_qa.frame_warnings(frames, counts, classes).select(*got.columns).collect())
 
 
+@pytest.mark.parametrize("mode", ["append", "complete"])
+def test_streams_are_drained_into_files(spark, tmp_path, mode):
+    rows = [(v, f, c, 1 + (f + c) % 3) for v in (1, 2) for f in range(4) for c in (1, 2)]
+    source = spark.createDataFrame(rows, "video_id long, frame_idx long, category_id int, n int")
+    for f in range(4):
+        source.where(F.col("frame_idx") == f).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    (tmp_path / "none").mkdir()
+    job = st_frames.stream_warnings if mode == "append" else st_frames.stream_progress
+    stream = lambda p: job(spark.readStream.schema(source.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / p)))
+    got = st_frames.drained(stream("in"), f"files_{mode}", str(tmp_path / "out"), mode)
+    assert got.inputFiles() and all(str(tmp_path / "out") in f for f in got.inputFiles())
+    if mode == "complete":
+        assert sorted(map(tuple, got.collect())) == [(v, c, sum(r[3] for r in rows if r[0] == v and r[2] == c), 4) for v in (1, 2) for c in (1, 2)]
+    else:
+        assert sorted((r.video_id, r.frame_idx, r.kind, r.category_id, r.prev_n, r.n) for r in got.collect()) == sorted(
+            (v, f, "sudden_decrease", c, 3, 1) for v in (1, 2) for f in range(1, 4) for c in (1, 2) if (f + c) % 3 == 0
+        )
+    assert st_frames.drained(stream("none"), f"none_{mode}", str(tmp_path / "out2"), mode).count() == 0
+
+
 def test_phrase_metrics_micro_case(spark):
     per = spark.createDataFrame([(2, 2, [2, 1]), (0, 1, [0, 0]), (1, 0, [0, 0]), (0, 0, [0, 0]), (0, 0, [0, 0])], "n_gt long, n_dt long, tps array<long>")
     r = metrics.phrase_metrics(per).where("iou_percent = 50").first()
