@@ -35,11 +35,10 @@ from .components import components
 BINS = 1 << 20
 BANDS, ROWS = 32, 4
 COORDS = BANDS * ROWS
-CENTRES = 4
+CENTRES = 2
 FEW = 16
 FRESH = 3
 BLOCK = 1000
-BROADCAST_IDS = 500_000
 
 
 @lru_cache(maxsize=1)
@@ -98,20 +97,12 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield part.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
 
-def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    texts = docs.where("doc_id is not null").select("doc_id", F.col("text").cast("binary").alias("text"))
-    return texts.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
-
-
 def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough. Texts travel, as they are smaller than their sets.
 
-    Only texts of documents in pairs are shuffled. Up to `BROADCAST_IDS` ids are broadcast to pick them (a checked
-    size); beyond that the documents are shuffled once more to meet their ids.
+    Documents are shuffled to their ids once; a document of many pairs is one row on its side, so the join splits.
     """
-    ids = util.materialise(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct())
-    texts = _texts(docs, ids)
+    texts = docs.where("doc_id is not null").select("doc_id", F.col("text").cast("binary").alias("text"))
     left = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
     full = left.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
     return full.select("a", "b", "text_a", "text_b").mapInArrow(_verify, "a long, b long")
@@ -136,7 +127,8 @@ def across(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     and the first n / 7 + 1 of the smaller one. A shingle's members outside its largest component meet its members in
     blocks of about `BLOCK`, so a frequent one is spread over tasks.
     """
-    sets = _texts(docs, nodes.select(F.col("rep").alias("doc_id"))).mapInArrow(_shingles, "rep long, own long, n int, shingle long")
+    texts = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(nodes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
+    sets = texts.mapInArrow(_shingles, "rep long, own long, n int, shingle long")
     sets = sets.repartition("shingle").dropDuplicates(["shingle", "rep", "own"])
     times = sets.groupBy("shingle").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
     one = Window.partitionBy("rep", "own")
@@ -211,10 +203,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     pairs = util.materialise(pairs.join(tried, ["a", "b"], "left_anti"))
 
     def merged(label: DataFrame, pairs: DataFrame) -> DataFrame:
+        """Labels with the verified ones of `pairs` as further links: only components are linked anew, not their nodes."""
         if pairs.isEmpty():
             return label
-        found = util.materialise(verified(pairs, docs))
-        return label if found.isEmpty() else components(label.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(found))
+        side = lambda x: label.select(F.col("node").alias(x), F.col("component").alias(f"of_{x}"))
+        named = verified(pairs, docs).join(side("a"), "a", "left").join(side("b"), "b", "left")
+        onto = components(named.select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b")))
+        moved = label.join(onto.select(F.col("node").alias("component"), F.col("component").alias("onto")), "component", "left")
+        return util.materialise(moved.select("node", F.coalesce("onto", "component").alias("component")).unionByName(onto.join(label, "node", "left_anti")))
 
     label = merged(label, pairs)
     # larger buckets that are still mixed: every pair across components that can be a link
