@@ -1,16 +1,18 @@
 """Main text of web pages by tag-path ratios.
 
-A page is read as a flat run of blocks. Every block keeps its root-to-leaf path of tags (with class and id words).
-Per path, text length and punctuation are summed over its blocks; both sums, per block, are smoothed over the
-neighbouring blocks in page order and fused into one weight. Paths above a threshold of the weights are content.
-The container that holds most of the content's text gives the page's article: its other blocks (headings, short
-paragraphs) belong to it unless their own path is boilerplate by name (nav, footer, aside, ads, comments and so on).
-Without <article> or <main>, a paragraph or another single block is never that container, and blocks on content paths
-outside the container are kept as well, in page order.
-
-Defined cases: null and empty pages, and pages without content, give an empty string; unclosed and stray tags are
-tolerated; unknown character references stay as they are; a page without any markup is its own text; repeated rows
-are extracted alike; other columns are not read. Work is row-local and linear in the page (nesting counted to 64).
+A page is read as a flat run of blocks. Every block has its root-to-leaf path of tags (with class and id words). Per path, text
+length, punctuation and the length of link texts are summed over its blocks; the ratios of the first two to the number of
+blocks, the share of text outside links, and the path's sum are fused into one weight. Names that tell boilerplate (nav, footer, ads, comments and so on), and a place outside the
+<article> or <main> of a page that has one, scale a block's weight down: they are a prior, and the ratios decide. Weights are
+smoothed over the neighbouring blocks in page order, each neighbour counting the less the more containers lie between, so
+a heading takes part in its paragraphs' weight and an advert beside them does not. Blocks whose weight reaches a share of
+the page's mean weight (by text) are content. The lowest container of nearly all content is the article's own: its other
+blocks (short items, captions) belong to it unless their names tell boilerplate.
+
+Defined cases: null and empty pages, and pages whose blocks all lie in menus, footers, forms and the like, give an empty string; unclosed
+and stray tags are tolerated, a tag without its end is text; unknown character references stay as they are; a page without
+any markup is its own text; repeated rows are extracted alike; other columns are not read. Work is row-local and linear in
+the page, however deep its nesting.
 """
 
 from __future__ import annotations
@@ -25,20 +27,20 @@ from pyspark.sql import DataFrame
 
 from . import util
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S
-)
+_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_STOP = re.compile(r"[>\"']")
 _ATTR = re.compile(r"(?:^|\s)(class|id|role|hidden|style|aria-hidden)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
-_SPACE = re.compile(r"[\s ]+")
+_SPACE = re.compile(r"[\s ]+")
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _PUNCT = re.compile(r"[.,;:!?。，、；：！？]")
+_HUGE = re.compile(r"&#[0-9]{4000,};?")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe svg select option noframes object math canvas".split())
+RAW = {t: re.compile(rf"</{t}(?![a-z0-9-])", re.I) for t in "script style noscript template textarea title iframe svg select option noframes object math canvas".split()}
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
 )
 #: Elements that never hold main text.
-OUTSIDE = frozenset("nav header footer aside form button menu dialog head".split()) | RAW
+OUTSIDE = frozenset("nav header footer aside form button menu dialog head".split()) | frozenset(RAW)
 #: Fixed words in class, id or role that name boilerplate.
 NAMES = frozenset(
     """ad ads adv advert adverts advertisement advertising adsense sponsor sponsored sponsors promo promotion promoted
@@ -46,7 +48,7 @@ NAMES = frozenset(
     widget widgets comment comments commentlist disqus respond reply replies discussion cookie cookies consent gdpr notice
     notices notification alert popup modal overlay newsletter subscribe subscription signup login share sharing social
     related recommended recommendations trending pagination pager toolbar search copyright legal disclaimer hidden skip toc
-    complementary contentinfo search""".split()
+    complementary contentinfo""".split()
 )
 ROOTS = frozenset(["article", "main"])
 CLOSES = {
@@ -62,158 +64,262 @@ CLOSES_P = frozenset("address article aside blockquote div dl fieldset footer fo
 #: Elements that are one block of a text even if line breaks divide it.
 PARTS = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre".split())
 SCOPE = frozenset("ul ol table div article section main body td th blockquote".split())
-DEEPEST = 64
 
+#: Priors of blocks in boilerplate by name, in boilerplate by tag, outside the page's <article> or <main>, and in no paragraph.
+BY_NAME, BY_TAG, AWAY, LOOSE = 0.02, 0.01, 0.3, 0.15
+PROSE = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote".split())
+#: Weight of the neighbours at each distance, and what each container in between leaves of it.
+KERNEL, BETWEEN = (0.6, 0.25), 0.15
+SHARE = 0.2
 
-def _label(tag: str, attrs: str) -> tuple[str, bool]:
-    """Path step of an element, and whether the element names itself boilerplate."""
+
+def _label(tag: str, attrs: str) -> tuple[str, float]:
+    """Path step of an element, and its prior."""
+    prior = BY_TAG if tag in OUTSIDE else 1.0
     if not attrs or attrs.isspace():
-        return tag, tag in OUTSIDE
-    names, out = [], tag in OUTSIDE
+        return tag, prior
+    names, out = [], False
     for key, a, b, c in _ATTR.findall(attrs):
         value, key = a or b or c, key.lower()
         if key == "hidden" or key == "aria-hidden" and value.lower() == "true":
-            out = True
+            prior = BY_TAG
         elif key == "style":
-            out |= bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I))
+            prior = BY_TAG if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I) else prior
         else:
             words = [w.lower() for w in _WORD.findall(value)]
             names += words
             out |= tag not in ("html", "body", "article", "main") and not NAMES.isdisjoint(words)
-    return (f"{tag}.{'.'.join(names)}" if names else tag), out
+    return (f"{tag}.{'.'.join(names)}" if names else tag), min(prior, BY_NAME if out else 1.0)
+
 
+class Blocks:
+    """A page's blocks in order, and the tree of elements that they lie in; element 0 is the page."""
 
-def blocks(page: str) -> list[tuple[tuple[str, ...], tuple[int, ...], bool, str]]:
-    """(tag path, element numbers along it, boilerplate by name, text) of each block in page order."""
-    stack: list[tuple[str, str, int, bool]] = []  # tag, step, number, outside
-    found, parts = [], []
-    at, number, n, low = 0, 0, len(page), page.lower()
+    def __init__(self, page: str):
+        self.parent, self.tag, self.depth, self.path, self.rooted = [0], [""], [0], [0], [False]
+        #: for each block its innermost element that is not inline, prior and text
+        self.element: list[int] = []
+        self.prior: list[float] = []
+        self.text: list[str] = []
+        self.linked: list[int] = []  # characters inside links
+        self._in_link = 0
+        self._paths: dict[tuple[int, str], int] = {}
+        self._stack: list[tuple[str, int, float, bool]] = []  # tag, element, prior so far, inline
+        self._open: dict[str, list[int]] = defaultdict(list)  # places of open tags in the stack
+        self._gone: set[int] = set()  # places of inline elements that were closed out of order
+        self._blocks: list[int] = []  # places of elements that are not inline
+        self._parts: list[str] = []
+        self._read(page)
 
-    def flush() -> None:
-        if parts:
-            text = _SPACE.sub(" ", html_lib.unescape("".join(parts))).strip()
-            parts.clear()
+    def _flush(self) -> None:
+        if self._parts:
+            raw = "".join(self._parts)
+            self._parts.clear()
+            linked, self._in_link = self._in_link, 0
+            if "&" in raw:
+                raw = html_lib.unescape(_HUGE.sub("�", raw))
+            text = _SPACE.sub(" ", raw).strip()
             if text:
-                inner = [s for s in stack if s[0] not in INLINE][:DEEPEST]
-                found.append((tuple(s[1] for s in inner), tuple(s[2] for s in inner), any(s[3] for s in stack), text))
-
-    while at < n:
-        m = _TOKEN.search(page, at)
-        if m is None:
-            parts.append(page[at:])
-            break
-        if m.start() > at:
-            parts.append(page[at : m.start()])
-        at = m.end()
-        if m[2] is None:
-            continue
-        tag = m[2].lower()
-        if m[1]:
-            if tag not in INLINE or any(s[0] == tag and s[3] for s in stack[-3:]):
-                flush()
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    if tag in INLINE:
-                        del stack[k]
-                    else:
-                        del stack[k:]
-                    break
-                if tag in INLINE and stack[k][0] not in INLINE:
-                    break
-            continue
-        if tag in RAW:
-            end = low.find(f"</{tag}", at)
-            if not (m[3] or "").rstrip().endswith("/"):
-                close = page.find(">", end) if end >= 0 else -1
-                at = n if end < 0 or close < 0 else close + 1
-            flush() if tag not in INLINE and tag not in ("script", "style", "template", "noscript") else None
-            continue
-        if tag == "br" or tag == "hr":
-            flush()
-            continue
-        if tag in VOID:
-            continue
-        step, outside = _label(tag, m[3] or "")
+                self.element.append(self._stack[-1][1] if self._stack else 0)
+                self.prior.append(self._stack[-1][2] if self._stack else 1.0)
+                self.text.append(text)
+                self.linked.append(min(linked, len(text)))
+
+    def _add(self, text: str) -> None:
+        self._parts.append(text)
+        if self._open.get("a"):
+            self._in_link += len(text)
+
+    def _cut(self, size: int) -> None:
+        """Close what was opened from place `size` on."""
+        while len(self._stack) > size:
+            tag, _, _, inline = self._stack.pop()
+            at = len(self._stack)
+            if at in self._gone:
+                self._gone.discard(at)
+            else:
+                self._open[tag].pop()
+            if not inline:
+                self._blocks.pop()
+
+    def _last(self, tags: frozenset[str]) -> int:
+        return max((self._open[t][-1] for t in tags if self._open.get(t)), default=-1)
+
+    def _push(self, tag: str, step: str, prior: float, inline: bool) -> None:
+        _, above, so_far, _ = self._stack[-1] if self._stack else ("", 0, 1.0, False)
+        element = above
+        if not inline:
+            element = len(self.parent)
+            self.parent.append(above)
+            self.tag.append(tag)
+            self.depth.append(self.depth[above] + 1)
+            self.path.append(self._paths.setdefault((self.path[above], step), len(self._paths) + 1))
+            self.rooted.append(self.rooted[above] or tag in ROOTS)
+            self._blocks.append(len(self._stack))
+        self._open[tag].append(len(self._stack))
+        self._stack.append((tag, element, min(so_far, prior), inline))
+
+    @staticmethod
+    def _end(page: str, at: int) -> int:
+        """Place of the > that ends a tag, past quoted values; -1 if there is none."""
+        while m := _STOP.search(page, at):
+            if m[0] == ">":
+                return m.start()
+            close = page.find(m[0], m.end())
+            if close < 0:
+                return page.find(">", m.end())
+            at = close + 1
+        return -1
+
+    def _read(self, page: str) -> None:
+        at, n = 0, len(page)
+        while at < n:
+            lt = page.find("<", at)
+            if lt < 0:
+                lt = n
+            if lt > at:
+                self._add(page[at:lt])
+            if lt == n:
+                break
+            if page.startswith("<!--", lt):
+                end = page.find("-->", lt + 4)
+                at = n if end < 0 else end + 3
+                continue
+            m = _NAME.match(page, lt)
+            if m is None and page[lt + 1 : lt + 2] not in ("!", "?"):
+                self._add("<")
+                at = lt + 1
+                continue
+            end = self._end(page, m.end()) if m else page.find(">", lt)
+            if end < 0:  # no tag ends after this
+                self._add(page[lt:])
+                break
+            at = end + 1
+            if m is None:
+                continue
+            tag = m[2].lower()
+            if m[1]:
+                self._close(tag)
+            elif tag in RAW:
+                if page[end - 1] != "/":
+                    stop = RAW[tag].search(page, at)
+                    close = page.find(">", stop.end()) if stop else -1
+                    at = n if close < 0 else close + 1
+                if tag not in ("script", "style", "template", "noscript"):
+                    self._flush()
+            elif tag in ("br", "hr"):
+                self._flush()
+            elif tag not in VOID:
+                self._enter(tag, page[m.end() : end])
+        self._flush()
+
+    def _close(self, tag: str) -> None:
+        inline = tag in INLINE
+        places = self._open.get(tag)
+        if not inline:
+            self._flush()
+            if places:
+                self._cut(places[-1])
+        elif places and places[-1] > (self._blocks[-1] if self._blocks else -1):
+            k = places[-1]
+            if self._stack[k][2] < (self._stack[k - 1][2] if k else 1.0):
+                self._flush()
+            if k == len(self._stack) - 1:
+                self._cut(k)
+            else:
+                places.pop()
+                self._gone.add(k)
+
+    def _enter(self, tag: str, attrs: str) -> None:
+        step, prior = _label(tag, attrs)
         if tag in INLINE:
-            if outside:
-                flush()
-            if tag != "img":
-                number += 1
-                stack.append((tag, step, number, outside))
-            continue
-        flush()
-        closes = CLOSES.get(tag) or (CLOSES["p"] if tag in CLOSES_P else ())
+            if prior < 1:
+                self._flush()
+            self._push(tag, step, prior, True)
+            return
+        self._flush()
+        closes = CLOSES.get(tag) or (CLOSES["p"] if tag in CLOSES_P else frozenset())
         if closes:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] in closes:
-                    del stack[k:]
-                    break
-                if stack[k][0] in SCOPE:
-                    break
-        number += 1
-        stack.append((tag, step, number, outside))
-    flush()
-    return found
-
-
-def main_text(page: str | None, radius: int = 1, share: float = 0.5) -> str:
+            k = self._last(closes)
+            if k >= 0 and k >= self._last(SCOPE):
+                self._cut(k)
+        self._push(tag, step, prior, False)
+
+    def between(self, a: int, b: int, most: int = 8) -> int:
+        """How many containers lie between two blocks' elements (`most` stands for that and more)."""
+        a, b = (self.parent[x] if self.tag[x] in PARTS else x for x in (a, b))
+        d = 0
+        while a != b and d < most:
+            if self.depth[a] >= self.depth[b]:
+                a = self.parent[a]
+            else:
+                b = self.parent[b]
+            d += 1
+        return d
+
+
+def weights(page: Blocks) -> tuple[list[float], list[float]]:
+    """Fused and smoothed weight of each block, and its prior."""
+    length: dict[int, int] = defaultdict(int)
+    punct: dict[int, int] = defaultdict(int)
+    linked: dict[int, int] = defaultdict(int)
+    count: dict[int, int] = defaultdict(int)
+    paths = [page.path[e] for e in page.element]
+    for path, text, links in zip(paths, page.text, page.linked, strict=True):
+        length[path] += len(text)
+        linked[path] += links
+        punct[path] += len(_PUNCT.findall(text))
+        count[path] += 1
+    fused = {p: (1 + length[p] / count[p]) * (1 + punct[p] / count[p]) * length[p] ** 0.5 * (1.05 - linked[p] / length[p]) for p in length}
+    rooted = [page.rooted[e] for e in page.element]
+    away = AWAY if any(r and p == 1 for r, p in zip(rooted, page.prior, strict=True)) else 1.0
+    prior = [p * (1.0 if r else away) * (1.0 if page.tag[e] in PROSE else LOOSE) for p, r, e in zip(page.prior, rooted, page.element, strict=True)]
+    own = [fused[path] * p for path, p in zip(paths, prior, strict=True)]
+    out = []
+    for i, e in enumerate(page.element):
+        total, weight = own[i], 1.0
+        for d, share in enumerate(KERNEL, 1):
+            for j in (i - d, i + d):
+                if 0 <= j < len(own):
+                    k = share * BETWEEN ** page.between(e, page.element[j])
+                    total, weight = total + k * own[j], weight + k
+        # a block's own names hold whatever stands beside it
+        out.append(min(total / weight, max(own[i], prior[i] * total / weight)))
+    return out, prior
+
+
+def content(page: Blocks, share: float = SHARE) -> list[bool]:
+    """Which blocks are content: those whose weight reaches `share` of the mean weight, each block counted by its text and prior."""
+    w, prior = weights(page)
+    by = [len(t) * p for t, p in zip(page.text, prior, strict=True)]
+    mean = sum(x * y for x, y in zip(w, by, strict=True)) / sum(by)
+    return [x >= share * mean for x in w]
+
+
+def main_text(page: str | None, share: float = SHARE) -> str:
     """Text of the article of one page."""
     if not page:
         return ""
-    all_blocks = blocks(page)
-    own = [b for b in all_blocks if not b[2]]
-    if not own:
+    found = Blocks(page)
+    if not any(p > BY_TAG for p in found.prior):
         return ""
-    length: dict = defaultdict(int)
-    punct: dict = defaultdict(int)
-    count: dict = defaultdict(int)
-    for path, _, _, text in own:
-        length[path] += len(text)
-        punct[path] += len(_PUNCT.findall(text))
-        count[path] += 1
-    by_length = [length[p] / count[p] for p, *_ in own]
-    by_punct = [punct[p] / count[p] for p, *_ in own]
-
-    def smooth(x: list[float]) -> list[float]:
-        sums = [0.0]
-        for v in x:
-            sums.append(sums[-1] + v)
-        out = []
-        for i in range(len(x)):
-            a, b = max(0, i - radius), min(len(x), i + radius + 1)
-            out.append((sums[b] - sums[a]) / (b - a))
-        return out
-
-    fused: dict = defaultdict(float)
-    for (path, *_), a, b in zip(own, smooth(by_length), smooth(by_punct), strict=True):
-        fused[path] = max(fused[path], (a + 1) * (b + 1) * (length[path] ** 0.5))
-    mean = sum(fused[p] * length[p] for p in fused) / max(1, sum(length.values()))
-    content = {p for p, w in fused.items() if w >= share * mean}
-    # an article by name, or the deepest container that holds nearly all text of the content paths
-    weight: dict = defaultdict(int)
-    depth: dict = {}
-    roots: set = set()
-    direct: dict = defaultdict(int)
-    containers: set = set()
-    total = 0
-    for path, numbers, _, text in own:
-        total += len(text) * (path in content)
-        containers.update(numbers[:-1])
-        if numbers and path[-1].split(".", 1)[0] not in PARTS:
-            direct[numbers[-1]] += 1
-        for k, number in enumerate(numbers):
-            weight[number] += len(text) * (path in content)
-            depth[number] = k
-            if path[k].split(".", 1)[0] in ROOTS:
-                roots.add(number)
-    named = [r for r in roots if weight[r] >= 0.5 * total]
-    if named:
-        box = max(named, key=lambda r: (-depth[r], weight[r]))
-        return " ".join(text for _, numbers, _, text in own if box in numbers)
-    containers.update(k for k, n in direct.items() if n > 1)
-    holds = [k for k in containers if weight[k] >= 0.8 * total]
-    box = max(holds, key=lambda k: depth[k], default=None)
-    return " ".join(text for path, numbers, _, text in own if path in content or box in numbers)
+    chosen = content(found, share)
+    # text of content below each element, and what can be a container: no block of its own alone
+    held, inner, direct = [0] * len(found.parent), [0] * len(found.parent), [0] * len(found.parent)
+    for e, text, yes in zip(found.element, found.text, chosen, strict=True):
+        held[e] += len(text) * yes
+        direct[e] += 1
+    for e in range(len(held) - 1, 0, -1):
+        held[found.parent[e]] += held[e]
+        inner[found.parent[e]] += bool(inner[e] or direct[e])
+    box = 0
+    for e in range(1, len(held)):
+        if held[e] >= 0.8 * held[0] and found.tag[e] not in PARTS and (inner[e] or direct[e] > 1) and found.depth[e] > found.depth[box]:
+            box = e
+    inside = [e == box for e in range(len(held))]
+    for e in range(1, len(held)):
+        inside[e] |= inside[found.parent[e]]
+    return " ".join(t for e, t, p, yes in zip(found.element, found.text, found.prior, chosen, strict=True) if yes or inside[e] and p == 1)
 
 
 def extract(pages: DataFrame) -> DataFrame:
