@@ -1,23 +1,20 @@
 """Exact search for repeated windows in a corpus, by local-minimum anchors.
 
 A window is `size` consecutive units (bytes or words) of one text. Among the window's grams of `gram` units, the one
-of least hash (leftmost among equals) is its anchor, so equal windows have equal anchors at equal distance. The
-passes below read the texts in chunks (a hash of the row's key), which a single shuffle deals out and Spark reuses:
-
-1. each chunk sends its distinct anchor hashes, and whether one occurs twice in it, to hash buckets;
-2. a bucket answers each chunk with the hashes that occur more than once in the corpus;
-3. chunks send the text around those anchors (equal pieces once) to the anchors' buckets;
-4. buckets compare those pieces exactly and answer with intervals of the texts, which chunks then apply.
-
-A chunk sends a hash or piece once however often it holds it, so the most frequent line of a corpus costs one
-entry per chunk and never gathers its rows in one task. Memory in a task is one chunk or one bucket;
-both numbers follow spark.sql.shuffle.partitions. Rows with the same id and text share a chunk.
+of least hash (leftmost among equals) is its anchor, so equal windows have equal anchors at equal distance. Only
+windows whose anchor occurs more than once can occur more than once themselves.
+
+Texts are read in chunks of about `CHUNK_BYTES` (by a hash of the row's key), which a single shuffle deals out and Spark
+reuses. A chunk asks for keys (anchors, say): it sends each distinct key once, however often it holds it, to a hash bucket of
+about `BUCKET_BYTES` of the corpus; the bucket answers with how it stands in the corpus, and the chunk goes on with what is
+left. So the most frequent line of a corpus costs one entry a chunk, rows of a key never gather in one task, and the memory
+of a task is that of one chunk or bucket at any size of the corpus. Rows with the same id and text share a chunk.
 """
 
 from __future__ import annotations
 
 import struct
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -80,154 +77,124 @@ def anchor_runs(h: np.ndarray, window_ok: np.ndarray, grams: int) -> tuple[np.nd
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
+CHUNK_BYTES, BUCKET_BYTES = 2 << 20, 6 << 20
+
+
 def keyed(docs: DataFrame, chunks: int, keep: list[str]) -> DataFrame:
-    """Rows with their key (k1, h), chunk and text in bytes; every pass reads this very table."""
+    """Rows with their key (k0: has an id, k1: the id, h: a hash of the text), chunk and text in bytes; every pass reads this table."""
     text = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
-    rows = docs.select(*keep, F.coalesce(F.col("doc_id"), F.lit(util.NO_ID)).alias("__k1"), text.alias("__text"))
-    rows = rows.withColumn("__h", F.xxhash64("__text").bitwiseAND(F.lit(0xFFFFFFFF)))
-    return rows.withColumn("__chunk", F.pmod(F.xxhash64("__k1", "__h"), F.lit(chunks)).cast("int"))
+    rows = docs.select(*keep, F.col("doc_id").isNotNull().cast("int").alias("__k0"), F.coalesce("doc_id", F.lit(0)).cast("long").alias("__k1"), text.alias("__text"))
+    rows = rows.withColumn("__h", F.xxhash64("__text"))
+    return rows.withColumn("__chunk", F.pmod(F.xxhash64("__k0", "__k1", "__h"), F.lit(chunks)).cast("int"))
+
+
+def runs_of(*ordered: np.ndarray) -> np.ndarray:
+    """First position of each distinct row of columns that are sorted together."""
+    new = np.ones(len(ordered[0]), bool)
+    if len(new):
+        new[1:] = np.logical_or.reduce([x[1:] != x[:-1] for x in ordered])
+    return np.flatnonzero(new)
+
+
+def stops(first: np.ndarray, n: int) -> np.ndarray:
+    """Where the runs that begin at `first` end, in n rows."""
+    return np.append(first[1:], n)[: len(first)]
 
 
 class Chunk:
-    """Distinct rows of a chunk, sorted by key, as flat bytes."""
+    """Distinct rows of a chunk, sorted by key, as flat bytes. Rows are one only if their texts are equal byte by byte."""
 
     def __init__(self, rows: pa.Table):
-        k1, h = np.asarray(rows.column("__k1")), np.asarray(rows.column("__h"))
-        self.order = np.lexsort((h, k1))
-        k1, h = k1[self.order], h[self.order]
-        new = np.ones(len(k1), bool)
-        if len(k1):
-            new[1:] = (k1[1:] != k1[:-1]) | (h[1:] != h[:-1])
-        #: for each row in order, the number of its distinct key
-        self.of = np.cumsum(new) - 1
-        self.k1, self.h = k1[new], h[new].astype(np.int64)
-        self.copies = np.bincount(self.of, minlength=len(self.k1)) if len(k1) else np.zeros(0, np.int64)
+        key = [np.asarray(rows.column(c)) for c in ("__k0", "__k1", "__h")]
         texts = rows.column("__text")
+        self.order = np.lexsort(key[::-1])
+        first = runs_of(*(k[self.order] for k in key))
+        sizes = stops(first, len(self.order)) - first
+        new = np.zeros(len(self.order), bool)
+        new[first] = True
+        for x, n in zip(first[sizes > 1].tolist(), sizes[sizes > 1].tolist(), strict=True):
+            own = self.order[x : x + n]
+            raw = [texts[int(i)].as_py() for i in own]
+            if any(r != raw[0] for r in raw):  # one key, several texts: a collision of 64-bit hashes
+                by = sorted(range(n), key=raw.__getitem__)
+                self.order[x : x + n] = own[by]
+                new[x + 1 : x + n] = [raw[i] != raw[j] for i, j in zip(by[1:], by, strict=False)]
+        #: for each row in order, the number of its distinct row
+        self.of = np.cumsum(new) - 1
+        self.key = [k[self.order[new]].astype(np.int64) for k in key]
+        self.copies = np.bincount(self.of) if len(self.of) else np.zeros(0, np.int64)
         self.raw = [texts[int(i)].as_py() for i in self.order[new]]
         lengths = np.array([len(t) for t in self.raw], dtype=np.int64)
         self.offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
         self.data = np.frombuffer(b"".join(self.raw), np.uint8)
 
 
-def _rows(keys: np.ndarray, n: int, payload: Callable[[np.ndarray], bytes]) -> tuple[list[int], list[bytes]]:
-    """One payload for each value of `keys` (0 to n - 1), made from the positions that hold it."""
-    order = np.argsort(keys, kind="stable")
-    cuts = np.searchsorted(keys[order], np.arange(n + 1))
-    some = [k for k in range(n) if cuts[k] < cuts[k + 1]]
-    return some, [payload(order[cuts[k] : cuts[k + 1]]) for k in some]
-
-
 def bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return ((hashes >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
 
 
-class Entries:
-    """What a bucket has received: windows around equal anchors, as entries that point to distinct pieces."""
-
-    def __init__(self, payloads: list[bytes]):
-        parts = [unpack(x, "<u8", "<i8", "<i8", "<i4", "<i8", "<i8", "<i8", "<i4", "<i8", None) for x in payloads]
-        self.source = np.repeat(np.arange(len(parts)), [len(p[0]) for p in parts])
-        self.anchor, self.k1, self.h, self.row, self.pos, self.first, self.last = (np.concatenate([p[i] for p in parts]) for i in range(7))
-        number: dict[tuple[int, bytes], int] = {}
-        piece = []
-        for p in parts:
-            ends = np.concatenate([[0], np.cumsum(p[8])]).tolist()
-            own = [p[9][x:y] for x, y in zip(ends[:-1], ends[1:], strict=True)]
-            for k, off in zip(p[7].tolist(), (p[4] - p[5]).tolist(), strict=True):
-                piece.append(number.setdefault((off, own[k]), len(number)))
-        #: the distinct pieces, as (units before the anchor, bytes), and each entry's piece
-        self.pieces = list(number)
-        self.piece = np.array(piece, dtype=np.int64)
-
-
-def repeated_windows(
-    docs: DataFrame,
-    anchors: Callable[[Chunk], tuple],
-    cut: Callable[[Chunk, tuple, np.ndarray], list[bytes]],
-    compare: Callable[[Entries], tuple[np.ndarray, np.ndarray, np.ndarray]],
-    finish: Callable[[Chunk, dict[int, list[tuple[int, int]]], pa.Table], pa.Table],
-    keep: list[str],
-    schema: str,
-    per_partition: int = 4,
-) -> DataFrame:
-    """Run the passes and return what finish() makes of each chunk.
-
-    anchors(chunk): for every run of windows its (hash, row, anchor, first, last), in units of the row's text.
-    cut(chunk, runs, chosen): the text of each chosen run. compare(entries): (entry, from, to) intervals.
-    finish(chunk, intervals by distinct row, rows): the result for the chunk's rows.
-    """
-    # chunks are small for memory's sake; a payload goes from each chunk to each bucket, so buckets are fewer
-    util.small_batches(docs.sparkSession)
-    n = util.shuffle_width(docs.sparkSession)
-    table = keyed(docs, n * per_partition, keep)
-    ints = lambda x: pa.array(x, pa.int32())
-    blobs = lambda x: pa.array(x, pa.binary())
-
-    def ask(rows: pa.Table) -> pa.Table:
-        hashes, counts = np.unique(anchors(Chunk(rows))[0], return_counts=True)
-        ids, out = _rows(bucket_of(hashes, n), n, lambda at: pack(hashes[at], (counts[at] > 1).astype(np.uint8)))
-        return pa.table({"bucket": ints(ids), "chunk": ints([rows.column("__chunk")[0].as_py()] * len(ids)), "payload": blobs(out)})
+def dealt(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(bucket, ascending positions) of every bucket that occurs."""
+    order = np.argsort(bucket, kind="stable")
+    first = runs_of(bucket[order])
+    for x, y in zip(first.tolist(), stops(first, len(order)).tolist(), strict=True):
+        yield int(bucket[order[x]]), order[x:y]
+
+
+class Keys:
+    """Distinct keys of a chunk (one or two 64-bit columns), and how often it holds each."""
+
+    def __init__(self, columns: list[np.ndarray], times: np.ndarray):
+        order = np.lexsort(columns[::-1])
+        columns = [c[order] for c in columns]
+        first = runs_of(*columns)
+        self.columns = [c[first] for c in columns]
+        self.of = np.empty(len(order), np.int64)
+        self.of[order] = np.repeat(np.arange(len(first)), stops(first, len(order)) - first)
+        self.times = np.bincount(self.of, times, minlength=len(first)).astype(np.int64)
+
+    def ask(self, chunk: int, buckets: int, kind: int) -> pa.Table:
+        """A row for each bucket: its keys, and how often the chunk has each (up to 255)."""
+        to, out = [], []
+        for b, at in dealt(bucket_of(self.columns[0], buckets)):
+            to.append(b)
+            out.append(pack(np.minimum(self.times[at], 255).astype(np.uint8), *(c[at] for c in self.columns)))
+        return pa.table({"kind": pa.array([kind] * len(to), pa.int32()), "bucket": pa.array(to, pa.int32()), "chunk": pa.array([chunk] * len(to), pa.int32()), "payload": pa.array(out, pa.binary())})
+
+    def answered(self, answers: pa.Table, buckets: int, kind: int, what: int = 0) -> np.ndarray:
+        """For each position that had a key: the answer (0: more than once in the corpus, 1: more than `hot` times)."""
+        own = np.zeros(len(self.columns[0]), bool)
+        got = {b: x for k, b, x in zip(*(answers.column(c).to_pylist() for c in ("kind", "bucket", "payload")), strict=True) if k == kind}
+        for b, at in dealt(bucket_of(self.columns[0], buckets)):
+            size = -(-len(at) // 8)
+            own[at] = np.unpackbits(np.frombuffer(got[b], np.uint8, size, what * size), count=len(at)).astype(bool)
+        return own[self.of]
+
+
+ASKED = "kind int, bucket int, chunk int, payload binary"
+ASKED_SCHEMA = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("chunk", pa.int32()), ("payload", pa.binary())])
+
+
+def answered(asked: DataFrame, hot: int = 1 << 60) -> DataFrame:
+    """The buckets' answers to what chunks asked: two bits for each key, whether it occurs more than once, and more than `hot` times."""
 
     def answer(rows: pa.Table) -> pa.Table:
-        got = [unpack(x.as_py(), "<u8", "u1") for x in rows.column("payload")]
-        hashes = np.concatenate([g[0] for g in got])
-        _, which, counts = np.unique(hashes, return_inverse=True, return_counts=True)
-        again = np.bincount(which, np.concatenate([g[1] for g in got])) > 0
-        twice = (again | (counts > 1))[which]
+        got = [unpack(x.as_py(), "u1", *["<u8"] * (struct.unpack_from("<q", x.as_py())[0] - 1)) for x in rows.column("payload")]
+        times, *columns = (np.concatenate(x) for x in zip(*got, strict=True))
+        order = np.lexsort(columns[::-1])
+        first = runs_of(*(c[order] for c in columns))
+        total = np.empty(len(order), np.int64)
+        total[order] = np.repeat(np.add.reduceat(times[order].astype(np.int64), first), stops(first, len(order)) - first)
         ends = np.cumsum([0, *(len(g[0]) for g in got)]).tolist()
-        out = [hashes[a:b][twice[a:b]] for a, b in zip(ends[:-1], ends[1:], strict=True)]
-        to = rows.column("chunk").to_pylist()
-        return pa.table({"chunk": ints([c for c, x in zip(to, out, strict=True) if len(x)]), "payload": blobs([x.tobytes() for x in out if len(x)])})
-
-    def send(rows: pa.Table, answers: pa.Table) -> pa.Table:
-        ids: list[int] = []
-        out: list[bytes] = []
-        if answers.num_rows and rows.num_rows:
-            wanted = np.concatenate([np.frombuffer(x.as_py(), "<u8") for x in answers.column("payload")])
-            chunk = Chunk(rows)
-            runs = anchors(chunk)
-            chosen = np.flatnonzero(np.isin(runs[0], wanted))
-            runs = tuple(x[chosen] for x in runs)
-            texts = cut(chunk, runs)
-            hashes, row, pos, first, last = runs
-
-            def payload(at: np.ndarray) -> bytes:
-                number: dict[tuple[int, bytes], int] = {}
-                which = np.array([number.setdefault((off, texts[i]), len(number)) for i, off in zip(at.tolist(), (pos - first)[at].tolist(), strict=True)], np.int32)
-                own = [t for _, t in number]
-                sizes = np.array([len(t) for t in own], np.int64)
-                return pack(hashes[at], chunk.k1[row[at]], chunk.h[row[at]], row[at].astype(np.int32), pos[at], first[at], last[at], which, sizes, b"".join(own))
-
-            ids, out = _rows(bucket_of(hashes, n), n, payload)
-        chunk_no = rows.column("__chunk")[0].as_py() if rows.num_rows else 0
-        util.tidy()
-        return pa.table({"bucket": ints(ids), "chunk": ints([chunk_no] * len(ids)), "payload": blobs(out)})
-
-    def settle(rows: pa.Table) -> pa.Table:
-        entries = Entries([x.as_py() for x in rows.column("payload")])
-        e, a, b = compare(entries)
-        order = np.argsort(entries.source[e], kind="stable")
-        e, a, b = e[order], a[order], b[order]
-        cuts = np.searchsorted(entries.source[e], np.arange(rows.num_rows + 1)).tolist()
-        out = [pack(entries.row[e[x:y]].astype(np.int32), a[x:y].astype(np.int64), b[x:y].astype(np.int64)) for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
+        out = [np.packbits(total[x:y] > 1).tobytes() + np.packbits(total[x:y] > hot).tobytes() for x, y in zip(ends[:-1], ends[1:], strict=True)]
         util.tidy()
-        return pa.table({"chunk": rows.column("chunk"), "payload": blobs(out)})
-
-    def apply(rows: pa.Table, marks: pa.Table) -> pa.Table:
-        by: dict[int, list[tuple[int, int]]] = {}
-        for x in marks.column("payload"):
-            for r, a, b in zip(*(y.tolist() for y in unpack(x.as_py(), "<i4", "<i8", "<i8")), strict=True):
-                by.setdefault(r, []).append((a, b))
-        return finish(Chunk(rows), by, rows)
-
-    two = "chunk int, payload binary"
-    three = "bucket int, chunk int, payload binary"
-    mine = table.groupBy("__chunk")
-    asked = mine.applyInArrow(ask, three)
-    answered = asked.groupBy("bucket").applyInArrow(answer, two)
-    sent = mine.cogroup(answered.groupBy("chunk")).applyInArrow(send, three)
-    settled = sent.groupBy("bucket").applyInArrow(settle, two)
-    return mine.cogroup(settled.groupBy("chunk")).applyInArrow(apply, schema)
+        return pa.table({"kind": rows.column("kind"), "bucket": rows.column("bucket"), "chunk": rows.column("chunk"), "payload": pa.array(out, pa.binary())})
+
+    return asked.groupBy("bucket").applyInArrow(answer, ASKED)
+
+
+#: The removed spans of a row.
+SPANS = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
 
 
 def union(intervals: list[tuple[int, int]]) -> list[tuple[int, int]]:

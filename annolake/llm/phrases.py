@@ -1,17 +1,23 @@
-"""Repeated passages of words: shared windows are found, compiled into automata and located everywhere.
+"""Repeated passages of words: confirmed by counting, compiled into automata, and located in every document.
 
-Windows of `SIZE` words are found by their anchors (see anchors.py). A bucket confirms the passages that occur more than once,
-compiles them into Aho-Corasick automata, one for each shard of at most `SHARD` pieces, and streams
-the text of every occurrence of the shard's anchors through them; each hit marks its words.
+1. Confirm. Windows of `SIZE` words whose anchor occurs more than once (see anchors.py) are counted over the corpus by 128-bit
+   keys; a chunk of documents learns which of its windows occur more than once. Maximal rows of such windows are passages.
+2. Compile. The distinct passages that a chunk can hold, in blocks of at most 2 * SIZE words, are its part of the dictionary,
+   compiled into Aho-Corasick automata, one for each shard of about `SHARD` words. A word is one character there.
+3. Stream. Every document of the chunk runs through every automaton of the chunk; all words of all hits are removed.
+
+A passage's windows are keys of their own, so a passage that a third of the documents share costs one entry a chunk for each
+window, dealt over all buckets. Automata hold passages, not windows, so their size is that of the passages' text.
 
 Defined cases: null text has no words; texts of fewer than SIZE words keep every word; of several rows with the same id
-and text every window occurs more than once; matches never cross rows; other columns are not read. Windows are
-judged on the input, and a repeat within one text counts.
+and text every window occurs more than once; matches never cross rows; very long texts are cut nowhere; other columns are not
+read. Windows are judged on the input, and a repeat within one text counts.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
@@ -19,127 +25,166 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from . import anchors as an
-from . import words
+from . import util, words
 
 SIZE = 35
 GRAM = 12
-SHARD = 1500
-
-
-def runs(chunk: an.Chunk) -> tuple:
-    """(hash, row, anchor, first, last) of every run of windows, counted in words of the row."""
-    starts, ends, first_word = words.word_spans(chunk.data, chunk.offsets)
-    none = np.zeros(0, np.int64)
-    if len(starts) < SIZE:
-        return none.astype(np.uint64), none, none, none, none
-    h = words.gram_hashes(words.word_hashes(chunk.data, starts, ends), GRAM)
-    ok = np.zeros(len(starts) - SIZE + 2, np.int32)
-    long = np.diff(first_word) >= SIZE
-    np.add.at(ok, first_word[:-1][long], 1)
-    np.add.at(ok, first_word[1:][long] - SIZE + 1, -1)
-    at, first, last = an.anchor_runs(h, np.cumsum(ok[:-1]) > 0, SIZE - GRAM + 1)
-    row = np.searchsorted(first_word, at, side="right") - 1
-    base = first_word[row]
-    return h[at], row, at - base, first - base, last - base
-
-
-def cut(chunk: an.Chunk, found: tuple) -> list[bytes]:
-    _, row, _, first, last = found
-    out, held, own = [], -1, []
-    for r, a, b in zip(row.tolist(), first.tolist(), last.tolist(), strict=True):
-        if r != held:
-            held, own = r, chunk.raw[r].split()
-        out.append(b" ".join(own[a : b + SIZE]))
-    return out
-
-
-def compare(entries: an.Entries) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Intervals of words covered by windows that occur more than once."""
-    times = np.bincount(entries.piece, minlength=len(entries.pieces))
-    anchor = np.zeros(len(entries.pieces), np.uint64)
-    anchor[entries.piece] = entries.anchor
-    e: list[np.ndarray] = []
-    a: list[np.ndarray] = []
-    b: list[np.ndarray] = []
-    # whole pieces that occur more than once are confirmed as they are; single ones share windows at most
-    order = np.argsort(anchor, kind="stable")
-    hits: list[tuple[int, int, int]] = []
+SHARD = 1_000_000
+ANCHORS, WINDOWS = 0, 1
+_STEPS = (np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F))
+
+
+class Windows:
+    """The word windows of a chunk: their hashes, and the anchors that they stand at."""
+
+    def __init__(self, chunk: an.Chunk):
+        starts, ends, self.first_word = words.word_spans(chunk.data, chunk.offsets)
+        self.hashes = words.word_hashes(chunk.data, starts, ends)
+        none = np.zeros(0, np.int64)
+        self.anchor, self.first, self.last, self.row = none.astype(np.uint64), none, none, none
+        if len(starts) < SIZE:
+            return
+        h = words.gram_hashes(self.hashes, GRAM)
+        ok = np.zeros(len(starts) - SIZE + 2, np.int32)
+        long = np.diff(self.first_word) >= SIZE
+        np.add.at(ok, self.first_word[:-1][long], 1)
+        np.add.at(ok, self.first_word[1:][long] - SIZE + 1, -1)
+        at, self.first, self.last = an.anchor_runs(h, np.cumsum(ok[:-1]) > 0, SIZE - GRAM + 1)
+        self.anchor = h[at]
+        self.row = np.searchsorted(self.first_word, at, side="right") - 1
+
+    def anchors(self, chunk: an.Chunk) -> an.Keys:
+        """Distinct anchors; in a row that stands for several equal ones, each occurs as often."""
+        return an.Keys([self.anchor], chunk.copies[self.row])
+
+    def keys(self, chunk: an.Chunk, run: np.ndarray) -> tuple[np.ndarray, an.Keys]:
+        """Starts of the windows of the chosen runs, and their keys: two hashes of all words of a window."""
+        first, size = self.first[run], (self.last - self.first + 1)[run]
+        start = np.repeat(first - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+        columns = []
+        for k, step in enumerate(_STEPS):
+            own = words.mix64(self.hashes ^ np.uint64(k + 1))
+            whole = np.zeros(max(0, len(own) - SIZE + 1), np.uint64)
+            factor = np.uint64(1)
+            span, at = 1, 0  # words [at, SIZE) of every window are still to be added; own covers `span` words
+            while at < SIZE:
+                if (SIZE >> (span.bit_length() - 1)) & 1:
+                    whole += own[at : at + len(whole)] * factor
+                    factor = np.uint64(int(factor) * pow(int(step), span, 2**64) % 2**64)
+                    at += span
+                own = own[:-span] + own[span:] * np.uint64(pow(int(step), span, 2**64)) if at < SIZE else own
+                span *= 2
+            columns.append(words.mix64(whole)[start])
+        return start, an.Keys(columns, np.repeat(chunk.copies[self.row[run]], size))
+
+
+def blocks(starts: np.ndarray) -> Iterator[tuple[int, int]]:
+    """(from, to) in words of the passages' blocks: every window that starts at one of the ascending `starts` lies in one, and
+    every window of a block starts at one of them."""
+    if not len(starts):
+        return
+    first = np.flatnonzero(np.append(True, np.diff(starts) != 1))
+    for a, b in zip(starts[first].tolist(), starts[np.append(first[1:], len(starts)) - 1].tolist(), strict=True):
+        for x in range(a, b + 1, SIZE + 1):
+            yield x, min(x + SIZE, b) + SIZE
+
+
+class Automaton:
+    """Aho-Corasick over passages of words; a word is one character, and words of no passage are one more."""
+
+    def __init__(self, passages: list[list[bytes]]):
+        self.code: dict[bytes, str] = {}
+        self.machine = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
+        for own in passages:
+            # from 2 up, without the surrogates
+            self.machine.add_word("".join([self.code.setdefault(w, chr(len(self.code) + (2 if len(self.code) < 0xD7FE else 0x802))) for w in own]))
+        self.machine.make_automaton()
+
+    def hits(self, own: list[bytes]) -> list[tuple[int, int]]:
+        """(from, to) of every occurrence of a passage in a document."""
+        text = "".join([self.code.get(w, "\1") for w in own])
+        return [(end + 1 - n, end + 1) for end, n in self.machine.iter(text)]
+
+
+def compiled(passages: list[list[bytes]]) -> Iterator[Automaton]:
+    """Automata of the distinct passages, each of about `SHARD` words."""
+    distinct = list({b" ".join(p): p for p in passages}.values())
     at = 0
-    while at < len(order):
-        stop = min(len(order), at + SHARD)
-        while stop < len(order) and anchor[order[stop]] == anchor[order[stop - 1]]:
-            stop += 1  # pieces of one anchor share a shard
-        hits += _shard([(int(p), entries.pieces[p][1], int(times[p])) for p in order[at:stop]])
+    while at < len(distinct):
+        stop, n = at, 0
+        while stop < len(distinct) and (stop == at or n + len(distinct[stop]) <= SHARD):
+            n += len(distinct[stop])
+            stop += 1
+        yield Automaton(distinct[at:stop])
         at = stop
-    if hits:
-        found = np.array(hits, dtype=np.int64)
-        by_piece = np.argsort(entries.piece, kind="stable")
-        lo = np.searchsorted(entries.piece[by_piece], found[:, 0])
-        n = times[found[:, 0]]
-        which = np.repeat(np.arange(len(found)), n)
-        within = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
-        at_entry = by_piece[lo[which] + within]
-        e.append(at_entry)
-        a.append(entries.first[at_entry] + found[which, 1])
-        b.append(entries.first[at_entry] + found[which, 2])
-    if not e:
-        none = np.zeros(0, np.int64)
-        return none, none, none
-    return np.concatenate(e), np.concatenate(a), np.concatenate(b)
-
-
-def _shard(pieces: list[tuple[int, bytes, int]]) -> list[tuple[int, int, int]]:
-    """(piece, from, to) in words of each piece. A word becomes one character, so passages are strings."""
-    code: dict[bytes, str] = {}
-    texts = []
-    for _, raw, _ in pieces:
-        texts.append("".join([code.setdefault(w, chr(len(code) + 1 if len(code) < 0xD7FF else len(code) + 0x801)) for w in raw.split(b" ")]))
-    counts: dict[str, int] = {}
-    for text, (_, _, n) in zip(texts, pieces, strict=True):
-        for k in range(len(text) - SIZE + 1):
-            w = text[k : k + SIZE]
-            counts[w] = counts.get(w, 0) + n
-    automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
-    for w, n in counts.items():
-        if n > 1:
-            automaton.add_word(w)
-    if not len(automaton):
-        return []
-    automaton.make_automaton()
+
+
+def _located(chunk: an.Chunk, windows: Windows, starts: np.ndarray) -> pa.Table:
+    """Results for the distinct rows of a chunk whose windows at `starts` (ascending) are confirmed."""
+    split = [raw.split() for raw in chunk.raw]
+    row = np.searchsorted(windows.first_word, starts, side="right") - 1
+    passages = []
+    for r, at in an.dealt(row):
+        base = int(windows.first_word[r])
+        passages += [split[r][a - base : b - base] for a, b in blocks(starts[at])]
+    found: list[list[tuple[int, int]]] = [[] for _ in split]
+    for automaton in compiled(passages):
+        for own, hits in zip(split, found, strict=True):
+            if len(own) >= SIZE:
+                hits += automaton.hits(own)
     out = []
-    for text, (p, _, _) in zip(texts, pieces, strict=True):
-        start = stop = -1
-        for end, _ in automaton.iter(text):
-            if end + 1 - SIZE > stop:
-                if stop > 0:
-                    out.append((p, start, stop))
-                start = end + 1 - SIZE
-            stop = end + 1
-        if stop > 0:
-            out.append((p, start, stop))
-    return out
-
-
-def _finish(chunk: an.Chunk, by: dict, rows: pa.Table) -> pa.Table:
-    results = []
-    for r, raw in enumerate(chunk.raw):
-        own = raw.split()
-        spans = an.union(by.get(r, []))
-        if chunk.copies[r] > 1 and len(own) >= SIZE:
-            spans = [(0, len(own))]
+    for own, hits in zip(split, found, strict=True):
+        spans = an.union(hits)
         kept, at = [], 0
         for x, y in spans:
             kept += own[at:x]
             at = y
         kept += own[at:]
-        results.append((len(own), len(own) - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest(), [{"start": x, "stop": y} for x, y in spans]))
-    cols = list(zip(*(results[r] for r in chunk.of.tolist()), strict=True)) if len(chunk.of) else [[]] * 4
-    span = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
-    types, names = [pa.int64(), pa.int64(), pa.string(), span], ["n_words", "n_removed", "kept_sha256", "spans"]
-    return pa.table([rows.column("doc_id").take(pa.array(chunk.order)), *(pa.array(c, t) for c, t in zip(cols, types, strict=True))], ["doc_id", *names])
+        out.append((len(own), len(own) - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest(), [{"start": x, "stop": y} for x, y in spans]))
+    cols = list(zip(*out, strict=True)) if out else [[]] * 4
+    return pa.table([pa.array(c, f.type) for c, f in zip(cols, list(_OUT)[1:], strict=True)], _OUT.names[1:])
 
 
-def removed_words(docs: DataFrame) -> DataFrame:
+def removed_words(docs: DataFrame, chunk_bytes: int = an.CHUNK_BYTES, bucket_bytes: int = an.BUCKET_BYTES) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 and the removed spans (in words) of every row."""
+    util.small_batches(docs.sparkSession)
+    size = util.text_bytes(docs)
+    buckets = -(-size // bucket_bytes)
+    table = an.keyed(docs, -(-size // chunk_bytes), ["doc_id"])
+
+    def ask_anchors(rows: pa.Table) -> pa.Table:
+        chunk = an.Chunk(rows)
+        return Windows(chunk).anchors(chunk).ask(rows.column("__chunk")[0].as_py(), buckets, ANCHORS)
+
+    def ask_windows(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        if not rows.num_rows or not answers.num_rows:
+            return an.ASKED_SCHEMA.empty_table()
+        chunk = an.Chunk(rows)
+        windows = Windows(chunk)
+        run = np.flatnonzero(windows.anchors(chunk).answered(answers, buckets, ANCHORS))
+        out = windows.keys(chunk, run)[1].ask(rows.column("__chunk")[0].as_py(), buckets, WINDOWS)
+        util.tidy()
+        return out
+
+    def locate(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        if not rows.num_rows:
+            return _OUT.empty_table()
+        chunk = an.Chunk(rows)
+        windows = Windows(chunk)
+        starts = np.zeros(0, np.int64)
+        if answers.num_rows:
+            run = np.flatnonzero(windows.anchors(chunk).answered(answers, buckets, ANCHORS))
+            starts, keys = windows.keys(chunk, run)
+            starts = starts[keys.answered(answers, buckets, WINDOWS)]
+        result = _located(chunk, windows, starts).take(pa.array(chunk.of))
+        util.tidy()
+        return result.add_column(0, "doc_id", rows.column("doc_id").take(pa.array(chunk.order)))
+
+    mine = table.groupBy("__chunk")
+    of_anchors = an.answered(mine.applyInArrow(ask_anchors, an.ASKED))
+    of_windows = an.answered(mine.cogroup(of_anchors.groupBy("chunk")).applyInArrow(ask_windows, an.ASKED))
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string, spans array<struct<start: long, stop: long>>"
-    return an.repeated_windows(docs, runs, cut, compare, _finish, ["doc_id"], schema)
+    return mine.cogroup(of_anchors.unionByName(of_windows).groupBy("chunk")).applyInArrow(locate, schema)
+
+
+_OUT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("spans", an.SPANS)])

@@ -6,9 +6,13 @@ depth (the anchor's gram); a blind trie per group of equal grams orders the rest
 bytes for each suffix. A node of the trie groups the suffixes with a common prefix; among them, the
 longest common left context with any earlier suffix tells which of an entry's windows started earlier.
 
+An anchor that occurs more than `HOT` times is split: the windows at it are dealt by their whole content (128-bit keys), each
+chunk sending each distinct one once, with its first start. So no bucket gathers a frequent line's rows, whatever stands around it.
+
 Defined cases: null text is empty; texts shorter than SIZE keep every byte; rows are ordered by doc_id (null first), then
-by a hash of the text; of several rows with the same id and text the first stays and the others lose all bytes
-if they have SIZE or more; matches never cross rows; other columns are not read. Strings are judged on the input.
+by a hash of the text, then by the text; of several rows with the same id and text the first stays and the others lose all
+bytes if they have SIZE or more; matches never cross rows; very long texts are cut nowhere; other columns are not read.
+Strings are judged on the input.
 """
 
 from __future__ import annotations
@@ -16,19 +20,138 @@ from __future__ import annotations
 import bisect
 import hashlib
 import random
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from . import anchors as an
+from . import util
 from .util import mix64
-from .words import _BASE, _BYTE
+from .words import _BASE, _BYTE, _STEP
 
 SIZE = 100
 GRAM = 40
 DEPTH = GRAM // 8
 SMALL = 24
+HOT = 4096
+ANCHORS, PIECES, WHOLE = 0, 1, 2
+
+
+class Entries:
+    """What a bucket has received: pieces of text around equal anchors, as entries that point to distinct pieces."""
+
+    def __init__(self, payloads: list[bytes]):
+        parts = [an.unpack(x, "<i4", "<i8", "<i8", "<i8", "<i4", "<i8", "<i8", "<i8", "<i4", "<i8", None) for x in payloads]
+        self.source = np.repeat(np.arange(len(parts)), [len(p[4]) for p in parts])
+        rows = np.cumsum([0, *(len(p[0]) for p in parts)])
+        at = np.concatenate([p[4] + base for p, base in zip(parts, rows.tolist(), strict=False)])
+        #: number of the row in its chunk, and the key of its order
+        self.row, *self.key = (np.concatenate([p[i] for p in parts])[at] for i in range(4))
+        self.pos, self.first, self.last = (np.concatenate([p[i] for p in parts]) for i in (5, 6, 7))
+        number: dict[tuple[int, bytes], int] = {}
+        piece = []
+        for p in parts:
+            ends = np.concatenate([[0], np.cumsum(p[9])]).tolist()
+            own = [p[10][x:y] for x, y in zip(ends[:-1], ends[1:], strict=True)]
+            for k, off in zip(p[8].tolist(), (p[5] - p[6]).tolist(), strict=True):
+                piece.append(number.setdefault((off, own[k]), len(number)))
+        #: the distinct pieces, as (units before the anchor, bytes), and each entry's piece
+        self.pieces = list(number)
+        self.piece = np.array(piece, dtype=np.int64)
+        #: order of the entries in the corpus
+        self.rank = np.empty(len(at), np.int64)
+        self.rank[np.lexsort((self.pos, self.row, *self.key[::-1]))] = np.arange(len(at))
+
+
+def _rows_of(chunk: an.Chunk, row: np.ndarray) -> list[np.ndarray]:
+    """The rows that occur in `row`, their keys, and the place of each value of `row` among them."""
+    rows, which = np.unique(row, return_inverse=True)
+    return [rows.astype(np.int32), *(k[rows] for k in chunk.key), which.astype(np.int32)]
+
+
+def pieces(chunk: an.Chunk, runs_: tuple, buckets: int) -> Iterator[tuple[int, bytes]]:
+    """(bucket, payload) with the text of every run; equal pieces of a bucket are sent once."""
+    hashes, row, pos, first, last = runs_
+    texts = cut(chunk, runs_)
+    for b, at in an.dealt(an.bucket_of(hashes, buckets)):
+        number: dict[tuple[int, bytes], int] = {}
+        which = np.array([number.setdefault((off, texts[i]), len(number)) for i, off in zip(at.tolist(), (pos - first)[at].tolist(), strict=True)], np.int32)
+        own = [t for _, t in number]
+        yield b, an.pack(*_rows_of(chunk, row[at]), pos[at], first[at], last[at], which, np.array([len(t) for t in own], np.int64), b"".join(own))
+
+
+def settle_pieces(payloads: list[bytes]) -> list[bytes]:
+    """For each payload the intervals (row, from, to) that windows which start earlier cover."""
+    entries = Entries(payloads)
+    e, a, b = compare(entries)
+    order = np.argsort(entries.source[e], kind="stable")
+    e, a, b = e[order], a[order], b[order]
+    cuts = np.searchsorted(entries.source[e], np.arange(len(payloads) + 1)).tolist()
+    return [an.pack(entries.row[e[x:y]].astype(np.int32), a[x:y].astype(np.int64), b[x:y].astype(np.int64)) for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
+
+
+class Whole:
+    """Windows at frequent anchors, keyed by two hashes of all their bytes."""
+
+    def __init__(self, chunk: an.Chunk, runs_: tuple):
+        _, self.row, _, first, last = runs_
+        size = last - first + 1
+        self.row = np.repeat(self.row, size)
+        self.pos = np.repeat(first - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+        flat = chunk.offsets[self.row] + self.pos
+        by = np.argsort(flat, kind="stable")  # in the order of the corpus
+        self.row, self.pos, flat = self.row[by], self.pos[by], flat[by]
+        columns = [mix64(window_hashes(chunk.data, base)[flat]) for base in (_BASE, _STEP)] if len(flat) else [np.zeros(0, np.uint64)] * 2
+        self.keys = an.Keys(columns, np.ones(len(flat)))
+        #: the first window of each key
+        self.start = np.full(len(self.keys.columns[0]), len(flat), np.int64)
+        np.minimum.at(self.start, self.keys.of, np.arange(len(flat)))
+
+    def ask(self, chunk: an.Chunk, buckets: int) -> Iterator[tuple[int, bytes]]:
+        for b, at in an.dealt(an.bucket_of(self.keys.columns[0], buckets)):
+            first = self.start[at]
+            yield b, an.pack(*_rows_of(chunk, self.row[first]), self.pos[first], *(c[at] for c in self.keys.columns))
+
+    def later(self, answers: dict[int, bytes], buckets: int) -> np.ndarray:
+        """Whether each window also starts earlier; an answer has a bit for each key whose first start is this chunk's."""
+        own = np.zeros(len(self.start), bool)
+        for b, at in an.dealt(an.bucket_of(self.keys.columns[0], buckets)):
+            own[at] = np.unpackbits(np.frombuffer(answers[b], np.uint8), count=len(at)).astype(bool)
+        out = np.ones(len(self.row), bool)
+        out[self.start[own]] = False
+        return out
+
+
+def settle_whole(payloads: list[bytes]) -> list[bytes]:
+    """For each payload a bit for each of its keys: whether none starts earlier in another chunk."""
+    parts = [an.unpack(x, "<i4", "<i8", "<i8", "<i8", "<i4", "<i8", "<u8", "<u8") for x in payloads]
+    base = np.cumsum([0, *(len(p[0]) for p in parts)]).tolist()
+    at = np.concatenate([p[4] + x for p, x in zip(parts, base, strict=False)])
+    row, *key = (np.concatenate([p[i] for p in parts])[at] for i in range(4))
+    pos, *columns = (np.concatenate([p[i] for p in parts]) for i in (5, 6, 7))
+    order = np.lexsort((pos, row, *key[::-1], *columns[::-1]))
+    first = np.zeros(len(order), bool)
+    first[order[an.runs_of(*(c[order] for c in columns))]] = True
+    ends = np.cumsum([0, *(len(p[4]) for p in parts)]).tolist()
+    return [np.packbits(first[x:y]).tobytes() for x, y in zip(ends[:-1], ends[1:], strict=True)]
+
+
+def window_hashes(data: np.ndarray, base: np.uint64) -> np.ndarray:
+    """Hash of the SIZE bytes from each position, by doubling."""
+    own = mix64(_BYTE ^ base)[data]
+    out = np.zeros(max(0, len(data) - SIZE + 1), np.uint64)
+    span, at, factor = 1, 0, 1  # own covers `span` bytes; bytes [at, SIZE) of every window are still to be added
+    while at < SIZE:
+        if SIZE & span:
+            out += own[at : at + len(out)] * np.uint64(factor)
+            factor = factor * pow(int(base), span, 2**64) % 2**64
+            at += span
+        if at < SIZE:
+            own = own[:-span] + own[span:] * np.uint64(pow(int(base), span, 2**64))
+        span *= 2
+    return out
 
 
 def gram_hashes(data: np.ndarray) -> np.ndarray:
@@ -181,7 +304,7 @@ def _group(members: list[int], right: list[bytes], left: list[bytes], rank: np.n
 def compare(entries: an.Entries) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Intervals of bytes that are covered by windows which also start earlier."""
     # equal pieces: all but the first entry are covered whole
-    order = np.lexsort((entries.pos, entries.h, entries.k1, entries.piece))
+    order = np.lexsort((entries.rank, entries.piece))
     head = np.ones(len(order), bool)
     head[1:] = entries.piece[order[1:]] != entries.piece[order[:-1]]
     firsts, rest = order[head], order[~head]
@@ -190,7 +313,7 @@ def compare(entries: an.Entries) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     right = [t[off:] for off, t in entries.pieces]
     left = [t[:off][::-1] for off, t in entries.pieces]
     rank = np.empty(len(firsts), np.int64)
-    rank[np.lexsort((entries.pos[firsts], entries.h[firsts], entries.k1[firsts]))] = np.arange(len(firsts))
+    rank[np.argsort(entries.rank[firsts])] = np.arange(len(firsts))
     chars = np.frombuffer(b"".join(r[:GRAM] for r in right), ">u8").reshape(-1, DEPTH) if right else np.zeros((0, DEPTH), np.uint64)
     marks: list[tuple[int, int, int]] = []
     for group in multikey_quicksort(chars):
@@ -224,13 +347,71 @@ def _finish(chunk: an.Chunk, by: dict, rows: pa.Table) -> pa.Table:
         seen = r
         out.append((n, removed, spans, kept, [{"start": x, "stop": y} for x, y in runs_]))
     cols = list(zip(*out, strict=True)) if out else [[]] * 5
-    span = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), span]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), an.SPANS]
     names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"]
     return pa.table([rows.column("doc_id").take(pa.array(chunk.order)), *(pa.array(c, t) for c, t in zip(cols, types, strict=True))], ["doc_id", *names])
 
 
-def removed_spans(docs: DataFrame) -> DataFrame:
+def removed_spans(docs: DataFrame, chunk_bytes: int = an.CHUNK_BYTES, bucket_bytes: int = an.BUCKET_BYTES, hot: int = HOT) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the removed spans of every row."""
+    util.small_batches(docs.sparkSession)
+    size = util.text_bytes(docs)
+    buckets = -(-size // bucket_bytes)
+    table = an.keyed(docs, -(-size // chunk_bytes), ["doc_id"])
+
+    def asked(found: tuple) -> an.Keys:
+        return an.Keys([found[0]], np.ones(len(found[0])))
+
+    def chosen(found: tuple, answers: pa.Table) -> tuple[tuple, tuple]:
+        """Runs at anchors that occur more than once: those to compare as pieces, and those to split into windows."""
+        keys = asked(found)
+        more, many = (keys.answered(answers, buckets, ANCHORS, what) for what in (0, 1))
+        return tuple(x[more & ~many] for x in found), tuple(x[many] for x in found)
+
+    def ask(rows: pa.Table) -> pa.Table:
+        return asked(runs(an.Chunk(rows))).ask(rows.column("__chunk")[0].as_py(), buckets, ANCHORS)
+
+    def send(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        if not rows.num_rows or not answers.num_rows:
+            return an.ASKED_SCHEMA.empty_table()
+        chunk = an.Chunk(rows)
+        some, many = chosen(runs(chunk), answers)
+        out = [(PIECES, b, x) for b, x in pieces(chunk, some, buckets)]
+        if len(many[0]):
+            out += [(WHOLE, b, x) for b, x in Whole(chunk, many).ask(chunk, buckets)]
+        kind, bucket, payload = zip(*out, strict=True) if out else ([], [], [])
+        mine = rows.column("__chunk")[0].as_py()
+        util.tidy()
+        return pa.Table.from_arrays([pa.array(kind, pa.int32()), pa.array(bucket, pa.int32()), pa.array([mine] * len(out), pa.int32()), pa.array(payload, pa.binary())], schema=an.ASKED_SCHEMA)
+
+    def settle(rows: pa.Table) -> pa.Table:
+        payloads = [x.as_py() for x in rows.column("payload")]
+        out = (settle_pieces if rows.column("kind")[0].as_py() == PIECES else settle_whole)(payloads)
+        util.tidy()
+        return pa.Table.from_arrays([rows.column("kind"), rows.column("bucket"), rows.column("chunk"), pa.array(out, pa.binary())], schema=an.ASKED_SCHEMA)
+
+    def apply(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        chunk = an.Chunk(rows)
+        by: dict[int, list[tuple[int, int]]] = {}
+        whole: dict[int, bytes] = {}
+        for kind, b, x in zip(*(answers.column(c).to_pylist() for c in ("kind", "bucket", "payload")), strict=True):
+            if kind == WHOLE:
+                whole[b] = x
+            elif kind == PIECES:
+                for r, start, stop in zip(*(y.tolist() for y in an.unpack(x, "<i4", "<i8", "<i8")), strict=True):
+                    by.setdefault(r, []).append((start, stop))
+        if whole:
+            windows = Whole(chunk, chosen(runs(chunk), answers)[1])
+            gone = windows.later(whole, buckets)
+            row, pos = windows.row[gone], windows.pos[gone]
+            first = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (np.diff(pos) > SIZE))) if len(row) else row
+            for r, start, last in zip(row[first].tolist(), pos[first].tolist(), pos[an.stops(first, len(row)) - 1].tolist(), strict=True):
+                by.setdefault(r, []).append((start, last + SIZE))
+        return _finish(chunk, by, rows)
+
+    mine = table.groupBy("__chunk")
+    of_anchors = an.answered(mine.applyInArrow(ask, an.ASKED), hot)
+    sent = mine.cogroup(of_anchors.groupBy("chunk")).applyInArrow(send, an.ASKED)
+    settled = sent.groupBy("kind", "bucket").applyInArrow(settle, an.ASKED)
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start: long, stop: long>>"
-    return an.repeated_windows(docs, runs, cut, compare, _finish, ["doc_id"], schema)
+    return mine.cogroup(of_anchors.unionByName(settled).groupBy("chunk")).applyInArrow(apply, schema)

@@ -26,11 +26,14 @@ def fold(doc_id: Column, parts: int) -> Column:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the cluster's shared folder."""
+    """Cut lineage with a reliable checkpoint in the cluster's shared folder (spark.checkpoint.dir)."""
     spark = df.sparkSession
     sc = spark.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not sc.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-"))
     done = df.checkpoint(eager=True)
     # shuffle and checkpoint files live until the driver's JVM has collected the plans that own them
     gc.collect()
@@ -42,6 +45,11 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def text_bytes(docs: DataFrame) -> int:
+    """UTF-8 bytes of all texts, 1 at least: what the number of chunks follows, so that a chunk's size does not."""
+    return max(1, docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
+
+
 def hash_sample(df: DataFrame, most: int, *ties: str) -> DataFrame:
     """At most `most` rows in the order of the hash column h. A cut on the hash comes first, so no task ever gathers more
     than about twice the sample, however many partitions there are."""

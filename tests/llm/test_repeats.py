@@ -3,18 +3,20 @@
 import hashlib
 from collections import Counter
 
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from annolake.llm import phrases, suffix_dedup, util
+from annolake.llm.anchors import Chunk
 from annolake.llm.suffix_dedup import SIZE, blind_trie, common, multikey_quicksort
 
 
 def in_order(docs):
-    h = F.xxhash64(F.coalesce(F.col("text").cast("binary"), F.lit(b""))).bitwiseAND(F.lit(0xFFFFFFFF))
+    h = F.xxhash64(F.coalesce(F.col("text").cast("binary"), F.lit(b"")))
     rows = docs.select("doc_id", "text", h.alias("h")).collect()
-    return sorted(rows, key=lambda r: (util.NO_ID if r.doc_id is None else r.doc_id, r.h))
+    return sorted(rows, key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.h, r.text or ""))
 
 
 def removed_bytes(docs):
@@ -66,6 +68,35 @@ def test_words_against_brute_force(spark, sf):
     assert rows_of(phrases.removed_words(docs), "doc_id", "n_words", "n_removed", "kept_sha256") == removed_words(docs)
 
 
+def test_frequent_anchors_are_split(spark, sf):
+    """With every anchor that occurs more than twice dealt by whole windows, and small chunks and buckets, nothing changes."""
+    docs = util.table(spark, sf, "documents")
+    got = suffix_dedup.removed_spans(docs, chunk_bytes=20_000, bucket_bytes=50_000, hot=2)
+    assert rows_of(got, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == removed_bytes(docs)
+    got = phrases.removed_words(docs, chunk_bytes=20_000, bucket_bytes=50_000)
+    assert rows_of(got, "doc_id", "n_words", "n_removed", "kept_sha256") == removed_words(docs)
+
+
+def test_rows_of_one_key_are_one_only_if_their_texts_are(monkeypatch):
+    """Null ids, an id at the edge of its type, and texts whose hashes collide."""
+    rows = pa.table({"__k0": [0, 0, 0, 1, 1], "__k1": [0, 0, 0, 0, -(2**63)], "__h": [7, 7, 7, 7, 7], "__text": [b"b", b"a", b"b", b"b", b"a"]})
+    chunk = Chunk(rows)
+    assert chunk.raw == [b"a", b"b", b"a", b"b"] and chunk.copies.tolist() == [1, 2, 1, 1]
+    assert [rows.column("__text")[int(i)].as_py() for i in chunk.order] == [chunk.raw[k] for k in chunk.of]
+
+
+def test_automata_shards_find_what_one_finds(monkeypatch):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    passages = [[b"w%d" % k for k in rng.integers(0, 12, 35 + i % 30)] for i in range(40)]
+    text = [w for p in passages[::3] for w in [*p, b"gap", *p[:20]]]
+    whole = [sorted(h for a in phrases.compiled(passages) for h in a.hits(text))]
+    monkeypatch.setattr(phrases, "SHARD", 100)
+    assert len(list(phrases.compiled(passages))) > 10
+    assert sorted(h for a in phrases.compiled(passages) for h in a.hits(text)) == whole[0]
+
+
 def test_odd_rows(odd_docs, no_docs):
     short = odd_docs.where("doc_id is null or doc_id <> 14")
     assert rows_of(suffix_dedup.removed_spans(short), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == removed_bytes(short)
