@@ -1,7 +1,7 @@
 """Byte-level BPE by corpus-level merge replay, and decoding.
 
-The texts of a batch are split by the tokenizer's pattern. Distinct pieces that are not tokens themselves are laid
-end to end; an inverted index maps the rank of every adjacent token pair to its positions. Ranks are replayed in
+The texts of a slice of a partition (`SLICE_BYTES`) are split by the tokenizer's pattern; every distinct piece has a number, and
+a text is kept as its pieces' numbers. Distinct pieces that are new and no tokens themselves are laid end to end; an inverted index maps the rank of every adjacent token pair to its positions. Ranks are replayed in
 ascending order: every position of the pair, left to right, is merged, and only the two touched neighbours are
 looked up again. A merge that opens a pair of lower rank hands over to that pair at once, so each piece sees the
 same order of merges as when it is encoded alone. The work is partition-local: no shuffle, and the piece cache of
@@ -16,10 +16,12 @@ from __future__ import annotations
 
 import base64
 import bisect
+import hashlib
 import heapq
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +31,17 @@ from pyspark.sql import functions as F
 
 from . import util
 
-CACHE_PIECES = 150_000
-REPLAY_PIECES = 400_000
+SLICE_BYTES = 4 << 20
+CACHE_PIECES = 200_000
+REPLAY_PIECES = 200_000
+
+
+class Numbers(dict):
+    """Numbers of pieces; a new one gets the next."""
+
+    def __missing__(self, piece: str) -> int:
+        n = self[piece] = len(self)
+        return n
 
 
 class Ranks:
@@ -43,18 +54,20 @@ class Ranks:
         for token, i in self.ids.items():
             self.text[i] = token
         self.byte = [self.ids[bytes([b])] for b in range(256)]
-        found: dict[int, int] = {}
+        # a pair's key is its two ids; sorted arrays take a tenth of a dictionary's memory in every worker
+        keys, ranks = array("q"), array("q")
         for token, i in self.ids.items():
             for cut in range(1, len(token)):
                 a, b = self.ids.get(token[:cut]), self.ids.get(token[cut:])
                 if a is not None and b is not None:
-                    found[a << 20 | b] = i
+                    keys.append(a << 20 | b)
+                    ranks.append(i)
+        order = np.argsort(np.frombuffer(keys, np.int64))
+        self.pair_keys, self.pair_ranks = np.frombuffer(keys, np.int64)[order], np.frombuffer(ranks, np.int64)[order]
         #: rank of each pair of single bytes, -1 if there is none
-        self.of_bytes = np.array([[found.get(a << 20 | b, -1) for b in self.byte] for a in self.byte])
-        # a pair's key is its two ids; sorted arrays take a fifth of a dictionary's memory in every worker
-        self.pair_keys = np.array(sorted(found), dtype=np.int64)
-        self.pair_ranks = np.array([found[k] for k in self.pair_keys.tolist()], dtype=np.int64)
-        self.cache: dict[str, bytes] = {}
+        own = np.array(self.byte)
+        self.of_bytes = self.rank_of(np.repeat(own, 256), np.tile(own, 256)).reshape(256, 256)
+        self.numbers, self.encoded = Numbers(), []
 
     def rank_of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Rank of each pair of ids, -1 where there is none (a negative id has none)."""
@@ -210,23 +223,27 @@ class Ranks:
             out.append(part[part >= 0].astype("<u4").tobytes())
         return out
 
-    def learn(self, pieces: Iterable[str]) -> dict[str, bytes]:
-        """Make sure that every piece is in the cache."""
-        missing = {p for p in pieces if p not in self.cache}
-        if len(self.cache) + len(missing) > CACHE_PIECES:
-            self.cache = {}
-            missing = set(pieces)
-        slow: list[str] = []
-        for p in missing:
-            i = self.ids.get(p.encode())
+    def encode(self, texts: list[str | None], split) -> list[bytes]:
+        """Ids of each text (little-endian 32-bit)."""
+        if len(self.numbers) > CACHE_PIECES:
+            self.numbers, self.encoded = Numbers(), []
+        number = self.numbers.__getitem__
+        pieces = [np.fromiter(map(number, split(t)), np.int32) if t else () for t in texts]
+        new = list(islice(self.numbers, len(self.encoded), None))
+        self.encoded += [b""] * len(new)
+        slow = []
+        for k, p in enumerate(new, len(self.encoded) - len(new)):
+            i = self.ids.get(raw := p.encode())
             if i is None:
-                slow.append(p)
+                slow.append((k, raw))
             else:
-                self.cache[p] = i.to_bytes(4, "little")
+                self.encoded[k] = i.to_bytes(4, "little")
         for at in range(0, len(slow), REPLAY_PIECES):
             some = slow[at : at + REPLAY_PIECES]
-            self.cache.update(zip(some, self.replay([p.encode() for p in some]), strict=True))
-        return self.cache
+            for (k, _), ids in zip(some, self.replay([raw for _, raw in some]), strict=True):
+                self.encoded[k] = ids
+        of = self.encoded.__getitem__
+        return [b"".join(map(of, p.tolist())) if len(p) else b"" for p in pieces]
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.text.__getitem__, np.frombuffer(ids, "<u4").tolist()))
@@ -249,31 +266,27 @@ def default_pattern() -> str:
     return public_tokenizers.PATTERN
 
 
-def encode_texts(texts: list[str | None], ranks: Ranks, split) -> list[bytes]:
-    pieces = [split(t) if t else [] for t in texts]
-    cache = ranks.learn({p for some in pieces for p in some})
-    return [b"".join(map(cache.__getitem__, some)) for some in pieces]
-
-
-def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """`keep` (default: doc_id), plus n_tokens and ids (little-endian unsigned 32-bit), for every row."""
-    keep = ["doc_id"] if keep is None else keep
+def _mapped(docs: DataFrame, text: str, keep: list[str], path: str | None, pattern: str | None, added: dict[str, pa.DataType], finish: Callable) -> DataFrame:
+    """`keep` plus the columns that finish(ids of each text, ranks) makes, in one pass of Python."""
     path, pattern = path or default_path(), pattern or default_pattern()
-    fields = [f.simpleString().replace(":", " ", 1) for f in docs.select(*keep).schema]
+    kinds = {pa.int64(): "long", pa.binary(): "binary", pa.string(): "string"}
+    fields = [f.simpleString().replace(":", " ", 1) for f in docs.select(*keep).schema] + [f"{n} {kinds[t]}" for n, t in added.items()]
     util.small_batches(docs.sparkSession)
-    src = docs.select(*keep, F.col(text).alias("__text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks, split = _ranks(path), regex.compile(pattern).findall
         for whole in batches:
-            for part in util.slices(whole, "__text", 4 << 20):
-                ids = encode_texts(part.column("__text").to_pylist(), ranks, split)
-                yield pa.RecordBatch.from_arrays(
-                    [*(part.column(c) for c in keep), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
-                    [*keep, "n_tokens", "ids"],
-                )
+            for part in util.slices(whole, "__text", SLICE_BYTES):
+                cols = finish(ranks.encode(part.column("__text").to_pylist(), split), ranks)
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *(pa.array(c, t) for c, t in zip(cols, added.values(), strict=True))], [*keep, *added])
 
-    return src.mapInArrow(run, ", ".join([*fields, "n_tokens long", "ids binary"]))
+    return docs.select(*keep, F.col(text).alias("__text")).mapInArrow(run, ", ".join(fields))
+
+
+def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """`keep` (default: doc_id), plus n_tokens and ids (little-endian unsigned 32-bit), for every row."""
+    added = {"n_tokens": pa.int64(), "ids": pa.binary()}
+    return _mapped(docs, text, ["doc_id"] if keep is None else keep, path, pattern, added, lambda ids, _: ([len(x) // 4 for x in ids], ids))
 
 
 def decode(tokens: DataFrame, path: str | None = None, keep: list[str] | None = None) -> DataFrame:
@@ -292,8 +305,16 @@ def decode(tokens: DataFrame, path: str | None = None, keep: list[str] | None =
     return tokens.mapInArrow(run, ", ".join([*fields, "decoded binary"]))
 
 
+def encode_and_check(docs: DataFrame, path: str | None = None, pattern: str | None = None, keep: list[str] | None = None) -> DataFrame:
+    """`keep` plus n_tokens, ids, and decoded_sha256 of what those ids decode to."""
+    added = {"n_tokens": pa.int64(), "ids": pa.binary(), "decoded_sha256": pa.string()}
+    finish = lambda ids, ranks: ([len(x) // 4 for x in ids], ids, [hashlib.sha256(ranks.decode(x)).hexdigest() for x in ids])
+    return _mapped(docs, "text", ["doc_id"] if keep is None else keep, path, pattern, added, finish)
+
+
 def round_trip(docs: DataFrame, path: str | None = None, pattern: str | None = None, keep: list[str] | None = None) -> DataFrame:
     """`keep` plus n_tokens, ids_sha256 and decoded_sha256: encode, then decode those ids."""
-    keep = ["doc_id"] if keep is None else keep
-    both = decode(encode(docs, path, pattern, keep=keep), path, keep=[*keep, "n_tokens", "ids"])
-    return both.select(*keep, "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    added = {"n_tokens": pa.int64(), "ids_sha256": pa.string(), "decoded_sha256": pa.string()}
+    digest = lambda x: hashlib.sha256(x).hexdigest()
+    finish = lambda ids, ranks: ([len(x) // 4 for x in ids], map(digest, ids), [digest(ranks.decode(x)) for x in ids])
+    return _mapped(docs, "text", ["doc_id"] if keep is None else keep, path, pattern, added, finish)
