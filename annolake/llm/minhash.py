@@ -14,8 +14,8 @@ their full sets (prefix filter with size and position bounds), and every pair of
 enough is verified. So every pair that shares a bucket is linked, compared, ruled out by a bound, or in one component.
 
 Defined cases: texts without words have an empty set, no links, and form their own component; null text is empty;
-rows of equal doc_id are one node; a null doc_id gets component_id null and kept true; other columns are not
-read. Hot buckets cost one row per member: each side of a join is one row per bucket or splits freely.
+rows of equal doc_id are one node; a null doc_id gets component_id null and kept true; very long texts are cut nowhere; other
+columns are not read. Hot buckets cost one row per member: each side of a join is one row per bucket or splits freely.
 """
 
 from __future__ import annotations
@@ -125,12 +125,11 @@ def across(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     Shingles of a set are ordered from rare to frequent. The first one that two such sets of n and m shingles share is at
     places i and j with 7 * (1 + least(n - i, m - j)) >= 3 * (n + m), hence among the first n / 4 + 1 of either set
     and the first n / 7 + 1 of the smaller one. A shingle's members outside its largest component meet its members in
-    blocks of about `BLOCK`, so a frequent one is spread over tasks.
+    blocks of about `BLOCK`, and what is known of a shingle is a table of one row each, so a frequent one is spread over tasks.
     """
     texts = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(nodes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
-    sets = texts.mapInArrow(_shingles, "rep long, own long, n int, shingle long")
-    sets = sets.repartition("shingle").dropDuplicates(["shingle", "rep", "own"])
-    times = sets.groupBy("shingle").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
+    sets = texts.dropDuplicates(["doc_id", "text"]).mapInArrow(_shingles, "rep long, own long, n int, shingle long")
+    times = util.materialise(sets.groupBy("shingle").agg(F.count(F.lit(1)).alias("times")).where("times > 1"))
     one = Window.partitionBy("rep", "own")
     # shingles that occur once come first in every order, and only count
     place = F.col("n") - F.count(F.lit(1)).over(one) + F.row_number().over(one.orderBy("times", "shingle"))
@@ -140,7 +139,7 @@ def across(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     keys = parts.groupBy("shingle").agg(
         F.max_by("component", F.struct("size", "component")).alias("main"), F.ceil(F.sum("size") / BLOCK).cast("int").alias("blocks"), F.max("early").alias("any"), F.count(F.lit(1)).alias("parts")
     )
-    rare = rare.join(keys.where("parts > 1 and any").drop("any", "parts"), "shingle")
+    rare = rare.join(util.materialise(keys.where("parts > 1 and any").drop("any", "parts")), "shingle")
     # one of a pair is early: early ones meet all (kind 0), the others meet the early ones (kind 1)
     left = rare.where("component <> main").select("shingle", F.expr("explode(sequence(0, blocks - 1))").alias("block"), F.expr("int(not early)").alias("kind"), "rep", "component", "n", "i")
     right = rare.select(
