@@ -185,7 +185,7 @@ def training_windows(pieces: list[tuple[str, bytes]], seed: int = 11, least: int
 def train(docs: DataFrame, max_windows: int = 1500, epochs: int = 8, seed: int = 5) -> Tagger:
     """A tagger from at most `max_windows` windows of the corpus, taken in the order of a hash."""
     util.small_batches(docs.sparkSession)
-    rows = docs.select(F.xxhash64("doc_id", F.lit(seed)).alias("h"), "text").where("text is not null")
+    rows = docs.select(F.xxhash64("doc_id", "text", F.lit(seed)).alias("h"), "text").where("text is not null")
     chosen = util.hash_sample(rows, max_windows)  # about as many documents as windows
     found = chosen.mapInArrow(_sample(1), "h long, piece string, tags binary").orderBy("h", "piece").limit(max_windows).collect()
     tagger = Tagger()

@@ -10,8 +10,8 @@ never held out and never trains; label rows that are null, or whose document is
 label rows count once each; without any usable label every score is 0.5. Labels, lang, source and doc_id are
 not inputs of a score. Other columns are neither read nor returned.
 
-`max_train` bounds the labelled rows that a fit uses (chosen by a hash of the id), so the sample's ids can be
-broadcast and the fitted model does not grow with the corpus. Everything else covers all rows.
+`max_train` bounds the labels that a fit uses (chosen by a hash of the id), so the sample's ids can be broadcast, and then
+the rows that carry them, so the fitted model does not grow with the corpus. Everything else covers all rows.
 """
 
 from __future__ import annotations
@@ -148,6 +148,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = 20_000, features: i
     read = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(F.broadcast(sample), "doc_id")
     read = read.select("y", "h", "text")
     stats = util.materialise(read.mapInArrow(_stats_rows(["y", "h"]), "y double, h long, stats array<double>"))
+    if stats.count() > max_train:  # rows that repeat a labelled id
+        stats = util.materialise(util.hash_sample(stats, max_train, "y", "stats"))
     rng = np.random.default_rng(seed)
     # bounded: two moments of each statistic
     moments = stats.select("y", F.posexplode("stats").alias("k", "v")).groupBy("k").agg(F.avg("v").alias("m"), F.stddev_pop("v").alias("s")).orderBy("k").collect()
