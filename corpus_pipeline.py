@@ -36,8 +36,7 @@ def no_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and the digest of what they decode to."""
-    both = bpe.decode(bpe.encode(docs))
-    return both.select("doc_id", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
+    return bpe.encode_and_check(docs)
 
 
 STAGES = [
