@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import boxes as bx
+from .matching import assigned
+from .pairs import iou_join
 from .prep import top_k
 
 
@@ -31,6 +33,19 @@ def associate(dets: DataFrame, tracks: DataFrame, keys: list[str], iou_thr: floa
     return found, t.join(by_track, [*keys, "track_id"], "left").select(*keys, "track_id", state.alias("state"))
 
 
+def associate_one_to_one(dets: DataFrame, tracks: DataFrame, keys: list[str], iou_thr: float = 0.5, new_thr: float = 0.7) -> tuple[DataFrame, DataFrame]:
+    """As associate, but a detection and a track belong to each other: the assignment of greatest summed iou, from `iou_thr` on."""
+    left = tracks.select(*keys, F.col("track_id").alias("ann_id"), *"xywh")
+    pairs = iou_join(left, dets, keys).where(F.col("iou") >= iou_thr)
+    taken = assigned(pairs.select(*keys, "ann_id", "det_id", "iou"), keys).select(*keys, "det_id", F.col("ann_id").alias("track_id"), "iou")
+    found = dets.select(*keys, "det_id", "score").join(taken, [*keys, "det_id"], "left")
+    found = found.withColumn("is_new", F.col("track_id").isNull() & (F.col("score") >= new_thr))
+    empty = (F.col("w") <= 0) | (F.col("h") <= 0)
+    hit = taken.select(*keys, "track_id", F.lit(True).alias("__hit"))
+    state = F.when(empty, "empty").when(F.col("__hit"), "matched").otherwise("unmatched")
+    return found, tracks.join(hit, [*keys, "track_id"], "left").select(*keys, "track_id", state.alias("state"))
+
+
 def cap_new(dets: DataFrame, keys: list[str], room: int) -> DataFrame:
     """At most `room` new detections of each key, by score."""
     return top_k(dets.where("is_new"), keys, room, "det_id")

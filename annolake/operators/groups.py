@@ -18,24 +18,26 @@ def map_groups(df: DataFrame, keys: list[str], fn: Callable[[pd.DataFrame, np.nd
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = None
+        held: list[pd.DataFrame] = []  # batches of the group that is not complete yet
         for batch in batches:
-            rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
-            if len(rows) == 0:
+            if len(batch) == 0:
                 continue
-            new = np.zeros(len(rows), bool)
+            new = np.zeros(len(batch), bool)
+            new[0] = bool(held) and any(held[-1][k].iloc[-1] != batch[k].iloc[0] for k in keys)
             for k in keys:
-                col = rows[k].to_numpy()
+                col = batch[k].to_numpy()
                 new[1:] |= col[1:] != col[:-1]
             cuts = np.flatnonzero(new)
             if len(cuts) == 0:
-                held = rows
+                held.append(batch)
                 continue
-            last = int(cuts[-1])
-            yield fn(rows.iloc[:last].reset_index(drop=True), np.concatenate([[0], cuts]))
-            held = rows.iloc[last:].reset_index(drop=True)
-        if held is not None and len(held):
-            yield fn(held, np.array([0, len(held)]))
+            before, last = sum(map(len, held)), int(cuts[-1])
+            rows = pd.concat([*held, batch.iloc[:last]], ignore_index=True)
+            yield fn(rows, np.concatenate([[0], cuts + before]))
+            held = [batch.iloc[last:]]
+        if held:
+            rows = pd.concat(held, ignore_index=True)
+            yield fn(rows, np.array([0, len(rows)]))
 
     return df.repartition(*keys).sortWithinPartitions(*keys, *order).mapInPandas(run, schema)
 

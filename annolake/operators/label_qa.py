@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .cut import few
+
 
 def in_order(frames: DataFrame, by: str = "video_id") -> DataFrame:
     """frames (video_id, frame_idx, status) with the neighbours' status; adjacency is by rank, not by number."""
@@ -18,8 +20,9 @@ def frame_gaps(frames: DataFrame) -> DataFrame:
 
 
 def dense_counts(frames: DataFrame, counts: DataFrame, classes: DataFrame) -> DataFrame:
-    """A row for each frame and class (few: broadcast), n = 0 where the class has no box."""
-    grid = frames.crossJoin(F.broadcast(classes.select("category_id")))
+    """A row for each frame and class (few, checked), n = 0 where the class has no box."""
+    kind = classes.schema["category_id"].dataType
+    grid = frames.withColumn("category_id", F.explode(F.array(*(F.lit(c) for c in few(classes, "category_id"))).cast(f"array<{kind.simpleString()}>")))
     return grid.join(counts.select("video_id", "frame_idx", "category_id", "n"), ["video_id", "frame_idx", "category_id"], "left").fillna(0, ["n"])
 
 
@@ -36,15 +39,16 @@ def class_gaps(frames: DataFrame, counts: DataFrame, classes: DataFrame) -> Data
 def frame_warnings(frames: DataFrame, counts: DataFrame, classes: DataFrame, thr: float = 0.5) -> DataFrame:
     """video_id, frame_idx, kind, category_id, prev_n, n: all_missing, class_missing and sudden_decrease.
 
-    Compared with the frame before; a video's first frame has no class warnings. A decrease needs a count above 0
-    and a ratio strictly below `thr`.
+    Compared with the frame before; a video's first frame has no warnings, and a frame without objects is all missing only
+    if the one before had some. A decrease needs a count above 0 and a ratio strictly below `thr`.
     """
     w = Window.partitionBy("video_id", "category_id").orderBy("frame_idx")
     grid = dense_counts(frames, counts, classes).withColumn("prev_n", F.lag("n").over(w))
     kind = F.when((F.col("prev_n") > 0) & (F.col("n") == 0), "class_missing").when((F.col("prev_n") > 0) & (F.col("n") > 0) & (F.col("n") / F.col("prev_n") < thr), "sudden_decrease")
     by_class = grid.withColumn("kind", kind).where("kind is not null").select("video_id", "frame_idx", "kind", "category_id", "prev_n", "n")
-    total = frames.join(counts.groupBy("video_id", "frame_idx").agg(F.sum("n").alias("n")), ["video_id", "frame_idx"], "left")
-    empty = total.where("coalesce(n, 0) = 0").selectExpr("video_id", "frame_idx", "'all_missing' kind", "cast(null as int) category_id", "cast(null as int) prev_n", "cast(0 as int) n")
+    total = frames.join(counts.groupBy("video_id", "frame_idx").agg(F.sum("n").alias("n")), ["video_id", "frame_idx"], "left").fillna(0, ["n"])
+    total = total.withColumn("before", F.lag("n").over(Window.partitionBy("video_id").orderBy("frame_idx")))
+    empty = total.where("n = 0 and before > 0").selectExpr("video_id", "frame_idx", "'all_missing' kind", "cast(null as int) category_id", "cast(null as int) prev_n", "cast(0 as int) n")
     return by_class.unionByName(empty)
 
 

@@ -77,44 +77,87 @@ def assigned(pairs: DataFrame, keys: list[str]) -> DataFrame:
     return map_groups(pairs, keys, match, schema, ["ann_id", "det_id"])
 
 
-def score_match(gt: DataFrame, dt: DataFrame, keys: list[str], thresholds: list[float], max_dets: int = 100) -> DataFrame:
-    """keys, det_id, score, flags (per threshold 1 matched, 0 not, -1 ignored): detections by falling score each take
-    the best truth that is free; a crowd truth (iscrowd 1) can be taken many times and turns its detection to ignored."""
+#: Lower and upper bounds of an object's area.
+AREAS = {"all": (0.0, 1e10), "small": (0.0, 32.0**2), "medium": (32.0**2, 96.0**2), "large": (96.0**2, 1e10)}
+
+
+def score_match(gt: DataFrame, dt: DataFrame, keys: list[str], thresholds: list[float], max_dets: int = 100, areas: list[tuple[float, float]] | None = None) -> DataFrame:
+    """keys, det_id, score, rank, flags: detections by falling score each take the best truth that is free.
+
+    flags holds, per area range and within it per threshold, 1 matched, 0 not, -1 ignored. A crowd truth (iscrowd 1) can be taken many times
+    and turns its detection to ignored; so does a truth outside the area range, which is taken once and after all others; an
+    unmatched detection outside the range is ignored. Of equal overlaps the later truth wins. `rank` is the detection's place in its group.
+    """
+    areas = areas or [AREAS["all"]]
     ranked = dt.select(*keys, "det_id", "score", "x", "y", "w", "h")
-    pairs = iou_join(gt, ranked, keys, min_iou=0.0, crowd="iscrowd").select(*keys, "ann_id", "det_id", "g_crowd", "iou")
-    rows = ranked.select(*keys, "det_id", "score").join(pairs, [*keys, "det_id"], "left").withColumn("__order", -F.col("score"))
+    pairs = iou_join(gt, ranked, keys, min_iou=0.0, crowd="iscrowd").where(F.col("iou") >= min(thresholds))
+    pairs = pairs.select(*keys, "ann_id", "det_id", "g_crowd", "iou", (F.col("g_w") * F.col("g_h")).alias("g_area"))
+    rows = ranked.select(*keys, "det_id", "score", (F.col("w") * F.col("h")).alias("d_area")).join(pairs, [*keys, "det_id"], "left").withColumn("__order", -F.col("score"))
     fields = {f.name: f.dataType.simpleString() for f in rows.schema}
+    tops = [min(t, 1 - 1e-10) for t in thresholds]
 
     def match(rows: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
-        det, ann = rows["det_id"].to_numpy(), rows["ann_id"].to_numpy()
-        iou, crowd = rows["iou"].to_numpy(), rows["g_crowd"].to_numpy()
-        first, flags = [], []
-        for a, b in zip(starts[:-1], starts[1:], strict=True):
-            used: list[set] = [set() for _ in thresholds]
+        det, ann, iou, crowd = (rows[c].tolist() for c in ("det_id", "ann_id", "iou", "g_crowd"))
+        g_area, d_area = rows["g_area"].tolist(), rows["d_area"].tolist()
+        first, flags, ranks = [], [], []
+        for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+            used: list[set] = [set() for _ in range(len(areas) * len(tops))]
             at, n = a, 0
             while at < b and n < max_dets:
-                stop = at
+                stop = at + 1
                 while stop < b and det[stop] == det[at]:
                     stop += 1
                 some = []
-                for k, thr in enumerate(thresholds):
-                    best, got = min(thr, 1 - 1e-10), -1
-                    for plain in (True, False):  # ordinary truths first
+                for lo, hi in areas:
+                    outside = not lo <= d_area[at] <= hi
+                    plain, ignored = [], []
+                    if iou[at] == iou[at]:  # it overlaps a truth
                         for j in range(at, stop):
-                            if iou[j] >= best and (crowd[j] == 0) == plain and (not plain or ann[j] not in used[k]) and (iou[j] > best or got < 0):
-                                best, got = iou[j], j
+                            (ignored if crowd[j] or not lo <= g_area[j] <= hi else plain).append(j)
+                    for top in tops:
+                        taken, got, best = used[len(some)], -1, top
+                        for j in plain:
+                            if iou[j] >= best and ann[j] not in taken:
+                                got, best = j, iou[j]
+                        flag = int(got >= 0)
+                        if got < 0:
+                            for j in ignored:
+                                if iou[j] >= best and (crowd[j] or ann[j] not in taken):
+                                    got, best = j, iou[j]
+                            flag = -1 if got >= 0 or outside else 0
                         if got >= 0:
-                            break
-                    if got >= 0 and crowd[got] == 0:
-                        used[k].add(ann[got])
-                    some.append(-1 if got >= 0 and crowd[got] else int(got >= 0))
+                            taken.add(ann[got])
+                        some.append(flag)
                 first.append(at)
                 flags.append(some)
                 n += 1
+                ranks.append(n)
                 at = stop
         out = rows.iloc[first][[*keys, "det_id", "score"]].copy()
-        out["flags"] = flags
+        out["rank"], out["flags"] = ranks, flags
         return out
 
-    schema = ", ".join(f"{k} {fields[k]}" for k in [*keys, "det_id", "score"]) + ", flags array<int>"
+    schema = ", ".join(f"{k} {fields[k]}" for k in [*keys, "det_id", "score"]) + ", rank int, flags array<int>"
     return map_groups(rows, keys, match, schema, ["__order", "det_id", "ann_id"])
+
+
+def only_positive(dt: DataFrame, gt: DataFrame, keys: list[str]) -> DataFrame:
+    """Detections of the classes that their image has truths of."""
+    return dt.join(gt.select(*keys).distinct(), keys, "left_semi")
+
+
+def without_unlabelled(dt: DataFrame, gt: DataFrame, keys: list[str], labelled: DataFrame, thr: float = 0.5) -> DataFrame:
+    """Detections less those that may be right though no truth matches them.
+
+    keys begin with the sequence and the class. labelled: both, and `state`: negative (verified absent) or partial (not exhaustively
+    labelled). After an optimal match from `thr` on, an unmatched detection goes if its class is partial, or if its
+    frame has no truth of the class and the class is not verified absent.
+    """
+    seq = keys[:2]
+    pairs = iou_join(gt, dt, keys).where(F.col("iou") >= thr - 2.220446049250313e-16).select(*keys, "ann_id", "det_id", "iou")
+    hit = assigned(pairs, keys).select(*keys, "det_id", F.lit(True).alias("__hit"))
+    there = gt.select(*keys, F.lit(True).alias("__there")).distinct()
+    state = labelled.select(*seq, F.col("state").alias("__state"))
+    all_ = dt.join(hit, [*keys, "det_id"], "left").join(there, keys, "left").join(state, seq, "left")
+    gone = F.col("__hit").isNull() & ((F.col("__state") == "partial") | (F.col("__there").isNull() & ~F.col("__state").eqNullSafe("negative")))
+    return all_.where(~F.coalesce(gone, F.lit(False))).drop("__hit", "__there", "__state")

@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .cut import settled
+from .matching import AREAS, score_match
+
 IOU_PERCENT = list(range(50, 100, 5))
 
 
@@ -57,20 +64,126 @@ def phrase_metrics(per_image: DataFrame) -> DataFrame:
     return out.withColumn("cgf1", F.col("positive_micro_f1") * F.col("il_mcc")).withColumn("iou_percent", 50 + 5 * F.col("k")).drop("k")
 
 
+def phrase_summary(per_threshold: DataFrame, metrics: list[str], image_level: list[str]) -> DataFrame:
+    """metric, value: each metric's mean over the thresholds, and at 50 and 75; image-level ones as they are."""
+    at = lambda m, p: F.max(F.when(F.col("iou_percent") == p, F.col(m)))
+    cols = {m: F.avg(m) for m in metrics} | {f"{m}@{p / 100:g}": at(m, p) for m in metrics for p in (50, 75)} | {m: F.max(m) for m in image_level}
+    one = per_threshold.agg(*(v.alias(k) for k, v in cols.items()))
+    return one.select(F.inline(F.array(*(F.struct(F.lit(k).alias("metric"), F.col(f"`{k}`").cast("double").alias("value")) for k in cols))))
+
+
+def demo_metrics(per_image: DataFrame, jf: DataFrame | None = None) -> DataFrame:
+    """phrase_metrics with precision and recall at both levels, macro F1 with and without images that have no detection, the
+    shares of perfect images, and cgF1 in three forms; with jf (image_id, j, f of images with a match) J, F and J&F."""
+    rows = per_image.select("n_gt", "n_dt", F.posexplode("tps").alias("k", "tp"))
+    pos, det = F.col("n_gt") > 0, F.col("n_dt") > 0
+    perfect = (F.col("tp") == F.col("n_gt")) & (F.col("tp") == F.col("n_dt"))
+    local = f1_of(F.col("tp"), F.col("n_dt") - F.col("tp"), F.col("n_gt") - F.col("tp"), 1e-4)
+    more = rows.groupBy("k").agg(
+        (F.count_if(pos & perfect) / (F.count_if(pos) + 1e-9)).alias("il_perfect_pos"), (F.count_if(~pos & perfect) / (F.count_if(~pos) + 1e-9)).alias("il_perfect_neg"),
+        (F.sum(F.when(pos & det, local).otherwise(0.0)) / F.count_if(pos & det)).alias("positive_w0dt_macro_f1"),
+    )
+    out = phrase_metrics(per_image).join(more.withColumn("iou_percent", 50 + 5 * F.col("k")).drop("k"), "iou_percent")
+    tp, fp, fn, pos_fp = (F.col(c) for c in ("tp", "fp", "fn", "pos_fp"))
+    il_tp, il_fp, il_fn = (F.col(f"il_{c}") for c in ("tp", "fp", "fn"))
+    out = out.withColumns(
+        {
+            "precision": tp / (tp + fp + 1e-4), "recall": tp / (tp + fn + 1e-4), "positive_micro_precision": tp / (tp + pos_fp + 1e-4),
+            "il_precision": il_tp / (il_tp + il_fp + 1e-6), "il_recall": il_tp / (il_tp + il_fn + 1e-6),
+            "cgf1_macro": F.col("positive_macro_f1") * F.col("il_mcc"), "cgf1_w0dt": F.col("positive_w0dt_macro_f1") * F.col("il_mcc"),
+        }
+    )
+    if jf is None:
+        return out
+    n = F.count(F.lit(1)) + 1e-9
+    mean = jf.agg((F.sum("j") / n).alias("j"), (F.sum("f") / n).alias("f"), (F.sum((F.col("j") + F.col("f")) / 2) / n).alias("j_and_f"))
+    return out.crossJoin(F.broadcast(mean))  # one row
+
+
 def average_precision(flags: DataFrame, truths: DataFrame, by: list[str], points: int = 101) -> DataFrame:
-    """by, k (threshold number), ap, recall. flags: by, det_id, score, image_id, flags; truths: by, n_gt.
+    """by, k, ap, recall: precision, made monotonic from the right, averaged over a grid of recalls; for every k that has truths.
 
-    A running count by falling score per group, the precision made monotonic from the right, and its mean over a
-    grid of recalls. Only groups' running counts are windowed; -1 (ignored) rows are gone before.
+    flags: by, image_id, det_id, score, flags (an array: 1 hit, 0 miss, -1 ignored). truths: by, n_gt (an array as long). Detections are cut into ranges
+    of (by, score), which are written once. Each range's counts give the counts before it; each range then tells, for
+    every recall of the grid, the best precision among its own hits that reach it; the best of all ranges is the answer.
+    So no class is one task's, and thresholds stay an array.
     """
-    rows = flags.select(*by, "image_id", "det_id", "score", F.posexplode("flags").alias("k", "hit")).where("hit >= 0")
-    w = Window.partitionBy(*by, "k").orderBy(F.desc("score"), "image_id", "det_id")
-    run = rows.withColumn("tp", F.sum("hit").over(w)).withColumn("n", F.count(F.lit(1)).over(w)).join(truths, by)
-    run = run.withColumn("rc", F.col("tp") / F.col("n_gt")).withColumn("pr", F.col("tp") / F.col("n"))
-    back = Window.partitionBy(*by, "k").orderBy("score", F.desc("image_id"), F.desc("det_id"))
-    run = run.where("hit = 1").withColumn("best", F.max("pr").over(back))
-    # recall rc is first reached by this hit: it answers the grid points above the hit before it
+    order = [*by, F.desc("score"), "image_id", "det_id"]
+    rows = flags.select(*by, "image_id", "det_id", "score", "flags").repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = settled(rows.withColumn("__p", F.spark_partition_id()))
+    kinds = ", ".join(f"`{b}` {rows.schema[b].dataType.simpleString()}" for b in by)
+
+    def segments(pdf: pd.DataFrame) -> Iterator[tuple[tuple, np.ndarray]]:
+        for key, part in pdf.groupby(by, sort=False):
+            yield key, np.array(part["flags"].tolist(), np.int8).reshape(len(part), -1)
+
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict[tuple, np.ndarray] = {}
+        p = None
+        for pdf in batches:
+            for key, f in segments(pdf):
+                now = np.array([(f == 1).sum(axis=0), (f >= 0).sum(axis=0)])
+                sums[key] = now + sums[key] if key in sums else now
+                p = int(pdf["__p"].iloc[0])
+        yield pd.DataFrame([(*key, p, k, int(v[0, k]), int(v[1, k])) for key, v in sums.items() for k in range(v.shape[1])], columns=[*by, "__p", "k", "tp", "n"])
+
+    counts = rows.mapInPandas(counted, f"{kinds}, __p int, k int, tp long, n long")
+    w = Window.partitionBy(*by, "k").orderBy("__p")
+    before = settled(counts.withColumn("tp0", F.sum("tp").over(w) - F.col("tp")).withColumn("n0", F.sum("n").over(w) - F.col("n")))
+    sized = before.join(truths.select(*by, F.posexplode("n_gt").alias("k", "n_gt")), [*by, "k"])
     steps = points - 1
-    upto = lambda share: F.floor(share * steps + 1e-9)
-    first = upto(F.col("rc")) - upto((F.col("tp") - 1) / F.col("n_gt")) + F.when(F.col("tp") == 1, 1).otherwise(0)
-    return run.groupBy(*by, "k").agg((F.sum(F.col("best") * first) / points).alias("ap"), F.max("rc").alias("recall"))
+
+    def reached(key: tuple, pdf: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        start = {tuple(r[:-4]) + (r[-4],): r[-3:] for r in known[[*by, "k", "tp0", "n0", "n_gt"]].itertuples(index=False, name=None)}
+        out = []
+        for own, f in segments(pdf.sort_values([*by, "score", "image_id", "det_id"], ascending=[True] * len(by) + [False, True, True])):
+            tp, n = np.cumsum(f == 1, axis=0), np.cumsum(f >= 0, axis=0)
+            for k in range(f.shape[1]):
+                tp0, n0, n_gt = start.get((*own, k), (0, 0, 0))
+                at = np.flatnonzero(f[:, k] == 1)
+                if not n_gt or not len(at):
+                    continue
+                hits = tp[at, k] + tp0
+                best = np.zeros(points)
+                np.maximum.at(best, np.minimum(np.floor(hits / n_gt * steps + 1e-9).astype(int), steps), hits / (n[at, k] + n0))
+                out.append((*own, k, np.maximum.accumulate(best[::-1])[::-1].tolist()))
+        return pd.DataFrame(out, columns=[*by, "k", "best"])
+
+    best = rows.groupBy("__p").cogroup(sized.select(*by, "__p", "k", "tp0", "n0", "n_gt").groupBy("__p")).applyInPandas(reached, f"{kinds}, k int, best array<double>")
+    grid = best.select(*by, "k", F.posexplode("best").alias("g", "p")).groupBy(*by, "k", "g").agg(F.max("p").alias("p"))
+    ap = grid.groupBy(*by, "k").agg((F.sum("p") / points).alias("ap"))
+    found = counts.groupBy(*by, "k").agg(F.sum("tp").alias("tp"))
+    all_ = truths.select(*by, F.posexplode("n_gt").alias("k", "n_gt")).where("n_gt > 0").join(ap, [*by, "k"], "left").join(found, [*by, "k"], "left")
+    return all_.select(*by, "k", F.coalesce("ap", F.lit(0.0)).alias("ap"), (F.coalesce("tp", F.lit(0)) / F.col("n_gt")).alias("recall"))
+
+
+def truth_counts(gt: DataFrame, by: list[str], areas: list[tuple[float, float]], thresholds: int) -> DataFrame:
+    """by, n_gt: the truths that count, per area range and threshold (the same for all thresholds of a range)."""
+    size = F.col("w") * F.col("h")
+    n = [F.count_if((F.col("iscrowd") == 0) & (size >= lo) & (size <= hi)) for lo, hi in areas]
+    return gt.groupBy(*by).agg(F.flatten(F.array(*(F.array_repeat(c, thresholds) for c in n))).alias("n_gt"))
+
+
+def precision_summary(gt: DataFrame, dt: DataFrame, keys: list[str], label: str = "class_id", max_dets: tuple[int, ...] = (1, 10, 100), areas: dict[str, tuple[float, float]] | None = None) -> DataFrame:
+    """metric, value: AP over ten thresholds, at 50 and 75, and by area; AR by number of detections, and by area.
+
+    A class without truths (in the area range) does not count; -1 if none has any. `label` None takes all classes as one.
+    """
+    areas = areas or AREAS
+    by = [label]
+    flags = score_match(gt, dt, keys, [p / 100 for p in IOU_PERCENT], max_dets[-1], list(areas.values()))
+    flags = settled(flags.withColumn("image_id", F.xxhash64(*keys)) if "image_id" not in keys else flags)
+    truths, t = truth_counts(gt, by, list(areas.values()), len(IOU_PERCENT)), len(IOU_PERCENT)
+    ap = settled(average_precision(flags, truths, by).withColumn("area", F.floor(F.col("k") / t).cast("int")).withColumn("t", F.col("k") % t))
+    mean = lambda c, when: F.coalesce(F.avg(F.when(when, F.col(c))), F.lit(-1.0))
+    all_ = F.col("area") == 0
+    cols = {"AP": mean("ap", all_), "AP_50": mean("ap", all_ & (F.col("t") == 0)), "AP_75": mean("ap", all_ & (F.col("t") == 5))}
+    cols |= {f"AP_{a}": mean("ap", F.col("area") == k) for k, a in enumerate(areas) if k}
+    cols |= {f"AR@{max_dets[-1]}": mean("recall", all_)} | {f"AR_{a}": mean("recall", F.col("area") == k) for k, a in enumerate(areas) if k}
+    one = ap.agg(*(v.alias(k) for k, v in cols.items()))
+    for m in max_dets[:-1]:
+        hits = flags.where(F.col("rank") <= m).groupBy(*by).agg(F.array(*(F.count_if(F.col("flags")[k] == 1) for k in range(t))).alias("tp"))
+        both = truths.join(hits, by, "left").where(F.col("n_gt")[0] > 0)
+        share = F.aggregate(F.coalesce("tp", F.array_repeat(F.lit(0).cast("long"), t)), F.lit(0.0), lambda a, v: a + v) / t / F.col("n_gt")[0]
+        one = one.crossJoin(F.broadcast(both.agg(F.coalesce(F.avg(share), F.lit(-1.0)).alias(f"AR@{m}"))))  # one row
+    return one.select(F.inline(F.array(*(F.struct(F.lit(c).alias("metric"), F.col(f"`{c}`").alias("value")) for c in one.columns))))

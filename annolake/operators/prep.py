@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .remap import numbered
+
 
 def hashed(key: Column, seed: int = 0) -> Column:
-    """A repeatable order for sampling, in integer arithmetic that any engine can follow."""
-    return F.pmod(key * 2654435761 + seed, F.lit(1000003))
+    """A repeatable order for sampling, in integer arithmetic that any engine can follow and no key can overflow."""
+    return F.pmod(F.pmod(key, F.lit(1000003)) * 2654435761 + seed, F.lit(1000003))
 
 
 def drop_texts(queries: DataFrame, texts: list[str]) -> DataFrame:
@@ -62,12 +64,20 @@ def cap_video_queries(queries: DataFrame, most: int, seed: int = 0) -> DataFrame
     return queries.join(kept, ["datapoint_id", "position"], "left_semi")
 
 
-def size_guards(queries: DataFrame, most_queries: int, most_objects: int) -> tuple[DataFrame, DataFrame]:
-    """(kept, rejects): datapoints with too many queries, a query with too many objects, or stages of unequal length."""
+def size_guards(queries: DataFrame, most_queries: int, most_objects: int, datapoints: DataFrame | None = None, most_tracks: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(kept, rejects): datapoints with too many queries, a query with too many objects, stages of unequal length, too many
+    different objects in all (`most_tracks`), and those of `datapoints` that have no query."""
     stages = queries.groupBy("datapoint_id", "processing_order").agg(F.count(F.lit(1)).alias("n"), F.max(F.size("object_ids")).alias("most"))
     size = stages.groupBy("datapoint_id").agg(F.sum("n").alias("n"), F.max("most").alias("most"), (F.min("n") != F.max("n")).alias("uneven"))
     why = F.when(F.col("n") > most_queries, "too_many_queries").when(F.col("most") > most_objects, "too_many_objects").when(F.col("uneven"), "uneven_stages")
     rejects = size.withColumn("reason", why).where("reason is not null").select("datapoint_id", "reason")
+    if most_tracks is not None:
+        ids = queries.select("datapoint_id", F.explode("object_ids").alias("o")).groupBy("datapoint_id").agg(F.count_distinct("o").alias("n")).where(F.col("n") > most_tracks)
+        many = ids.join(rejects, "datapoint_id", "left_anti").select("datapoint_id", F.lit("too_many_tracks").alias("reason"))
+        rejects = rejects.unionByName(many)
+    if datapoints is not None:
+        bare = datapoints.select("datapoint_id").distinct().join(queries, "datapoint_id", "left_anti")
+        rejects = rejects.unionByName(bare.select("datapoint_id", F.lit("no_queries").alias("reason")))
     return queries.join(rejects, "datapoint_id", "left_anti"), rejects
 
 
@@ -87,6 +97,13 @@ def compact(queries: DataFrame, objects: DataFrame) -> tuple[DataFrame, DataFram
     return out, kept, lost
 
 
+def available_by_name(images: DataFrame, annotations: DataFrame, have: DataFrame, name: str, suffix: str = ".mp4") -> tuple[DataFrame, DataFrame]:
+    """Images whose name, without `suffix`, is at hand (have: name), and their annotations."""
+    own = F.replace(F.col(name), F.lit(suffix), F.lit(""))
+    kept = images.withColumn("__name", own).join(have.select(F.col("name").alias("__name")).distinct(), "__name", "left_semi").drop("__name")
+    return kept, annotations.join(kept.select(F.col("id").alias("image_id")), "image_id", "left_semi")
+
+
 def available(videos: DataFrame, annotations: DataFrame, pairs: DataFrame, have: DataFrame, key: str = "video_id") -> tuple[DataFrame, ...]:
     """Videos with at least one frame at hand, and their annotations and phrase pairs."""
     there = have.select(key).distinct()
@@ -118,8 +135,9 @@ def merge_shards(preds: DataFrame, keys: list[str], shard: str = "shard") -> Dat
     return preds.join(first, [*keys, shard], "left_semi")
 
 
-def clip_frames(frames: DataFrame, n: int, stride: int, seed: int = 0) -> DataFrame:
-    """n frames of each video by stride (lowered to fit), from a hashed start; stages are numbered from 0."""
+def clip_frames(frames: DataFrame, n: int, stride: int, seed: int = 0, reverse: float = 0.0) -> DataFrame:
+    """n frames of each video by stride (lowered to fit), from a hashed start; stages are numbered from 0, with a probability
+    of `reverse` from the last frame to the first."""
     w = Window.partitionBy("video_id")
     ranked = frames.withColumn("__r", F.row_number().over(w.orderBy("frame_idx")) - 1).withColumn("__n", F.count(F.lit(1)).over(w))
     step = F.greatest(F.lit(1), F.least(F.lit(stride), F.floor((F.col("__n") - 1) / max(1, n - 1))))
@@ -127,7 +145,16 @@ def clip_frames(frames: DataFrame, n: int, stride: int, seed: int = 0) -> DataFr
     ranked = ranked.withColumn("__s", step).withColumn("__a", start)
     off = F.col("__r") - F.col("__a")
     kept = ranked.where((off >= 0) & (off % F.col("__s") == 0) & (off / F.col("__s") < n))
-    return kept.withColumn("stage", (off / F.col("__s")).cast("int")).drop("__r", "__n", "__s", "__a")
+    stage = (off / F.col("__s")).cast("int")
+    if reverse:
+        last = F.least(F.lit(n - 1), F.floor((F.col("__n") - 1 - F.col("__a")) / F.col("__s"))).cast("int")
+        stage = F.when(hashed(F.col("video_id"), seed + 1) < int(reverse * 1_000_003), last - stage).otherwise(stage)
+    return kept.withColumn("stage", stage).drop("__r", "__n", "__s", "__a")
+
+
+def clip_rows(rows: DataFrame, clips: DataFrame) -> DataFrame:
+    """Annotation rows on the frames of their video's clip, with the frame's stage."""
+    return rows.join(clips.select("video_id", "frame_idx", "stage"), ["video_id", "frame_idx"])
 
 
 def frame_plan(videos: DataFrame, every: int) -> DataFrame:
@@ -138,5 +165,10 @@ def frame_plan(videos: DataFrame, every: int) -> DataFrame:
 
 
 def shard_of(df: DataFrame, order: str, shards: int) -> DataFrame:
-    """Round-robin by the rank within a hashed prefix, so no single task orders all rows."""
+    """Shards by a hash of the key: of nearly equal size, and no task orders all rows. For exact turns see round_robin."""
     return df.withColumn("shard", F.pmod(hashed(F.col(order)), F.lit(shards)))
+
+
+def round_robin(df: DataFrame, order: list[str], shards: int) -> DataFrame:
+    """Row i, by `order`, goes to shard i mod `shards`; numbers come from range partitions, not from one task."""
+    return numbered(df, order, "__i").withColumn("shard", F.pmod("__i", F.lit(shards)).cast("int")).drop("__i")

@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .cut import settled
+
 
 def numbered(df: DataFrame, order: list[str], name: str, start: int = 0) -> DataFrame:
     """Global numbers in `order` without one task for all rows: range partitions, counts per partition, offsets.
 
-    `df` must be the same rows whenever it is read (a table, or a checkpoint).
+    The cut into partitions is written once (a checkpoint), as both the counts and the rows are read from it.
     """
-    cut = df.repartitionByRange(*order).withColumn("__p", F.spark_partition_id())
+    cut = settled(df.repartitionByRange(*order).withColumn("__p", F.spark_partition_id()))
     sizes = cut.groupBy("__p").agg(F.count(F.lit(1)).alias("__n"))
     before = sizes.select("__p", (F.sum("__n").over(Window.orderBy("__p")) - F.col("__n")).alias("__before"))
     local = F.row_number().over(Window.partitionBy("__p").orderBy(*order))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .groups import hungarian, map_groups
+from .nms import track_nms
 from .pairs import iou_join
 
 ALPHAS = list(range(5, 100, 5))
@@ -54,7 +55,7 @@ def frame_matches(sim: DataFrame, align: DataFrame, seq: list[str], frame: str =
 
 
 def hota(gt: DataFrame, dt: DataFrame, seq: list[str], frame: str = "frame_idx") -> DataFrame:
-    """Per sequence and alpha (percent): tp, fn, fp, det_a, ass_a, loc_a, hota."""
+    """Per sequence and alpha (percent): tp, fn, fp, det_a, ass_a, loc_a, hota, and det_re, det_pr, ass_re, ass_pr, owta."""
     sim = similarity(gt, dt, seq, frame)
     matched = frame_matches(sim, alignment(sim, gt, dt, seq, frame), seq, frame)
     hits = matched.withColumn("alpha", F.explode(F.array(*(F.lit(a) for a in ALPHAS)))).where(F.col("sim") >= F.col("alpha") / 100 - 2.220446049250313e-16)
@@ -62,24 +63,50 @@ def hota(gt: DataFrame, dt: DataFrame, seq: list[str], frame: str = "frame_idx")
     pairs = hits.groupBy(*seq, "alpha", "gt_id", "dt_id").agg(F.count(F.lit(1)).alias("c"), F.sum("sim").alias("s"))
     pairs = pairs.join(n(gt, "gt_id", "g"), [*seq, "gt_id"]).join(n(dt, "dt_id", "d"), [*seq, "dt_id"])
     ass = F.col("c") / F.greatest(F.lit(1), F.col("g") + F.col("d") - F.col("c"))
-    by = pairs.groupBy(*seq, "alpha").agg(F.sum("c").alias("tp"), F.sum("s").alias("s"), F.sum(F.col("c") * ass).alias("a"))
+    c = F.col("c")
+    by = pairs.groupBy(*seq, "alpha").agg(F.sum("c").alias("tp"), F.sum("s").alias("s"), F.sum(c * ass).alias("a"), F.sum(c * c / F.col("g")).alias("re"), F.sum(c * c / F.col("d")).alias("pr"))
     size = gt.groupBy(*seq).agg(F.count(F.lit(1)).alias("n_gt")).join(dt.groupBy(*seq).agg(F.count(F.lit(1)).alias("n_dt")), seq, "full").fillna(0, ["n_gt", "n_dt"])
     grid = size.withColumn("alpha", F.explode(F.array(*(F.lit(a) for a in ALPHAS))))
-    out = grid.join(by, [*seq, "alpha"], "left").fillna(0, ["tp", "s", "a"])
+    out = grid.join(by, [*seq, "alpha"], "left").fillna(0, ["tp", "s", "a", "re", "pr"])
     tp, fn, fp = F.col("tp"), F.col("n_gt") - F.col("tp"), F.col("n_dt") - F.col("tp")
     det, ass_a = tp / F.greatest(F.lit(1), tp + fn + fp), F.col("a") / F.greatest(F.lit(1), tp)
     one_sided = (F.col("n_gt") == 0) | (F.col("n_dt") == 0)
     loc = F.when(one_sided | (tp == 0), F.lit(1.0)).otherwise(F.greatest(F.lit(1e-10), F.col("s")) / F.greatest(F.lit(1e-10), tp))
-    return out.select(*seq, "alpha", tp.alias("tp"), fn.alias("fn"), fp.alias("fp"), det.alias("det_a"), ass_a.alias("ass_a"), loc.alias("loc_a"), F.sqrt(det * ass_a).alias("hota"))
+    re, pr = F.col("re") / F.greatest(F.lit(1), tp), F.col("pr") / F.greatest(F.lit(1), tp)
+    return _final(out.select(*seq, "alpha", tp.alias("tp"), fn.alias("fn"), fp.alias("fp"), ass_a.alias("ass_a"), loc.alias("loc_a"), re.alias("ass_re"), pr.alias("ass_pr")), seq)
 
 
-def combine_hota(per_seq: DataFrame) -> DataFrame:
-    """All sequences as one, per alpha: counts add up, association and location are weighted by their matches."""
-    tp, fn, fp = F.sum("tp"), F.sum("fn"), F.sum("fp")
-    by = per_seq.groupBy("alpha").agg(tp.alias("tp"), fn.alias("fn"), fp.alias("fp"), F.sum(F.col("ass_a") * F.col("tp")).alias("a"), F.sum(F.col("loc_a") * F.col("tp")).alias("l"))
-    n = F.greatest(F.lit(1), F.col("tp"))
-    det, ass = F.col("tp") / F.greatest(F.lit(1), F.col("tp") + F.col("fn") + F.col("fp")), F.col("a") / n
-    return by.select("alpha", "tp", "fn", "fp", det.alias("det_a"), ass.alias("ass_a"), (F.col("l") / n).alias("loc_a"), F.sqrt(det * ass).alias("hota"))
+def _final(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Detection scores and the two means from counts and association."""
+    tp, fn, fp = (F.col(c) for c in ("tp", "fn", "fp"))
+    det, re, pr = (tp / F.greatest(F.lit(1), n) for n in (tp + fn + fp, tp + fn, tp + fp))
+    cols = [*keys, "alpha", "tp", "fn", "fp", det.alias("det_a"), "ass_a", "loc_a", F.sqrt(det * F.col("ass_a")).alias("hota")]
+    return rows.select(*cols, re.alias("det_re"), pr.alias("det_pr"), "ass_re", "ass_pr", F.sqrt(re * F.col("ass_a")).alias("owta"))
+
+
+def combine_hota(per_seq: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """All sequences (of each of `keys`: a class, a tag) as one, per alpha: counts add up, association and location are
+    weighted by their matches. Over classes this is the detection average."""
+    keys = keys or []
+    weighted = lambda c: (F.sum(F.col(c) * F.col("tp")) / F.greatest(F.lit(1), F.sum("tp"))).alias(c)
+    by = per_seq.groupBy(*keys, "alpha").agg(*(weighted(c) for c in ("ass_a", "loc_a", "ass_re", "ass_pr")), *(F.sum(c).alias(c) for c in ("tp", "fn", "fp")))
+    return _final(by, keys)
+
+
+def average_hota(per_class: DataFrame, keys: list[str] | None = None, ignore_empty: bool = False) -> DataFrame:
+    """Class average, per alpha: counts add up, every other score is the mean over the classes (those with any box, if
+    `ignore_empty`). `keys` may name super-categories."""
+    rows = per_class.where("tp + fn + fp > 0") if ignore_empty else per_class
+    means = ["det_a", "ass_a", "loc_a", "hota", "det_re", "det_pr", "ass_re", "ass_pr", "owta"]
+    return rows.groupBy(*(keys or []), "alpha").agg(*(F.sum(c).alias(c) for c in ("tp", "fn", "fp")), *(F.avg(c).alias(c) for c in means))
+
+
+def class_agnostic_hota(gt: DataFrame, dt: DataFrame, video: str = "video_id", thr: float = 0.5) -> DataFrame:
+    """HOTA per video with all classes as one: tracks are suppressed across classes first, and truth ids made unique."""
+    kept = track_nms(dt, [video], thr)
+    ids = gt.select(video, "category_id", "track_id").distinct()
+    own = gt.withColumn("track_id", F.xxhash64("category_id", "track_id")) if ids.select(video, "track_id").distinct().count() < ids.count() else gt
+    return hota(own, kept, [video])
 
 
 def counts(gt: DataFrame, dt: DataFrame, seq: list[str]) -> DataFrame:

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import boxes as bx
-from ..operators import label_qa, matching, metrics, nms, pairs, prep, remap, tracks
+from ..functions import text as tx
+from ..operators import evaluation, label_qa, matching, metrics, nms, pairs, prep, remap, tracks
+from ..operators.cut import shared_folder
 from . import fixtures as fx
 from .fixtures import DT, FR, GT, IMG, TD, TG, inter_sql, iou_sql
 
@@ -83,7 +85,7 @@ def phrase_cgf1(spark: SparkSession, d: str) -> DataFrame:
 def coco_average_precision(spark: SparkSession, d: str) -> DataFrame:
     gt, dt = fx.gt_boxes(spark, d), fx.pred_boxes(spark, d)
     flags = matching.score_match(gt, dt, ["image_id", "class_id"], [p / 100 for p in metrics.IOU_PERCENT])
-    truths = gt.where("iscrowd = 0").groupBy("class_id").agg(F.count(F.lit(1)).alias("n_gt"))
+    truths = metrics.truth_counts(gt, ["class_id"], [matching.AREAS["all"]], len(metrics.IOU_PERCENT))
     ap = metrics.average_precision(flags, truths, ["class_id"])
     return rounded(ap.select("class_id", (50 + 5 * F.col("k")).alias("iou_percent"), "ap", "recall"), "ap", "recall")
 
@@ -104,9 +106,9 @@ def overlap_measures(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    f"with {GT} select image_id, ann_id, round((x+w/2)/640, 6) xc, round((y+h/2)/480, 6) yc, round(w/640, 6) w, round(h/480, 6) h, w*h area,"
-    " round(greatest(least(x+w, 400.0::double), 0), 6) x2c, (x >= 0 and y >= 0 and x+w < 400 and y+h < 300) inside,"
-    " round(least(greatest(x/200, 0), 1), 6) xn from gt"
+    f"with {GT} select image_id, ann_id, (x+w/2)/640 xc, (y+h/2)/480 yc, w/640 w, h/480 h, w*h area,"
+    " greatest(least(x+w, 400.0::double), 0) x2c, (x >= 0 and y >= 0 and x+w < 400 and y+h < 300) inside,"
+    " least(greatest(x/200, 0), 1) xn from gt"
 )
 def box_formats(spark: SparkSession, d: str) -> DataFrame:
     b = bx.xywh()
@@ -116,7 +118,7 @@ def box_formats(spark: SparkSession, d: str) -> DataFrame:
         "image_id", "ann_id", xc.alias("xc"), yc.alias("yc"), w.alias("w"), h.alias("h"), bx.area(b).alias("area"),
         bx.clip(b, *size).x2.alias("x2c"), bx.inside(b, *size).alias("inside"), bx.unit(F.col("x"), F.lit(200)).alias("xn"),
     )
-    return rounded(out, "xc", "yc", "w", "h", "x2c", "xn")
+    return out
 
 
 @query(
@@ -150,14 +152,14 @@ def yolo_label_text(spark: SparkSession, d: str) -> DataFrame:
     f"with {GT}, {DT}, s as (select *, ln(score/(1-score)) logit, (image_id%7-3)::double presence from dt),"
     " p as (select image_id, class_id, det_id, 1/(1+exp(-logit))*(1/(1+exp(-presence))) score from s),"
     " t as (select * from p where score > case class_id when 0 then 0.2 when 1 then 0.3 else 0.1 end),"
-    " k as (select *, row_number() over (partition by image_id order by round(score, 9) desc, class_id, det_id) r from t) select image_id, class_id, det_id, round(score, 6) score from k where r <= 3"
+    " k as (select *, row_number() over (partition by image_id order by round(score, 9) desc, class_id, det_id) r from t) select image_id, class_id, det_id, floor(score*1e6::double+0.5::double)/1e6::double score from k where r <= 3"
 )
 def postprocess_scores(spark: SparkSession, d: str) -> DataFrame:
     s = fx.pred_boxes(spark, d).withColumn("name", F.col("class_id").cast("string"))
-    s = s.withColumn("score", F.round(bx.presence_score(F.expr("ln(score / (1 - score))"), (F.col("image_id") % 7 - 3).cast("double")), 9))
+    s = s.withColumn("raw", bx.presence_score(F.expr("ln(score / (1 - score))"), (F.col("image_id") % 7 - 3).cast("double"))).withColumn("score", F.round("raw", 9))
     thresholds = spark.createDataFrame([("0", 0.2), ("1", 0.3)], "name string, threshold double")
     kept = prep.top_k(prep.class_threshold(s, thresholds, 0.1), ["image_id"], 3, "class_id", "det_id")
-    return rounded(kept.select("image_id", "class_id", "det_id", "score"), "score")
+    return kept.select("image_id", "class_id", "det_id", (F.floor(F.col("raw") * 1e6 + 0.5) / 1e6).alias("score"))
 
 
 # -- label checks ---------------------------------------------------------------------------------------------------------
@@ -173,7 +175,8 @@ def day_frames(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataF
     """(frames with status, counts, classes): all days of every video; a day of one event stands for an empty file."""
     fr = fx.frames(spark, d)
     last = fr.agg(F.max("frame_idx").alias("last"))
-    days = fr.select("video_id").distinct().crossJoin(F.broadcast(last)).select("video_id", F.explode(F.expr("sequence(0L, last)")).alias("frame_idx"))
+    days = fr.select("video_id").distinct().crossJoin(F.broadcast(last)).select(  # one row
+        "video_id", F.explode(F.expr("sequence(0L, last)")).alias("frame_idx"))
     total = fr.groupBy("video_id", "frame_idx").agg(F.sum("n").alias("n"))
     status = F.when(F.col("n").isNull(), "missing").when(F.col("n") == 1, "empty").otherwise("ok")
     frames = days.join(total, ["video_id", "frame_idx"], "left").select("video_id", "frame_idx", status.alias("status"))
@@ -199,7 +202,7 @@ def class_gaps(spark: SparkSession, d: str) -> DataFrame:
 @query(
     f"with {DAYS}, {GRID}, o as (select *, lag(n) over (partition by video_id, category_id order by frame_idx) pn from g)"
     " select video_id, frame_idx, case when n=0 then 'class_missing' else 'sudden_decrease' end kind, category_id, pn prev_n, n from o where pn>0 and (n=0 or n/pn<0.5)"
-    " union all select video_id, frame_idx, 'all_missing', null::int, null::int, 0 from fs where status='missing'"
+    " union all select video_id, frame_idx, 'all_missing', null::int, null::int, 0 from (select *, lag(status) over (partition by video_id order by frame_idx) p from fs) where status='missing' and p<>'missing'"
 )
 def frame_warnings(spark: SparkSession, d: str) -> DataFrame:
     return label_qa.frame_warnings(*day_frames(spark, d))
@@ -326,9 +329,10 @@ def track_counts(spark: SparkSession, d: str) -> DataFrame:
     return tracks.counts(fx.tracks_gt(spark, d), fx.tracks_pred(spark, d), ["video_id"])
 
 
-@query(f"with {TD} select video_id, frame_idx, track_id//2 track_id, count(*) n from td group by 1,2,3 having count(*) > 1")
+@query(f"with {TD} select video_id, frame_idx, track_id//20 track_id, count(*) n from td group by 1,2,3 having count(*) > 1")
 def repeated_track_ids(spark: SparkSession, d: str) -> DataFrame:
-    return tracks.repeated_ids(fx.tracks_pred(spark, d).withColumn("track_id", F.expr("track_id div 2")), ["video_id"])
+    """All tracks of a video under one id: every frame with more than one box repeats it."""
+    return tracks.repeated_ids(fx.tracks_pred(spark, d).withColumn("track_id", F.expr("track_id div 20")), ["video_id"])
 
 
 @query(f"with {TD} select video_id, track_id, round(avg(score), 6) score, count(*) n, round(avg(w*h), 6) mean_area from td group by 1,2")
@@ -377,7 +381,7 @@ def global_numbers(spark: SparkSession, d: str) -> DataFrame:
 
 # -- preparation ----------------------------------------------------------------------------------------------------------------
 
-QO = """q as (select conv_id datapoint_id, turn query_idx, turn // 2 processing_order, left(text, 12) query_text, role from conversations),
+QO = """q as (select conv_id datapoint_id, turn query_idx, turn // 2 processing_order, text query_text, role from conversations),
 ob as (select l_orderkey datapoint_id, l_linenumber::bigint obj_idx, l_quantity*l_discount area, l_quantity w, l_discount h, (l_linenumber%5=0)::int is_crowd from lineitem)"""
 
 
@@ -386,7 +390,7 @@ def query_tables(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     objects = fx.table(spark, d, "lineitem").selectExpr(
         "l_orderkey datapoint_id", "cast(l_linenumber as bigint) obj_idx", "l_quantity * l_discount area", "l_quantity w", "l_discount h", "cast(l_linenumber % 5 = 0 as int) is_crowd"
     )
-    queries = fx.table(spark, d, "conversations").selectExpr("conv_id datapoint_id", "turn query_idx", "turn div 2 processing_order", "left(text, 12) query_text", "role")
+    queries = fx.table(spark, d, "conversations").selectExpr("conv_id datapoint_id", "turn query_idx", "turn div 2 processing_order", "text query_text", "role")
     ids = objects.groupBy("datapoint_id").agg(F.array_sort(F.collect_set("obj_idx")).alias("object_ids"))
     queries = queries.join(ids, "datapoint_id", "left").withColumn("object_ids", F.expr("filter(coalesce(object_ids, array()), i -> i % 2 = query_idx % 2)"))
     return queries, objects
@@ -460,12 +464,8 @@ def frame_sampling_plan(spark: SparkSession, d: str) -> DataFrame:
     " from img cross join c left join gt g on g.image_id=img.id and g.class_id=c.class_id group by 1,2,3"
 )
 def image_category_queries(spark: SparkSession, d: str) -> DataFrame:
-    gt = fx.gt_boxes(spark, d)
-    classes = gt.select("class_id").distinct()  # few: one row per category
-    grid = fx.images(spark, d).select(F.col("id").alias("image_id")).crossJoin(F.broadcast(classes))
-    ids = gt.groupBy("image_id", "class_id").agg(F.count(F.lit(1)).alias("n"), F.array_join(F.array_sort(F.collect_list("ann_id")).cast("array<string>"), ",").alias("ids"))
-    out = grid.join(ids, ["image_id", "class_id"], "left").fillna(0, ["n"]).fillna("", ["ids"])
-    return out.select("image_id", "class_id", F.floor(F.col("class_id") / 2).alias("chunk"), "n", "ids")
+    out = evaluation.image_category_queries(fx.images(spark, d).select(F.col("id").alias("image_id")), fx.gt_boxes(spark, d), chunk=2)
+    return out.select("image_id", "class_id", "chunk", "n", F.array_join(F.col("ids").cast("array<string>"), ",").alias("ids"))
 
 
 @query(
@@ -550,17 +550,21 @@ def objects_per_image(spark: SparkSession, d: str) -> DataFrame:
 def _folder(spark: SparkSession, name: str) -> str:
     import uuid
 
-    root = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/annolake-streams"
-    return f"{root}/{name}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-STREAM = f"""{FR}, t as (select distinct video_id, frame_idx from fr), g as (select t.*, c.category_id, coalesce(fr.n, 0) n from t cross join (select distinct category_id from fr) c
- left join fr using (video_id, frame_idx, category_id)), o as (select *, lag(n) over (partition by video_id, category_id order by frame_idx) pn from g)"""
+SEEN = FR.replace("fr as (", "sf as (").replace("cast(count(*) as int) n", "cast(count_if(event_id%4<>0) as int) n")
+STREAM = f"""{SEEN}, t as (select video_id, frame_idx, sum(n) total from sf group by 1, 2), g as (select t.*, c.category_id, coalesce(sf.n, 0) n from t cross join (select distinct category_id from sf) c
+ left join sf using (video_id, frame_idx, category_id)), o as (select *, lag(n) over (partition by video_id, category_id order by frame_idx) pn from g),
+ e as (select *, lag(total) over (partition by video_id order by frame_idx) pt from t)"""
 
 
-@query(f"with {STREAM} select video_id, frame_idx, case when n=0 then 'class_missing' else 'sudden_decrease' end kind, category_id, pn prev_n, n from o where pn>0 and (n=0 or n/pn<0.5)")
+@query(
+    f"with {STREAM} select video_id, frame_idx, case when n=0 then 'class_missing' else 'sudden_decrease' end kind, category_id, pn prev_n, n from o where pn>0 and (n=0 or n/pn<0.5)"
+    " union all select video_id, frame_idx, 'all_missing', null::int, null::int, 0 from e where total=0 and pt>0"
+)
 def streamed_frame_warnings(spark: SparkSession, d: str) -> DataFrame:
-    """Days with events as frames, checked against the day before by a stateful stream."""
+    """Days with events as frames, checked against the day before by a stateful stream; days may be empty."""
     from ..streaming import frames as st
 
     stream = st.stream_warnings(st.event_stream(spark, f"{d}/event[s].parquet", 1_000_000))
@@ -568,7 +572,7 @@ def streamed_frame_warnings(spark: SparkSession, d: str) -> DataFrame:
     return st.drained(stream, name, _folder(spark, "warnings"))
 
 
-@query(f"with {FR} select video_id, category_id, sum(n)::bigint boxes, sum(n)::bigint as \"rows\" from fr group by 1, 2")
+@query("select user_id video_id, case event_type when 'view' then 1 when 'signup' then 2 when 'purchase' then 3 when 'error' then 4 else 5 end category_id, count_if(event_id%4<>0)::bigint boxes, count(*)::bigint as \"rows\" from events group by 1, 2")
 def streamed_progress(spark: SparkSession, d: str) -> DataFrame:
     from ..streaming import frames as st
 
@@ -649,14 +653,14 @@ def mask_similarity(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    f"with {GT}, {PIX}, cells as (select distinct image_id, c, r from (select image_id, unnest(range(x1, x2)) c, y1, y2 from px where class_id=1), lateral (select unnest(range(y1, y2)) r))"
-    " select image_id, count(*) area from cells group by 1"
+    f"with {GT}, {PIX}, cells as (select distinct image_id, class_id, c, r from (select image_id, class_id, unnest(range(x1, x2)) c, y1, y2 from px), lateral (select unnest(range(y1, y2)) r))"
+    " select image_id, class_id, count(*) area from cells group by 1, 2"
 )
 def mask_union_area(spark: SparkSession, d: str) -> DataFrame:
     from ..operators import masks
 
-    m = masks.union(rectangle_masks(spark, d, fx.gt_boxes(spark, d).where("class_id = 1")), ["image_id"])
-    return m.select("image_id", masks.area(F.col("runs")).alias("area"))
+    m = masks.union(rectangle_masks(spark, d, fx.gt_boxes(spark, d)), ["image_id", "class_id"])
+    return m.select("image_id", "class_id", masks.area(F.col("runs")).alias("area"))
 
 
 # -- association, samples, text and small joins -----------------------------------------------------------------------------------
@@ -718,9 +722,8 @@ def best_track_of_video(spark: SparkSession, d: str) -> DataFrame:
 @query(f"with {QO} select datapoint_id, query_idx, case when query_text = 'geometric' then query_text else 'a photo of ' || query_text || (case when lower(trim(role)) in ('user') then '.' else '' end) end query_text from q")
 def prefixed_texts(spark: SparkSession, d: str) -> DataFrame:
     q, _ = query_tables(spark, d)
-    text = F.col("query_text")
-    end = F.when(F.lower(F.trim("role")).isin("user"), ".").otherwise("")
-    return q.select("datapoint_id", "query_idx", F.when(text == "geometric", text).otherwise(F.concat(F.lit("a photo of "), text, end)).alias("query_text"))
+    ended = tx.with_ends(F.col("query_text"), after=".", only=tx.listed(F.col("role"), ["User"]))
+    return q.select("datapoint_id", "query_idx", tx.with_ends(ended, before="a photo of ").alias("query_text"))
 
 
 @query(
@@ -733,7 +736,8 @@ def capped_queries(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    f"with {QO}, c as (select distinct q.datapoint_id, q.query_idx, q.processing_order from q where q.query_idx % 3 <> 1), k as (select * from c where datapoint_id in (select datapoint_id from c group by 1 having min(processing_order)=0)),"
+    f"with {QO}, bad as (select distinct q.datapoint_id, q.query_idx from q join ob on ob.datapoint_id=q.datapoint_id and ob.obj_idx%2=q.query_idx%2 where w<=0 or h<=0),"
+    " c as (select distinct q.datapoint_id, q.query_idx, q.processing_order from q where not exists (select 1 from bad where bad.datapoint_id=q.datapoint_id and bad.query_idx=q.query_idx)), k as (select * from c where datapoint_id in (select datapoint_id from c group by 1 having min(processing_order)=0)),"
     " n as (select *, row_number() over (partition by datapoint_id order by query_idx)-1 new_query, dense_rank() over (partition by datapoint_id order by processing_order)-1 new_stage from k),"
     " u as (select distinct n.datapoint_id, n.query_idx, ob.obj_idx from n join ob on ob.datapoint_id=n.datapoint_id and ob.obj_idx%2=n.query_idx%2),"
     " o as (select datapoint_id, obj_idx, dense_rank() over (partition by datapoint_id order by obj_idx)-1 new_obj from (select distinct datapoint_id, obj_idx from u)),"
@@ -741,8 +745,9 @@ def capped_queries(spark: SparkSession, d: str) -> DataFrame:
     " select n.datapoint_id, new_query, new_stage, coalesce(ids,'') ids from n left join i using (datapoint_id, query_idx)"
 )
 def compacted_queries(spark: SparkSession, d: str) -> DataFrame:
+    """Queries numbered anew after those with a flat target are gone."""
     q, ob = query_tables(spark, d)
-    q = q.dropDuplicates(["datapoint_id", "query_idx"]).where("query_idx % 3 <> 1")
+    q = prep.drop_queries(q.dropDuplicates(["datapoint_id", "query_idx"]), prep.with_flat_targets(q, ob))
     out, _, _ = prep.compact(q, ob.select("datapoint_id", "obj_idx").distinct())
     return out.select("datapoint_id", "new_query", "new_stage", F.array_join(F.col("new_ids").cast("array<string>"), ",").alias("ids"))
 
@@ -783,8 +788,7 @@ def away_from_edges(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"with {TG}, m as (select 4 a, 2 b union all select 5, 3) select video_id, coalesce(b, category_id) category_id, count(*) n from tg left join m on a=category_id group by 1,2")
 def merged_categories(spark: SparkSession, d: str) -> DataFrame:
-    merge = spark.createDataFrame([(2, [4]), (3, [5])], "parent int, merged array<int>").select(F.explode("merged").alias("category_id"), "parent")
-    t = fx.tracks_gt(spark, d).join(F.broadcast(merge), "category_id", "left").withColumn("category_id", F.coalesce("parent", "category_id"))
+    t = evaluation.merged_categories(fx.tracks_gt(spark, d), {2: [4], 3: [5]})
     return t.groupBy("video_id", "category_id").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -813,7 +817,7 @@ def video_phrase_cgf1(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def oracle_annotator(spark: SparkSession, d: str) -> DataFrame:
     """Per image the annotator whose scoring has the best mean local F1; a true negative wins, ties go to the first."""
-    base, dt = fx.gt_boxes(spark, d), fx.pred_boxes(spark, d).where("score >= 0.5")
+    base, dt = fx.gt_boxes(spark, d).where("iscrowd = 0"), fx.pred_boxes(spark, d).where("score >= 0.5")
     sets = [base, base.where("sk % 7 <> 0").withColumn("x", F.col("x") + 2), base.where("pk % 6 <> 0").withColumn("y", F.col("y") + 5)]
     img = fx.images(spark, d)
     out = None
@@ -838,12 +842,20 @@ def mask_boundary_f(spark: SparkSession, d: str) -> DataFrame:
     return rounded(masks.boundary_f(both).drop("height", "width"), "boundary_f")
 
 
-@query(f"with {GT}, {PIX} select image_id, ann_id, (case when (x2-x1)*(y2-y1) <= least(20, (x2-x1)*(y2-y1)//2) then 0 else (x2-x1)*(y2-y1) end)::bigint area from px where class_id = 2")
+@query(f"with {GT}, p as (select *, floor((x+w)/2)::bigint-floor(x/2)::bigint pw, floor((y+h)/2)::bigint-floor(y/2)::bigint ph from gt) select image_id, ann_id, pw*ph - (case when ann_id%2=0 then 25 else 0 end) + (case when ann_id%3=0 then 25 else 0 end) area from p")
 def cleaned_masks(spark: SparkSession, d: str) -> DataFrame:
+    """Rectangles with a hole (3 x 3, which is filled, or 5 x 5, which stays) and a second part (2 x 2, which goes, or 5 x 5, which stays)."""
     from ..operators import masks
 
-    m = rectangle_masks(spark, d, fx.gt_boxes(spark, d).where("class_id = 2")).select("image_id", "ann_id", "runs", "height", "width")
-    return masks.clean(m, 20).select("image_id", "ann_id", masks.area(F.col("runs")).alias("area"))
+    at = lambda *v: F.struct(*(F.expr(f"cast({e} as int)").alias(n) for n, e in zip(("x1", "y1", "x2", "y2"), v, strict=True)))
+    px = fx.gt_boxes(spark, d).selectExpr(
+        "image_id", "ann_id", "floor(x / 2) l", "floor(y / 2) t", "floor((x + w) / 2) r", "floor((y + h) / 2) b", "if(ann_id % 2 = 0, 5, 3) hole", "if(ann_id % 3 = 0, 5, 2) part"
+    )
+    around = [at("l", "t", "l + 3", "b"), at("l + 3 + hole", "t", "r", "b"), at("l + 3", "t", "l + 3 + hole", "t + 3"), at("l + 3", "t + 3 + hole", "l + 3 + hole", "b"), at("300", "200", "300 + part", "200 + part")]
+    px = px.select("image_id", "ann_id", F.explode(F.array(*around)).alias("box")).select("image_id", "ann_id", "box.*")
+    runs = masks.rectangle_runs(F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"), 240, 320)
+    whole = masks.union(px.withColumns({"runs": runs, "height": F.lit(240), "width": F.lit(320)}), ["image_id", "ann_id"])
+    return masks.clean(whole, 20).select("image_id", "ann_id", masks.area(F.col("runs")).alias("area"))
 
 
 @query()
