@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .cut import settled
-from .matching import AREAS, score_match
+from .matching import AREAS, score_assigned, score_match
+from .pairs import tracklet_iou
 
 IOU_PERCENT = list(range(50, 100, 5))
 
@@ -170,10 +171,37 @@ def precision_summary(gt: DataFrame, dt: DataFrame, keys: list[str], label: str
     A class without truths (in the area range) does not count; -1 if none has any. `label` None takes all classes as one.
     """
     areas = areas or AREAS
-    by = [label]
     flags = score_match(gt, dt, keys, [p / 100 for p in IOU_PERCENT], max_dets[-1], list(areas.values()))
-    flags = settled(flags.withColumn("image_id", F.xxhash64(*keys)) if "image_id" not in keys else flags)
-    truths, t = truth_counts(gt, by, list(areas.values()), len(IOU_PERCENT)), len(IOU_PERCENT)
+    return summarised(flags, truth_counts(gt, [label], list(areas.values()), len(IOU_PERCENT)), [label], max_dets, list(areas))
+
+
+#: Areas of video objects, by the mean box of a track.
+VIDEO_AREAS = {"all": (0.0, 1e10), "small": (0.0, 128.0**2), "medium": (128.0**2, 256.0**2), "large": (256.0**2, 1e10)}
+
+
+def video_precision(gt: DataFrame, dt: DataFrame, use_classes: bool = True, max_dets: tuple[int, ...] = (1, 10, 100)) -> DataFrame:
+    """precision_summary over tracks: a video is an image, a track a box, overlap the tracklet overlap, area the track's mean.
+
+    gt, dt: video_id, category_id, track_id, frame_idx, x, y, w, h, and dt's score (a track's is its mean). With use_classes the classes are
+    matched and averaged apart; else a (video, phrase) pair is an image of its own and all phrases are one class.
+    """
+    keys = ["video_id", "category_id"]
+    own = lambda df, name: df.groupBy(*keys, F.col("track_id").alias(name)).agg(F.avg(F.col("w") * F.col("h")).alias("area"), *([F.avg("score").alias("score")] if "score" in df.columns else []))
+    truths, dets = own(gt, "ann_id"), own(dt, "det_id")
+    box = [*keys, "track_id", "frame_idx", *"xywh"]
+    iou = tracklet_iou(gt.select(*box), dt.select(*box), keys).select(*keys, F.col("gt_id").alias("ann_id"), F.col("dt_id").alias("det_id"), "iou").where(F.col("iou") >= IOU_PERCENT[0] / 100)
+    pairs = iou.join(truths.select(*keys, "ann_id", F.col("area").alias("g_area")), [*keys, "ann_id"]).withColumn("g_crowd", F.lit(0))
+    t = len(IOU_PERCENT)
+    flags = score_assigned(dets.withColumnRenamed("area", "d_area"), pairs, keys, [p / 100 for p in IOU_PERCENT], max_dets[-1], list(VIDEO_AREAS.values()))
+    label = F.col("category_id") if use_classes else F.lit(0)
+    flags = flags.select(label.alias("class_id"), F.xxhash64(*keys).alias("image_id"), "det_id", "score", "rank", "flags")
+    n = [F.array_repeat(F.count_if((F.col("area") >= lo) & (F.col("area") <= hi)), t) for lo, hi in VIDEO_AREAS.values()]
+    return summarised(flags, truths.groupBy(label.alias("class_id")).agg(F.flatten(F.array(*n)).alias("n_gt")), ["class_id"], max_dets, list(VIDEO_AREAS))
+
+
+def summarised(flags: DataFrame, truths: DataFrame, by: list[str], max_dets: tuple[int, ...], areas: list[str]) -> DataFrame:
+    """metric, value from a match's flags (by area, then threshold) and the truths of each class."""
+    flags, t = settled(flags), len(IOU_PERCENT)
     ap = settled(average_precision(flags, truths, by).withColumn("area", F.floor(F.col("k") / t).cast("int")).withColumn("t", F.col("k") % t))
     mean = lambda c, when: F.coalesce(F.avg(F.when(when, F.col(c))), F.lit(-1.0))
     all_ = F.col("area") == 0

@@ -30,13 +30,13 @@ def gt_boxes(spark: SparkSession, d: str) -> DataFrame:
 
 def pred_boxes(spark: SparkSession, d: str) -> DataFrame:
     """Detections: jittered copies with gaps, shifted extras, and boxes on images without truth."""
-    gt = gt_boxes(spark, d)
-    copies = gt.where("not (rf = 'R' and sk % 4 = 0)").selectExpr(
-        "image_id", "class_id", "ann_id det_id", "x + (pk % 9) - 4 x", "y + (sk % 9) - 4 y", "w", "h", "cast(((cents % 1000) + cast(0.5 as double)) / cast(1000 as double) as double) score"
-    )
-    extra = gt.where("rf = 'A' and sk % 5 = 0").selectExpr(
-        "image_id", "class_id", "ann_id + 100 det_id", "x + w * 2 x", "y", "w", "h", "cast(((cents % 600) + cast(0.5 as double)) / cast(1000 as double) as double) score"
+    box = lambda det, x, per: f"named_struct('det_id', {det}, 'x', {x[0]}, 'y', {x[1]}, 'score', cast(((cents % {per}) + cast(0.5 as double)) / cast(1000 as double) as double))"
+    copy, extra = box("ann_id", ("x + (pk % 9) - 4", "y + (sk % 9) - 4"), 1000), box("ann_id + 100", ("x + w * 2", "y"), 600)
+    # both kinds come from one pass over the truth boxes
+    some = gt_boxes(spark, d).selectExpr(
+        "image_id", "class_id", "w", "h", f"inline(filter(array(if(not (rf = 'R' and sk % 4 = 0), {copy}, null), if(rf = 'A' and sk % 5 = 0, {extra}, null)), s -> s is not null))"
     )
+    some = some.select("image_id", "class_id", "det_id", "x", "y", "w", "h", "score")
     bare = table(spark, d, "orders").where("o_orderkey % 2 = 0").join(
         table(spark, d, "lineitem").select(F.col("l_orderkey").alias("o_orderkey")), "o_orderkey", "left_anti"
     )
@@ -44,7 +44,7 @@ def pred_boxes(spark: SparkSession, d: str) -> DataFrame:
         "o_orderkey image_id", "0 class_id", "1 det_id", "cast(10 as double) x", "cast(10 as double) y", "cast(30 as double) w", "cast(30 as double) h",
         "cast(((o_orderkey % 1000) + cast(0.5 as double)) / cast(1000 as double) as double) score",
     )
-    return copies.unionByName(extra).unionByName(bare)
+    return some.unionByName(bare)
 
 
 def images(spark: SparkSession, d: str) -> DataFrame:
