@@ -65,6 +65,14 @@ def phrase_metrics(per_image: DataFrame) -> DataFrame:
     return out.withColumn("cgf1", F.col("positive_micro_f1") * F.col("il_mcc")).withColumn("iou_percent", 50 + 5 * F.col("k")).drop("k")
 
 
+def phrase_rows(per_image: DataFrame) -> DataFrame:
+    """image_id, tp, fp, fn, f1 at an overlap of 50, and mean_f1 over all thresholds: 1 where nothing is to be found and nothing is."""
+    f1 = lambda tp: F.when(F.col("n_gt") + F.col("n_dt") == 0, F.lit(1.0)).otherwise(2 * tp / (F.col("n_gt") + F.col("n_dt")))
+    tp = F.col("tps")[0]
+    mean = F.aggregate(F.transform("tps", f1), F.lit(0.0), lambda a, v: a + v) / F.size("tps")
+    return per_image.select("image_id", tp.alias("tp"), (F.col("n_dt") - tp).alias("fp"), (F.col("n_gt") - tp).alias("fn"), f1(tp).alias("f1"), mean.alias("mean_f1"))
+
+
 def phrase_summary(per_threshold: DataFrame, metrics: list[str], image_level: list[str]) -> DataFrame:
     """metric, value: each metric's mean over the thresholds, and at 50 and 75; image-level ones as they are."""
     at = lambda m, p: F.max(F.when(F.col("iou_percent") == p, F.col(m)))

@@ -119,8 +119,8 @@ def eligible_images(first: DataFrame, others: list[DataFrame]) -> DataFrame:
 
 
 def class_threshold(dets: DataFrame, thresholds: DataFrame, default: float = 0.0) -> DataFrame:
-    """Scores strictly above their class's threshold (a small table: broadcast)."""
-    joined = dets.join(F.broadcast(thresholds.select("name", "threshold")), "name", "left")
+    """Scores strictly above their class's threshold; a class that the table lacks has the default."""
+    joined = dets.join(thresholds.select("name", "threshold"), "name", "left")
     return joined.where(F.col("score") > F.coalesce("threshold", F.lit(default))).drop("threshold")
 
 

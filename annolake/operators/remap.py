@@ -17,7 +17,7 @@ def numbered(df: DataFrame, order: list[str], name: str, start: int = 0) -> Data
     sizes = cut.groupBy("__p").agg(F.count(F.lit(1)).alias("__n"))
     before = sizes.select("__p", (F.sum("__n").over(Window.orderBy("__p")) - F.col("__n")).alias("__before"))
     local = F.row_number().over(Window.partitionBy("__p").orderBy(*order))
-    return cut.withColumn("__local", local).join(F.broadcast(before), "__p").withColumn(name, F.col("__before") + F.col("__local") - 1 + start).drop("__p", "__local", "__before")
+    return cut.withColumn("__local", local).join(before, "__p").withColumn(name, F.col("__before") + F.col("__local") - 1 + start).drop("__p", "__local", "__before")
 
 
 def reindexed(df: DataFrame, key: str, refs: list[tuple[DataFrame, str]] | None = None) -> tuple[DataFrame, list[DataFrame]]:
@@ -43,7 +43,7 @@ def numbered_offsets(sizes: DataFrame, key: str) -> DataFrame:
     blocks = sizes.groupBy(block.alias("__b")).agg(F.sum("__n").alias("__bn"))
     start = blocks.select("__b", (F.sum("__bn").over(Window.orderBy("__b")) - F.col("__bn")).alias("__start"))
     within = F.sum("__n").over(Window.partitionBy("__b").orderBy(key)) - F.col("__n")
-    return sizes.withColumn("__b", block).withColumn("__w", within).join(F.broadcast(start), "__b").select(key, (F.col("__start") + F.col("__w")).alias("__before"))
+    return sizes.withColumn("__b", block).withColumn("__w", within).join(start, "__b").select(key, (F.col("__start") + F.col("__w")).alias("__before"))
 
 
 def unique_tracks(tracks: DataFrame) -> DataFrame:

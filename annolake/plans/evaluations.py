@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..operators import associate, evaluation, label_qa, matching, metrics, prep, remap, tracks
+from ..operators import associate, evaluation, label_qa, matching, metrics, pairs, prep, remap, tracks
 from ..sources import listing
 from . import fixtures as fx
 from .fixtures import DT, FR, GT, IMG, TD, TG, iou_sql
@@ -284,3 +284,23 @@ def classes_of_frames(spark: SparkSession, d: str) -> DataFrame:
     """Frame rows to nests: the classes of each frame, in order."""
     rows = fx.tracks_gt(spark, d).groupBy("video_id", "frame_idx").agg(F.array_sort(F.collect_list("category_id")).alias("c"))
     return rows.select("video_id", "frame_idx", F.array_join(F.col("c").cast("array<string>"), ",").alias("classes"))
+
+
+@query(
+    f"with {TD}, p as (select distinct video_id, category_id from (select video_id, category_id from tg union all select video_id, category_id from td)), a as (select video_id, category_id, count(distinct track_id) n_gt from tg group by 1, 2),"
+    " b as (select video_id, category_id, count(distinct track_id) n_dt from td group by 1, 2), s as (select video_id, category_id, track_id, sum(w*h) area from tg group by 1, 2, 3), t as (select video_id, category_id, track_id, sum(w*h) area from td group by 1, 2, 3),"
+    f" i as (select g.video_id, g.category_id, g.track_id gt_id, d.track_id dt_id, sum({fx.inter_sql('g', 'd')}) i from tg g join td d using (video_id, category_id, frame_idx) group by 1, 2, 3, 4),"
+    " m as (select i.video_id, i.category_id, max(i.i/(s.area+t.area-i.i)) iou from i join s on s.track_id=i.gt_id and s.video_id=i.video_id join t on t.track_id=i.dt_id and t.video_id=i.video_id group by 1, 2)"
+    " select video_id, category_id, (coalesce(iou, 0) >= 0.5)::bigint tp, coalesce(n_dt, 0)-(coalesce(iou, 0) >= 0.5)::bigint fp, coalesce(n_gt, 0)-(coalesce(iou, 0) >= 0.5)::bigint fn,"
+    " round(2.0::double*(coalesce(iou, 0) >= 0.5)::bigint/(coalesce(n_gt, 0)+coalesce(n_dt, 0)), 6) f1 from p left join a using (video_id, category_id) left join b using (video_id, category_id) left join m using (video_id, category_id)"
+)
+def video_phrase_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Per (video, phrase) matches of tracks; a phrase has one true track here, so the best overlap decides."""
+    gt, dt = fx.tracks_gt(spark, d), fx.tracks_pred(spark, d)
+    keys = ["video_id", "category_id"]
+    ids = remap.pair_ids(gt, dt).withColumnRenamed("new_id", "image_id")
+    p = pairs.tracklet_iou(gt.drop("eid", "cents"), dt, keys).where("iou > 0").join(ids, keys)
+    matched = matching.assigned(p.select("image_id", F.col("gt_id").alias("ann_id"), F.col("dt_id").alias("det_id"), "iou"), ["image_id"])
+    one = lambda df: df.select(*keys, "track_id").distinct().join(ids, keys)
+    per = metrics.phrase_rows(metrics.image_counts(ids.select(F.col("image_id").alias("id")), one(gt), one(dt), matched))
+    return rounded(per.join(ids, "image_id").select(*keys, "tp", "fp", "fn", "f1"), "f1")

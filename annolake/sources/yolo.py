@@ -10,18 +10,20 @@ from ..functions import boxes as bx
 _FIELDS = ("class_id", "xc", "yc", "w", "h")
 
 
-def yolo_lines(dets: DataFrame, frame: str, width: int, height: int, classes: DataFrame | None = None) -> DataFrame:
+def yolo_lines(dets: DataFrame, frame: str, width: int, height: int, classes: DataFrame | None = None, frames: DataFrame | None = None) -> DataFrame:
     """frame, text: the label file of every frame. dets: frame, class_id (or name, with a map), det_id, x, y, w, h.
 
-    Names that the map lacks are dropped. A frame is one row, so its lines are gathered within one group.
+    Names that the map lacks are dropped. With `frames`, a frame without boxes has an empty text. A frame is one row, so its
+    lines are gathered within one group.
     """
     if classes is not None:
-        dets = dets.drop("class_id").join(F.broadcast(classes.select("name", "class_id")), "name")
+        dets = dets.drop("class_id").join(classes.select("name", "class_id"), "name")
     xc, yc, w, h = bx.to_yolo(bx.xywh(), F.lit(width), F.lit(height))
     # a tie in the seventh decimal goes up
     line = F.format_string("%d %.6f %.6f %.6f %.6f", F.col("class_id"), *(F.floor(v * 1e6 + 0.5) / 1e6 for v in (xc, yc, w, h)))
     lines = dets.select(frame, F.struct("det_id", line.alias("line")).alias("s"))
-    return lines.groupBy(frame).agg(F.array_join(F.transform(F.array_sort(F.collect_list("s")), lambda s: s["line"]), "\n").alias("text"))
+    texts = lines.groupBy(frame).agg(F.array_join(F.transform(F.array_sort(F.collect_list("s")), lambda s: s["line"]), "\n").alias("text"))
+    return texts if frames is None else frames.select(frame).distinct().join(texts, frame, "left").fillna("", ["text"])
 
 
 def parse_lines(files: DataFrame, strict: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -61,5 +63,10 @@ def class_map(spark: SparkSession, text: str) -> DataFrame:
     return pairs.select(F.trim("name").alias("name"), F.trim("id").cast("int").alias("class_id"))
 
 
+def class_names(spark: SparkSession, text: str) -> DataFrame:
+    """class_id, name from "name:id,name:id"; of names with one id the first in order."""
+    return class_map(spark, text).groupBy("class_id").agg(F.min("name").alias("name"))
+
+
 def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"

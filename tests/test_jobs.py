@@ -219,3 +219,48 @@ def test_rotated_overlap(spark):
     got = [r.iou for r in pairs.rotated_iou(spark.createDataFrame(rows, schema)).collect()]
     octagon = 8 * (np.sqrt(2) - 1)
     assert got == pytest.approx([1.0, octagon / (8 - octagon), 0.0, 1.0])
+
+
+def test_segmentations_in_all_forms(spark, tmp_path):
+    ring = np.zeros((6, 8), bool)
+    ring[1:5, 2:6] = True
+    runs = masks.from_bitmap(ring).tolist()
+    path = tmp_path / "gt.json"
+    forms = [f'{{"size":[6,8],"counts":{runs}}}', f'{{"size":[6,8],"counts":"{masks.to_text(np.array(runs))}"}}'.replace("\\", "\\\\"), "[[2,1,6,1,6,5,2,5]]", "[2,1,6,1,6,5,2,5]"]
+    rows = ",".join(f'{{"id":{k},"image_id":1,"category_id":1,"segmentation":{s}}}' for k, s in enumerate(forms))
+    path.write_text(f'{{"images":[{{"id":1,"file_name":"a.jpg","width":8,"height":6}}],"annotations":[{rows}],"categories":[]}}')
+    images, annotations, _ = coco.read_coco(spark, str(path))
+    preds = annotations.select("image_id", "category_id", "segmentation", (F.lit(1.0) - F.col("id") / 10).alias("score"))
+    got = sorted(coco.mask_predictions(preds, images).collect(), key=lambda r: r.id)
+    assert [r.id for r in got] == [1, 2, 3, 4] and [r.bbox for r in got] == [[2.0, 1.0, 4.0, 4.0]] * 4 and [r.area for r in got] == [16.0] * 4
+
+
+def test_tracking_text(spark, tmp_path):
+    path = tmp_path / "t.txt"
+    path.write_text("1,5,1,2,3,4,0.5,car,\n1,-1,1,2,3,4,0.5,car,\n2,6,1,2,3,4," + ",".join(map(str, range(100))) + "\n2,7,1,2,3,4,0.5,ignore,\n")
+    rows, crowd = coco.read_track_text(spark, str(path), crowd=(7, "ignore"), values={7: {"car": "vehicle"}})
+    got = {r.track_id: r.rest for r in rows.collect()}
+    assert got[5] == ["0.5", "vehicle"] and len(got[6]) == 100 and [r.track_id for r in crowd.collect()] == [7]
+
+
+def test_keypoint_boxes_and_empty_frames(spark):
+    images = spark.createDataFrame([(1,)], "id long")
+    preds = spark.createDataFrame([(1, 2, None, [4.0, 5.0, 2.0, 1.0, 9.0, 1.0], 0.5)], "image_id long, category_id int, bbox array<double>, keypoints array<double>, score double")
+    assert coco.normalise_predictions(preds, images)[0].first().bbox == [1.0, 5.0, 3.0, 4.0]
+    dets = spark.createDataFrame([("a", 0, 1, 0.0, 0.0, 64.0, 48.0)], "frame string, class_id int, det_id long, x double, y double, w double, h double")
+    frames = spark.createDataFrame([("a",), ("b",)], "frame string")
+    assert {r.frame: r.text for r in yolo.yolo_lines(dets, "frame", 640, 480, frames=frames).collect()} == {"a": "0 0.050000 0.050000 0.100000 0.100000", "b": ""}
+    assert {(r.class_id, r.name) for r in yolo.class_names(spark, "person:0,car:2").collect()} == {(0, "person"), (2, "car")}
+
+
+def test_listings_and_metric_files(spark, tmp_path):
+    from annolake.sources import listing
+
+    for name in ("a.JPG", "b.png", "c.txt"):
+        (tmp_path / name).write_bytes(b"x")
+    found = listing.images_in(spark, str(tmp_path))
+    assert sorted(r.path.rsplit("/", 1)[1] for r in found.collect()) == ["a.JPG", "b.png"]
+    (tmp_path / "list.txt").write_text("\n".join([*(r.path for r in found.collect()), "", "gone.jpg"]))
+    assert listing.images_of_list(spark, str(tmp_path / "list.txt"), found).count() == 2
+    listing.write_metrics(spark.createDataFrame([("a", 0.5)], "metric string, value double"), spark.createDataFrame([(1, 2)], "video_id long, n long"), str(tmp_path / "out"))
+    assert spark.read.json(str(tmp_path / "out/dataset_results")).first().dataset_results.a == 0.5
