@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..operators import associate, evaluation, label_qa, matching, metrics, pairs, prep, remap, tracks
+from ..operators import associate, evaluation, label_qa, matching, metrics, pairs, prep, remap, teta, tracks
 from ..sources import listing
 from . import fixtures as fx
 from .fixtures import DT, FR, GT, IMG, TD, TG, iou_sql
@@ -304,3 +304,11 @@ def video_phrase_rows(spark: SparkSession, d: str) -> DataFrame:
     one = lambda df: df.select(*keys, "track_id").distinct().join(ids, keys)
     per = metrics.phrase_rows(metrics.image_counts(ids.select(F.col("image_id").alias("id")), one(gt), one(dt), matched))
     return rounded(per.join(ids, "image_id").select(*keys, "tp", "fp", "fn", "f1"), "f1")
+
+
+@query()
+def track_teta(spark: SparkSession, d: str) -> DataFrame:
+    """Every fifth predicted track is of the next class."""
+    other = F.when(F.col("track_id") % 5 == 0, F.col("category_id") % 5 + 1).otherwise(F.col("category_id")).cast("int")
+    out = teta.teta(fx.tracks_gt(spark, d), fx.tracks_pred(spark, d).withColumn("category_id", other))
+    return rounded(out, "loc_a", "assoc_a", "assoc_re", "assoc_pr", "cls_a", "teta")

@@ -219,3 +219,86 @@ def test_few_is_checked(spark):
     with pytest.raises(ValueError, match="more than 3"):
         few(spark.range(5), "id", 3)
     assert evaluation.merged_categories(spark.range(3).withColumnRenamed("id", "category_id"), {7: [0, 2]}).collect()[0][0] == 7
+
+
+def assignment(score):
+    """Pairs of the best assignment of a {(row, column): score}, whatever is on pairs that are not there."""
+    gs, ds = sorted({g for g, _ in score}), sorted({d for _, d in score})
+    small, large, turn = (gs, ds, False) if len(gs) <= len(ds) else (ds, gs, True)
+    pairs = lambda p: [(b, a) if turn else (a, b) for a, b in zip(small, p, strict=True)]
+    best = max((pairs(p) for p in permutations(large, len(small))), key=lambda ps: round(sum(score.get(q, 0) for q in ps), 12), default=[])
+    return [q for q in best if score.get(q, 0) > 0]
+
+
+def aligned(sims, n_gt, n_dt):
+    share = defaultdict(float)
+    for s in sims.values():
+        for (g, d), v in s.items():
+            share[g, d] += v / (sum(x for (g2, _), x in s.items() if g2 == g) + sum(x for (_, d2), x in s.items() if d2 == d) - v)
+    return {(g, d): m / (n_gt[g] + n_dt[d] - m) for (g, d), m in share.items()}
+
+
+def test_teta(spark, sf):
+    from annolake.operators import teta
+
+    gt = fx.tracks_gt(spark, sf).where("video_id % 3 <> 0")
+    # some predictions under another class, and some that lie on nothing
+    other = F.when(F.col("track_id") % 5 == 0, (F.col("category_id") % 5) + 1).otherwise(F.col("category_id"))
+    dt = fx.tracks_pred(spark, sf).where("video_id % 3 <> 0").withColumn("category_id", other.cast("int")).withColumn("x", F.when(F.col("track_id") % 7 == 0, F.col("x") + 500).otherwise(F.col("x")))
+    got = {(r.cls, r.alpha): r for r in teta.teta(gt, dt).collect()}
+    g_rows, d_rows = ([r.asDict() for r in df.collect()] for df in (gt, dt))
+    classes, alphas = {r["category_id"] for r in g_rows}, (5, 50, 75)
+    s = {(c, a): defaultdict(float) for c in range(1, 6) for a in alphas}
+    for video in {r["video_id"] for r in g_rows} | {r["video_id"] for r in d_rows}:
+        frames = defaultdict(lambda: ([], []))
+        for k, rows in enumerate((g_rows, d_rows)):
+            for r in rows:
+                if r["video_id"] == video:
+                    frames[r["frame_idx"]][k].append(r)
+        sim = {f: {(x["track_id"], y["track_id"]): v for x in a for y in b if (v := iou(x, y)) > 0} for f, (a, b) in frames.items()}
+        cls_of = {x["track_id"]: x["category_id"] for a, _ in frames.values() for x in a}
+
+        def count(rows_of, ids=None):
+            n = defaultdict(int)
+            for pair in frames.values():
+                for r in pair[rows_of]:
+                    if ids is None or r["track_id"] in ids:
+                        n[r["track_id"]] += 1
+            return n
+
+        near = {d for x in sim.values() for (_, d), v in x.items() if v >= 0.5}
+        on = {f: {q: v for q, v in x.items() if q[1] in near} for f, x in sim.items()}
+        al = aligned(on, count(0), count(1, near))
+        taken = {f: {d: cls_of[g] for g, d in assignment({q: al[q] * v for q, v in x.items()}) if x[g, d] >= 0.5 - 1e-15} for f, x in on.items()}
+        for c in range(1, 6):
+            over = {f: {d for (g, d), v in x.items() if v >= 0.5 and cls_of[g] == c} - {d for d, of in taken[f].items() if of != c} for f, x in sim.items()}
+            ids = set().union(*over.values()) if over else set()
+            own = {f: {(g, d): v for (g, d), v in x.items() if cls_of[g] == c and d in ids} for f, x in sim.items()}
+            n_g, n_d = count(0, {t for t, k in cls_of.items() if k == c}), count(1, ids)
+            al = aligned(own, n_g, n_d)
+            pairs = {f: assignment({q: al[q] * v for q, v in x.items()}) for f, x in own.items()}
+            for a in alphas:
+                hits = [(f, q) for f, ps in pairs.items() for q in ps if own[f][q] >= a / 100 - 1e-15]
+                kinds = [next(r["category_id"] for r in frames[f][1] if r["track_id"] == d) for f, (_, d) in hits]
+                v, times = s[c, a], defaultdict(int)
+                for f, q in hits:
+                    times[q] += 1
+                v["tp"] += len(hits)
+                v["fn"] += sum(n_g.values()) - len(hits)
+                v["fp"] += sum(len(o - {d for f2, (_, d) in hits if f2 == f}) for f, o in over.items())
+                v["assoc"] += sum(k * k / (n_g[g] + n_d[d] - k) for (g, d), k in times.items())
+                v["cls_tp"] += sum(k == c for k in kinds)
+                v["cls_fn"] += sum(k != c for k in kinds)
+                v["cls_fp"] += sum(len({r["track_id"] for r in b if r["category_id"] == c} - over[f]) for f, (_, b) in frames.items())
+                for k in kinds:
+                    if k != c:
+                        s[k, a]["cls_fp"] += 1
+    assert any(v["cls_fn"] for v in s.values()) and any(v["fp"] for v in s.values())
+    for c in classes:
+        for a in alphas:
+            v, r = s[c, a], got[c, a]
+            assert (r.loc_tp, r.loc_fn, r.loc_fp) == (v["tp"], v["fn"], v["fp"]), (c, a)
+            assert r.assoc_a == pytest.approx(v["assoc"] / max(1, v["tp"]), abs=1e-9)
+            assert r.teta == pytest.approx((r.loc_a + r.assoc_a + r.cls_a) / 3, abs=1e-12)
+        low = s[c, 50]
+        assert got[c, 50].cls_a <= low["cls_tp"] / max(1, low["cls_tp"] + low["cls_fn"] + low["cls_fp"]) + 1e-9
