@@ -5,7 +5,8 @@ patterns' own spans, with generated entries written into some windows (also in s
 know, such as "name (at) host dot tld" or a national telephone number). Every whole text is then read in
 overlapping windows; where two windows overlap each decides the half that is nearer to its middle, so a
 text gets one tag per character, and its runs of tags are spans over the whole text. A tagged span is added if it is
-sure (mean margin over "no entry"), plausible for its kind, and touches no pattern span; pattern spans always stay.
+sure (mean margin over "no entry"), plausible for its kind (a run of card numbers is split into those that pass Luhn), and touches
+no pattern span; pattern spans always stay.
 
 Defined cases: null and empty texts have no spans; positions are code points, end exclusive; repeated rows are tagged alike;
 other columns are not read; without any text the tagger trains on generated windows alone.
@@ -29,7 +30,7 @@ from .bilstm import PAD, TAGS, Tagger, symbols
 KINDS = TAGS[1:]
 WINDOW, OVERLAP = 512, 64
 BATCH = 512
-SURE = 1.5
+SURE = 1.0
 SHORTEST = 7
 TRAIN_STEPS = 96
 
@@ -230,8 +231,29 @@ def tag_texts(texts: list[str], tagger: Tagger) -> list[tuple[np.ndarray, np.nda
 def plausible(kind: int, entry: str) -> bool:
     """Whether a tagged run has what every entry of its kind has: an at sign or word, or enough digits."""
     if kind == 0:
-        return len(entry) <= 120 and bool(_AT.search(entry))
-    return len(entry) <= 40 and sum(map(str.isdigit, entry)) >= (4 if kind == 1 else 7)
+        return bool(_AT.search(entry))
+    return sum(map(str.isdigit, entry)) >= (4 if kind == 1 else 7)
+
+
+def card_numbers(text: str, a: int, b: int) -> list[tuple[int, int]]:
+    """The card numbers within a tagged run, which may hold several in a row: 13 to 19 digits that pass Luhn, begin where a group
+    of digits or the number before ends, and end where a group ends or another number can begin."""
+    at = [i for i in range(a, b) if text[i] in "0123456789"]
+    digits = "".join(text[i] for i in at)
+    opens = [k == 0 or at[k] != at[k - 1] + 1 for k in range(len(at))] + [True]
+    out, k, fresh = [], 0, True
+    while k + 13 <= len(at):
+        if opens[k] or not fresh:
+            for n in (16, 15, 19, 18, 17, 14, 13):
+                if k + n <= len(at) and luhn(digits[k : k + n]) and (opens[k + n] or len(at) - k - n >= 13):
+                    out.append((at[k], at[k + n - 1] + 1))
+                    k, fresh = k + n, False
+                    break
+            else:
+                k, fresh = k + 1, True
+        else:
+            k += 1
+    return out
 
 
 def model_spans(text: str, tags: np.ndarray, margins: np.ndarray, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
@@ -249,8 +271,10 @@ def model_spans(text: str, tags: np.ndarray, margins: np.ndarray, base: list[tup
         while b > a and text[b - 1] in " \t\r\n,;:.(":
             b -= 1
         sure = float(margins[a:b].mean()) if b > a else 0.0
-        if b - a >= SHORTEST and sure >= SURE and plausible(k, text[a:b]) and not any(x < b and a < y for _, x, y in base):
-            out.append((k, a, b))
+        if b - a >= SHORTEST and sure >= SURE and plausible(k, text[a:b]):
+            for x, y in card_numbers(text, a, b) if k == 2 else [(a, b)]:
+                if not any(p < y and x < q for _, p, q in base):
+                    out.append((k, x, y))
     return out
 
 

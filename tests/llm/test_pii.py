@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -68,7 +70,6 @@ def tagger(spark):
 
 
 def test_the_tagger_finds_held_out_entries(tagger):
-    import random
 
     rng = random.Random(99)
     texts, spans = [], []
@@ -102,3 +103,35 @@ def test_query_and_odd_rows(spark, sf, tagger, odd_docs, no_docs):
     assert masked[4] is None and masked[5] == "" and masked[11] == "mail [EMAIL] or [PHONE] now, [IP] or [CARD]."
     assert pii.redact(short, tagger).columns == odd_docs.columns
     assert pii.find(no_docs, pii.train(no_docs, epochs=1)).count() == 0
+
+
+def test_card_numbers_in_a_row():
+    one = "4111 1111 1111 1111"
+    assert pii.card_numbers(f"{one} {one}", 0, 39) == [(0, 19), (20, 39)]
+    assert pii.card_numbers("4111111111111111" * 2, 0, 32) == [(0, 16), (16, 32)]
+    assert pii.card_numbers("4111 1111 1111 1112", 0, 19) == [] and pii.card_numbers("no digits", 0, 9) == []
+
+
+def test_added_spans_on_held_out_windows(spark, sf):
+    """Precision and recall of what the tagger adds, on windows of texts that it has not been trained on, with entries in
+    spellings that the patterns do not know, and decoys."""
+    docs = util.table(spark, sf, "documents")
+    tagger = pii.train(docs.where("doc_id % 2 = 0"))
+    rng = random.Random(99)
+    plain = [r.text for r in docs.where("doc_id % 2 = 1").collect() if r.text and len(r.text) > 200 and not pii.base_spans(r.text)][:60]
+    texts, want = [], []
+    while len(texts) < 400:
+        t = rng.choice(plain)
+        at = t.find(" ", rng.randrange(len(t) - 150)) + 1
+        kind, entry = pii._generated(rng) if len(texts) % 2 else (0, pii._decoy(rng))
+        if kind and pii.base_spans(entry):
+            continue  # the patterns have it
+        before = t[max(0, at - 80) : at]
+        texts.append(before + entry + ". " + t[at : at + 80])
+        want.append((kind - 1, len(before), len(before) + len(entry)) if kind else None)
+    got = [[s for s in all_ if s not in base] for base, all_ in pii.find_texts(texts, tagger)]
+    right = Counter(w[0] for w, g in zip(want, got, strict=True) if w and any(k == w[0] and a < w[2] and w[1] < b for k, a, b in g))
+    n, added = Counter(w[0] for w in want if w), sum(map(len, got))
+    print({pii.KINDS[k]: (right[k], n[k]) for k in n}, "added", added, "right", sum(right.values()))
+    assert sum(right.values()) >= 0.7 * added
+    assert sum(right.values()) >= 0.4 * sum(n.values())
