@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 from . import util
 
 SLICE_BYTES = 4 << 20
-CACHE_PIECES = 200_000
-REPLAY_PIECES = 200_000
+CACHE_PIECES = 150_000
+REPLAY_PIECES = 80_000
 
 
 class Numbers(dict):

@@ -60,8 +60,8 @@ def hash_sample(df: DataFrame, most: int, *ties: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Let no Arrow batch hold more than 16 MB of texts: a worker's memory then follows a batch, not its rows' length."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
+    """Let no Arrow batch hold more than 8 MB of texts: a worker's memory then follows a batch, not its rows' length."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
 
 
 def tidy() -> None:
