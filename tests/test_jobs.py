@@ -264,3 +264,26 @@ def test_listings_and_metric_files(spark, tmp_path):
     assert listing.images_of_list(spark, str(tmp_path / "list.txt"), found).count() == 2
     listing.write_metrics(spark.createDataFrame([("a", 0.5)], "metric string, value double"), spark.createDataFrame([(1, 2)], "video_id long, n long"), str(tmp_path / "out"))
     assert spark.read.json(str(tmp_path / "out/dataset_results")).first().dataset_results.a == 0.5
+
+
+def as_stream(spark, rows, folder, parts=3):
+    """The rows as files, a few frames in each, one file a micro-batch."""
+    last = rows.agg(F.max("frame_idx")).first()[0]
+    for lo in range(0, last + 1, last // parts + 1):
+        rows.where(F.col("frame_idx").between(lo, lo + last // parts)).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+
+
+def test_track_streams_agree_with_their_batch_twins(spark, sf, tmp_path):
+    from annolake.plans.queries import track_events
+    from annolake.streaming import tracks as st_tracks
+    from annolake.streaming.occlusion import occlusion_suppress
+
+    objects = fx.tracks_gt(spark, sf).withColumn("w", F.when(F.col("eid") % 5 == 0, F.lit(0.0)).otherwise(F.col("w"))).select("video_id", "frame_idx", "track_id", *"xywh")
+    want = sorted(map(tuple, occlusion_suppress(objects, 0.3).collect()))
+    got = st_frames.drained(st_tracks.stream_occlusion(as_stream(spark, objects, str(tmp_path / "o")), 0.3), "occlusion_test", str(tmp_path / "oc"))
+    assert want and sorted(map(tuple, got.collect())) == want
+    events = track_events(spark, sf)
+    want = sorted(map(tuple, prune_tracks(events, delay=40, unmatch=3, dup=2)[0].collect()))
+    got = st_frames.drained(st_tracks.stream_removals(as_stream(spark, events, str(tmp_path / "e")), delay=40, unmatch=3, dup=2), "removals_test", str(tmp_path / "ec"))
+    assert want and sorted(map(tuple, got.collect())) == want
