@@ -138,6 +138,34 @@ def normal_angle(angle: Column) -> Column:
     return F.pmod(angle + 180.0, F.lit(360.0)) - 180.0
 
 
+def rotated_inside(xc: Column, yc: Column, width: Column, height: Column, border: float = 0.0) -> Column:
+    """Whether the centre lies within the image, by at most `border` outside."""
+    return (xc >= -border) & (yc >= -border) & (xc < width + border) & (yc < height + border)
+
+
+def rotated_clip(xc: Column, yc: Column, w: Column, h: Column, angle: Column, width: Column, height: Column, level: float = 1.0) -> tuple[Column, ...]:
+    """(xc, yc, w, h, angle): a box that is level to within `level` degrees is cut to the image, another one stays as it is."""
+    turn = normal_angle(angle)
+    flat = F.abs(turn) <= level
+    cut = clip(from_centre(xc, yc, w, h), width, height)
+    cx, cy, cw, ch = to_centre(cut)
+    # the size never grows by rounding
+    return F.when(flat, cx).otherwise(xc), F.when(flat, cy).otherwise(yc), F.when(flat, F.least(w, cw)).otherwise(w), F.when(flat, F.least(h, ch)).otherwise(h), turn
+
+
+def converted(v: tuple[Column, ...], source: str, target: str) -> tuple[Column, ...]:
+    """Columns of a box from one form to another: xyxy, xywh, cxcywh (4 columns each), rotated (xc, yc, w, h, angle).
+
+    A rotated box becomes its upright bounds; only an upright one becomes rotated, with angle 0.
+    """
+    if source == target:
+        return v
+    b = Box(*v) if source == "xyxy" else from_xywh(*v) if source == "xywh" else from_centre(*v) if source == "cxcywh" else rotated_bounds(*v)
+    if target == "rotated":
+        return (*to_centre(b), F.lit(0.0))
+    return tuple(b) if target == "xyxy" else to_xywh(b) if target == "xywh" else to_centre(b)
+
+
 def polygon_area(points: Column) -> Column:
     """Shoelace area of x0, y0, x1, y1, ... (array of doubles)."""
     n = F.size(points) / 2

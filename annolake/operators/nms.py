@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import boxes as bx
+from . import masks
 from .groups import map_groups
 
 
@@ -38,6 +39,29 @@ def _overlaps(dets: DataFrame, keys: list[str], measure, too_much) -> DataFrame:
     return left.join(right, keys).where(first & too_much(measure(bx.xywh("a_"), bx.xywh("b_")))).select(*keys, "hi", "hi_score", "lo")
 
 
+def mask_overlaps(dets: DataFrame, keys: list[str], measure: str, thr: float, inclusive: bool = False) -> DataFrame:
+    """Ordered pairs (keys, hi, hi_score, lo) of masks whose `measure` (iou or iom) is above `thr`, or at it too. dets: keys, det_id, score,
+    runs, and boxes x, y, w, h of the masks: only masks whose boxes meet are compared."""
+    left = dets.select(*keys, F.col("det_id").alias("hi"), F.col("score").alias("hi_score"), F.col("runs").alias("runs_a"), F.lit(0).alias("crowd"), *(F.col(c).alias(f"a_{c}") for c in "xywh"))
+    right = dets.select(*keys, F.col("det_id").alias("lo"), F.col("score").alias("lo_score"), F.col("runs").alias("runs_b"), *(F.col(c).alias(f"b_{c}") for c in "xywh"))
+    first = (F.col("hi_score") > F.col("lo_score")) | ((F.col("hi_score") == F.col("lo_score")) & (F.col("hi") < F.col("lo")))
+    near = left.join(right, keys).where(first & (bx.intersection(bx.xywh("a_"), bx.xywh("b_")) > 0)).select(*keys, "hi", "hi_score", "lo", "crowd", "runs_a", "runs_b")
+    v = F.col(measure)
+    return masks.similarity(near).where(v >= thr if inclusive else v > thr).select(*keys, "hi", "hi_score", "lo")
+
+
+def mask_nms(dets: DataFrame, keys: list[str], prob: float, thr: float) -> DataFrame:
+    """generic_nms by mask overlap."""
+    dets = dets.where(F.col("score") > prob)
+    return dets.join(_greedy(mask_overlaps(dets, keys, "iou", thr), keys), [*keys, "det_id"], "left_anti")
+
+
+def mask_iom_filter(dets: DataFrame, keys: list[str], thr: float = 0.3) -> DataFrame:
+    """iom_filter by mask overlap."""
+    gone = _greedy(mask_overlaps(dets, keys, "iom", thr), keys).withColumn("__gone", F.lit(True))
+    return dets.join(gone, [*keys, "det_id"], "left").withColumn("kept", F.col("__gone").isNull()).drop("__gone")
+
+
 def frame_nms(dets: DataFrame, keys: list[str], thr: float) -> DataFrame:
     """The detections that no higher-scored kept one overlaps with an iou of `thr` or more."""
     gone = _greedy(_overlaps(dets, keys, bx.iou, lambda v: v >= thr), keys)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import boxes as bx
+from . import masks
 
 
 def iou_join(gt: DataFrame, dt: DataFrame, keys: list[str], min_iou: float | None = None, crowd: str | None = None) -> DataFrame:
@@ -41,6 +42,17 @@ def tracklet_iou(gt: DataFrame, dt: DataFrame, keys: list[str], frame: str = "fr
     return sized.select(*keys, "gt_id", "dt_id", "inter", union.alias("union"), F.when(union > 0, F.col("inter") / union).otherwise(F.lit(0.0)).alias("iou"))
 
 
+def tracklet_mask_iou(gt: DataFrame, dt: DataFrame, keys: list[str], frame: str = "frame_idx") -> DataFrame:
+    """As tracklet_iou over masks (runs): both tracks empty in all frames count as one."""
+    size = lambda df, ids, name: df.groupBy(*keys, F.col("track_id").alias(ids)).agg(F.sum(masks.area(F.col("runs"))).alias(name))
+    left = gt.select(*keys, frame, F.col("track_id").alias("gt_id"), F.col("runs").alias("runs_a"), F.lit(0).alias("crowd"))
+    right = dt.select(*keys, frame, F.col("track_id").alias("dt_id"), F.col("runs").alias("runs_b"))
+    inter = masks.similarity(left.join(right, [*keys, frame])).groupBy(*keys, "gt_id", "dt_id").agg(F.sum("inter").alias("inter"))
+    sized = inter.join(size(gt, "gt_id", "g_area"), [*keys, "gt_id"]).join(size(dt, "dt_id", "d_area"), [*keys, "dt_id"])
+    union = F.col("g_area") + F.col("d_area") - F.col("inter")
+    return sized.select(*keys, "gt_id", "dt_id", "inter", union.alias("union"), F.when(union > 0, F.col("inter") / union).otherwise(F.lit(1.0)).alias("iou"))
+
+
 def _turned(xc: float, yc: float, w: float, h: float, angle: float) -> list[tuple[float, float]]:
     c, s = math.cos(math.radians(angle)), math.sin(math.radians(angle))
     return [(xc + c * dx + s * dy, yc - s * dx + c * dy) for dx, dy in ((-w / 2, -h / 2), (w / 2, -h / 2), (w / 2, h / 2), (-w / 2, h / 2))]

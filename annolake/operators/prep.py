@@ -81,10 +81,24 @@ def size_guards(queries: DataFrame, most_queries: int, most_objects: int, datapo
     return queries.join(rejects, "datapoint_id", "left_anti"), rejects
 
 
-def compact(queries: DataFrame, objects: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+def compact_images(queries: DataFrame, objects: DataFrame, images: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(queries, objects, images) with new_image: images that no query and no object names are dropped, the others numbered anew.
+
+    All three hold datapoint_id and image_idx.
+    """
+    used = queries.select("datapoint_id", "image_idx").unionByName(objects.select("datapoint_id", "image_idx")).distinct()
+    kept = images.join(used, ["datapoint_id", "image_idx"], "left_semi").withColumn("new_image", F.row_number().over(Window.partitionBy("datapoint_id").orderBy("image_idx")) - 1)
+    ids = kept.select("datapoint_id", "image_idx", "new_image")
+    return queries.join(ids, ["datapoint_id", "image_idx"]), objects.join(ids, ["datapoint_id", "image_idx"]), kept
+
+
+def compact(queries: DataFrame, objects: DataFrame, datapoints: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(queries, objects, rejects) after filters: queries and stages numbered anew, unreferenced objects dropped, ids in
-    object_ids mapped. A datapoint without a first stage is rejected."""
+    object_ids mapped. A datapoint without a first stage is rejected, and one of `datapoints` that has no query left."""
     lost = queries.groupBy("datapoint_id").agg(F.min("processing_order").alias("m")).where("m > 0").select("datapoint_id", F.lit("no_first_stage").alias("reason"))
+    if datapoints is not None:
+        bare = datapoints.select("datapoint_id").distinct().join(queries, "datapoint_id", "left_anti")
+        lost = lost.unionByName(bare.select("datapoint_id", F.lit("empty").alias("reason")))
     own = queries.join(lost, "datapoint_id", "left_anti")
     by = Window.partitionBy("datapoint_id")
     own = own.withColumn("new_query", F.row_number().over(by.orderBy("query_idx")) - 1).withColumn("new_stage", F.dense_rank().over(by.orderBy("processing_order")) - 1)
@@ -157,11 +171,13 @@ def clip_rows(rows: DataFrame, clips: DataFrame) -> DataFrame:
     return rows.join(clips.select("video_id", "frame_idx", "stage"), ["video_id", "frame_idx"])
 
 
-def frame_plan(videos: DataFrame, every: int) -> DataFrame:
-    """Every n-th frame of each video (0: all) with a name; videos (video_name, length)."""
+def frame_plan(videos: DataFrame, every: int, running: bool = False) -> DataFrame:
+    """Every n-th frame of each video (0: all) with a name; videos (video_name, length). With `running`, also a number over all
+    frames of all videos, by name and frame."""
     step = max(1, every)
     rows = videos.where("length > 0").select("video_name", F.explode(F.sequence(F.lit(0), F.col("length") - 1, F.lit(step))).alias("frame_idx"))
-    return rows.withColumn("name", F.format_string("%s_frame_%06d", "video_name", "frame_idx"))
+    named = rows.withColumn("name", F.format_string("%s_frame_%06d", "video_name", "frame_idx"))
+    return numbered(named, ["video_name", "frame_idx"], "number") if running else named
 
 
 def shard_of(df: DataFrame, order: str, shards: int) -> DataFrame:

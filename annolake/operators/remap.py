@@ -68,8 +68,24 @@ def nested_tracks(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def exploded_tracks(tracks: DataFrame, keys: list[str]) -> DataFrame:
-    """Track rows to frame rows; null and all-zero boxes are absent; area falls back to w * h."""
-    rows = tracks.select(*keys, F.posexplode("bboxes").alias("frame_idx", "box"))
-    rows = rows.where("box is not null and exists(box, v -> v <> 0)")
-    cols = [F.col("box")[i].alias(c) for i, c in enumerate("xywh")]
-    return rows.select(*keys, "frame_idx", *cols, (F.col("box")[2] * F.col("box")[3]).alias("area"))
+    """Track rows to frame rows; null and all-zero boxes are absent, and so are those of area 0 where the tracks have areas;
+    without areas the area is w * h."""
+    areas = F.col("areas") if "areas" in tracks.columns else F.lit(None).cast("array<double>")
+    rows = tracks.select(*keys, areas.alias("areas"), F.posexplode("bboxes").alias("frame_idx", "box"))
+    area = F.coalesce(F.try_element_at("areas", F.col("frame_idx") + 1), F.col("box")[2] * F.col("box")[3])
+    rows = rows.withColumn("area", area).where("box is not null and exists(box, v -> v <> 0) and (areas is null or area <> 0)")
+    return rows.select(*keys, "frame_idx", *(F.col("box")[i].alias(c) for i, c in enumerate("xywh")), "area")
+
+
+def with_images(rows: DataFrame, video: str = "video_id", frame: str = "frame_idx") -> tuple[DataFrame, DataFrame]:
+    """(rows with image_id, images): an image for every frame of every video, numbered from 1 in the order of video and frame."""
+    images = numbered(rows.select(video, frame).distinct(), [video, frame], "image_id", start=1)
+    return rows.join(images, [video, frame]), images
+
+
+def with_negatives(ids: DataFrame, negatives: DataFrame, order: list[str]) -> DataFrame:
+    """`ids` (new_id) followed by pairs that have neither truth nor prediction, in the given order of the file."""
+    last = ids.agg(F.coalesce(F.max("new_id"), F.lit(0)).alias("__last"))
+    keys = [c for c in ids.columns if c != "new_id"]
+    rest = numbered(negatives.join(ids, keys, "left_anti"), order, "__i", start=1).crossJoin(F.broadcast(last))  # one row
+    return ids.unionByName(rest.select(*keys, (F.col("__last") + F.col("__i")).alias("new_id")))

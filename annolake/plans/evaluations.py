@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import boxes as bx
 from ..functions import text as tx
 from ..operators import associate, evaluation, label_qa, matching, metrics, pairs, prep, remap, teta, tracks
-from ..sources import listing
+from ..sources import coco, listing
 from . import fixtures as fx
 from .fixtures import DT, FR, GT, IMG, TD, TG, iou_sql
 from .queries import DAYS, GRID, QO, day_frames, query, query_tables, rounded
@@ -312,3 +313,38 @@ def track_teta(spark: SparkSession, d: str) -> DataFrame:
     other = F.when(F.col("track_id") % 5 == 0, F.col("category_id") % 5 + 1).otherwise(F.col("category_id")).cast("int")
     out = teta.teta(fx.tracks_gt(spark, d), fx.tracks_pred(spark, d).withColumn("category_id", other))
     return rounded(out, "loc_a", "assoc_a", "assoc_re", "assoc_pr", "cls_a", "teta")
+
+
+@query(
+    f"with {GT}, r as (select *, ((pk*37)%720-360)::double a, x+w/2 xc, y+h/2 yc from gt), n as (select *, (((a+180)%360+360)%360)-180 t from r)"
+    " select image_id, ann_id, xc >= 0 and yc >= 0 and xc < 300 and yc < 200 inside, t angle, case when abs(t) <= 1 then (greatest(0, least(x, 300.0::double))+greatest(0, least(x+w, 300.0::double)))/2 else xc end xc,"
+    " case when abs(t) <= 1 then least(w, greatest(0, least(x+w, 300.0::double))-greatest(0, least(x, 300.0::double))) else w end w from n"
+)
+def rotated_boxes_in_images(spark: SparkSession, d: str) -> DataFrame:
+    r = fx.gt_boxes(spark, d).withColumn("a", ((F.col("pk") * 37) % 720 - 360).cast("double")).withColumns({"xc": F.expr("x + w / 2"), "yc": F.expr("y + h / 2")})
+    size = F.lit(300.0), F.lit(200.0)
+    xc, _, w, _, angle = bx.rotated_clip(*(F.col(c) for c in ("xc", "yc", "w", "h", "a")), *size)
+    return r.select("image_id", "ann_id", bx.rotated_inside(F.col("xc"), F.col("yc"), *size).alias("inside"), angle.alias("angle"), xc.alias("xc"), w.alias("w"))
+
+
+@query(f"with {TG}, v as (select video_id, 1+max(frame_idx) n from tg group by 1) select video_id, category_id, track_id, n length, count(*) boxes from tg join v using (video_id) group by 1, 2, 3, 4")
+def padded_tracklets(spark: SparkSession, d: str) -> DataFrame:
+    """Tracks on all frames of their video: boxes are null, and scores -1e8, where they are absent."""
+    t = fx.tracks_gt(spark, d).withColumn("score", F.lit(0.5))
+    out = coco.tracklet_records(t, t.groupBy("video_id").agg((F.max("frame_idx") + 1).alias("length")))
+    boxes = F.size(F.filter("per_frame_scores", lambda s: s > -1e8)).cast("long")
+    return out.select("video_id", "category_id", "track_id", F.size("bboxes").cast("long").alias("length"), boxes.alias("boxes"))
+
+
+@query(f"with {TG}, i as (select video_id, frame_idx, row_number() over (order by video_id, frame_idx) image_id from (select distinct video_id, frame_idx from tg)) select video_id, frame_idx, track_id, image_id from tg join i using (video_id, frame_idx)")
+def video_images(spark: SparkSession, d: str) -> DataFrame:
+    return remap.with_images(fx.tracks_gt(spark, d).select("video_id", "frame_idx", "track_id"))[0]
+
+
+@query(
+    f"with {FR}, v as (select video_id, 1+max(frame_idx) n from fr group by 1), p as (select 'v'||video_id video_name, f frame_idx from (select video_id, unnest(range(0, n, 4)) f from v))"
+    " select video_name, frame_idx, row_number() over (order by video_name, frame_idx) - 1 as number from p"
+)
+def numbered_frame_plan(spark: SparkSession, d: str) -> DataFrame:
+    v = fx.frames(spark, d).groupBy("video_id").agg((F.max("frame_idx") + 1).alias("length"))
+    return prep.frame_plan(v.select(F.concat(F.lit("v"), F.col("video_id").cast("string")).alias("video_name"), "length"), 4, running=True).drop("name")

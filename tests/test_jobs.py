@@ -287,3 +287,45 @@ def test_track_streams_agree_with_their_batch_twins(spark, sf, tmp_path):
     want = sorted(map(tuple, prune_tracks(events, delay=40, unmatch=3, dup=2)[0].collect()))
     got = st_frames.drained(st_tracks.stream_removals(as_stream(spark, events, str(tmp_path / "e")), delay=40, unmatch=3, dup=2), "removals_test", str(tmp_path / "ec"))
     assert want and sorted(map(tuple, got.collect())) == want
+
+
+def test_mask_suppression_and_tracklets(spark):
+    def runs(x, y, w, h):
+        m = np.zeros((20, 20), bool)
+        m[y : y + h, x : x + w] = True
+        return masks.from_bitmap(m).tolist()
+
+    shapes = [(1, 0.9, 0, 0, 10, 10), (2, 0.8, 0, 0, 10, 9), (3, 0.7, 12, 12, 4, 4), (4, 0.6, 0, 0, 3, 3)]
+    rows = [(1, i, s, float(x), float(y), float(w), float(h), runs(x, y, w, h)) for i, s, x, y, w, h in shapes]
+    dets = spark.createDataFrame(rows, "image_id long, det_id long, score double, x double, y double, w double, h double, runs array<int>")
+    assert sorted(r.det_id for r in nms.mask_nms(dets, ["image_id"], 0.0, 0.5).collect()) == [1, 3, 4]
+    assert sorted(r.det_id for r in nms.mask_iom_filter(dets, ["image_id"], 0.5).where("kept").collect()) == [1, 3]
+    track = lambda t, f, box: (1, t, f, runs(*box))
+    schema = "video_id long, track_id long, frame_idx long, runs array<int>"
+    a = spark.createDataFrame([track(1, 0, (0, 0, 4, 4)), track(1, 1, (0, 0, 4, 4))], schema)
+    b = spark.createDataFrame([track(5, 1, (0, 0, 4, 2)), track(5, 2, (0, 0, 4, 4))], schema)
+    r = pairs.tracklet_mask_iou(a, b, ["video_id"]).first()
+    assert (r.inter, r.union, r.iou) == (8, 48, pytest.approx(8 / 48))
+
+
+def test_box_forms(spark):
+    from annolake.functions import boxes as bx
+
+    row = spark.createDataFrame([(1.0, 2.0, 4.0, 6.0)], "a double, b double, c double, d double")
+    box = tuple(F.col(c) for c in "abcd")
+    forms = {"xywh": (1.0, 2.0, 3.0, 4.0), "cxcywh": (2.5, 4.0, 3.0, 4.0), "rotated": (2.5, 4.0, 3.0, 4.0, 0.0)}
+    for name, want in forms.items():
+        there = bx.converted(box, "xyxy", name)
+        back = bx.converted(there, name, "xyxy")
+        assert tuple(row.select(*there).first()) == want and tuple(row.select(*back).first()) == (1.0, 2.0, 4.0, 6.0)
+
+
+def test_compaction_of_images_and_negative_pairs(spark):
+    q = spark.createDataFrame([(1, 0, 2)], "datapoint_id long, query_idx long, image_idx int")
+    o = spark.createDataFrame([(1, 0, 5)], "datapoint_id long, obj_idx long, image_idx int")
+    images = spark.createDataFrame([(1, k) for k in range(7)], "datapoint_id long, image_idx int")
+    q2, o2, kept = prep.compact_images(q, o, images)
+    assert (q2.first().new_image, o2.first().new_image, kept.count()) == (0, 1, 2)
+    ids = spark.createDataFrame([(1, 1, 1), (1, 2, 2)], "video_id long, category_id int, new_id long")
+    more = spark.createDataFrame([(9, 1, 0), (1, 1, 1), (3, 2, 2)], "video_id long, category_id int, line long")
+    assert sorted(map(tuple, remap.with_negatives(ids, more, ["line"]).collect())) == [(1, 1, 1), (1, 2, 2), (3, 2, 4), (9, 1, 3)]
