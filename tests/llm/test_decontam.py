@@ -1,6 +1,8 @@
+import math
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from annolake.llm import decontam, util
 
@@ -67,3 +69,48 @@ def test_odd_rows(spark, odd_docs, no_docs):
     none = spark.createDataFrame([], ITEMS)
     assert decontam.find_leaks(odd_docs, none).count() == 0 and decontam.keep_clean(odd_docs, none).count() == odd_docs.count()
     assert decontam.find_leaks(no_docs, items).count() == 0
+
+
+def test_leaks_against_all_scores_of_all_items(spark, sf):
+    """The whole decision without an index: every passage against every part of every item, then the overlap of words."""
+    docs = util.table(spark, sf, "documents").select("doc_id", "text")
+    bench = util.table(spark, sf, "benchmark")
+    some = [r.text for r in bench.collect() if r.text][:6]
+    # near copies: a word dropped or replaced here and there
+    near = [(-1 - k, "before it " + " ".join(w if i % (9 + k) else "other" for i, w in enumerate(t.split())) + " after it") for k, t in enumerate(some)]
+    docs = docs.unionByName(spark.createDataFrame(near, "doc_id long, text string"))
+    items = [(r.item_id, *decontam.question_and_answer(r.text)) for r in bench.select("item_id", "text").distinct().collect() if decontam.split_words(r.text)]
+    n, df = len(items), Counter()
+    for _, q, a in items:
+        df.update(set(q + a))
+    lengths = bench.select("item_id", "text").distinct().agg(F.avg(F.size(F.split("text", r"\s+")))).first()[0]
+    norm = max(1.0, min(lengths, decontam.PART))
+    parts = []
+    for k, (_, q, a) in enumerate(items):
+        own = q + a
+        for at in range(0, len(own), decontam.PART):
+            part = own[at : at + decontam.PART]
+            if at == 0 or len(part) >= decontam.SHINGLE:
+                tf = Counter(part)
+                size = decontam.K1 * (1 - decontam.B + decontam.B * len(part) / norm)
+                weight = {t: math.log(1 + (n - df[t] + 0.5) / (df[t] + 0.5)) * f * (decontam.K1 + 1) / (f + size) for t, f in tf.items()}
+                parts.append((k, weight, sum(weight.values())))
+    want = set()
+    for r in docs.collect():
+        own = decontam.split_words(r.text)
+        for at in range(0, max(1, len(own) - decontam.PASSAGE + decontam.STEP), decontam.STEP) if own else ():
+            here = set(own[at : at + decontam.PASSAGE])
+            for k, weight, whole in parts:
+                if sum(w for t, w in weight.items() if t in here) / whole < decontam.THRESHOLD:
+                    continue
+                item_id, q, a = items[k]
+                text, reach = q + a, len(q + a)
+                around = own[max(0, at - reach) : at + decontam.PASSAGE + reach]
+                size = min(decontam.SHINGLE, len(text))
+                there = {tuple(around[i : i + size]) for i in range(len(around) - size + 1)}
+                covered = [any(tuple(text[j : j + size]) in there for j in range(max(0, i - size + 1), min(i, len(text) - size) + 1)) for i in range(len(text))]
+                shares = [sum(c) / len(c) for c in (covered[: len(q)], covered[len(q) :]) if c]
+                if min(shares) >= decontam.COVER:
+                    want.add((r.doc_id, item_id))
+    got = {(r.doc_id, r.item_id) for r in decontam.find_leaks(docs, bench).collect()}
+    assert got == want and any(i < 0 for i, _ in want)

@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -54,3 +55,42 @@ def test_scores_do_not_see_other_columns(spark):
     a = {r.doc_id: r.score for r in quality.score(docs, model).collect()}
     b = {r.doc_id: r.score for r in quality.score(docs.withColumn("lang", F.lit("xx")).withColumn("source", F.lit(None)), model).collect()}
     assert a == pytest.approx(b)
+
+
+def test_scores_against_a_direct_fit(spark, sf):
+    """The same model by least squares over all rows at once, and isotonic steps by their min-max formula."""
+    docs, labels = util.table(spark, sf, "documents"), util.table(spark, sf, "labels")
+    model = quality.fit(docs, labels, train=util.fold(F.col("doc_id"), quality.FOLDS) != 0)
+    rows = docs.join(labels.where("quality is not null"), "doc_id").select("doc_id", "text", "quality", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(4)).alias("q")).collect()
+    rows = [r for r in rows if zlib.crc32(str(r.doc_id).encode()) % 5]
+    stats = quality.document_stats(pa.array([(r.text or "").encode() for r in rows]))
+    y, fitted = np.array([float(r.quality) for r in rows]), np.array([r.q != 0 for r in rows])
+    rng = np.random.default_rng(7)
+    w, b = rng.normal(0, 1, (quality.STATS, 384)) * (1.2 / np.sqrt(quality.STATS)), rng.uniform(0, 2 * np.pi, 384)
+    mean, scale = stats.mean(axis=0), np.maximum(stats.std(axis=0), 1e-6)
+
+    def features(s):
+        x = np.clip((s - mean) / scale, -6, 6)
+        return np.hstack([np.cos(x @ w + b) * np.sqrt(2 / 384), x, np.ones((len(x), 1))])
+
+    z = features(stats[fitted])
+    penalty = np.sqrt(1e-3 * max(1.0, fitted.sum()) * 1e-2)
+    beta = np.linalg.lstsq(np.vstack([z, penalty * np.eye(z.shape[1])]), np.concatenate([y[fitted], np.zeros(z.shape[1])]), rcond=None)[0]
+    raw, own = features(stats[~fitted]) @ beta, y[~fitted]
+    order = np.lexsort((own, raw))
+    raw, own = raw[order], own[order]
+    sums = np.concatenate([[0], np.cumsum(own)])
+    level = [max(min((sums[k + 1] - sums[j]) / (k + 1 - j) for k in range(i, len(own))) for j in range(i + 1)) for i in range(len(own))]
+    knots, values, i = [], [], 0
+    while i < len(own):
+        k = i
+        while k + 1 < len(own) and abs(level[k + 1] - level[i]) < 1e-12:
+            k += 1
+        knots.append(raw[i : k + 1].mean())
+        values.append((own[i : k + 1].sum() + 0.05) / (k + 1 - i + 0.1))
+        i = k + 1
+    got = {r.doc_id: r.score for r in quality.score(docs, model).collect()}
+    all_rows = docs.select("doc_id", "text").collect()
+    raw = features(quality.document_stats(pa.array([(r.text or "").encode() for r in all_rows]))) @ beta
+    want = np.clip(0.99 * np.interp(raw, knots, values) + 0.01 / (1 + np.exp(-np.clip(8 * (raw - 0.5), -30, 30))), 0, 1)
+    assert [got[r.doc_id] for r in all_rows] == pytest.approx(want.tolist(), abs=1e-6)
