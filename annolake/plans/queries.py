@@ -274,12 +274,28 @@ def frame_level_nms(spark: SparkSession, d: str) -> DataFrame:
     return nms.frame_nms(dets, ["video_id", "frame_idx"], 0.3).select("video_id", "frame_idx", F.col("det_id").alias("track_id"))
 
 
-@query()
+SWEEP = """n as (select {key}, 0::bigint rk, []::bigint[] kept from s group by 1
+  union all select n.{key}, n.rk+1, case when count(p.rk) filter (list_contains(n.kept, p.rk)) > 0 then any_value(n.kept) else list_append(any_value(n.kept), n.rk+1) end
+  from n join s on s.{key}=n.{key} and s.rk=n.rk+1 left join ov p on p.{key}=n.{key} and p.lo=s.rk group by n.{key}, n.rk)"""
+
+
+@query(
+    f"""with recursive {TD}, sc as (select video_id, track_id, avg(score) m from td group by 1, 2), s as (select *, row_number() over (partition by video_id order by m desc, track_id) rk from sc),
+pr as (select a.video_id, a.track_id ta, b.track_id tb, sum({inter_sql('a', 'b')}) i, sum(a.w*a.h+b.w*b.h-{inter_sql('a', 'b')}) u from td a join td b on a.video_id=b.video_id and a.frame_idx=b.frame_idx and a.track_id<>b.track_id group by 1, 2, 3),
+ov as (select pr.video_id, x.rk, y.rk lo from pr join s x on x.video_id=pr.video_id and x.track_id=ta join s y on y.video_id=pr.video_id and y.track_id=tb where i >= 0.3::double*u and x.rk < y.rk),
+{SWEEP.format(key='video_id')}
+select td.video_id, td.track_id, td.frame_idx from td join s using (video_id, track_id) join (select video_id, unnest(arg_max(kept, rk)) rk from n group by 1) using (video_id, rk)"""
+)
 def track_level_nms(spark: SparkSession, d: str) -> DataFrame:
     return nms.track_nms(fx.tracks_pred(spark, d), ["video_id"], 0.3).select("video_id", "track_id", "frame_idx")
 
 
-@query()
+@query(
+    f"""with recursive {GT}, {DT}, s as (select image_id, class_id*1000+det_id det_id, x, y, w, h, row_number() over (partition by image_id order by score desc, class_id*1000+det_id) rk from dt),
+ov as (select a.image_id, a.rk, b.rk lo from s a join s b on a.image_id=b.image_id and a.rk<b.rk and {inter_sql('a', 'b')}/least(a.w*a.h, b.w*b.h) > 0.3::double),
+{SWEEP.format(key='image_id')}
+select image_id, det_id, list_contains(kept, rk) kept from s join (select image_id, arg_max(kept, rk) kept from n group by 1) using (image_id)"""
+)
 def iom_overlap_filter(spark: SparkSession, d: str) -> DataFrame:
     dets = fx.pred_boxes(spark, d).withColumn("det_id", F.col("class_id") * 1000 + F.col("det_id"))
     return nms.iom_filter(dets, ["image_id"]).select("image_id", "det_id", "kept")
@@ -603,7 +619,14 @@ def hotstart_removed_tracks(spark: SparkSession, d: str) -> DataFrame:
     return prune_tracks(track_events(spark, d), delay=40, unmatch=3, dup=2)[0]
 
 
-@query()
+@query(
+    f"""with recursive {EVENTS}, gone as (select video_id, track_id, min(frame_idx) gone from r group by 1, 2), ke as (select *, row_number() over (partition by video_id, track_id order by frame_idx) k,
+  count_if(kind='unmatched') over (partition by video_id, track_id order by frame_idx) misses from f),
+al as (select video_id, track_id, 0::bigint k, 2::bigint alive, 0::bigint frame_idx, 0::bigint misses from ke where k=1
+  union all select ke.video_id, ke.track_id, ke.k, least(3, greatest(-1, alive + (kind='matched')::bigint - (kind='unmatched')::bigint)), ke.frame_idx, ke.misses
+  from al join ke on ke.video_id=al.video_id and ke.track_id=al.track_id and ke.k=al.k+1)
+select video_id, track_id, frame_idx from al left join gone using (video_id, track_id) where k>0 and misses>0 and alive<=0 and (gone is null or frame_idx<gone)"""
+)
 def hotstart_suppressed_tracks(spark: SparkSession, d: str) -> DataFrame:
     from ..streaming.hotstart import prune_tracks
 
@@ -801,7 +824,21 @@ def videos_with_overlap(spark: SparkSession, d: str) -> DataFrame:
     return p.where(F.col("inter") > 0).groupBy("video_id").agg(F.count_distinct("gt_id").alias("matched_gt"))
 
 
-@query()
+@query(
+    f"""with {TD}, p as (select distinct video_id, category_id from (select video_id, category_id from tg union all select video_id, category_id from td)), a as (select video_id, category_id, count(distinct track_id) n_gt from tg group by 1, 2),
+b as (select video_id, category_id, count(distinct track_id) n_dt from td group by 1, 2), s as (select video_id, category_id, track_id, sum(w*h) area from tg group by 1, 2, 3), t as (select video_id, category_id, track_id, sum(w*h) area from td group by 1, 2, 3),
+i as (select g.video_id, g.category_id, g.track_id gt_id, d.track_id dt_id, sum({inter_sql('g', 'd')}) i from tg g join td d using (video_id, category_id, frame_idx) group by 1, 2, 3, 4),
+m as (select i.video_id, i.category_id, max(i.i/(s.area+t.area-i.i)) iou from i join s on s.track_id=i.gt_id and s.video_id=i.video_id join t on t.track_id=i.dt_id and t.video_id=i.video_id group by 1, 2),
+per as (select coalesce(n_gt, 0) g, coalesce(n_dt, 0) d, coalesce(iou, 0) v from p left join a using (video_id, category_id) left join b using (video_id, category_id) left join m using (video_id, category_id)),
+k as (select g, d, pct, (round(v, 12) >= pct/100.0::double)::bigint tp from per, (select unnest(range(50, 100, 5)) pct)),
+l as (select *, tp/(tp+(d-tp)+1e-4::double) lp, tp/(tp+(g-tp)+1e-4::double) lr from k),
+c as (select pct, sum(tp)::bigint tp, sum(d-tp)::bigint fp, sum(g-tp)::bigint fn, sum(case when g>0 then d-tp else 0 end)::bigint pos_fp, avg(case when g>0 and d>0 then 2*lp*lr/(lp+lr+1e-4::double) end) macro,
+  count_if(g>0 and d>0)::double itp, count_if(g=0 and d>0)::double ifp, count_if(g>0 and d=0)::double ifn, count_if(g=0 and d=0)::double itn from l group by 1),
+f as (select *, tp/(tp+fp+1e-4::double) pr, tp/(tp+fn+1e-4::double) re, tp/(tp+pos_fp+1e-4::double) pp, itp/(itp+ifp+1e-6::double) ip, itp/(itp+ifn+1e-6::double) ir,
+  (itp*itn-ifp*ifn)/(sqrt((itp+ifp)*(itp+ifn)*(itn+ifp)*(itn+ifn))+1e-6::double) mcc from c)
+select pct::int iou_percent, tp, fp, fn, pos_fp, round(macro, 6) positive_macro_f1, itp::bigint il_tp, ifp::bigint il_fp, ifn::bigint il_fn, itn::bigint il_tn, round(2*pr*re/(pr+re+1e-4::double), 6) f1, round(2*pp*re/(pp+re+1e-4::double), 6) positive_micro_f1,
+  round(2*ip*ir/(ip+ir+1e-6::double), 6) il_f1, round(ifp/(ifp+itn+1e-6::double), 6) il_fpr, round(mcc, 6) il_mcc, round(2*pp*re/(pp+re+1e-4::double)*mcc, 6) cgf1 from f"""
+)
 def video_phrase_cgf1(spark: SparkSession, d: str) -> DataFrame:
     """Phrase metrics over videos: an 'image' is a (video, phrase) pair, a box a track, overlap the tracklet IoU."""
     gt, dt = fx.tracks_gt(spark, d), fx.tracks_pred(spark, d)
