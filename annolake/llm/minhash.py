@@ -226,3 +226,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     component = F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.coalesce("component", "doc_id"))
     kept = F.coalesce(F.col("doc_id") == component, F.lit(True))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), kept.alias("kept"))
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """One row of each group of near duplicates, with all columns: that of the smallest id, and of rows with one id the one whose
+    text has the least hash. Rows without an id are all kept."""
+    found = near_duplicates(docs)
+    left = docs.join(found.where(~F.col("kept")).select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    twice = util.materialise(docs.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"))
+    if twice.isEmpty():
+        return left
+    first = F.min_by(F.struct(*docs.columns), F.struct(F.xxhash64("text"), "text")).alias("r")
+    one = left.join(twice, "doc_id", "left_semi").groupBy("doc_id").agg(first).select("r.*")
+    return left.join(twice, "doc_id", "left_anti").select(*docs.columns).unionByName(one.select(*docs.columns))

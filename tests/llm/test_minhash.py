@@ -105,3 +105,12 @@ def test_components_of_a_chain(spark):
     edges = spark.range(1, 40).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b")).unionByName(spark.createDataFrame([(100, 101)], "a long, b long"))
     out = {r.node: r.component for r in components(edges).collect()}
     assert out == {**{i: 1 for i in range(1, 41)}, 100: 100, 101: 100}
+
+
+def test_one_row_of_each_group_stays(spark, odd_docs):
+    kept = minhash.keep_one(odd_docs)
+    assert kept.columns == odd_docs.columns
+    rows = kept.collect()
+    ids = [r.doc_id for r in rows if r.doc_id is not None]
+    assert len(ids) == len(set(ids)) and sum(r.doc_id is None for r in rows) == 2
+    assert set(ids) == {r.doc_id for r in minhash.near_duplicates(odd_docs).collect() if r.kept and r.doc_id is not None}
