@@ -42,6 +42,38 @@ def map_groups(df: DataFrame, keys: list[str], fn: Callable[[pd.DataFrame, np.nd
     return df.repartition(*keys).sortWithinPartitions(*keys, *order).mapInPandas(run, schema)
 
 
+def group_of(starts: np.ndarray) -> np.ndarray:
+    """The group's number of every row."""
+    return np.repeat(np.arange(len(starts) - 1), np.diff(starts))
+
+
+def repeated_in(group: np.ndarray, *columns: np.ndarray) -> np.ndarray:
+    """Numbers of the groups in which a value of one of the columns occurs more than once."""
+    found = [np.zeros(0, np.int64)]
+    for x in columns:
+        order = np.lexsort((x, group))
+        g, v = group[order], x[order]
+        found.append(g[1:][(g[1:] == g[:-1]) & (v[1:] == v[:-1])])
+    return np.unique(np.concatenate(found))
+
+
+def best_pairs(a: np.ndarray, b: np.ndarray, value: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Rows of the assignment of a to b that maximises the summed value (above 0) of each group. A group in which nothing is
+    wanted twice keeps all its rows; only the others are solved one by one."""
+    group = group_of(starts)
+    hard = repeated_in(group, a, b)
+    keep = ~np.isin(group, hard)
+    for k in hard.tolist():
+        lo, hi = int(starts[k]), int(starts[k + 1])
+        x, xi = np.unique(a[lo:hi], return_inverse=True)
+        y, yi = np.unique(b[lo:hi], return_inverse=True)
+        cost, where = np.zeros((len(x), len(y))), np.full((len(x), len(y)), -1)
+        cost[xi, yi], where[xi, yi] = -value[lo:hi], np.arange(lo, hi)
+        chosen = where[hungarian(cost)]
+        keep[chosen[chosen >= 0]] = True
+    return np.flatnonzero(keep)
+
+
 def hungarian(cost: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Rows and columns of a least-cost assignment of min(n, m) pairs (shortest augmenting paths)."""
     if cost.size == 0:

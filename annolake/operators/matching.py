@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .groups import hungarian, map_groups
+from .groups import best_pairs, group_of, map_groups, repeated_in
 from .pairs import iou_join
 
 
@@ -23,8 +23,14 @@ def greedy_match(gt: DataFrame, dt: DataFrame, keys: list[str], thr: float = 0.5
     fields = {f.name: f.dataType.simpleString() for f in pairs.schema}
 
     def match(rows: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
-        ann, det, take = rows["ann_id"].to_numpy(), rows["det_id"].to_numpy(), np.zeros(len(rows), bool)
-        for a, b in zip(starts[:-1], starts[1:], strict=True):
+        ann, det, group = rows["ann_id"].to_numpy(), rows["det_id"].to_numpy(), group_of(starts)
+        # the first row of a truth is its best; where no two truths of a group have the same best, all get it
+        take = np.ones(len(rows), bool)
+        take[1:] = (group[1:] != group[:-1]) | (ann[1:] != ann[:-1])
+        hard = repeated_in(group[take], det[take])
+        take[np.isin(group, hard)] = False
+        for k in hard.tolist():
+            a, b = int(starts[k]), int(starts[k + 1])
             used: set = set()
             at = a
             while at < b:
@@ -59,19 +65,7 @@ def assigned(pairs: DataFrame, keys: list[str]) -> DataFrame:
     fields = {f.name: f.dataType.simpleString() for f in pairs.schema}
 
     def match(rows: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
-        ann, det, iou = rows["ann_id"].to_numpy(), rows["det_id"].to_numpy(), rows["iou"].to_numpy()
-        keep = []
-        for a, b in zip(starts[:-1], starts[1:], strict=True):
-            if b - a == 1:
-                keep.append(a)
-                continue
-            g, gi = np.unique(ann[a:b], return_inverse=True)
-            d, di = np.unique(det[a:b], return_inverse=True)
-            cost, where = np.zeros((len(g), len(d))), np.full((len(g), len(d)), -1)
-            cost[gi, di], where[gi, di] = -iou[a:b], np.arange(a, b)
-            chosen = where[hungarian(cost)]
-            keep += chosen[chosen >= 0].tolist()
-        return rows.iloc[sorted(keep)]
+        return rows.iloc[best_pairs(rows["ann_id"].to_numpy(), rows["det_id"].to_numpy(), rows["iou"].to_numpy(), starts)]
 
     schema = ", ".join(f"{k} {fields[k]}" for k in [*keys, "ann_id", "det_id", "iou"])
     return map_groups(pairs, keys, match, schema, ["ann_id", "det_id"])
@@ -104,8 +98,23 @@ def score_assigned(dets: DataFrame, pairs: DataFrame, keys: list[str], threshold
     def match(rows: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
         det, ann, iou, crowd = (rows[c].tolist() for c in ("det_id", "ann_id", "iou", "g_crowd"))
         g_area, d_area = rows["g_area"].tolist(), rows["d_area"].tolist()
-        first, flags, ranks = [], [], []
-        for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+        group = group_of(starts)
+        # where no detection has two candidates and no truth two suitors, every pair stands alone
+        hard = repeated_in(group, rows["det_id"].to_numpy())
+        has = rows["ann_id"].notna().to_numpy()
+        hard = np.union1d(hard, repeated_in(group[has], rows["ann_id"].to_numpy()[has]))
+        place = np.arange(len(rows)) - starts[group] + 1
+        easy = np.flatnonzero(~np.isin(group, hard) & (place <= max_dets))
+        v = rows["iou"].to_numpy(dtype=float, na_value=-1.0)[easy, None] >= np.array(tops)
+        parts = []
+        for lo, hi in areas:
+            g, d = rows["g_area"].to_numpy(dtype=float, na_value=lo)[easy], rows["d_area"].to_numpy()[easy]
+            ignored = ((rows["g_crowd"].to_numpy(dtype=float, na_value=0)[easy] != 0) | (g < lo) | (g > hi))[:, None]
+            outside = ((d < lo) | (d > hi))[:, None]
+            parts.append(np.where(v & ~ignored, 1, np.where(v | outside, -1, 0)))
+        first, flags, ranks = easy.tolist(), np.hstack(parts).tolist(), place[easy].tolist()
+        for number in hard.tolist():
+            a, b = int(starts[number]), int(starts[number + 1])
             used: list[set] = [set() for _ in range(len(areas) * len(tops))]
             at, n = a, 0
             while at < b and n < max_dets:

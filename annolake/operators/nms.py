@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import boxes as bx
 from . import masks
-from .groups import map_groups
+from .groups import group_of, map_groups
 
 
 def _greedy(pairs: DataFrame, keys: list[str]) -> DataFrame:
@@ -17,9 +17,15 @@ def _greedy(pairs: DataFrame, keys: list[str]) -> DataFrame:
     fields = {f.name: f.dataType.simpleString() for f in pairs.schema}
 
     def sweep(rows: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
-        hi, lo = rows["hi"].to_numpy(), rows["lo"].to_numpy()
-        keep = []
-        for a, b in zip(starts[:-1], starts[1:], strict=True):
+        hi, lo, group = rows["hi"].to_numpy(), rows["lo"].to_numpy(), group_of(starts)
+        # where none that suppresses is suppressed itself, every `lo` goes, at its first row
+        ids, code = np.unique(np.concatenate([hi, lo]), return_inverse=True)
+        above, below = group * len(ids) + code[: len(hi)], group * len(ids) + code[len(hi) :]
+        hard = np.unique(group[np.isin(above, below)])
+        easy = np.unique(np.where(np.isin(group, hard), -1, below), return_index=True)
+        keep = easy[1][easy[0] >= 0].tolist()
+        for g in hard.tolist():
+            a, b = int(starts[g]), int(starts[g + 1])
             gone: set = set()
             for k in range(a, b):  # a kept box suppresses all below it; a suppressed one nothing
                 if hi[k] not in gone and lo[k] not in gone:

@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .groups import hungarian, map_groups
+from .groups import best_pairs, map_groups
 from .nms import track_nms
 from .pairs import iou_join
 
@@ -39,17 +39,8 @@ def frame_matches(sim: DataFrame, align: DataFrame, seq: list[str], frame: str =
     cols = [*seq, frame, "gt_id", "dt_id", "sim"]
 
     def match(rows: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
-        g_all, d_all = rows["gt_id"].to_numpy(), rows["dt_id"].to_numpy()
         score = (rows["align"] * rows["sim"]).to_numpy()
-        keep: list[int] = []
-        for a, b in zip(starts[:-1], starts[1:], strict=True):
-            g, gi = np.unique(g_all[a:b], return_inverse=True)
-            d, di = np.unique(d_all[a:b], return_inverse=True)
-            cost, where = np.zeros((len(g), len(d))), np.full((len(g), len(d)), -1)
-            cost[gi, di], where[gi, di] = -score[a:b], np.arange(a, b)
-            chosen = where[hungarian(cost)]
-            keep += chosen[chosen >= 0].tolist()
-        return rows.iloc[sorted(keep)][cols]
+        return rows.iloc[best_pairs(rows["gt_id"].to_numpy(), rows["dt_id"].to_numpy(), score, starts)][cols]
 
     return map_groups(rows, [*seq, frame], match, ", ".join(f"{c} {fields[c]}" for c in cols), ["gt_id", "dt_id"])
 

@@ -196,7 +196,7 @@ def test_average_precision_of_a_perfect_run(spark):
     gt = spark.createDataFrame([(i, 0, 1, 0.0, 0.0, 10.0, 10.0, 0) for i in range(4)], BOX.format("ann_id") + ", iscrowd int")
     dt = spark.createDataFrame([(i, 0, 1, 0.0, 0.0, 10.0, 10.0, 0.9 - i / 10) for i in range(4)], BOX.format("det_id") + ", score double")
     flags = matching.score_match(gt, dt, ["image_id", "class_id"], [0.5, 0.75])
-    ap = metrics.average_precision(flags, spark.createDataFrame([(0, 4)], "class_id int, n_gt long"), ["class_id"]).collect()
+    ap = metrics.average_precision(flags, spark.createDataFrame([(0, [4, 4])], "class_id int, n_gt array<long>"), ["class_id"]).collect()
     assert [round(r.ap, 9) for r in ap] == [1.0, 1.0] and [r.recall for r in ap] == [1.0, 1.0]
 
 
