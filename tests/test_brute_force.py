@@ -302,3 +302,59 @@ def test_teta(spark, sf):
             assert r.teta == pytest.approx((r.loc_a + r.assoc_a + r.cls_a) / 3, abs=1e-12)
         low = s[c, 50]
         assert got[c, 50].cls_a <= low["cls_tp"] / max(1, low["cls_tp"] + low["cls_fn"] + low["cls_fp"]) + 1e-9
+
+
+def hits_at(truths, dets):
+    """Matches at each of the ten thresholds of the assignment with the greatest summed overlap."""
+    import numpy as np
+
+    from annolake.operators.groups import hungarian
+
+    if not truths or not dets:
+        return [0] * 10
+    m = np.array([[iou(g, d) for d in dets] for g in truths])
+    found = [m[i, j] for i, j in zip(*hungarian(-m), strict=True) if m[i, j] > 0]
+    return [sum(round(v, 12) >= t for v in found) for t in THRESHOLDS]
+
+
+def plain_f1(tp, fp, fn, eps=1e-4):
+    p, r = tp / (tp + fp + eps), tp / (tp + fn + eps)
+    return 2 * p * r / (p + r + eps)
+
+
+def by_image(rows):
+    out = defaultdict(list)
+    for r in rows:
+        out[r["image_id"]].append(r)
+    return out
+
+
+def test_phrase_metrics_and_oracle_over_a_whole_table(spark, sf):
+    from annolake.plans.queries import QUERIES
+
+    gt = [r.asDict() for r in fx.gt_boxes(spark, sf).where("iscrowd = 0").collect()]
+    dt = by_image(r.asDict() for r in fx.pred_boxes(spark, sf).where("score >= 0.5").collect())
+    images = {r.id: r.is_instance_exhaustive for r in fx.images(spark, sf).collect()}
+    own = by_image(gt)
+    rows = [(len(own[i]), len(dt[i]), hits_at(own[i], dt[i])) for i, e in images.items() if e == 1]
+    got = {r.iou_percent: r for r in QUERIES["phrase_cgf1"](spark, sf).collect()}
+    tp_, fp_, fn_, tn_ = (sum(1 for g, d, _ in rows if (g > 0, d > 0) == k) for k in ((True, True), (False, True), (True, False), (False, False)))
+    mcc = (tp_ * tn_ - fp_ * fn_) / (((tp_ + fp_) * (tp_ + fn_) * (tn_ + fp_) * (tn_ + fn_)) ** 0.5 + 1e-6)
+    for k, p in enumerate(metrics.IOU_PERCENT):
+        tp, fp, fn = sum(h[k] for _, _, h in rows), sum(d - h[k] for _, d, h in rows), sum(g - h[k] for g, _, h in rows)
+        pos_fp = sum(d - h[k] for g, d, h in rows if g)
+        local = [plain_f1(h[k], d - h[k], g - h[k]) for g, d, h in rows if g and d]
+        r = got[p]
+        assert (r.tp, r.fp, r.fn, r.pos_fp, r.il_tp, r.il_fp, r.il_fn, r.il_tn) == (tp, fp, fn, pos_fp, tp_, fp_, fn_, tn_)
+        assert r.positive_macro_f1 == pytest.approx(sum(local) / len(local), abs=2e-6) and r.il_mcc == pytest.approx(mcc, abs=2e-6)
+        assert r.cgf1 == pytest.approx(plain_f1(tp, pos_fp, fn) * mcc, abs=3e-6)
+    sets = [own, by_image(r | {"x": r["x"] + 2} for r in gt if r["sk"] % 7), by_image(r | {"y": r["y"] + 5} for r in gt if r["pk"] % 6)]
+    chosen = {r.image_id: r for r in QUERIES["oracle_annotator"](spark, sf).collect()}
+    for i in images:
+        scores = []
+        for k, truths in enumerate(sets):
+            g, d, h = len(truths[i]), len(dt[i]), hits_at(truths[i], dt[i])
+            scores.append((g == 0 and d == 0, round(sum(plain_f1(tp, d - tp, g - tp) for tp in h) / 10, 6), -k))
+        best = max(scores)
+        assert (chosen[i].annotator, chosen[i].tn) == (-best[2], best[0]) or abs(chosen[i].mean_f1 - best[1]) < 2e-6
+        assert chosen[i].mean_f1 == pytest.approx(best[1], abs=2e-6)
