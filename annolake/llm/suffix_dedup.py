@@ -29,14 +29,14 @@ from pyspark.sql import DataFrame
 from . import anchors as an
 from . import util
 from .util import mix64
-from .words import _BASE, _BYTE, _STEP
+from .words import _BASE, _BYTE, _STEP, powers
 
 SIZE = 100
 GRAM = 40
 DEPTH = GRAM // 8
 SMALL = 24
-HOT = 4096
-ANCHORS, PIECES, WHOLE = 0, 1, 2
+HOT = 8192
+ANCHORS, PIECES, WHOLE, OWN = 0, 1, 2, 3
 
 
 class Entries:
@@ -92,6 +92,14 @@ def settle_pieces(payloads: list[bytes]) -> list[bytes]:
     return [an.pack(entries.row[e[x:y]].astype(np.int32), a[x:y].astype(np.int64), b[x:y].astype(np.int64)) for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
+def covered(row: np.ndarray, pos: np.ndarray) -> bytes:
+    """Intervals (row, from, to) that windows at the given starts cover, packed."""
+    order = np.lexsort((pos, row))
+    row, pos = row[order], pos[order]
+    first = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (np.diff(pos) > SIZE))) if len(row) else np.zeros(0, np.int64)
+    return an.pack(row[first].astype(np.int32), pos[first].astype(np.int64), pos[an.stops(first, len(row)) - 1].astype(np.int64) + SIZE)
+
+
 class Whole:
     """Windows at frequent anchors, keyed by two hashes of all their bytes."""
 
@@ -103,55 +111,46 @@ class Whole:
         flat = chunk.offsets[self.row] + self.pos
         by = np.argsort(flat, kind="stable")  # in the order of the corpus
         self.row, self.pos, flat = self.row[by], self.pos[by], flat[by]
-        columns = [mix64(window_hashes(chunk.data, base)[flat]) for base in (_BASE, _STEP)] if len(flat) else [np.zeros(0, np.uint64)] * 2
-        self.keys = an.Keys(columns, np.ones(len(flat)))
+        self.keys = an.Keys([window_hashes(chunk.data, flat, base) for base in (_BASE, _STEP)], np.ones(len(flat)))
         #: the first window of each key
         self.start = np.full(len(self.keys.columns[0]), len(flat), np.int64)
         np.minimum.at(self.start, self.keys.of, np.arange(len(flat)))
 
     def ask(self, chunk: an.Chunk, buckets: int) -> Iterator[tuple[int, bytes]]:
+        """(bucket, payload) with each distinct window's first start."""
         for b, at in an.dealt(an.bucket_of(self.keys.columns[0], buckets)):
             first = self.start[at]
             yield b, an.pack(*_rows_of(chunk, self.row[first]), self.pos[first], *(c[at] for c in self.keys.columns))
 
-    def later(self, answers: dict[int, bytes], buckets: int) -> np.ndarray:
-        """Whether each window also starts earlier; an answer has a bit for each key whose first start is this chunk's."""
-        own = np.zeros(len(self.start), bool)
-        for b, at in an.dealt(an.bucket_of(self.keys.columns[0], buckets)):
-            own[at] = np.unpackbits(np.frombuffer(answers[b], np.uint8), count=len(at)).astype(bool)
-        out = np.ones(len(self.row), bool)
-        out[self.start[own]] = False
-        return out
+    def again(self) -> bytes:
+        """What windows cover that also start earlier in the chunk itself."""
+        later = np.ones(len(self.row), bool)
+        later[self.start] = False
+        return covered(self.row[later], self.pos[later])
 
 
 def settle_whole(payloads: list[bytes]) -> list[bytes]:
-    """For each payload a bit for each of its keys: whether none starts earlier in another chunk."""
+    """For each payload the intervals (row, from, to) that its windows cover which start earlier in another chunk."""
     parts = [an.unpack(x, "<i4", "<i8", "<i8", "<i8", "<i4", "<i8", "<u8", "<u8") for x in payloads]
     base = np.cumsum([0, *(len(p[0]) for p in parts)]).tolist()
     at = np.concatenate([p[4] + x for p, x in zip(parts, base, strict=False)])
     row, *key = (np.concatenate([p[i] for p in parts])[at] for i in range(4))
     pos, *columns = (np.concatenate([p[i] for p in parts]) for i in (5, 6, 7))
     order = np.lexsort((pos, row, *key[::-1], *columns[::-1]))
-    first = np.zeros(len(order), bool)
-    first[order[an.runs_of(*(c[order] for c in columns))]] = True
+    later = np.ones(len(order), bool)
+    later[order[an.runs_of(*(c[order] for c in columns))]] = False
     ends = np.cumsum([0, *(len(p[4]) for p in parts)]).tolist()
-    return [np.packbits(first[x:y]).tobytes() for x, y in zip(ends[:-1], ends[1:], strict=True)]
-
-
-def window_hashes(data: np.ndarray, base: np.uint64) -> np.ndarray:
-    """Hash of the SIZE bytes from each position, by doubling."""
-    own = mix64(_BYTE ^ base)[data]
-    out = np.zeros(max(0, len(data) - SIZE + 1), np.uint64)
-    span, at, factor = 1, 0, 1  # own covers `span` bytes; bytes [at, SIZE) of every window are still to be added
-    while at < SIZE:
-        if SIZE & span:
-            out += own[at : at + len(out)] * np.uint64(factor)
-            factor = factor * pow(int(base), span, 2**64) % 2**64
-            at += span
-        if at < SIZE:
-            own = own[:-span] + own[span:] * np.uint64(pow(int(base), span, 2**64))
-        span *= 2
-    return out
+    return [covered(row[x:y][later[x:y]], pos[x:y][later[x:y]]) for x, y in zip(ends[:-1], ends[1:], strict=True)]
+
+
+def window_hashes(data: np.ndarray, at: np.ndarray, base: np.uint64) -> np.ndarray:
+    """Hash of the SIZE bytes from each of the positions: a difference of two sums of bytes times powers, brought to one power."""
+    if not len(at):
+        return np.zeros(0, np.uint64)
+    up = powers(len(data), base)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix64(_BYTE ^ base)[data] * up, dtype=np.uint64)])
+    down = powers(len(data), np.uint64(pow(int(base), -1, 2**64)))
+    return mix64((sums[at + SIZE] - sums[at]) * down[at])
 
 
 def gram_hashes(data: np.ndarray) -> np.ndarray:
@@ -377,41 +376,31 @@ def removed_spans(docs: DataFrame, chunk_bytes: int = an.CHUNK_BYTES, bucket_byt
         chunk = an.Chunk(rows)
         some, many = chosen(runs(chunk), answers)
         out = [(PIECES, b, x) for b, x in pieces(chunk, some, buckets)]
+        mine = rows.column("__chunk")[0].as_py()
         if len(many[0]):
-            out += [(WHOLE, b, x) for b, x in Whole(chunk, many).ask(chunk, buckets)]
+            windows = Whole(chunk, many)
+            out += [(WHOLE, b, x) for b, x in windows.ask(chunk, buckets)]
+            out.append((OWN, mine, windows.again()))
         kind, bucket, payload = zip(*out, strict=True) if out else ([], [], [])
-        mine = rows.column("__chunk")[0].as_py()
         util.tidy()
         return pa.Table.from_arrays([pa.array(kind, pa.int32()), pa.array(bucket, pa.int32()), pa.array([mine] * len(out), pa.int32()), pa.array(payload, pa.binary())], schema=an.ASKED_SCHEMA)
 
     def settle(rows: pa.Table) -> pa.Table:
-        payloads = [x.as_py() for x in rows.column("payload")]
-        out = (settle_pieces if rows.column("kind")[0].as_py() == PIECES else settle_whole)(payloads)
+        kind, payloads = rows.column("kind")[0].as_py(), [x.as_py() for x in rows.column("payload")]
+        out = payloads if kind == OWN else (settle_pieces if kind == PIECES else settle_whole)(payloads)
         util.tidy()
         return pa.Table.from_arrays([rows.column("kind"), rows.column("bucket"), rows.column("chunk"), pa.array(out, pa.binary())], schema=an.ASKED_SCHEMA)
 
-    def apply(rows: pa.Table, answers: pa.Table) -> pa.Table:
-        chunk = an.Chunk(rows)
+    def apply(rows: pa.Table, marks: pa.Table) -> pa.Table:
         by: dict[int, list[tuple[int, int]]] = {}
-        whole: dict[int, bytes] = {}
-        for kind, b, x in zip(*(answers.column(c).to_pylist() for c in ("kind", "bucket", "payload")), strict=True):
-            if kind == WHOLE:
-                whole[b] = x
-            elif kind == PIECES:
-                for r, start, stop in zip(*(y.tolist() for y in an.unpack(x, "<i4", "<i8", "<i8")), strict=True):
-                    by.setdefault(r, []).append((start, stop))
-        if whole:
-            windows = Whole(chunk, chosen(runs(chunk), answers)[1])
-            gone = windows.later(whole, buckets)
-            row, pos = windows.row[gone], windows.pos[gone]
-            first = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (np.diff(pos) > SIZE))) if len(row) else row
-            for r, start, last in zip(row[first].tolist(), pos[first].tolist(), pos[an.stops(first, len(row)) - 1].tolist(), strict=True):
-                by.setdefault(r, []).append((start, last + SIZE))
-        return _finish(chunk, by, rows)
+        for x in marks.column("payload"):
+            for r, start, stop in zip(*(y.tolist() for y in an.unpack(x.as_py(), "<i4", "<i8", "<i8")), strict=True):
+                by.setdefault(r, []).append((start, stop))
+        return _finish(an.Chunk(rows), by, rows)
 
     mine = table.groupBy("__chunk")
     of_anchors = an.answered(mine.applyInArrow(ask, an.ASKED), hot)
     sent = mine.cogroup(of_anchors.groupBy("chunk")).applyInArrow(send, an.ASKED)
     settled = sent.groupBy("kind", "bucket").applyInArrow(settle, an.ASKED)
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start: long, stop: long>>"
-    return mine.cogroup(of_anchors.unionByName(settled).groupBy("chunk")).applyInArrow(apply, schema)
+    return mine.cogroup(settled.groupBy("chunk")).applyInArrow(apply, schema)
