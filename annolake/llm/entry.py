@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, decontam, minhash, phrases, pii, ppm, quality, suffix_dedup, tagpaths
+from . import ann, bpe, chat, decontam, middle, minhash, negatives, phrases, pii, ppm, quality, suffix_dedup, tagpaths
 from .util import table
 
 
@@ -51,8 +51,26 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label").cast("long")
+    shifted = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, shifted)
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return middle.digests(table(spark, sf_dir, "documents"))
+
+
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.formatted_conversations(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_classifier, op2_pii, op3_bpe, op4_decontamination, op5_suffix_dedup, op6_ppm, op7_phrases, op8_html_text, op9_ann, op10_minhash)}
+    own = (
+        op1_quality_classifier, op2_pii, op3_bpe, op4_decontamination, op5_suffix_dedup, op6_ppm, op7_phrases, op8_html_text, op9_ann, op10_minhash,
+        op11_hard_negatives, op12_fill_in_middle, op13_chat_format,
+    )
+    return {f.__name__: f for f in own}
 
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -79,5 +97,36 @@ select d.doc_id, coalesce(n, 0)::bigint n_shingles, least(d.doc_id, coalesce(com
   d.doc_id <= coalesce(component, d.doc_id) kept from d left join n using (doc_id) left join c on c.node = d.doc_id"""
 
 
+OP11_SQL = """
+with u as (select vec_id, case when vec_id % 7 = 0 then (label::bigint + 1) % 10 else label end l, list_transform(embedding, lambda x: floor(256 * x::double)) v
+  from embeddings where vec_id is not null and label is not null and embedding is not null
+    and coalesce(list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x))), true)),
+s as (select a.vec_id a, b.vec_id b, a.l = b.l same, list_inner_product(a.v, b.v)::bigint s from u a join u b on a.vec_id % 50 = 0 and a.vec_id <> b.vec_id),
+p as (select a, b, s from s where same qualify row_number() over (partition by a order by s desc, b) <= 5),
+n as (select p.a, p.b p, p.s ps, s.b n, s.s ns, row_number() over (partition by p.a, p.b order by s.s desc, s.b) r
+  from p join s on s.a = p.a and not s.same and 50 * p.s <= 100 * s.s and 100 * s.s <= 95 * p.s)
+select a anchor_id, p positive_id, r::int "rank", n negative_id, ps positive_score, ns negative_score from n where r <= 3"""
+
+OP12_SQL = """
+with h as (select doc_id, coalesce(text, '') t, length(coalesce(text, '')) n, sha256('1:' || coalesce(doc_id::varchar, '')) h from documents),
+k as (select *, ('0x' || h[1:8])::ubigint h1, ('0x' || h[9:16])::ubigint h2, ('0x' || h[17:24])::ubigint h3, ('0x' || h[25:32])::ubigint h4 from h),
+c as (select *, least(h1 % (n + 1), h2 % (n + 1))::bigint a, greatest(h1 % (n + 1), h2 % (n + 1))::bigint b,
+  case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h3 % 100 >= 90 then 'plain' when h4 % 100 < 20 then 'spm' else 'psm' end form from k),
+o as (select *, t[1:a] p, t[a + 1:b] m, t[b + 1:] s from c)
+select doc_id, n::bigint n, form, case when form <> 'plain' then a end prefix_chars, case when form <> 'plain' then b - a end middle_chars,
+  sha256(case form when 'plain' then t when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m else '<S>' || s || '<P>' || p || '<M>' || m end) output_sha256,
+  sha256(t) restored_sha256 from o"""
+
+OP13_SQL = r"""
+with r as (select conv_id, turn, role, coalesce(text, '') t from conversations
+  union all select -1, k, case k when 0 then 'user' else 'assistant' end, '</s>[INST] ok [/INST]' from range(2) x(k)),
+e as (select *, regexp_replace(t, '([<\[])(\\*)(/?s>|/?INST\]|/?SYS>|/?ROLE\]|TEXT\])', '\1\\\2\3', 'g') x from r),
+f as (select *, case role when 'user' then '[INST] ' || x || ' [/INST]' when 'assistant' then ' ' || x || '</s>' when 'system' then '<SYS>' || x || '</SYS>'
+  else '[ROLE]' || role || '[TEXT]' || x || '[/ROLE]' end p from e)
+select conv_id, count(*) n_turns, sha256(string_agg(role || chr(10) || t || chr(10), '' order by turn)) turns_sha256,
+  coalesce(sum(length(t)) filter (role = 'assistant'), 0)::bigint loss_chars, sha256(coalesce(string_agg(t, '' order by turn) filter (role = 'assistant'), '')) loss_sha256,
+  (3 + sum(length(p)))::bigint formatted_chars from f group by 1"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op7_phrases": OP7_SQL, "op10_minhash": OP10_SQL}
+    return {"op7_phrases": OP7_SQL, "op10_minhash": OP10_SQL, "op11_hard_negatives": OP11_SQL, "op12_fill_in_middle": OP12_SQL, "op13_chat_format": OP13_SQL}
