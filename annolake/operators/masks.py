@@ -6,9 +6,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import runs as flat
+
 RUNS = "array<int>"
 
 
@@ -159,24 +163,13 @@ def canonical(df: DataFrame) -> DataFrame:
 
 
 def bounds(df: DataFrame) -> DataFrame:
-    """x, y, w, h of the ones of `runs` (height, width given); an empty mask has zeros."""
-
-    def one(runs: np.ndarray, height: int) -> tuple[int, int, int, int]:
-        ones = spans(np.asarray(runs))
-        ones = ones[ones[:, 1] > ones[:, 0]]
-        if not len(ones):
-            return 0, 0, 0, 0
-        c1, c2 = ones[:, 0] // height, (ones[:, 1] - 1) // height
-        wraps = (c1 != c2).any()
-        y1 = 0 if wraps else int((ones[:, 0] % height).min())
-        y2 = height if wraps else int(((ones[:, 1] - 1) % height).max()) + 1
-        return int(c1.min()), y1, int(c2.max() - c1.min()) + 1, y2 - y1
+    """mx, my, mw, mh: the box of the ones of `runs` (height given); an empty mask has zeros."""
 
-    def fn(rows: pd.DataFrame) -> pd.DataFrame:
-        got = [one(r, h) for r, h in zip(rows["runs"], rows["height"], strict=True)]
-        return rows.assign(**{f"m{c}": [g[i] for g in got] for i, c in enumerate("xywh")})
+    def fn(b: pa.RecordBatch) -> dict[str, np.ndarray]:
+        found = flat.boxes(flat.Spans.of(b.column("runs")), np.asarray(b.column("height")).astype(np.int64))
+        return {f"m{c}": found[:, k].astype(np.int32) for k, c in enumerate("xywh")}
 
-    return _per_row(df, fn, _schema(df, "mx int", "my int", "mw int", "mh int"))
+    return flat.by_batch(df, fn, [], "mx int, my int, mw int, mh int")
 
 
 def union(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -200,20 +193,45 @@ def union(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def similarity(pairs: DataFrame) -> DataFrame:
-    """pairs (runs_a, runs_b, crowd 0/1 of a) with inter, iou (crowd: over b's area), ioa (over b), iom."""
+    """pairs (runs_a, runs_b, crowd 0/1 of a) with inter, iou (crowd: over b's area), ioa (over b), iom; all pairs of a batch at once."""
 
-    def fn(rows: pd.DataFrame) -> pd.DataFrame:
-        got = []
-        for a, b, crowd in zip(rows["runs_a"], rows["runs_b"], rows["crowd"], strict=True):
-            sa, sb = spans(np.asarray(a)), spans(np.asarray(b))
-            na, nb, i = int((sa[:, 1] - sa[:, 0]).sum()), int((sb[:, 1] - sb[:, 0]).sum()), overlap(sa, sb)
-            whole = nb if crowd else na + nb - i
-            got.append((i, i / whole if whole else 0.0, i / nb if nb else 0.0, i / min(na, nb) if min(na, nb) else 0.0))
-        cols = list(zip(*got, strict=True)) if got else [[]] * 4
-        return rows.drop(columns=["runs_a", "runs_b"]).assign(inter=cols[0], iou=cols[1], ioa=cols[2], iom=cols[3])
-
-    rest = pairs.drop("runs_a", "runs_b")
-    return _per_row(pairs, fn, _schema(rest, "inter long", "iou double", "ioa double", "iom double"))
+    def fn(b: pa.RecordBatch) -> dict[str, np.ndarray]:
+        left, right = (flat.Spans.of(b.column(c)) for c in ("runs_a", "runs_b"))
+        inter, na, nb = flat.overlaps(left, right), left.area(), right.area()
+        crowd = np.asarray(pc.fill_null(b.column("crowd"), 0)) != 0
+        share = lambda whole: np.divide(inter, whole, out=np.zeros(len(inter)), where=whole > 0)
+        return {"inter": inter, "iou": share(np.where(crowd, nb, na + nb - inter)), "ioa": share(nb), "iom": share(np.minimum(na, nb))}
+
+    return flat.by_batch(pairs, fn, ["runs_a", "runs_b"], "inter long, iou double, ioa double, iom double")
+
+
+def mask_pairs(gt: DataFrame, dt: DataFrame, keys: list[str], crowd: str | None = None) -> DataFrame:
+    """keys, ann_id, det_id, g_crowd, g_area, d_area, inter, iou of the masks with equal keys that overlap.
+
+    gt: keys, ann_id, runs, height; dt: keys, det_id, runs, height; both with the boxes of `bounds`, which are made if they are not there. Only
+    pairs whose boxes meet bring their runs together (all pairs, if there is no height to tell boxes by). `crowd` as in iou_join.
+    """
+    boxed = all("mx" in df.columns or "height" in df.columns for df in (gt, dt))
+
+    def side(df: DataFrame, prefix: str, own: str) -> DataFrame:
+        more = [F.col(crowd).alias("crowd")] if crowd and prefix == "a" else []
+        rows = df if "mx" in df.columns or not boxed else bounds(df)
+        return rows.select(*keys, own, *more, F.col("runs").alias(f"runs_{prefix}"), *(F.col(f"m{c}").alias(f"{prefix}{c}") for c in "xywh" if boxed))
+
+    meet = " and ".join(f"a{c} < b{c} + b{s} and b{c} < a{c} + a{s}" for c, s in (("x", "w"), ("y", "h")))
+    near = side(gt, "a", "ann_id").join(side(dt, "b", "det_id"), keys).where(meet if boxed else "true")
+    if not crowd:
+        near = near.withColumn("crowd", F.lit(0))
+    near = near.select(*keys, "ann_id", "det_id", "crowd", "runs_a", "runs_b", area(F.col("runs_a")).alias("g_area"), area(F.col("runs_b")).alias("d_area"))
+    both = similarity(near).where("inter > 0")
+    return both.select(*keys, "ann_id", "det_id", F.col("crowd").alias("g_crowd"), "g_area", "d_area", "inter", "iou")
+
+
+def step_runs(x1: Column, xm: Column, x2: Column, y1: Column, ym: Column, y2: Column, height: int, width: int) -> Column:
+    """Runs of columns x1 to xm with rows y1 to y2 and columns xm to x2 with rows ym to y2 (an L if ym > y1)."""
+    edges = F.flatten(F.transform(F.sequence(x1, x2 - 1), lambda c: F.array(c * height + F.when(c < xm, y1).otherwise(ym), c * height + y2)))
+    ends, starts = F.concat(edges, F.array(F.lit(height * width))), F.concat(F.array(F.lit(0)), edges)
+    return F.when((x2 > x1) & (y2 > y1), F.zip_with(ends, starts, lambda e, s: (e - s).cast("int"))).otherwise(F.array(F.lit(height * width)))
 
 
 def boundary(mask: np.ndarray) -> np.ndarray:

@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .cut import settled
-from .matching import AREAS, score_assigned, score_match
-from .pairs import tracklet_iou
+from .masks import area, boundary_f, mask_pairs
+from .matching import AREAS, assigned, score_assigned, score_match
+from .pairs import tracklet_iou, tracklet_mask_iou
 
 IOU_PERCENT = list(range(50, 100, 5))
 
@@ -109,6 +110,30 @@ def demo_metrics(per_image: DataFrame, jf: DataFrame | None = None) -> DataFrame
     return out.crossJoin(F.broadcast(mean))  # one row
 
 
+def mask_matches(gt: DataFrame, dt: DataFrame) -> DataFrame:
+    """image_id, ann_id, det_id, iou: the assignment of an image's masks that maximises the summed overlap."""
+    return assigned(mask_pairs(gt, dt, ["image_id"]), ["image_id"])
+
+
+def mask_phrase_metrics(images: DataFrame, gt: DataFrame, dt: DataFrame) -> DataFrame:
+    """phrase_metrics of masks: gt (image_id, ann_id, runs, height), dt (image_id, det_id, runs, height)."""
+    return phrase_metrics(image_counts(images, gt, dt, mask_matches(gt, dt)))
+
+
+def mask_demo_metrics(images: DataFrame, gt: DataFrame, dt: DataFrame) -> DataFrame:
+    """demo_metrics of masks (with width). Per image with truths and detections J is the mean overlap and F the mean boundary F over as many pairs as
+    the smaller side has; pairs without overlap count 0 in both."""
+    matched = settled(mask_matches(gt, dt))
+    a = gt.select("image_id", "ann_id", F.col("runs").alias("runs_a"), "height", "width")
+    b = dt.select("image_id", "det_id", F.col("runs").alias("runs_b"))
+    both = boundary_f(matched.join(a, ["image_id", "ann_id"]).join(b, ["image_id", "det_id"]))
+    sums = both.groupBy("image_id").agg(F.sum("iou").alias("j"), F.sum("boundary_f").alias("f"))
+    per = image_counts(images, gt, dt, matched)
+    least = F.least("n_gt", "n_dt")
+    share = lambda c: (F.coalesce(c, F.lit(0.0)) / least).alias(c)
+    return demo_metrics(per, per.where(least > 0).join(sums, "image_id", "left").select("image_id", share("j"), share("f")))
+
+
 def average_precision(flags: DataFrame, truths: DataFrame, by: list[str], points: int = 101) -> DataFrame:
     """by, k, ap, recall: precision, made monotonic from the right, averaged over a grid of recalls; for every k that has truths.
 
@@ -166,9 +191,9 @@ def average_precision(flags: DataFrame, truths: DataFrame, by: list[str], points
     return all_.select(*by, "k", F.coalesce("ap", F.lit(0.0)).alias("ap"), (F.coalesce("tp", F.lit(0)) / F.col("n_gt")).alias("recall"))
 
 
-def truth_counts(gt: DataFrame, by: list[str], areas: list[tuple[float, float]], thresholds: int) -> DataFrame:
-    """by, n_gt: the truths that count, per area range and threshold (the same for all thresholds of a range)."""
-    size = F.col("w") * F.col("h")
+def truth_counts(gt: DataFrame, by: list[str], areas: list[tuple[float, float]], thresholds: int, size: Column | None = None) -> DataFrame:
+    """by, n_gt: the truths that count, per area range and threshold (the same for all thresholds of a range). `size` is a box's area unless given."""
+    size = F.col("w") * F.col("h") if size is None else size
     n = [F.count_if((F.col("iscrowd") == 0) & (size >= lo) & (size <= hi)) for lo, hi in areas]
     return gt.groupBy(*by).agg(F.flatten(F.array(*(F.array_repeat(c, thresholds) for c in n))).alias("n_gt"))
 
@@ -183,6 +208,31 @@ def precision_summary(gt: DataFrame, dt: DataFrame, keys: list[str], label: str
     return summarised(flags, truth_counts(gt, [label], list(areas.values()), len(IOU_PERCENT)), [label], max_dets, list(areas))
 
 
+def mask_precision_summary(gt: DataFrame, dt: DataFrame, keys: list[str], label: str = "class_id", max_dets: tuple[int, ...] = (1, 10, 100), areas: dict[str, tuple[float, float]] | None = None) -> DataFrame:
+    """precision_summary over masks: gt (keys, ann_id, iscrowd, runs, height), dt (keys, det_id, score, runs, height). Areas are those of the masks."""
+    areas = areas or AREAS
+    thresholds = [p / 100 for p in IOU_PERCENT]
+    pairs = mask_pairs(gt, dt, keys, "iscrowd").where(F.col("iou") >= thresholds[0])
+    dets = dt.select(*keys, "det_id", "score", area(F.col("runs")).cast("double").alias("d_area"))
+    flags = score_assigned(dets, pairs.select(*keys, "ann_id", "det_id", "g_crowd", "iou", F.col("g_area").cast("double").alias("g_area")), keys, thresholds, max_dets[-1], list(areas.values()))
+    return summarised(flags, truth_counts(gt, [label], list(areas.values()), len(IOU_PERCENT), area(F.col("runs"))), [label], max_dets, list(areas))
+
+
+def bucket_precision(gt: DataFrame, dt: DataFrame, keys: list[str], buckets: DataFrame, **options: object) -> DataFrame:
+    """bucket, metric, value: precision_summary of the images of each bucket (buckets: image_id, bucket), and bucket null: the mean over buckets.
+
+    A bucket's classes are those of its images; a metric without truths is -1 in its bucket and counts so in the mean, as the metric is defined.
+    """
+    own = [k for k in keys if k != "image_id"]
+    with_bucket = lambda df: df.join(buckets.select("image_id", "bucket"), "image_id")
+    areas = options.pop("areas", None) or AREAS
+    most = options.pop("max_dets", (1, 10, 100))
+    flags = score_match(with_bucket(gt), with_bucket(dt), ["bucket", "image_id", *own], [p / 100 for p in IOU_PERCENT], most[-1], list(areas.values()))
+    truths = truth_counts(with_bucket(gt), ["bucket", "class_id"], list(areas.values()), len(IOU_PERCENT))
+    per = settled(summarised(flags, truths, ["bucket", "class_id"], most, list(areas), ["bucket"]))
+    return per.unionByName(per.groupBy("metric").agg(F.avg("value").alias("value")).withColumn("bucket", F.lit(None).cast(per.schema["bucket"].dataType)))
+
+
 #: Areas of video objects, by the mean box of a track.
 VIDEO_AREAS = {"all": (0.0, 1e10), "small": (0.0, 128.0**2), "medium": (128.0**2, 256.0**2), "large": (256.0**2, 1e10)}
 
@@ -191,13 +241,17 @@ def video_precision(gt: DataFrame, dt: DataFrame, use_classes: bool = True, max_
     """precision_summary over tracks: a video is an image, a track a box, overlap the tracklet overlap, area the track's mean.
 
     gt, dt: video_id, category_id, track_id, frame_idx, x, y, w, h, and dt's score (a track's is its mean). With use_classes the classes are
-    matched and averaged apart; else a (video, phrase) pair is an image of its own and all phrases are one class.
+    matched and averaged apart; else a (video, phrase) pair is an image of its own and all phrases are one class. With runs and
+    height in place of boxes, overlaps and areas are those of the masks.
     """
     keys = ["video_id", "category_id"]
-    own = lambda df, name: df.groupBy(*keys, F.col("track_id").alias(name)).agg(F.avg(F.col("w") * F.col("h")).alias("area"), *([F.avg("score").alias("score")] if "score" in df.columns else []))
+    masks = "runs" in gt.columns
+    size = area(F.col("runs")) if masks else F.col("w") * F.col("h")
+    own = lambda df, name: df.groupBy(*keys, F.col("track_id").alias(name)).agg(F.avg(size).alias("area"), *([F.avg("score").alias("score")] if "score" in df.columns else []))
     truths, dets = own(gt, "ann_id"), own(dt, "det_id")
-    box = [*keys, "track_id", "frame_idx", *"xywh"]
-    iou = tracklet_iou(gt.select(*box), dt.select(*box), keys).select(*keys, F.col("gt_id").alias("ann_id"), F.col("dt_id").alias("det_id"), "iou").where(F.col("iou") >= IOU_PERCENT[0] / 100)
+    shape = [c for c in (("runs", "height", "mx", "my", "mw", "mh") if masks else "xywh") if c in gt.columns]
+    box = [*keys, "track_id", "frame_idx", *shape]
+    iou = (tracklet_mask_iou if masks else tracklet_iou)(gt.select(*box), dt.select(*box), keys).select(*keys, F.col("gt_id").alias("ann_id"), F.col("dt_id").alias("det_id"), "iou").where(F.col("iou") >= IOU_PERCENT[0] / 100)
     pairs = iou.join(truths.select(*keys, "ann_id", F.col("area").alias("g_area")), [*keys, "ann_id"]).withColumn("g_crowd", F.lit(0))
     t = len(IOU_PERCENT)
     flags = score_assigned(dets.withColumnRenamed("area", "d_area"), pairs, keys, [p / 100 for p in IOU_PERCENT], max_dets[-1], list(VIDEO_AREAS.values()))
@@ -207,8 +261,9 @@ def video_precision(gt: DataFrame, dt: DataFrame, use_classes: bool = True, max_
     return summarised(flags, truths.groupBy(label.alias("class_id")).agg(F.flatten(F.array(*n)).alias("n_gt")), ["class_id"], max_dets, list(VIDEO_AREAS))
 
 
-def summarised(flags: DataFrame, truths: DataFrame, by: list[str], max_dets: tuple[int, ...], areas: list[str]) -> DataFrame:
-    """metric, value from a match's flags (by area, then threshold) and the truths of each class."""
+def summarised(flags: DataFrame, truths: DataFrame, by: list[str], max_dets: tuple[int, ...], areas: list[str], apart: list[str] | None = None) -> DataFrame:
+    """metric, value from a match's flags (by area, then threshold) and the truths of each class; for each value of `apart` (of `by`) on its own."""
+    apart = apart or []
     flags, t = settled(flags), len(IOU_PERCENT)
     ap = settled(average_precision(flags, truths, by).withColumn("area", F.floor(F.col("k") / t).cast("int")).withColumn("t", F.col("k") % t))
     mean = lambda c, when: F.coalesce(F.avg(F.when(when, F.col(c))), F.lit(-1.0))
@@ -216,10 +271,12 @@ def summarised(flags: DataFrame, truths: DataFrame, by: list[str], max_dets: tup
     cols = {"AP": mean("ap", all_), "AP_50": mean("ap", all_ & (F.col("t") == 0)), "AP_75": mean("ap", all_ & (F.col("t") == 5))}
     cols |= {f"AP_{a}": mean("ap", F.col("area") == k) for k, a in enumerate(areas) if k}
     cols |= {f"AR@{max_dets[-1]}": mean("recall", all_)} | {f"AR_{a}": mean("recall", F.col("area") == k) for k, a in enumerate(areas) if k}
-    one = ap.agg(*(v.alias(k) for k, v in cols.items()))
+    one = ap.groupBy(*apart).agg(*(v.alias(k) for k, v in cols.items()))
     for m in max_dets[:-1]:
         hits = flags.where(F.col("rank") <= m).groupBy(*by).agg(F.array(*(F.count_if(F.col("flags")[k] == 1) for k in range(t))).alias("tp"))
         both = truths.join(hits, by, "left").where(F.col("n_gt")[0] > 0)
         share = F.aggregate(F.coalesce("tp", F.array_repeat(F.lit(0).cast("long"), t)), F.lit(0.0), lambda a, v: a + v) / t / F.col("n_gt")[0]
-        one = one.crossJoin(F.broadcast(both.agg(F.coalesce(F.avg(share), F.lit(-1.0)).alias(f"AR@{m}"))))  # one row
-    return one.select(F.inline(F.array(*(F.struct(F.lit(c).alias("metric"), F.col(f"`{c}`").alias("value")) for c in one.columns))))
+        found = both.groupBy(*apart).agg(F.coalesce(F.avg(share), F.lit(-1.0)).alias(f"AR@{m}"))
+        one = one.join(found, apart, "left").fillna(-1.0, [f"AR@{m}"]) if apart else one.crossJoin(F.broadcast(found))  # one row
+    names = [c for c in one.columns if c not in apart]
+    return one.select(*apart, F.inline(F.array(*(F.struct(F.lit(c).alias("metric"), F.col(f"`{c}`").alias("value")) for c in names))))

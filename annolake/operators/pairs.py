@@ -43,11 +43,14 @@ def tracklet_iou(gt: DataFrame, dt: DataFrame, keys: list[str], frame: str = "fr
 
 
 def tracklet_mask_iou(gt: DataFrame, dt: DataFrame, keys: list[str], frame: str = "frame_idx") -> DataFrame:
-    """As tracklet_iou over masks (runs): both tracks empty in all frames count as one."""
+    """As tracklet_iou over masks (runs, height), for every pair of tracks that share a frame: two tracks empty in all frames count as
+    one. Only masks whose boxes meet are compared; other pairs just have no intersection."""
     size = lambda df, ids, name: df.groupBy(*keys, F.col("track_id").alias(ids)).agg(F.sum(masks.area(F.col("runs"))).alias(name))
-    left = gt.select(*keys, frame, F.col("track_id").alias("gt_id"), F.col("runs").alias("runs_a"), F.lit(0).alias("crowd"))
-    right = dt.select(*keys, frame, F.col("track_id").alias("dt_id"), F.col("runs").alias("runs_b"))
-    inter = masks.similarity(left.join(right, [*keys, frame])).groupBy(*keys, "gt_id", "dt_id").agg(F.sum("inter").alias("inter"))
+    ids = lambda df, name: df.select(*keys, frame, F.col("track_id").alias(name))
+    met = ids(gt, "gt_id").join(ids(dt, "dt_id"), [*keys, frame]).select(*keys, "gt_id", "dt_id").distinct()
+    found = masks.mask_pairs(gt.withColumnRenamed("track_id", "ann_id"), dt.withColumnRenamed("track_id", "det_id"), [*keys, frame])
+    found = found.groupBy(*keys, F.col("ann_id").alias("gt_id"), F.col("det_id").alias("dt_id")).agg(F.sum("inter").alias("inter"))
+    inter = met.join(found, [*keys, "gt_id", "dt_id"], "left").fillna(0, ["inter"])
     sized = inter.join(size(gt, "gt_id", "g_area"), [*keys, "gt_id"]).join(size(dt, "dt_id", "d_area"), [*keys, "dt_id"])
     union = F.col("g_area") + F.col("d_area") - F.col("inter")
     return sized.select(*keys, "gt_id", "dt_id", "inter", union.alias("union"), F.when(union > 0, F.col("inter") / union).otherwise(F.lit(1.0)).alias("iou"))

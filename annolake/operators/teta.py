@@ -2,29 +2,35 @@
 
 A class is judged on the predictions, of any class, that lie on its truths: ids that overlap one of them by `NEAR` in some frame, less,
 frame by frame, ids that the assignment over all classes gives to a truth of another class. Predictions of the class that
-lie on nothing are its classification errors, and so is each match of another class for that class.
+lie on nothing are its classification errors if truths are exhaustive, and so is each match of another class for that class.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .cut import settled
-from .tracks import alignment, frame_matches, similarity
+from .tracks import EPS, alignment, by_threshold, frame_matches, similarity
 
 ALPHAS = list(range(0, 100, 5))
 NEAR = 0.5
-EPS = 2.220446049250313e-16
 
 
-def preprocessed(gt: DataFrame, dt: DataFrame, video: str = "video_id") -> tuple[DataFrame, DataFrame]:
-    """(overlapping: video, cls, frame_idx, track_id; kept: dt's rows as video, cls, frame_idx, track_id, own_class, x, y, w, h).
+def shape_of(df: DataFrame) -> list[str]:
+    """The columns that hold a row's box or mask."""
+    return [c for c in ("x", "y", "w", "h", "runs", "height", "mx", "my", "mw", "mh") if c in df.columns]
+
+
+def preprocessed(gt: DataFrame, dt: DataFrame, video: str = "video_id", measure: Callable[..., DataFrame] = similarity) -> tuple[DataFrame, DataFrame]:
+    """(overlapping: video, cls, frame_idx, track_id; kept: dt's rows as video, cls, frame_idx, track_id, own_class, and their shape).
 
     `overlapping` holds, per class and frame, the ids on one of its truths that belong to no other class's truth there; `kept` all
-    rows of ids that overlap so in any frame. gt, dt: video, frame_idx, track_id, category_id, x, y, w, h.
+    rows of ids that overlap so in any frame. gt, dt: video, frame_idx, track_id, category_id, and what `measure` needs.
     """
-    sim = settled(similarity(gt, dt, [video]))
+    sim = settled(measure(gt, dt, [video]))
     near = sim.where(F.col("sim") >= NEAR)
     ids = near.select(video, "dt_id").distinct()
     on = sim.join(ids, [video, "dt_id"], "left_semi")
@@ -36,23 +42,24 @@ def preprocessed(gt: DataFrame, dt: DataFrame, video: str = "video_id") -> tuple
     others = by_class.join(taken, [video, "frame_idx", "track_id"]).where("of <> cls").select(video, "cls", "frame_idx", "track_id")
     overlapping = settled(by_class.join(others, [video, "cls", "frame_idx", "track_id"], "left_anti"))
     kept = dt.join(overlapping.select(video, "cls", "track_id").distinct(), [video, "track_id"])
-    return overlapping, kept.select(video, "cls", "frame_idx", "track_id", F.col("category_id").alias("own_class"), *"xywh")
+    return overlapping, kept.select(video, "cls", "frame_idx", "track_id", F.col("category_id").alias("own_class"), *shape_of(dt))
 
 
-def teta(gt: DataFrame, dt: DataFrame, video: str = "video_id") -> DataFrame:
+def teta(gt: DataFrame, dt: DataFrame, video: str = "video_id", measure: Callable[..., DataFrame] = similarity, exhaustive: bool = True) -> DataFrame:
     """cls, alpha (percent), loc_tp, loc_fn, loc_fp, loc_a, assoc_a, assoc_re, assoc_pr, cls_a (over the thresholds from 50 on) and teta,
-    for every class of truths, over all videos. At alpha 0 any overlap counts."""
-    overlapping, kept = preprocessed(gt, dt, video)
+    for every class of truths, over all videos. At alpha 0 any overlap counts. `measure`: similarity of boxes, or tracks.mask_similarity.
+    Unless truths are `exhaustive`, predictions that lie on no truth are no classification errors."""
+    overlapping, kept = preprocessed(gt, dt, video, measure)
     keys = [video, "cls"]
-    own = gt.select(video, F.col("category_id").alias("cls"), "frame_idx", "track_id", *"xywh")
-    sim = settled(similarity(own, kept, keys))
+    own = gt.select(video, F.col("category_id").alias("cls"), "frame_idx", "track_id", *shape_of(gt))
+    sim = settled(measure(own, kept, keys))
     matched = settled(
         frame_matches(sim, alignment(sim, own, kept, keys), keys).join(kept.select(*keys, "frame_idx", F.col("track_id").alias("dt_id"), "own_class"), [*keys, "frame_idx", "dt_id"])
     )
     grid = F.explode(F.array(*(F.lit(a) for a in ALPHAS)))
-    hits = matched.withColumn("alpha", grid).where((F.col("sim") > 0) & (F.col("sim") >= F.col("alpha") / 100 - EPS))
+    at = lambda df, pair, **sums: by_threshold(df, pair, ALPHAS, EPS, F.col("sim") > 0, **sums)
     n = lambda df, name, alias: df.groupBy(*keys, F.col("track_id").alias(name)).agg(F.count(F.lit(1)).alias(alias))
-    pairs = hits.groupBy(*keys, "alpha", "gt_id", "dt_id").agg(F.count(F.lit(1)).alias("c"), F.count_if(F.col("own_class") == F.col("cls")).alias("same"))
+    pairs = at(matched, [*keys, "gt_id", "dt_id"], same=(F.col("own_class") == F.col("cls")).cast("long"))
     pairs = pairs.join(n(own, "gt_id", "g"), [*keys, "gt_id"]).join(n(kept, "dt_id", "d"), [*keys, "dt_id"])
     c, g, d = F.col("c"), F.col("g"), F.col("d")
     by = pairs.groupBy("cls", "alpha").agg(
@@ -60,9 +67,9 @@ def teta(gt: DataFrame, dt: DataFrame, video: str = "video_id") -> DataFrame:
     )
     # of the ids on truths in a frame that has any, those that are not matched there
     seen = overlapping.groupBy("cls").agg(F.count(F.lit(1)).alias("near"))
-    used = hits.join(overlapping.withColumnRenamed("track_id", "dt_id"), [*keys, "frame_idx", "dt_id"], "left_semi").groupBy("cls", "alpha").agg(F.count(F.lit(1)).alias("used"))
-    wrong = hits.where("own_class <> cls").groupBy(F.col("own_class").alias("cls"), "alpha").agg(F.count(F.lit(1)).alias("wrong"))
-    stray = dt.select(video, F.col("category_id").alias("cls"), "frame_idx", "track_id").distinct().join(overlapping, [*keys, "frame_idx", "track_id"], "left_anti")
+    used = at(matched.join(overlapping.withColumnRenamed("track_id", "dt_id"), [*keys, "frame_idx", "dt_id"], "left_semi"), ["cls"]).withColumnRenamed("c", "used")
+    wrong = at(matched.where("own_class <> cls").select(F.col("own_class").alias("cls"), "sim"), ["cls"]).withColumnRenamed("c", "wrong")
+    stray = dt.where(F.lit(exhaustive)).select(video, F.col("category_id").alias("cls"), "frame_idx", "track_id").distinct().join(overlapping, [*keys, "frame_idx", "track_id"], "left_anti")
     stray = stray.groupBy("cls").agg(F.count(F.lit(1)).alias("stray"))
     base = own.groupBy("cls").agg(F.count(F.lit(1)).alias("n_gt")).withColumn("alpha", grid)
     out = base.join(by, ["cls", "alpha"], "left").join(seen, "cls", "left").join(used, ["cls", "alpha"], "left").join(wrong, ["cls", "alpha"], "left").join(stray, "cls", "left").fillna(0)

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .groups import best_pairs, map_groups
+from .masks import mask_pairs
 from .nms import track_nms
 from .pairs import iou_join
 
 ALPHAS = list(range(5, 100, 5))
+EPS = 2.220446049250313e-16
 
 
 def similarity(gt: DataFrame, dt: DataFrame, seq: list[str], frame: str = "frame_idx") -> DataFrame:
@@ -22,6 +26,12 @@ def similarity(gt: DataFrame, dt: DataFrame, seq: list[str], frame: str = "frame
     return pairs.select(*seq, frame, F.col("ann_id").alias("gt_id"), F.col("det_id").alias("dt_id"), F.col("iou").alias("sim"))
 
 
+def mask_similarity(gt: DataFrame, dt: DataFrame, seq: list[str], frame: str = "frame_idx") -> DataFrame:
+    """similarity over masks (runs, height and their boxes mx, my, mw, mh)."""
+    pairs = mask_pairs(gt.withColumnRenamed("track_id", "ann_id"), dt.withColumnRenamed("track_id", "det_id"), [*seq, frame])
+    return pairs.select(*seq, frame, F.col("ann_id").alias("gt_id"), F.col("det_id").alias("dt_id"), F.col("iou").alias("sim"))
+
+
 def alignment(sim: DataFrame, gt: DataFrame, dt: DataFrame, seq: list[str], frame: str = "frame_idx") -> DataFrame:
     """seq, gt_id, dt_id, align: the summed share of each pair in its frames' rows and columns, over the union of frames."""
     row, col = Window.partitionBy(*seq, frame, "gt_id"), Window.partitionBy(*seq, frame, "dt_id")
@@ -45,13 +55,31 @@ def frame_matches(sim: DataFrame, align: DataFrame, seq: list[str], frame: str =
     return map_groups(rows, [*seq, frame], match, ", ".join(f"{c} {fields[c]}" for c in cols), ["gt_id", "dt_id"])
 
 
-def hota(gt: DataFrame, dt: DataFrame, seq: list[str], frame: str = "frame_idx") -> DataFrame:
-    """Per sequence and alpha (percent): tp, fn, fp, det_a, ass_a, loc_a, hota, and det_re, det_pr, ass_re, ass_pr, owta."""
-    sim = similarity(gt, dt, seq, frame)
+def by_threshold(matched: DataFrame, pair: list[str], alphas: list[int], eps: float, least: Column | None = None, **sums: Column) -> DataFrame:
+    """pair, alpha (percent), c and `sums`, each over the matches of a pair whose sim reaches alpha.
+
+    A match is counted once, in the cell of the highest alpha that it reaches; cells are then summed from the top, so what grows
+    with the number of thresholds is a row for each pair, not for each match.
+    """
+    reached = F.size(F.filter(F.array(*(F.lit(a / 100 - eps) for a in alphas)), lambda a: F.col("sim") >= a)) - 1
+    cells = matched if least is None else matched.where(least)
+    cells = cells.withColumn("__cell", reached).where("__cell >= 0").groupBy(*pair, "__cell").agg(F.count(F.lit(1)).alias("c"), *(F.sum(v).alias(k) for k, v in sums.items()))
+    names = ["c", *sums]
+    per = cells.groupBy(*pair).agg(*(F.array(*(F.sum(F.when(F.col("__cell") >= k, F.col(n))) for k in range(len(alphas)))).alias(n) for n in names))
+    rows = per.select(*pair, F.posexplode(F.arrays_zip(*names)).alias("__k", "__s")).where("__s.c > 0")
+    at = F.element_at(F.array(*map(F.lit, alphas)), F.col("__k") + 1)
+    return rows.select(*pair, at.alias("alpha"), *(F.col(f"__s.{n}").alias(n) for n in names))
+
+
+def hota(gt: DataFrame, dt: DataFrame, seq: list[str], frame: str = "frame_idx", measure: Callable[..., DataFrame] = similarity) -> DataFrame:
+    """Per sequence and alpha (percent): tp, fn, fp, det_a, ass_a, loc_a, hota, and det_re, det_pr, ass_re, ass_pr, owta.
+
+    `measure` gives the similarity of pairs: of boxes, or mask_similarity.
+    """
+    sim = measure(gt, dt, seq, frame)
     matched = frame_matches(sim, alignment(sim, gt, dt, seq, frame), seq, frame)
-    hits = matched.withColumn("alpha", F.explode(F.array(*(F.lit(a) for a in ALPHAS)))).where(F.col("sim") >= F.col("alpha") / 100 - 2.220446049250313e-16)
     n = lambda df, a, b: df.groupBy(*seq, F.col("track_id").alias(a)).agg(F.count(F.lit(1)).alias(b))
-    pairs = hits.groupBy(*seq, "alpha", "gt_id", "dt_id").agg(F.count(F.lit(1)).alias("c"), F.sum("sim").alias("s"))
+    pairs = by_threshold(matched, [*seq, "gt_id", "dt_id"], ALPHAS, EPS, s=F.col("sim"))
     pairs = pairs.join(n(gt, "gt_id", "g"), [*seq, "gt_id"]).join(n(dt, "dt_id", "d"), [*seq, "dt_id"])
     ass = F.col("c") / F.greatest(F.lit(1), F.col("g") + F.col("d") - F.col("c"))
     c = F.col("c")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import boxes as bx
 from ..functions import text as tx
-from ..operators import associate, evaluation, label_qa, matching, metrics, pairs, prep, remap, teta, tracks
+from ..operators import associate, evaluation, label_qa, masks, matching, metrics, pairs, prep, remap, teta, tracks
 from ..sources import coco, listing
 from . import fixtures as fx
 from .fixtures import DT, FR, GT, IMG, TD, TG, iou_sql
@@ -269,11 +269,9 @@ def class_averaged_hota(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def demo_metrics(spark: SparkSession, d: str) -> DataFrame:
-    gt, dt = fx.gt_boxes(spark, d).where("iscrowd = 0"), fx.pred_boxes(spark, d).where("score >= 0.5")
-    img = fx.images(spark, d)
-    matched = matching.optimal_match(gt, dt, ["image_id"])
-    jf = matched.groupBy("image_id").agg(F.avg("iou").alias("j"), F.avg("iou").alias("f"))
-    out = metrics.demo_metrics(metrics.image_counts(img, gt, dt, matched), jf)
+    """Over masks: J is their overlap, F that of their boundaries."""
+    gt, dt = ell_masks(fx.gt_boxes(spark, d).where("iscrowd = 0"), 4), ell_masks(fx.pred_boxes(spark, d).where("score >= 0.5"), 4)
+    out = metrics.mask_demo_metrics(fx.images(spark, d), gt, dt)
     return rounded(out, *(f.name for f in out.schema if f.dataType.simpleString() == "double"))
 
 
@@ -348,3 +346,106 @@ def video_images(spark: SparkSession, d: str) -> DataFrame:
 def numbered_frame_plan(spark: SparkSession, d: str) -> DataFrame:
     v = fx.frames(spark, d).groupBy("video_id").agg((F.max("frame_idx") + 1).alias("length"))
     return prep.frame_plan(v.select(F.concat(F.lit("v"), F.col("video_id").cast("string")).alias("video_name"), "length"), 4, running=True).drop("name")
+
+
+# -- masks: every box without its upper right quarter, on a canvas of one pixel for 4 x 4 (tracks: 2 x 2) units -----------------------
+
+CANVAS = 120, 160
+PARTS = """greatest(least(floor(x/{s}), 160), 0)::bigint x1, greatest(least(floor((x+w)/{s}), 160), 0)::bigint x2, greatest(least(floor(y/{s}), 120), 0)::bigint y1,
+ greatest(least(floor((y+h)/{s}), 120), 0)::bigint y2"""
+
+
+def ell_sql(name: str, table: str, scale: int) -> str:
+    """Both rectangles of each mask of a table, as a common table expression."""
+    return (
+        f"{name}0 as (select *, {PARTS.format(s=scale)} from {table}), {name} as (select *, (x1+x2)//2 xm, (y1+y2)//2 ym,"
+        f" case when x2>x1 and y2>y1 then ((x1+x2)//2-x1)*(y2-y1)+(x2-(x1+x2)//2)*(y2-(y1+y2)//2) else 0 end area from {name}0)"
+    )
+
+
+def ell_inter(a: str, b: str) -> str:
+    """Common pixels: each of the two rectangles of a with each of b."""
+    part = {"l": ("{t}.x1", "{t}.xm", "{t}.y1"), "r": ("{t}.xm", "{t}.x2", "{t}.ym")}
+    terms = []
+    for p in "lr":
+        for q in "lr":
+            (ax, ay, at), (bx_, by, bt) = ([e.format(t=t) for e in part[k]] for t, k in ((a, p), (b, q)))
+            terms.append(f"greatest(least({ay},{by})-greatest({ax},{bx_}),0)*greatest(least({a}.y2,{b}.y2)-greatest({at},{bt}),0)")
+    return "(" + "+".join(terms) + ")"
+
+
+def ell_masks(boxes: DataFrame, scale: int) -> DataFrame:
+    """`boxes` with runs, height, width and the mask's box in place of x, y, w, h."""
+    h, w = CANVAS
+    at = {"x1": (F.col("x"), w), "x2": (F.col("x") + F.col("w"), w), "y1": (F.col("y"), h), "y2": (F.col("y") + F.col("h"), h)}
+    px = boxes.withColumns({k: F.greatest(F.least(F.floor(v / scale), F.lit(top)), F.lit(0)).cast("int") for k, (v, top) in at.items()})
+    px = px.withColumns({"xm": F.expr("(x1 + x2) div 2").cast("int"), "ym": F.expr("(y1 + y2) div 2").cast("int")})
+    runs = masks.step_runs(*(F.col(c) for c in ("x1", "xm", "x2", "y1", "ym", "y2")), h, w)
+    shaped = px.withColumns({"runs": runs, "height": F.lit(h), "width": F.lit(w)}).drop("x1", "x2", "xm", "y1", "y2", "ym", *"xywh")
+    return masks.bounds(shaped)
+
+
+@query(
+    f"with {GT}, {DT}, {ell_sql('a', 'gt', 4)}, {ell_sql('b', 'dt', 4)}, p as (select a.image_id, a.class_id, a.ann_id, b.det_id, {ell_inter('a', 'b')} i, a.area ga, b.area da, a.iscrowd from a join b using (image_id, class_id))"
+    ' select image_id, class_id, ann_id, det_id, i::bigint "inter", round(i/(case when iscrowd=1 then da else ga+da-i end), 6) iou from p where i > 0'
+)
+def mask_pair_iou(spark: SparkSession, d: str) -> DataFrame:
+    """Masks of truths and detections that overlap, and by how much; crowds over the detection."""
+    found = masks.mask_pairs(ell_masks(fx.gt_boxes(spark, d), 4), ell_masks(fx.pred_boxes(spark, d), 4), ["image_id", "class_id"], "iscrowd")
+    return rounded(found.select("image_id", "class_id", "ann_id", "det_id", "inter", "iou"), "iou")
+
+
+@query()
+def mask_phrase_cgf1(spark: SparkSession, d: str) -> DataFrame:
+    """phrase_cgf1 with the overlap of masks."""
+    img = prep.eligible_images(fx.images(spark, d), [])
+    ids = img.select(F.col("id").alias("image_id"))
+    gt, dt = (ell_masks(b.join(ids, "image_id", "left_semi"), 4) for b in (fx.gt_boxes(spark, d).where("iscrowd = 0"), fx.pred_boxes(spark, d).where("score >= 0.5")))
+    out = metrics.mask_phrase_metrics(img, gt, dt)
+    return rounded(out, "f1", "positive_micro_f1", "positive_macro_f1", "il_f1", "il_fpr", "il_mcc", "cgf1")
+
+
+@query()
+def mask_average_precision(spark: SparkSession, d: str) -> DataFrame:
+    gt, dt = ell_masks(fx.gt_boxes(spark, d), 4), ell_masks(fx.pred_boxes(spark, d), 4)
+    return rounded(metrics.mask_precision_summary(gt, dt, ["image_id", "class_id"]), "value")
+
+
+@query()
+def precision_by_rarity(spark: SparkSession, d: str) -> DataFrame:
+    """AP and AR of the images of each rarity, and their mean over rarities (bucket null)."""
+    buckets = fx.images(spark, d).select(F.col("id").alias("image_id"), F.col("rarity").alias("bucket"))
+    return rounded(metrics.bucket_precision(fx.gt_boxes(spark, d), fx.pred_boxes(spark, d), ["image_id", "class_id"], buckets), "value")
+
+
+def track_masks(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    return ell_masks(fx.tracks_gt(spark, d), 2), ell_masks(fx.tracks_pred(spark, d), 2)
+
+
+@query(
+    f"with {TD}, {ell_sql('a', 'tg', 2)}, {ell_sql('b', 'td', 2)}, i as (select video_id, a.track_id gt_id, b.track_id dt_id, sum({ell_inter('a', 'b')}) i from a join b using (video_id, frame_idx) group by 1, 2, 3),"
+    " s as (select track_id, sum(area) n from a group by 1), t as (select track_id, sum(area) n from b group by 1)"
+    " select video_id, gt_id, dt_id, round(coalesce(i/nullif(s.n+t.n-i, 0), 1), 6) iou from i join s on s.track_id=gt_id join t on t.track_id=dt_id"
+)
+def tracklet_mask_overlap(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(pairs.tracklet_mask_iou(*track_masks(spark, d), ["video_id"]).select("video_id", "gt_id", "dt_id", "iou"), "iou")
+
+
+@query()
+def mask_hota(spark: SparkSession, d: str) -> DataFrame:
+    out = tracks.combine_hota(tracks.hota(*track_masks(spark, d), ["video_id"], measure=tracks.mask_similarity))
+    return rounded(out, *(c for c in out.columns if c not in ("alpha", "tp", "fn", "fp")))
+
+
+@query()
+def mask_teta(spark: SparkSession, d: str) -> DataFrame:
+    """Every fifth predicted track is of the next class; truths are not exhaustive."""
+    gt, dt = track_masks(spark, d)
+    other = F.when(F.col("track_id") % 5 == 0, F.col("category_id") % 5 + 1).otherwise(F.col("category_id")).cast("int")
+    out = teta.teta(gt, dt.withColumn("category_id", other), measure=tracks.mask_similarity, exhaustive=False)
+    return rounded(out, "loc_a", "assoc_a", "assoc_re", "assoc_pr", "cls_a", "teta")
+
+
+@query()
+def mask_video_precision(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(metrics.video_precision(*track_masks(spark, d)), "value")

@@ -8,17 +8,32 @@ from pyspark.sql import functions as F
 
 from annolake.operators import associate, evaluation, matching, metrics, prep, tracks
 from annolake.plans import fixtures as fx
+from annolake.plans.evaluations import ell_masks
 
 THRESHOLDS = [p / 100 for p in metrics.IOU_PERCENT]
 
 
+def size(r):
+    return len(r["cells"]) if "cells" in r else r["w"] * r["h"]
+
+
 def iou(a, b, crowd=False):
+    if "cells" in a:
+        i = len(a["cells"] & b["cells"])
+        return i / whole if (whole := len(b["cells"]) if crowd else len(a["cells"] | b["cells"])) else 0.0
     w = min(a["x"] + a["w"], b["x"] + b["w"]) - max(a["x"], b["x"])
     h = min(a["y"] + a["h"], b["y"] + b["h"]) - max(a["y"], b["y"])
     i = max(w, 0) * max(h, 0)
     return i / (b["w"] * b["h"] if crowd else a["w"] * a["h"] + b["w"] * b["h"] - i)
 
 
+def with_cells(r, scale):
+    """A row with the pixels of its mask: its box without the upper right quarter, on the canvas of the queries."""
+    at = lambda v, top: max(0, min(int(v // scale), top))
+    x1, x2, y1, y2 = at(r["x"], 160), at(r["x"] + r["w"], 160), at(r["y"], 120), at(r["y"] + r["h"], 120)
+    return r | {"cells": {(x, y) for x in range(x1, x2) for y in range(y1 if x < (x1 + x2) // 2 else (y1 + y2) // 2, y2)}}
+
+
 @pytest.fixture(scope="module")
 def boxes(spark, sf):
     gt, dt = fx.gt_boxes(spark, sf).cache(), fx.pred_boxes(spark, sf).cache()
@@ -29,12 +44,28 @@ def boxes(spark, sf):
     return gt, dt, by
 
 
+@pytest.fixture(scope="module")
+def shapes(boxes):
+    """gt and dt as masks, and their rows with pixels."""
+    gt, dt, by = boxes
+    return ell_masks(gt, 4), ell_masks(dt, 4), {k: tuple([with_cells(r, 4) for r in rows] for rows in both) for k, both in by.items()}
+
+
+def track_rows(spark, sf, shape, where="true"):
+    """Tables of tracks with boxes or masks, how to measure them, and their rows."""
+    tables = [t.where(where) for t in (fx.tracks_gt(spark, sf), fx.tracks_pred(spark, sf))]
+    rows = [[r.asDict() for r in t.collect()] for t in tables]
+    if shape == "box":
+        return *tables, tracks.similarity, *rows
+    return *(ell_masks(t, 2) for t in tables), tracks.mask_similarity, *([with_cells(r, 2) for r in some] for some in rows)
+
+
 def plain_flags(truths, dets, areas, most=100):
     """Per detection its flags, in the order of score."""
     truths, dets = sorted(truths, key=lambda g: g["ann_id"]), sorted(dets, key=lambda d: (-d["score"], d["det_id"]))[:most]
     out = {d["det_id"]: [] for d in dets}
     for lo, hi in areas:
-        ignored = [g["iscrowd"] or not lo <= g["w"] * g["h"] <= hi for g in truths]
+        ignored = [g["iscrowd"] or not lo <= size(g) <= hi for g in truths]
         for thr in THRESHOLDS:
             used = set()
             for d in dets:
@@ -50,7 +81,7 @@ def plain_flags(truths, dets, areas, most=100):
                         best, got = v, j
                 if got is not None:
                     used.add(got)
-                outside = not lo <= d["w"] * d["h"] <= hi
+                outside = not lo <= size(d) <= hi
                 out[d["det_id"]].append(-1 if (got is not None and ignored[got]) or (got is None and outside) else int(got is not None))
     return out
 
@@ -63,7 +94,7 @@ def plain_summary(by, areas):
         flags = {key: plain_flags(*by[key], areas.values()) for key in by if key[1] == c}
         rows = sorted((-d["score"], key[0], d["det_id"], flags[key][d["det_id"]]) for key in flags for d in by[key][1])
         for a, (name, (lo, hi)) in enumerate(areas.items()):
-            n_gt = sum(not g["iscrowd"] and lo <= g["w"] * g["h"] <= hi for key in flags for g in by[key][0])
+            n_gt = sum(not g["iscrowd"] and lo <= size(g) <= hi for key in flags for g in by[key][0])
             if not n_gt:
                 continue
             for t in range(10):
@@ -112,10 +143,10 @@ def test_optimal_matches_reach_the_best_sum(boxes):
             assert got[key] == pytest.approx(best, abs=1e-9)
 
 
-def test_hota(spark, sf):
-    gt, dt = fx.tracks_gt(spark, sf), fx.tracks_pred(spark, sf)
-    rows = [[r.asDict() for r in df.collect()] for df in (gt, dt)]
-    got = {(r.video_id, r.alpha): r for r in tracks.hota(gt, dt, ["video_id"]).collect()}
+@pytest.mark.parametrize("shape", ["box", "mask"])
+def test_hota(spark, sf, shape):
+    gt, dt, measure, *rows = track_rows(spark, sf, shape)
+    got = {(r.video_id, r.alpha): r for r in tracks.hota(gt, dt, ["video_id"], measure=measure).collect()}
     for video in {r["video_id"] for r in rows[0]}:
         frames = defaultdict(lambda: ([], []))
         n = [defaultdict(int), defaultdict(int)]
@@ -238,16 +269,25 @@ def aligned(sims, n_gt, n_dt):
     return {(g, d): m / (n_gt[g] + n_dt[d] - m) for (g, d), m in share.items()}
 
 
-def test_teta(spark, sf):
+@pytest.mark.parametrize(("shape", "exhaustive"), [("box", True), ("box", False), ("mask", True)])
+def test_teta(spark, sf, shape, exhaustive):
     from annolake.operators import teta
 
-    gt = fx.tracks_gt(spark, sf).where("video_id % 3 <> 0")
     # some predictions under another class, and some that lie on nothing
+    gt, dt, measure, g_rows, d_rows = track_rows(spark, sf, shape, "video_id % 3 <> 0")
     other = F.when(F.col("track_id") % 5 == 0, (F.col("category_id") % 5) + 1).otherwise(F.col("category_id"))
-    dt = fx.tracks_pred(spark, sf).where("video_id % 3 <> 0").withColumn("category_id", other.cast("int")).withColumn("x", F.when(F.col("track_id") % 7 == 0, F.col("x") + 500).otherwise(F.col("x")))
-    got = {(r.cls, r.alpha): r for r in teta.teta(gt, dt).collect()}
-    g_rows, d_rows = ([r.asDict() for r in df.collect()] for df in (gt, dt))
-    classes, alphas = {r["category_id"] for r in g_rows}, (5, 50, 75)
+    dt = dt.withColumn("category_id", other.cast("int"))
+    if shape == "box":
+        dt = dt.withColumn("x", F.when(F.col("track_id") % 7 == 0, F.col("x") + 500).otherwise(F.col("x")))
+    else:
+        empty = F.array(F.lit(120 * 160))
+        dt = dt.withColumn("runs", F.when(F.col("track_id") % 7 == 0, empty).otherwise(F.col("runs")))
+    for r in d_rows:
+        r["category_id"] = r["category_id"] % 5 + 1 if r["track_id"] % 5 == 0 else r["category_id"]
+        if r["track_id"] % 7 == 0:
+            r |= {"x": r["x"] + 500} if shape == "box" else {"cells": set()}
+    got = {(r.cls, r.alpha): r for r in teta.teta(gt, dt, measure=measure, exhaustive=exhaustive).collect()}
+    classes, alphas = {r["category_id"] for r in g_rows}, (5, *range(50, 100, 5))
     s = {(c, a): defaultdict(float) for c in range(1, 6) for a in alphas}
     for video in {r["video_id"] for r in g_rows} | {r["video_id"] for r in d_rows}:
         frames = defaultdict(lambda: ([], []))
@@ -289,7 +329,7 @@ def test_teta(spark, sf):
                 v["assoc"] += sum(k * k / (n_g[g] + n_d[d] - k) for (g, d), k in times.items())
                 v["cls_tp"] += sum(k == c for k in kinds)
                 v["cls_fn"] += sum(k != c for k in kinds)
-                v["cls_fp"] += sum(len({r["track_id"] for r in b if r["category_id"] == c} - over[f]) for f, (_, b) in frames.items())
+                v["cls_fp"] += exhaustive * sum(len({r["track_id"] for r in b if r["category_id"] == c} - over[f]) for f, (_, b) in frames.items())
                 for k in kinds:
                     if k != c:
                         s[k, a]["cls_fp"] += 1
@@ -300,8 +340,9 @@ def test_teta(spark, sf):
             assert (r.loc_tp, r.loc_fn, r.loc_fp) == (v["tp"], v["fn"], v["fp"]), (c, a)
             assert r.assoc_a == pytest.approx(v["assoc"] / max(1, v["tp"]), abs=1e-9)
             assert r.teta == pytest.approx((r.loc_a + r.assoc_a + r.cls_a) / 3, abs=1e-12)
-        low = s[c, 50]
-        assert got[c, 50].cls_a <= low["cls_tp"] / max(1, low["cls_tp"] + low["cls_fn"] + low["cls_fp"]) + 1e-9
+        high = [s[c, a] for a in alphas if a >= 50]
+        share = [v["cls_tp"] / max(1, v["cls_tp"] + v["cls_fn"] + v["cls_fp"]) for v in high]
+        assert got[c, 50].cls_a == pytest.approx(sum(share) / 10, abs=1e-9)
 
 
 def hits_at(truths, dets):
@@ -358,3 +399,114 @@ def test_phrase_metrics_and_oracle_over_a_whole_table(spark, sf):
         best = max(scores)
         assert (chosen[i].annotator, chosen[i].tn) == (-best[2], best[0]) or abs(chosen[i].mean_f1 - best[1]) < 2e-6
         assert chosen[i].mean_f1 == pytest.approx(best[1], abs=2e-6)
+
+
+def test_mask_precision(shapes):
+    gt, dt, by = shapes
+    got = {r.metric: r.value for r in metrics.mask_precision_summary(gt, dt, ["image_id", "class_id"]).collect()}
+    for metric, value in plain_summary(by, matching.AREAS).items():
+        assert got[metric] == pytest.approx(value, abs=1e-9), metric
+
+
+def test_precision_of_each_rarity_and_their_mean(spark, sf, boxes):
+    gt, dt, by = boxes
+    buckets = fx.images(spark, sf).select(F.col("id").alias("image_id"), F.col("rarity").alias("bucket"))
+    got = {(r.bucket, r.metric): r.value for r in metrics.bucket_precision(gt, dt, ["image_id", "class_id"], buckets).collect()}
+    of = {r.image_id: r.bucket for r in buckets.collect()}
+    want = {b: plain_summary({k: v for k, v in by.items() if of[k[0]] == b}, matching.AREAS) for b in set(of.values())}
+    for metric in want[0]:
+        for b, values in want.items():
+            assert got[b, metric] == pytest.approx(values[metric], abs=1e-9), (b, metric)
+        assert got[None, metric] == pytest.approx(sum(v[metric] for v in want.values()) / len(want), abs=1e-9)
+    assert {b for b, m in got if m == "AR@1"} == {None, *want}
+
+
+def edge(cells, w, h):
+    """Boundary pixels: the square of a pixel, its right, its lower and its diagonal neighbour has both values."""
+    out = set()
+    for x in range(w):
+        for y in range(h):
+            near = [(a, b) for a, b in ((x, y), (x + 1, y), (x, y + 1), (x + 1, y + 1))]
+            if x == w - 1 and y == h - 1:
+                continue
+            if y == h - 1:
+                near = [(x, y), (x + 1, y)]
+            elif x == w - 1:
+                near = [(x, y), (x, y + 1)]
+            if 0 < sum(q in cells for q in near) < len(near):
+                out.add((x, y))
+    return out
+
+
+def plain_boundary_f(a, b, r, w, h):
+    a, b = edge(a, w, h), edge(b, w, h)
+    if not a or not b:
+        return 1.0 if not a and not b else 0.0
+    close = lambda own, other: sum(any((x + dx, y + dy) in other for dx in range(-r, r + 1) for dy in range(-r, r + 1)) for x, y in own) / len(own)
+    p, q = close(b, a), close(a, b)
+    return 2 * p * q / (p + q) if p + q else 0.0
+
+
+def test_mask_phrase_and_demo_metrics(spark, sf):
+    import numpy as np
+
+    from annolake.operators.groups import hungarian
+    from annolake.plans.queries import QUERIES
+
+    truths = by_image(with_cells(r.asDict(), 4) for r in fx.gt_boxes(spark, sf).where("iscrowd = 0").collect())
+    dets = by_image(with_cells(r.asDict(), 4) for r in fx.pred_boxes(spark, sf).where("score >= 0.5").collect())
+    images = {r.id: r.is_instance_exhaustive for r in fx.images(spark, sf).collect()}
+    got = {r.iou_percent: r for r in QUERIES["mask_phrase_cgf1"](spark, sf).collect()}
+    rows = {i: (len(truths[i]), len(dets[i]), hits_at(truths[i], dets[i])) for i in images}
+    for k, p in enumerate(metrics.IOU_PERCENT):
+        some = [v for i, v in rows.items() if images[i] == 1]
+        tp, fp, fn = sum(h[k] for _, _, h in some), sum(d - h[k] for _, d, h in some), sum(g - h[k] for g, _, h in some)
+        assert (got[p].tp, got[p].fp, got[p].fn) == (tp, fp, fn)
+        local = [plain_f1(h[k], d - h[k], g - h[k]) for g, d, h in some if g and d]
+        assert got[p].positive_macro_f1 == pytest.approx(sum(local) / len(local), abs=2e-6)
+    j, f = [], []
+    for i in images:
+        g, d = truths[i], dets[i]
+        if g and d:
+            m = np.array([[iou(a, b) for b in d] for a in g])
+            pairs = [(a, b) for a, b in zip(*hungarian(-m), strict=True) if m[a, b] > 0]
+            j.append(sum(m[q] for q in pairs) / min(len(g), len(d)))
+            f.append(sum(plain_boundary_f(g[a]["cells"], d[b]["cells"], 2, 160, 120) for a, b in pairs) / min(len(g), len(d)) if i % 40 == 0 else None)
+    demo = {r.iou_percent: r for r in QUERIES["demo_metrics"](spark, sf).collect()}
+    assert demo[50].j == pytest.approx(sum(j) / len(j), abs=2e-6) and demo[50].f != demo[50].j
+    assert demo[50].tp == sum(h[0] for _, _, h in rows.values())
+    # boundaries of every fortieth image, by definition
+    ids = [i for i in images if i % 40 == 0]
+    table = lambda df, at: ell_masks(df.where(F.col("image_id").isin(ids)), at)
+    some = fx.images(spark, sf).where(F.col("id").isin(ids))
+    part = metrics.mask_demo_metrics(some, table(fx.gt_boxes(spark, sf).where("iscrowd = 0"), 4), table(fx.pred_boxes(spark, sf).where("score >= 0.5"), 4)).first()
+    known = [v for v in f if v is not None]
+    assert len(known) > 5 and part.f == pytest.approx(sum(known) / len(known), abs=1e-6)
+
+
+def test_mask_video_precision_of_perfect_tracks(spark, sf):
+    gt = ell_masks(fx.tracks_gt(spark, sf), 2)
+    got = {r.metric: r.value for r in metrics.video_precision(gt, gt.withColumn("score", F.lit(0.5))).collect()}
+    assert got["AP"] == pytest.approx(1.0) and got["AR@100"] == pytest.approx(1.0) and got["AP_large"] == -1.0
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_runs_of_a_whole_batch(seed):
+    """Areas, boxes and overlaps of random masks at once, also of empty, full and null ones."""
+    import numpy as np
+    import pyarrow as pa
+
+    from annolake.operators import masks, runs
+
+    rng = np.random.default_rng(seed)
+    maps = [[rng.random((7, 5)) < share for share in rng.choice([0.0, 0.1, 0.5, 1.0], 40)] for _ in "ab"]
+    spans = [runs.Spans.of(pa.array([None if k == 9 else masks.from_bitmap(m).tolist() for k, m in enumerate(some)], pa.list_(pa.int32()))) for some in maps]
+    for some in maps:
+        some[9] = np.zeros((7, 5), bool)
+    assert spans[0].area().tolist() == [int(m.sum()) for m in maps[0]]
+    assert runs.overlaps(*spans).tolist() == [int((a & b).sum()) for a, b in zip(*maps, strict=True)]
+    want = []
+    for m in maps[0]:
+        ys, xs = np.nonzero(m)
+        want.append([xs.min(), ys.min(), xs.max() - xs.min() + 1, ys.max() - ys.min() + 1] if len(xs) else [0, 0, 0, 0])
+    assert runs.boxes(spans[0], np.full(40, 7)).tolist() == [[int(v) for v in r] for r in want]
