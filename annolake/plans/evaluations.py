@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,9 +11,12 @@ from ..functions import boxes as bx
 from ..functions import text as tx
 from ..operators import associate, evaluation, label_qa, masks, matching, metrics, pairs, prep, remap, teta, tracks
 from ..sources import coco, listing
+from ..streaming import frames as st_frames
+from ..streaming import rules
+from ..streaming.occlusion import occlusion_suppress
 from . import fixtures as fx
 from .fixtures import DT, FR, GT, IMG, TD, TG, iou_sql
-from .queries import DAYS, GRID, QO, day_frames, query, query_tables, rounded
+from .queries import DAYS, EVENTS, GRID, QO, STREAM, _folder, day_frames, query, query_tables, rounded, track_events
 
 NAMES = {1: "view", 2: "signup", 3: "purchase", 4: "error", 5: "click"}
 NAME_SQL = "case category_id when 1 then 'view' when 2 then 'signup' when 3 then 'purchase' when 4 then 'error' else 'click' end"
@@ -449,3 +454,63 @@ def mask_teta(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def mask_video_precision(spark: SparkSession, d: str) -> DataFrame:
     return rounded(metrics.video_precision(*track_masks(spark, d)), "value")
+
+
+# -- ordered streams: frames come split and out of order over four batches -----------------------------------------------------------
+
+
+def _ordered(spark: SparkSession, rows: DataFrame, rule: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
+    folder = _folder(spark, name)
+    return st_frames.drained(rule(fx.arrivals(rows, f"{folder}/in")), f"{name}_{folder[-12:]}", folder)
+
+
+@query(
+    f"with {STREAM} select video_id, frame_idx, case when n=0 then 'class_missing' else 'sudden_decrease' end kind, category_id, pn prev_n, n from o where pn>0 and (n=0 or n/pn<0.5)"
+    " union all select video_id, frame_idx, 'all_missing', null::int, null::int, 0 from e where total=0 and pt>0"
+)
+def ordered_frame_warnings(spark: SparkSession, d: str) -> DataFrame:
+    """The rows of streamed_frame_warnings, whatever order they come in."""
+    rows = st_frames.event_rows(fx.table(spark, d, "events"))
+    return _ordered(spark, rows, lambda s: rules.ordered_warnings(s, delay="3 days"), "ordered_warnings")
+
+
+def object_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Events of tracks with their masks; every fifth mask is empty."""
+    shapes = ell_masks(fx.tracks_gt(spark, d).where("eid % 5 <> 0"), 2).select("video_id", "frame_idx", "track_id", "runs")
+    h, w = CANVAS
+    rows = track_events(spark, d).join(shapes, ["video_id", "frame_idx", "track_id"], "left")
+    return rows.withColumn("height", F.lit(h)).withColumn("runs", F.coalesce("runs", F.array(F.lit(h * w))))
+
+
+@query(
+    f"""with recursive {EVENTS}, gone as (select video_id, track_id, min(frame_idx) gone, arg_min(reason, frame_idx*10+(reason='unmatched')::int) reason from r group by 1, 2), ke as (select *, row_number() over (partition by video_id, track_id order by frame_idx) k,
+  count_if(kind='unmatched') over (partition by video_id, track_id order by frame_idx) misses from f),
+al as (select video_id, track_id, 0::bigint k, 2::bigint alive, 0::bigint frame_idx, 0::bigint misses from ke where k=1
+  union all select ke.video_id, ke.track_id, ke.k, least(3, greatest(-1, alive + (kind='matched')::bigint - (kind='unmatched')::bigint)), ke.frame_idx, ke.misses
+  from al join ke on ke.video_id=al.video_id and ke.track_id=al.track_id and ke.k=al.k+1)
+select video_id, frame_idx, track_id, 'suppressed' what from al left join gone using (video_id, track_id) where k>0 and misses>0 and alive<=0 and (gone is null or frame_idx<gone)
+union all select video_id, gone, track_id, reason from gone"""
+)
+def ordered_track_removals(spark: SparkSession, d: str) -> DataFrame:
+    """Removed and suppressed tracks of the hot-start rules, by the stream."""
+    return _ordered(spark, track_events(spark, d), lambda s: rules.ordered_removals(s, delay=40, unmatch=3, dup=2, start=2, most=3, late="3 days"), "ordered_removals")
+
+
+@query()
+def ordered_occlusion(spark: SparkSession, d: str) -> DataFrame:
+    """Masks that are suppressed by occlusion order, by the stream."""
+    rows = object_rows(spark, d).select("video_id", "frame_idx", "track_id", "height", "runs")
+    return _ordered(spark, rows, lambda s: rules.ordered_occlusion(s, 0.2, delay="3 days"), "ordered_occlusion")
+
+
+@query()
+def ordered_track_rules(spark: SparkSession, d: str) -> DataFrame:
+    """Hot-start rules, and occlusion order that they tell of removals: two states in a row."""
+    run = lambda s: rules.ordered_track_rules(s, 0.2, delay=40, unmatch=3, dup=2, start=2, most=3, late="3 days")
+    return _ordered(spark, object_rows(spark, d), run, "track_rules")
+
+
+@query()
+def mask_occlusion_suppressed(spark: SparkSession, d: str) -> DataFrame:
+    """The batch twin of ordered_occlusion, backwards."""
+    return occlusion_suppress(object_rows(spark, d), 0.2, reverse=True)

@@ -92,6 +92,26 @@ def tracks_pred(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def arrivals(rows: DataFrame, folder: str, pieces: int = 4, late: int = 3, ends: int = 2) -> DataFrame:
+    """A stream of `rows` (video_id, frame_idx, ...) with `ts`, the day of the frame, in `pieces` batches of files under `folder`.
+
+    A row arrives up to `late` - 1 days after its frame, by the hash of its content, so frames come split and out of order. `ends` more batches
+    hold one row of video -1 each, years later: the watermark passes every frame, and then every idle video.
+    """
+    spark = rows.sparkSession
+    timed = rows.withColumn("ts", F.timestamp_millis((F.col("frame_idx") + 19723) * 86_400_000))  # days since 2024-01-01
+    came = timed.withColumn("came", F.col("frame_idx") + F.pmod(F.xxhash64(*rows.columns), F.lit(late)))
+    lo, hi = came.agg(F.min("came"), F.max("came")).first()
+    for k in range(pieces if lo is not None else 0):
+        own = came.where(F.floor((F.col("came") - lo) * pieces / (hi - lo + 1)) == k)
+        own.drop("came").coalesce(1).write.mode("append").parquet(folder)
+    for k in range(ends):
+        last = {"video_id": F.lit(-1), "frame_idx": F.lit(10**6 + k), "ts": F.timestamp_millis(F.lit((19723 + 10**4 * (k + 1)) * 86_400_000))}
+        one = spark.range(1).select(*(last.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in timed.schema))
+        one.write.mode("append").parquet(folder)
+    return spark.readStream.schema(timed.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
 #: The same tables as common table expressions of DuckDB.
 GT = """gt as (select l_orderkey image_id, cast(l_linenumber%3 as int) class_id,
   row_number() over (partition by l_orderkey order by l_linenumber,l_partkey,l_suppkey,l_extendedprice) ann_id,
