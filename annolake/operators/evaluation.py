@@ -8,19 +8,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from .cut import few
 from .prep import hashed
+from .remap import numbered
+
+
+#: Classes that travel together to every image.
+BLOCK = 4_096
 
 
 def image_category_queries(images: DataFrame, truths: DataFrame, chunk: int = 1, names: dict[int, str] | None = None, label: str = "class_id") -> DataFrame:
     """image_id, class_id, chunk, prompt, n, ids: a query for every image and class, with the ids of its truths or none.
 
-    images: image_id. The classes are those of `truths` (few, checked); `names` renames prompts. Classes are numbered in order
-    and `chunk` of them form one chunk.
+    images: image_id. The classes are those of `truths`, however many; `names` renames prompts. Classes are numbered in order and `chunk` of
+    them form one chunk. Numbered classes go out in blocks, which meet shares of the images; the result itself has a row for every pair.
     """
-    classes = few(truths, label)
-    rank = F.array(*(F.struct(F.lit(c).cast(truths.schema[label].dataType).alias(label), F.lit(k // chunk).cast("long").alias("chunk"), F.lit((names or {}).get(c, str(c))).alias("prompt")) for k, c in enumerate(classes)))
-    grid = images.select("image_id", F.inline(rank)) if classes else images.select("image_id").limit(0).withColumns({label: F.lit(0), "chunk": F.lit(0).cast("long"), "prompt": F.lit("")})
+    classes = numbered(truths.select(label).where(F.col(label).isNotNull()).distinct(), [label], "__k")
+    n = classes.count()
+    blocks = max(1, -(-n // BLOCK))
+    shares = max(1, int(images.sparkSession.conf.get("spark.sql.shuffle.partitions")) // blocks)
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    prompt = F.coalesce(*([F.element_at(F.create_map(*(F.lit(x) for k, v in names.items() for x in (str(k), v))), F.col(label).cast("string"))] if names else []), F.col(label).cast("string"))
+    one = F.struct(label, F.expr(f"__k div {chunk}").alias("chunk"), prompt.alias("prompt"))
+    block = classes.groupBy(F.expr(f"cast(__k div {BLOCK} as int)").alias("__b")).agg(F.collect_list(one).alias("__c")).withColumn("__s", every(shares))
+    asked = images.select("image_id", F.pmod(F.xxhash64("image_id"), F.lit(shares)).cast("int").alias("__s"), every(blocks).alias("__b"))
+    grid = asked.join(block, ["__b", "__s"]).select("image_id", F.inline("__c"))
     ids = truths.groupBy("image_id", label).agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list("ann_id")).alias("ids"))
     out = grid.join(ids, ["image_id", label], "left")
     return out.fillna(0, ["n"]).withColumn("ids", F.coalesce("ids", F.array().cast("array<bigint>")))

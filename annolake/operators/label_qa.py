@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .cut import few
-
 
 def in_order(frames: DataFrame, by: str = "video_id") -> DataFrame:
     """frames (video_id, frame_idx, status) with the neighbours' status; adjacency is by rank, not by number."""
@@ -19,21 +17,19 @@ def frame_gaps(frames: DataFrame) -> DataFrame:
     return in_order(frames).where("status <> 'ok' and prev_status = 'ok' and next_status = 'ok'").select("video_id", "frame_idx", "status")
 
 
-def dense_counts(frames: DataFrame, counts: DataFrame, classes: DataFrame) -> DataFrame:
-    """A row for each frame and class (few, checked), n = 0 where the class has no box."""
-    kind = classes.schema["category_id"].dataType
-    grid = frames.withColumn("category_id", F.explode(F.array(*(F.lit(c) for c in few(classes, "category_id"))).cast(f"array<{kind.simpleString()}>")))
-    return grid.join(counts.select("video_id", "frame_idx", "category_id", "n"), ["video_id", "frame_idx", "category_id"], "left").fillna(0, ["n"])
+def present(frames: DataFrame, counts: DataFrame, classes: DataFrame) -> DataFrame:
+    """A row for each frame and class (of `classes`) that has a box: n, the class's next such frame (g, g_n) in the video, and the two frames that
+    follow (next_1, next_2 with their status). What is absent needs no row: it lies between a row and the class's next."""
+    w, own = Window.partitionBy("video_id").orderBy("frame_idx"), Window.partitionBy("video_id", "category_id").orderBy("frame_idx")
+    line = frames.select("video_id", "frame_idx", "status", *(F.lead(c, k).over(w).alias(f"{c}_{k}") for c in ("frame_idx", "status") for k in (1, 2)))
+    rows = counts.where("n > 0").join(classes.select("category_id").distinct(), "category_id", "left_semi").select("video_id", "frame_idx", "category_id", "n")
+    return rows.join(line, ["video_id", "frame_idx"]).withColumns({"g": F.lead("frame_idx").over(own), "g_n": F.lead("n").over(own)})
 
 
 def class_gaps(frames: DataFrame, counts: DataFrame, classes: DataFrame) -> DataFrame:
     """Classes that are present, absent and present again on three consecutive ok frames."""
-    w = Window.partitionBy("video_id", "category_id").orderBy("frame_idx")
-    grid = dense_counts(frames, counts, classes)
-    for name, f in (("prev", F.lag), ("next", F.lead)):
-        grid = grid.withColumn(f"{name}_n", f("n").over(w)).withColumn(f"{name}_status", f("status").over(w))
-    found = grid.where("status = 'ok' and prev_status = 'ok' and next_status = 'ok' and n = 0 and prev_n > 0 and next_n > 0")
-    return found.select("video_id", "frame_idx", "category_id", "prev_n", "next_n")
+    found = present(frames, counts, classes).where("g = frame_idx_2 and status = 'ok' and status_1 = 'ok' and status_2 = 'ok'")
+    return found.select("video_id", F.col("frame_idx_1").alias("frame_idx"), "category_id", F.col("n").alias("prev_n"), F.col("g_n").alias("next_n"))
 
 
 def frame_warnings(frames: DataFrame, counts: DataFrame, classes: DataFrame, thr: float = 0.5) -> DataFrame:
@@ -42,10 +38,11 @@ def frame_warnings(frames: DataFrame, counts: DataFrame, classes: DataFrame, thr
     Compared with the frame before; a video's first frame has no warnings, and a frame without objects is all missing only
     if the one before had some. A decrease needs a count above 0 and a ratio strictly below `thr`.
     """
-    w = Window.partitionBy("video_id", "category_id").orderBy("frame_idx")
-    grid = dense_counts(frames, counts, classes).withColumn("prev_n", F.lag("n").over(w))
-    kind = F.when((F.col("prev_n") > 0) & (F.col("n") == 0), "class_missing").when((F.col("prev_n") > 0) & (F.col("n") > 0) & (F.col("n") / F.col("prev_n") < thr), "sudden_decrease")
-    by_class = grid.withColumn("kind", kind).where("kind is not null").select("video_id", "frame_idx", "kind", "category_id", "prev_n", "n")
+    stays = F.col("g").eqNullSafe(F.col("frame_idx_1"))
+    kind = F.when(~stays, "class_missing").when(F.col("g_n") / F.col("n") < thr, "sudden_decrease")
+    now = F.when(stays, F.col("g_n")).otherwise(0).cast(counts.schema["n"].dataType)
+    steps = present(frames, counts, classes).where("frame_idx_1 is not null").select("video_id", F.col("frame_idx_1").alias("frame_idx"), kind.alias("kind"), "category_id", F.col("n").alias("prev_n"), now.alias("n"))
+    by_class = steps.where("kind is not null")
     total = frames.join(counts.groupBy("video_id", "frame_idx").agg(F.sum("n").alias("n")), ["video_id", "frame_idx"], "left").fillna(0, ["n"])
     total = total.withColumn("before", F.lag("n").over(Window.partitionBy("video_id").orderBy("frame_idx")))
     empty = total.where("n = 0 and before > 0").selectExpr("video_id", "frame_idx", "'all_missing' kind", "cast(null as int) category_id", "cast(null as int) prev_n", "cast(0 as int) n")

@@ -510,3 +510,40 @@ def test_runs_of_a_whole_batch(seed):
         ys, xs = np.nonzero(m)
         want.append([xs.min(), ys.min(), xs.max() - xs.min() + 1, ys.max() - ys.min() + 1] if len(xs) else [0, 0, 0, 0])
     assert runs.boxes(spans[0], np.full(40, 7)).tolist() == [[int(v) for v in r] for r in want]
+
+
+def test_queries_of_more_classes_than_a_block(spark, monkeypatch):
+    monkeypatch.setattr(evaluation, "BLOCK", 3)
+    truths = spark.createDataFrame([(i, c, i * 100 + c) for i in range(4) for c in range(11) if (i + c) % 3 == 0], "image_id long, class_id int, ann_id long")
+    images = spark.range(5).select(F.col("id").alias("image_id"))
+    got = sorted((r.image_id, r.class_id, r.chunk, r.prompt, r.n, tuple(r.ids)) for r in evaluation.image_category_queries(images, truths, 4, {2: "two"}).collect())
+    has = lambda i, c: i < 4 and (i + c) % 3 == 0
+    assert got == [(i, c, c // 4, "two" if c == 2 else str(c), int(has(i, c)), (i * 100 + c,) if has(i, c) else ()) for i in range(5) for c in range(11)]
+    assert evaluation.image_category_queries(images, truths.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_gaps_and_warnings_against_the_whole_grid(spark, seed):
+    import random
+
+    from annolake.operators import label_qa
+
+    rng = random.Random(seed)
+    frames = [(v, 3 * f + rng.randrange(3), rng.choice(["ok", "ok", "ok", "empty", "missing"])) for v in range(3) for f in range(25)]
+    n = {(v, f, c): rng.choice([0, 0, 1, 2, 5]) for v, f, s in frames if s == "ok" for c in range(4)}
+    counts = spark.createDataFrame([(*k, x) for k, x in n.items() if x or rng.random() < 0.5], "video_id long, frame_idx long, category_id int, n int")
+    tables = spark.createDataFrame(frames, "video_id long, frame_idx long, status string"), counts, spark.createDataFrame([(c,) for c in range(3)], "category_id int")
+    gaps, warned = [], []
+    for v in range(3):
+        own = [(f, s) for w, f, s in frames if w == v]
+        for c in range(3):
+            at = [n.get((v, f, c), 0) for f, _ in own]
+            for k in range(1, len(own)):
+                if 0 < k < len(own) - 1 and not at[k] and at[k - 1] and at[k + 1] and all(own[k + j][1] == "ok" for j in (-1, 0, 1)):
+                    gaps.append((v, own[k][0], c, at[k - 1], at[k + 1]))
+                if at[k - 1] and at[k] / at[k - 1] < 0.5:
+                    warned.append((v, own[k][0], "sudden_decrease" if at[k] else "class_missing", c, at[k - 1], at[k]))
+        total = [sum(n.get((v, f, c), 0) for c in range(4)) for f, _ in own]
+        warned += [(v, own[k][0], "all_missing", None, None, 0) for k in range(1, len(own)) if not total[k] and total[k - 1]]
+    assert gaps and sorted(map(tuple, label_qa.class_gaps(*tables).collect())) == sorted(gaps)
+    assert sorted(map(tuple, label_qa.frame_warnings(*tables).collect()), key=str) == sorted(warned, key=str)
