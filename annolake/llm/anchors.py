@@ -154,15 +154,15 @@ class Keys:
         self.times = np.bincount(self.of, times, minlength=len(first)).astype(np.int64)
 
     def ask(self, chunk: int, buckets: int, kind: int) -> pa.Table:
-        """A row for each bucket: its keys, and how often the chunk has each (up to 255)."""
+        """A row for each bucket: its keys, and how often the chunk has each."""
         to, out = [], []
         for b, at in dealt(bucket_of(self.columns[0], buckets)):
             to.append(b)
-            out.append(pack(np.minimum(self.times[at], 255).astype(np.uint8), *(c[at] for c in self.columns)))
+            out.append(pack(self.times[at].astype("<u4"), *(c[at] for c in self.columns)))
         return pa.table({"kind": pa.array([kind] * len(to), pa.int32()), "bucket": pa.array(to, pa.int32()), "chunk": pa.array([chunk] * len(to), pa.int32()), "payload": pa.array(out, pa.binary())})
 
     def answered(self, answers: pa.Table, buckets: int, kind: int, what: int = 0) -> np.ndarray:
-        """For each position that had a key: the answer (0: more than once in the corpus, 1: more than `hot` times)."""
+        """For each position that had a key: the answer (0: more than once in the corpus, 1: more than `hot` times, 2: this chunk is the key's own)."""
         own = np.zeros(len(self.columns[0]), bool)
         got = {b: x for k, b, x in zip(*(answers.column(c).to_pylist() for c in ("kind", "bucket", "payload")), strict=True) if k == kind}
         for b, at in dealt(bucket_of(self.columns[0], buckets)):
@@ -175,18 +175,27 @@ ASKED = "kind int, bucket int, chunk int, payload binary"
 ASKED_SCHEMA = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("chunk", pa.int32()), ("payload", pa.binary())])
 
 
-def answered(asked: DataFrame, hot: int = 1 << 60) -> DataFrame:
-    """The buckets' answers to what chunks asked: two bits for each key, whether it occurs more than once, and more than `hot` times."""
+def answered(asked: DataFrame, hot: int = 1 << 60, own: bool = False) -> DataFrame:
+    """The buckets' answers to what chunks asked: two bits for each key, whether it occurs more than once, and more than `hot` times; with
+    `own` a third, which one chunk of all that hold the key gets, the first in a random order of chunks."""
 
     def answer(rows: pa.Table) -> pa.Table:
-        got = [unpack(x.as_py(), "u1", *["<u8"] * (struct.unpack_from("<q", x.as_py())[0] - 1)) for x in rows.column("payload")]
+        got = [unpack(x.as_py(), "<u4", *["<u8"] * (struct.unpack_from("<q", x.as_py())[0] - 1)) for x in rows.column("payload")]
         times, *columns = (np.concatenate(x) for x in zip(*got, strict=True))
         order = np.lexsort(columns[::-1])
         first = runs_of(*(c[order] for c in columns))
         total = np.empty(len(order), np.int64)
         total[order] = np.repeat(np.add.reduceat(times[order].astype(np.int64), first), stops(first, len(order)) - first)
         ends = np.cumsum([0, *(len(g[0]) for g in got)]).tolist()
-        out = [np.packbits(total[x:y] > 1).tobytes() + np.packbits(total[x:y] > hot).tobytes() for x, y in zip(ends[:-1], ends[1:], strict=True)]
+        bits = [total > 1, total > hot]
+        if own:
+            place = np.empty(len(got), np.int64)
+            place[np.argsort(util.mix64(np.asarray(rows.column("chunk")).astype(np.uint64) + np.uint64(1)))] = np.arange(len(got))
+            holder = np.repeat(place, np.diff(ends))
+            least = np.empty(len(order), np.int64)
+            least[order] = np.repeat(np.minimum.reduceat(holder[order], first), stops(first, len(order)) - first)
+            bits.append(holder == least)
+        out = [b"".join(np.packbits(b[x:y]).tobytes() for b in bits) for x, y in zip(ends[:-1], ends[1:], strict=True)]
         util.tidy()
         return pa.table({"kind": rows.column("kind"), "bucket": rows.column("bucket"), "chunk": rows.column("chunk"), "payload": pa.array(out, pa.binary())})
 

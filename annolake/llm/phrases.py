@@ -1,13 +1,17 @@
 """Repeated passages of words: confirmed by counting, compiled into automata, and located in every document.
 
 1. Confirm. Windows of `SIZE` words whose anchor occurs more than once (see anchors.py) are counted over the corpus by 128-bit
-   keys; a chunk of documents learns which of its windows occur more than once. Maximal rows of such windows are passages.
-2. Compile. The distinct passages that a chunk can hold, in blocks of at most 2 * SIZE words, are its part of the dictionary,
-   compiled into Aho-Corasick automata, one for each shard of about `SHARD` words. A word is one character there.
-3. Stream. Every document of the chunk runs through every automaton of the chunk; all words of all hits are removed.
+   keys. Of all chunks that hold a window that occurs more than once, one is the window's own.
+2. Compile. A chunk sends the dictionary the words of its own windows, each text once: windows in a row that share an anchor are one passage,
+   of at most 2 * SIZE words, which goes to its anchor's shard; at an anchor that occurs more than `HOT` times every window
+   is a passage, which goes to its own key's shard. A shard gives each chunk the passages of the anchors (or keys) that the chunk
+   has. Their phrases of `GRAM` words (the anchor; of a single window its first words) are compiled into Aho-Corasick automata, one for
+   about `SHARD` words. A word is one character there.
+3. Stream. Every document of the chunk runs through every automaton that it was given. Around a hit the passage and the document are compared word by
+   word; SIZE or more equal words in a row are windows of the passage, so all of them go. Positions come from hits alone: without the
+   dictionary nothing is found.
 
-A passage's windows are keys of their own, so a passage that a third of the documents share costs one entry a chunk for each
-window, dealt over all buckets. Automata hold passages, not windows, so their size is that of the passages' text.
+A passage that a third of the documents share is sent to the dictionary once, and comes back once a chunk. Passages at one anchor are at most `HOT`.
 
 Defined cases: null text has no words; texts of fewer than SIZE words keep every word; of several rows with the same id
 and text every window occurs more than once; matches never cross rows; very long texts are cut nowhere; other columns are not
@@ -17,6 +21,7 @@ read. Windows are judged on the input, and a repeat within one text counts.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import ahocorasick
@@ -30,7 +35,8 @@ from . import util, words
 SIZE = 35
 GRAM = 12
 SHARD = 1_000_000
-ANCHORS, WINDOWS = 0, 1
+HOT = 256
+ANCHORS, WINDOWS, NEEDS, PASSAGES = 0, 1, 2, 3
 _STEPS = (np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F))
 
 
@@ -41,7 +47,7 @@ class Windows:
         starts, ends, self.first_word = words.word_spans(chunk.data, chunk.offsets)
         self.hashes = words.word_hashes(chunk.data, starts, ends)
         none = np.zeros(0, np.int64)
-        self.anchor, self.first, self.last, self.row = none.astype(np.uint64), none, none, none
+        self.anchor, self.at, self.first, self.last, self.row = none.astype(np.uint64), none, none, none, none
         if len(starts) < SIZE:
             return
         h = words.gram_hashes(self.hashes, GRAM)
@@ -49,9 +55,9 @@ class Windows:
         long = np.diff(self.first_word) >= SIZE
         np.add.at(ok, self.first_word[:-1][long], 1)
         np.add.at(ok, self.first_word[1:][long] - SIZE + 1, -1)
-        at, self.first, self.last = an.anchor_runs(h, np.cumsum(ok[:-1]) > 0, SIZE - GRAM + 1)
-        self.anchor = h[at]
-        self.row = np.searchsorted(self.first_word, at, side="right") - 1
+        self.at, self.first, self.last = an.anchor_runs(h, np.cumsum(ok[:-1]) > 0, SIZE - GRAM + 1)
+        self.anchor = h[self.at]
+        self.row = np.searchsorted(self.first_word, self.at, side="right") - 1
 
     def anchors(self, chunk: an.Chunk) -> an.Keys:
         """Distinct anchors; in a row that stands for several equal ones, each occurs as often."""
@@ -78,17 +84,6 @@ class Windows:
         return start, an.Keys(columns, np.repeat(chunk.copies[self.row[run]], size))
 
 
-def blocks(starts: np.ndarray) -> Iterator[tuple[int, int]]:
-    """(from, to) in words of the passages' blocks: every window that starts at one of the ascending `starts` lies in one, and
-    every window of a block starts at one of them."""
-    if not len(starts):
-        return
-    first = np.flatnonzero(np.append(True, np.diff(starts) != 1))
-    for a, b in zip(starts[first].tolist(), starts[np.append(first[1:], len(starts)) - 1].tolist(), strict=True):
-        for x in range(a, b + 1, SIZE + 1):
-            yield x, min(x + SIZE, b) + SIZE
-
-
 class Automaton:
     """Aho-Corasick over passages of words; a word is one character, and words of no passage are one more."""
 
@@ -119,19 +114,92 @@ def compiled(passages: list[list[bytes]]) -> Iterator[Automaton]:
         at = stop
 
 
-def _located(chunk: an.Chunk, windows: Windows, starts: np.ndarray) -> pa.Table:
-    """Results for the distinct rows of a chunk whose windows at `starts` (ascending) are confirmed."""
-    split = [raw.split() for raw in chunk.raw]
-    row = np.searchsorted(windows.first_word, starts, side="right") - 1
-    passages = []
-    for r, at in an.dealt(row):
+def _sent(chunk: an.Chunk, windows: Windows, answers: pa.Table, buckets: int) -> Iterator[tuple[int, int, bytes]]:
+    """(kind, bucket, payload): keys of the passages that a chunk needs, and those that it adds to the dictionary, each after the place of its phrase."""
+    known = windows.anchors(chunk)
+    run = np.flatnonzero(known.answered(answers, buckets, ANCHORS))
+    hot = known.answered(answers, buckets, ANCHORS, 1)
+    starts, keys = windows.keys(chunk, run)
+    more = keys.answered(answers, buckets, WINDOWS)
+    at = np.repeat(run, (windows.last - windows.first + 1)[run])
+    key = np.where(hot[at], keys.columns[0][keys.of], windows.anchor[at])
+    needed = np.unique(key[more])
+    for b, where in an.dealt(an.bucket_of(needed, buckets)):
+        yield NEEDS, b, an.pack(needed[where])
+    # windows in a row, of one key, become one passage
+    mine = np.flatnonzero(more & keys.answered(answers, buckets, WINDOWS, 2))
+    if not len(mine):
+        return
+    starts, key, at = starts[mine], key[mine], at[mine]
+    first = np.flatnonzero(np.concatenate([[True], (starts[1:] != starts[:-1] + 1) | (key[1:] != key[:-1]) | (at[1:] != at[:-1])]))
+    last = an.stops(first, len(starts)) - 1
+    offset = np.where(hot[at[first]], 0, windows.at[at[first]] - starts[first])
+    split: dict[int, list[bytes]] = {}
+    texts: dict[int, set[bytes]] = {}
+    for r, k, a, z, off in zip(windows.row[at[first]].tolist(), key[first].tolist(), starts[first].tolist(), starts[last].tolist(), offset.tolist(), strict=True):
+        if r not in split:
+            split = {r: chunk.raw[r].split()}  # rows come in order: one is held at a time
         base = int(windows.first_word[r])
-        passages += [split[r][a - base : b - base] for a, b in blocks(starts[at])]
+        texts.setdefault(k, set()).add(b"%d %s" % (off, b" ".join(split[r][a - base : z - base + SIZE])))
+    own = np.array(sorted(texts), np.uint64)
+    for b, where in an.dealt(an.bucket_of(own, buckets)):
+        some = [(int(k), t) for k in own[where] for t in sorted(texts[int(k)])]
+        yield PASSAGES, b, an.pack(np.array([k for k, _ in some], np.uint64), zlib.compress(b"\n".join(t for _, t in some), 1))
+
+
+def _given(rows: pa.Table) -> pa.Table:
+    """For each chunk that needs passages of a shard: those that it needs."""
+    kinds, payloads = rows.column("kind").to_pylist(), rows.column("payload")
+    keys, texts = [], []
+    for k, x in zip(kinds, payloads, strict=True):
+        if k == PASSAGES:
+            own, packed = an.unpack(x.as_py(), "<u8", None)
+            keys.append(own)
+            texts += zlib.decompress(packed).split(b"\n")
+    key = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    chunks, out = [], []
+    for k, c, x in zip(kinds, rows.column("chunk").to_pylist(), payloads, strict=True):
+        if k == NEEDS:
+            (need,) = an.unpack(x.as_py(), "<u8")
+            lo, hi = np.searchsorted(key, need), np.searchsorted(key, need, side="right")
+            found = [texts[int(i)] for a, b in zip(lo.tolist(), hi.tolist(), strict=True) for i in order[a:b]]
+            if found:
+                chunks.append(c)
+                out.append(zlib.compress(b"\n".join(found), 1))
+    util.tidy()
+    return pa.table({"chunk": pa.array(chunks, pa.int32()), "payload": pa.array(out, pa.binary())})
+
+
+def covered(own: list[bytes], at: int, passage: list[bytes], phrase: int) -> tuple[int, int] | None:
+    """(from, to) of the words around a hit that are equal in a document and a passage, if they are SIZE or more. The phrase begins at word `at`
+    of the document and at word `phrase` of the passage."""
+    lo = at - phrase
+    if lo >= 0 and own[lo : lo + len(passage)] == passage:
+        return lo, lo + len(passage)
+    left = right = 0
+    while left < min(phrase, at) and own[at - left - 1] == passage[phrase - left - 1]:
+        left += 1
+    x, y = at + GRAM, phrase + GRAM
+    while right < min(len(own) - x, len(passage) - y) and own[x + right] == passage[y + right]:
+        right += 1
+    return (at - left, x + right) if left + GRAM + right >= SIZE else None
+
+
+def _located(chunk: an.Chunk, passages: list[bytes]) -> pa.Table:
+    """Results for the distinct rows of a chunk, by the hits of the passages' phrases in them."""
+    split = [raw.split() for raw in chunk.raw]
     found: list[list[tuple[int, int]]] = [[] for _ in split]
-    for automaton in compiled(passages):
-        for own, hits in zip(split, found, strict=True):
+    by: dict[bytes, list[tuple[int, list[bytes]]]] = {}
+    for text in passages:
+        off, *own = text.split(b" ")
+        by.setdefault(b" ".join(own[int(off) : int(off) + GRAM]), []).append((int(off), own))
+    for automaton in compiled([phrase.split(b" ") for phrase in by]):
+        for own, spans in zip(split, found, strict=True):
             if len(own) >= SIZE:
-                hits += automaton.hits(own)
+                for x, y in automaton.hits(own):
+                    spans += [c for off, passage in by[b" ".join(own[x:y])] if (c := covered(own, x, passage, off))]
     out = []
     for own, hits in zip(split, found, strict=True):
         spans = an.union(hits)
@@ -145,12 +213,8 @@ def _located(chunk: an.Chunk, windows: Windows, starts: np.ndarray) -> pa.Table:
     return pa.table([pa.array(c, f.type) for c, f in zip(cols, list(_OUT)[1:], strict=True)], _OUT.names[1:])
 
 
-def removed_words(docs: DataFrame, chunk_bytes: int = an.CHUNK_BYTES, bucket_bytes: int = an.BUCKET_BYTES) -> DataFrame:
-    """doc_id, n_words, n_removed, kept_sha256 and the removed spans (in words) of every row."""
-    util.small_batches(docs.sparkSession)
-    size = util.text_bytes(docs)
-    buckets = -(-size // bucket_bytes)
-    table = an.keyed(docs, -(-size // chunk_bytes), ["doc_id"])
+def dictionary(table: DataFrame, buckets: int, hot: int = HOT) -> DataFrame:
+    """What the chunks of a table (see anchors.keyed) need of the dictionary and add to it: rows of NEEDS and PASSAGES for its shards."""
 
     def ask_anchors(rows: pa.Table) -> pa.Table:
         chunk = an.Chunk(rows)
@@ -166,25 +230,44 @@ def removed_words(docs: DataFrame, chunk_bytes: int = an.CHUNK_BYTES, bucket_byt
         util.tidy()
         return out
 
-    def locate(rows: pa.Table, answers: pa.Table) -> pa.Table:
+    def send(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        if not rows.num_rows or not answers.num_rows:
+            return an.ASKED_SCHEMA.empty_table()
+        chunk = an.Chunk(rows)
+        cols = list(zip(*_sent(chunk, Windows(chunk), answers, buckets), strict=True)) or [[]] * 3
+        number = [rows.column("__chunk")[0].as_py()] * len(cols[0])
+        util.tidy()
+        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip((cols[0], cols[1], number, cols[2]), an.ASKED_SCHEMA, strict=True)], schema=an.ASKED_SCHEMA)
+
+    mine = table.groupBy("__chunk")
+    of_anchors = an.answered(mine.applyInArrow(ask_anchors, an.ASKED), hot)
+    of_windows = an.answered(mine.cogroup(of_anchors.groupBy("chunk")).applyInArrow(ask_windows, an.ASKED), own=True)
+    return mine.cogroup(of_anchors.unionByName(of_windows).groupBy("chunk")).applyInArrow(send, an.ASKED)
+
+
+def located(table: DataFrame, sent: DataFrame) -> DataFrame:
+    """doc_id, n_words, n_removed, kept_sha256 and spans of every row of a table, by the passages that its chunks are given."""
+
+    def locate(rows: pa.Table, given: pa.Table) -> pa.Table:
         if not rows.num_rows:
             return _OUT.empty_table()
         chunk = an.Chunk(rows)
-        windows = Windows(chunk)
-        starts = np.zeros(0, np.int64)
-        if answers.num_rows:
-            run = np.flatnonzero(windows.anchors(chunk).answered(answers, buckets, ANCHORS))
-            starts, keys = windows.keys(chunk, run)
-            starts = starts[keys.answered(answers, buckets, WINDOWS)]
-        result = _located(chunk, windows, starts).take(pa.array(chunk.of))
+        passages = {t for x in given.column("payload") for t in zlib.decompress(x.as_py()).split(b"\n")}
+        result = _located(chunk, sorted(passages)).take(pa.array(chunk.of))
         util.tidy()
         return result.add_column(0, "doc_id", rows.column("doc_id").take(pa.array(chunk.order)))
 
-    mine = table.groupBy("__chunk")
-    of_anchors = an.answered(mine.applyInArrow(ask_anchors, an.ASKED))
-    of_windows = an.answered(mine.cogroup(of_anchors.groupBy("chunk")).applyInArrow(ask_windows, an.ASKED))
+    given = sent.groupBy("bucket").applyInArrow(_given, "chunk int, payload binary")
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string, spans array<struct<start: long, stop: long>>"
-    return mine.cogroup(of_anchors.unionByName(of_windows).groupBy("chunk")).applyInArrow(locate, schema)
+    return table.groupBy("__chunk").cogroup(given.groupBy("chunk")).applyInArrow(locate, schema)
+
+
+def removed_words(docs: DataFrame, chunk_bytes: int = an.CHUNK_BYTES, bucket_bytes: int = an.BUCKET_BYTES, hot: int = HOT) -> DataFrame:
+    """doc_id, n_words, n_removed, kept_sha256 and the removed spans (in words) of every row."""
+    util.small_batches(docs.sparkSession)
+    size = util.text_bytes(docs)
+    table = an.keyed(docs, -(-size // chunk_bytes), ["doc_id"])
+    return located(table, dictionary(table, -(-size // bucket_bytes), hot))
 
 
 _OUT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("spans", an.SPANS)])

@@ -77,6 +77,63 @@ def test_frequent_anchors_are_split(spark, sf):
     assert rows_of(got, "doc_id", "n_words", "n_removed", "kept_sha256") == removed_words(docs)
 
 
+def test_phrases_come_from_the_dictionary_alone(spark, sf):
+    """With an empty dictionary nothing is removed; frequent anchors send single windows, and the result stays the same."""
+    from annolake.llm import anchors as an
+
+    docs = util.table(spark, sf, "documents")
+    table = an.keyed(docs, 40, ["doc_id"])
+    sent = phrases.dictionary(table, 9)
+    assert phrases.located(table, sent.where(F.col("kind") != phrases.PASSAGES)).agg(F.sum("n_removed")).first()[0] == 0
+    want = removed_words(docs)
+    for hot in (1, 3, 10**9):
+        got = phrases.located(table, phrases.dictionary(table, 9, hot))
+        assert rows_of(got, "doc_id", "n_words", "n_removed", "kept_sha256") == want
+
+
+def test_a_passage_is_sent_to_the_dictionary_once(spark):
+    """A passage of 80 words in 60 documents of as many chunks: its windows have one own chunk, which sends its words."""
+    import zlib
+
+    from annolake.llm import anchors as an
+
+    shared = " ".join(f"w{k}" for k in range(80))
+    docs = spark.createDataFrame([(i, f"a{i} b{i} {shared} c{i} d{i}") for i in range(60)], "doc_id long, text string")
+    table = an.keyed(docs, 60, ["doc_id"])
+    rows = phrases.dictionary(table, 5).where(F.col("kind") == phrases.PASSAGES).collect()
+    assert len({r.chunk for r in rows}) == 1
+    texts = [t for r in rows for t in zlib.decompress(an.unpack(r.payload, "<u8", None)[1]).split(b"\n")]
+    words = [t.decode().split()[1:] for t in texts]  # after the place of the phrase
+    windows = [" ".join(w[k : k + 35]) for w in words for k in range(len(w) - 34)]
+    assert len(windows) == len(set(windows)) == 46 and max(map(len, words)) <= 70
+
+
+def test_parts_of_a_passage_are_found(spark):
+    """Documents share windows with passages that are longer on one side, in other documents and chunks."""
+    import random
+
+    rng = random.Random(2)
+    line = [f"w{k}" for k in range(400)]
+    rows = []
+    for i in range(80):
+        a, n = rng.randrange(300), rng.randrange(30, 100)
+        rows.append((i, " ".join([f"a{i}", *line[a : a + n], f"b{i}", *line[a + 5 : a + 5 + n // 2]])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for hot in (1, 4, 256):
+        got = phrases.removed_words(docs, chunk_bytes=2000, bucket_bytes=9000, hot=hot)
+        assert rows_of(got, "doc_id", "n_words", "n_removed", "kept_sha256") == removed_words(docs)
+
+
+def test_counts_of_frequent_keys_are_whole():
+    """Times that a chunk holds a key are sent whole: 2,000 in each of five chunks are 10,000."""
+    import numpy as np
+
+    from annolake.llm import anchors as an
+
+    asked = [an.Keys([np.full(2000, 5, np.uint64)], np.ones(2000, np.int64)).ask(c, 1, 0) for c in range(5)]
+    assert sum(int(an.unpack(t.column("payload")[0].as_py(), "<u4", "<u8")[0][0]) for t in asked) == 10_000
+
+
 def test_rows_of_one_key_are_one_only_if_their_texts_are(monkeypatch):
     """Null ids, an id at the edge of its type, and texts whose hashes collide."""
     rows = pa.table({"__k0": [0, 0, 0, 1, 1], "__k1": [0, 0, 0, 0, -(2**63)], "__h": [7, 7, 7, 7, 7], "__text": [b"b", b"a", b"b", b"b", b"a"]})
