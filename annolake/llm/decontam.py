@@ -215,7 +215,7 @@ def build(benchmark: DataFrame) -> Iterator[Index]:
     shards = max(1, -(-sizes.w // SHARD_WORDS))
     df = term.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     for s in range(shards):
-        own = term.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)) == s)
+        own = term.where(F.pmod(F.xxhash64("item_id"), F.lit(shards)) == s)  # all texts of an item are in one shard
         needed = own.select(F.explode("terms").alias("term")).distinct().join(df, "term")
         yield Index([(r.item_id, r.text) for r in own.select("item_id", "text").orderBy("item_id", "text").collect()], dict(needed.collect()), sizes.n, sizes.w / sizes.n)
 

@@ -52,6 +52,15 @@ def test_shards_give_the_same(spark, monkeypatch):
     assert [r[:2] for r in one] == [r[:2] for r in many] and np.allclose([r[2:] for r in one], [r[2:] for r in many])
 
 
+def test_two_texts_of_one_item_are_one_leak_at_any_size_of_shards(spark, monkeypatch):
+    texts = [" ".join(f"{w}{k}" for k in range(40)) + "? the answer is " + " ".join(f"{w}{w}{k}" for k in range(12)) + "." for w in ("red", "blue", "green")]
+    items = spark.createDataFrame([(7, texts[0], 0), (7, texts[1], 0), (8, texts[2], 0)], ITEMS)
+    docs = spark.createDataFrame([(1, f"{texts[0]} and then {texts[1]}"), (2, texts[2])], "doc_id long, text string")
+    for words in (200_000, 10, 3):
+        monkeypatch.setattr(decontam, "SHARD_WORDS", words)
+        assert sorted((r.doc_id, r.item_id) for r in decontam.find_leaks(docs, items).collect()) == [(1, 7), (2, 8)]
+
+
 def test_question_and_answer_both_count(spark):
     question = "which of the many rivers in the north of the old country runs backwards every second spring?"
     answer = "the quiet river named after nobody at all, they say."
