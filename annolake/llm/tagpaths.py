@@ -2,12 +2,14 @@
 
 A page is read as a flat run of blocks. Every block has its root-to-leaf path of tags (with class and id words). Per path, text
 length, punctuation and the length of link texts are summed over its blocks; the ratios of the first two to the number of
-blocks, the share of text outside links, and the path's sum are fused into one weight. Names that tell boilerplate (nav, footer, ads, comments and so on), and a place outside the
-<article> or <main> of a page that has one, scale a block's weight down: they are a prior, and the ratios decide. Weights are
+blocks, the share of text outside links, and the path's sum are fused into one weight. A class, id or role that as a whole names boilerplate (footer, ads,
+cookie-notice, comment-list; not related-work or menu-design, whose other words say something), a tag that does (nav, footer), and a place outside the
+<article> or <main> of a page that has one, or else outside the container of its only h1, scale a block's weight down: they are a prior,
+and between blocks that nothing names the ratios decide. Weights are
 smoothed over the neighbouring blocks in page order, each neighbour counting the less the more containers lie between, so
 a heading takes part in its paragraphs' weight and an advert beside them does not. Blocks whose weight reaches a share of
 the page's mean weight (by text) are content. The lowest container of nearly all content is the article's own: its other
-blocks (short items, captions) belong to it unless their names tell boilerplate.
+blocks (short items, captions, formulas) belong to it unless their names tell boilerplate.
 
 Defined cases: null and empty pages, and pages whose blocks all lie in menus, footers, forms and the like, give an empty string; unclosed
 and stray tags are tolerated, a tag without its end is text; unknown character references stay as they are; a page without
@@ -35,9 +37,10 @@ _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _PUNCT = re.compile(r"[.,;:!?。，、；：！？]")
 _HUGE = re.compile(r"&#[0-9]{4000,};?")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = {t: re.compile(rf"</{t}(?![a-z0-9-])", re.I) for t in "script style noscript template textarea title iframe svg select option noframes object math canvas".split()}
+RAW = {t: re.compile(rf"</{t}(?![a-z0-9-])", re.I) for t in "script style noscript template textarea title iframe svg select option noframes".split()}
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
+    """a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr
+    math mi mo mn ms mtext mrow mfrac msqrt mroot msup msub msubsup mover munder munderover mstyle semantics annotation canvas""".split()
 )
 #: Elements that never hold main text.
 OUTSIDE = frozenset("nav header footer aside form button menu dialog head".split()) | frozenset(RAW)
@@ -50,6 +53,12 @@ NAMES = frozenset(
     related recommended recommendations trending pagination pager toolbar search copyright legal disclaimer hidden skip toc
     complementary contentinfo""".split()
 )
+#: Words that beside one of NAMES change nothing: "site-footer" is a footer, "related-work" is not related links.
+BESIDE = frozenset(
+    """top bottom left right main side site page global primary secondary inner outer box bar block list item items link links area section container
+    wrapper wrap row col column panel content text body form button icon title heading group slot unit space zone region mobile desktop sticky fixed
+    js is has the user reader readers article articles post posts entry blog news story stories buttons icons boxes bars blocks lists areas""".split()
+)
 ROOTS = frozenset(["article", "main"])
 CLOSES = {
     "p": frozenset(["p"]),
@@ -73,6 +82,12 @@ KERNEL, BETWEEN = (0.6, 0.25), 0.15
 SHARE = 0.2
 
 
+def _tells(token: str) -> bool:
+    """Whether a whole class, id or role names boilerplate: one of NAMES, and besides only words that change nothing."""
+    words = [w.lower() for w in _WORD.findall(token)]
+    return not NAMES.isdisjoint(words) and all(w in NAMES or w in BESIDE for w in words)
+
+
 def _label(tag: str, attrs: str) -> tuple[str, float]:
     """Path step of an element, and its prior."""
     prior = BY_TAG if tag in OUTSIDE else 1.0
@@ -86,9 +101,8 @@ def _label(tag: str, attrs: str) -> tuple[str, float]:
         elif key == "style":
             prior = BY_TAG if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I) else prior
         else:
-            words = [w.lower() for w in _WORD.findall(value)]
-            names += words
-            out |= tag not in ("html", "body", "article", "main") and not NAMES.isdisjoint(words)
+            names += [w.lower() for w in _WORD.findall(value)]
+            out |= tag not in ("html", "body", "article", "main") and any(map(_tells, value.split()))
     return (f"{tag}.{'.'.join(names)}" if names else tag), min(prior, BY_NAME if out else 1.0)
 
 
@@ -258,6 +272,27 @@ class Blocks:
         return d
 
 
+def _rooted(page: Blocks) -> list[bool]:
+    """Which blocks lie in <article> or <main>; on a page without either, in the lowest container that the page's only h1 shares with another block."""
+    if any(page.rooted) or page.tag.count("h1") != 1:
+        return [page.rooted[e] for e in page.element]
+    own = [0] * len(page.parent)
+    for e in page.element:
+        own[e] += 1
+    for e in range(len(own) - 1, 0, -1):
+        own[page.parent[e]] += own[e]
+    head = page.tag.index("h1")
+    box = page.parent[head]
+    while box and own[box] <= own[head]:
+        box = page.parent[box]
+    if not box or page.tag[box] in ("html", "body"):
+        return [False] * len(page.element)
+    inside = [e == box for e in range(len(own))]
+    for e in range(1, len(own)):
+        inside[e] |= inside[page.parent[e]]
+    return [inside[e] for e in page.element]
+
+
 def weights(page: Blocks) -> tuple[list[float], list[float]]:
     """Fused and smoothed weight of each block, and its prior."""
     length: dict[int, int] = defaultdict(int)
@@ -271,7 +306,7 @@ def weights(page: Blocks) -> tuple[list[float], list[float]]:
         punct[path] += len(_PUNCT.findall(text))
         count[path] += 1
     fused = {p: (1 + length[p] / count[p]) * (1 + punct[p] / count[p]) * length[p] ** 0.5 * (1.05 - linked[p] / length[p]) for p in length}
-    rooted = [page.rooted[e] for e in page.element]
+    rooted = _rooted(page)
     away = AWAY if any(r and p == 1 for r, p in zip(rooted, page.prior, strict=True)) else 1.0
     prior = [p * (1.0 if r else away) * (1.0 if page.tag[e] in PROSE else LOOSE) for p, r, e in zip(page.prior, rooted, page.element, strict=True)]
     own = [fused[path] * p for path, p in zip(paths, prior, strict=True)]

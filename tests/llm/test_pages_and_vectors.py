@@ -58,10 +58,42 @@ def test_pages_without_names(spark):
     plain = [re.sub(r"<(/?)article>", r"<\1div>", p) for p in pages]
     neutral = [re.sub("</(nav|footer)>", "</div>", re.sub("<(nav|footer)>", "<div class=k>", p.replace('"ad"', '"q"'))) for p in plain]
     wrong = [sum(tagpaths.main_text(p) != article(own) for p, own in zip(some, pages, strict=True)) for some in (pages, plain, neutral)]
-    assert wrong[0] == 0 and wrong[1] <= len(pages) / 50 and wrong[2] <= len(pages) / 10
+    assert wrong[0] == 0 and wrong[1] <= len(pages) / 500 and wrong[2] <= len(pages) / 50
     assert sum(tagpaths.main_text(p, share=0.0) != tagpaths.main_text(p) for p in pages) > 0.9 * len(pages)
 
 
+ONE, TWO = "A paragraph of the article, with some words; and a few more of them.", "Another one, which is as long, and says as much: it stays where it is."
+
+
+@pytest.mark.parametrize("name", ["related-work", "social-policy", "legal-history", "search-results-study", "banner-years", "menu-design", "ads-in-1920", "searchlight", "leader"])
+@pytest.mark.parametrize("box", ["article", "div"])
+def test_names_that_only_hold_a_word_of_boilerplate(name, box):
+    page = f"<html><body><nav><a>Home</a></nav><{box}><h1>Title</h1><section class='{name}'><p>{ONE}</p></section><section id='{name}'><p>{TWO}</p></section></{box}></body></html>"
+    assert tagpaths.main_text(page) == f"Title {ONE} {TWO}"
+
+
+@pytest.mark.parametrize("name", ["comments", "comment-list", "post-comments", "cookie-bar", "userComments", "site-footer wide", "advert", "related-posts", "newsletter_signup", "notice"])
+def test_boilerplate_inside_the_article(name):
+    page = f"<html><body><article><h1>Title</h1><p>{ONE}</p><div class='{name}'><p>{TWO}</p></div></article></body></html>"
+    assert tagpaths.main_text(page) == f"Title {ONE}"
+
+
+def test_formulas_and_what_stands_for_an_object_stay():
+    page = f"<article><h1>T</h1><p>{ONE} Energy <math><mi>E</mi><mo>=</mo><mi>m</mi></math> is here, x<canvas>y</canvas>.</p><object data='a.swf'><p>{TWO}</p></object></article>"
+    assert tagpaths.main_text(page) == f"T {ONE} Energy E=m is here, xy. {TWO}"
+
+
+def test_odd_page_rows(spark):
+    """Nulls in every column, repeated rows, an empty table, and extra columns with clashing names."""
+    rows = [(1, "u", PAGE, "x"), (1, "u", PAGE, "x"), (None, None, PAGE, None), (2, None, None, "x"), (3, "u", "", "x"), (4, "u", "<p>a</p>" * 50_000, None)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, text string").withColumn("n_chars", F.lit("n"))
+    got = sorted(((r.page_id or 0), r.url or "", r.text, r.n_chars) for r in tagpaths.extract(df).collect())
+    own = tagpaths.main_text(PAGE)
+    long = " ".join("a" * 50_000)
+    assert got == sorted([(1, "u", own, len(own)), (1, "u", own, len(own)), (0, "", own, len(own)), (2, "", "", 0), (3, "u", "", 0), (4, "u", long, len(long))])
+    assert tagpaths.extract(df.limit(0)).count() == 0
+
+
 def test_query(spark, sf):
     pages = util.table(spark, sf, "pages")
     source = {r.page_id: r.html for r in pages.collect()}
