@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -12,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import runs as flat
+from . import shapes
 
 RUNS = "array<int>"
 
@@ -103,7 +102,7 @@ def from_text(text: str) -> np.ndarray:
 
 
 def fill_polygon(points: list[float], height: int, width: int) -> np.ndarray:
-    """Bitmap of the pixels whose centre lies in the polygon (even-odd)."""
+    """Bitmap of the pixels whose centre lies in the polygon (even-odd): a plainer rule than that of runs.from_polygons."""
     xy = np.asarray(points, float).reshape(-1, 2)
     mask = np.zeros((height, width), bool)
     cx = np.arange(width) + 0.5
@@ -134,32 +133,21 @@ def area(runs: Column) -> Column:
     return F.aggregate(F.filter(runs, lambda _, i: i % 2 == 1), F.lit(0).cast("long"), lambda s, r: s + r)
 
 
-def _per_row(df: DataFrame, fn, schema: str) -> DataFrame:
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            yield fn(rows)
-
-    return df.mapInPandas(run, schema)
-
-
-def _schema(df: DataFrame, *more: str) -> str:
-    return ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema), *more])
-
-
 def canonical(df: DataFrame) -> DataFrame:
-    """`runs` from whichever of counts (array<int>), text (string) and polygons (array<array<double>>) is there; height, width."""
+    """`runs` from whichever of counts (array<int>), text (string) and polygons (array<array<double>>) is there, in that order; height, width.
 
-    def one(r) -> np.ndarray:
-        if r.counts is not None:
-            return np.asarray(r.counts)
-        if r.text is not None:
-            return from_text(r.text)
-        merged = np.zeros((r.height, r.width), bool)
-        for p in r.polygons if r.polygons is not None else []:
-            merged |= fill_polygon(list(p), r.height, r.width)
-        return from_bitmap(merged)
+    A batch is read as a whole. Polygons follow the COCO format's rule of boundaries; a row with none of the three is an empty mask.
+    """
+
+    def fn(b: pa.RecordBatch) -> dict[str, pa.Array]:
+        counts, text = b.column("counts"), b.column("text")
+        height, width = (np.asarray(b.column(c)).astype(np.int64) for c in ("height", "width"))
+        drawn = pc.if_else(pc.and_(pc.is_null(counts), pc.is_null(text)), b.column("polygons"), pa.scalar(None, b.column("polygons").type))
+        from_polygons, from_texts = flat.from_polygons(drawn, height, width), flat.from_texts(text)
+        given = counts.cast(from_texts.type)
+        return {"runs": pc.if_else(pc.is_valid(counts), given, pc.if_else(pc.is_valid(text), from_texts, from_polygons))}
 
-    return _per_row(df, lambda rows: rows.assign(runs=[one(r).tolist() for r in rows.itertuples()]), _schema(df, f"runs {RUNS}"))
+    return flat.by_batch(df, fn, [], f"runs {RUNS}")
 
 
 def bounds(df: DataFrame) -> DataFrame:
@@ -265,20 +253,11 @@ def boundary_f(pairs: DataFrame, share: float = 0.008) -> DataFrame:
     """Boundary F of matched pairs (runs_a truth, runs_b prediction, height, width): a boundary
     pixel counts if the other boundary comes within a share of the diagonal, in a square around it."""
 
-    def one(a, b, h: int, w: int) -> float:
-        ba, bb = boundary(to_bitmap(np.asarray(a), h, w)), boundary(to_bitmap(np.asarray(b), h, w))
-        na, nb = int(ba.sum()), int(bb.sum())
-        if not na or not nb:
-            return 1.0 if na == nb else 0.0
-        r = int(np.ceil(share * np.hypot(h, w)))
-        p, q = float((bb & dilate(ba, r)).sum()) / nb, float((ba & dilate(bb, r)).sum()) / na
-        return 2 * p * q / (p + q) if p + q else 0.0
-
-    def fn(rows: pd.DataFrame) -> pd.DataFrame:
-        f = [one(a, b, h, w) for a, b, h, w in zip(rows["runs_a"], rows["runs_b"], rows["height"], rows["width"], strict=True)]
-        return rows.drop(columns=["runs_a", "runs_b"]).assign(boundary_f=f)
+    def fn(b: pa.RecordBatch) -> dict[str, np.ndarray]:
+        height, width = (np.asarray(b.column(c)).astype(np.int64) for c in ("height", "width"))
+        return {"boundary_f": shapes.boundary_f(*(flat.Spans.of(b.column(c)) for c in ("runs_a", "runs_b")), height, width, share)}
 
-    return _per_row(pairs, fn, _schema(pairs.drop("runs_a", "runs_b"), "boundary_f double"))
+    return flat.by_batch(pairs, fn, ["runs_a", "runs_b"], "boundary_f double")
 
 
 def components(mask: np.ndarray) -> np.ndarray:
@@ -316,15 +295,8 @@ def components(mask: np.ndarray) -> np.ndarray:
 def clean(df: DataFrame, max_area: int) -> DataFrame:
     """`runs` with background components of at most max_area filled, and small foreground components dropped."""
 
-    def one(runs, h: int, w: int) -> list[int]:
-        m = to_bitmap(np.asarray(runs), h, w).copy()
-        holes = components(~m)
-        n = np.bincount(holes.ravel())
-        m |= (holes > 0) & (n[holes] <= max_area)
-        parts = components(m)
-        n = np.bincount(parts.ravel())
-        most = min(max_area, int(m.sum()) // 2)
-        m &= ~((parts > 0) & (n[parts] <= most))
-        return from_bitmap(m).tolist()
-
-    return _per_row(df, lambda rows: rows.assign(runs=[one(r, h, w) for r, h, w in zip(rows["runs"], rows["height"], rows["width"], strict=True)]), _schema(df))
+    def fn(b: pa.RecordBatch) -> dict[str, pa.Array]:
+        height, width = (np.asarray(b.column(c)).astype(np.int64) for c in ("height", "width"))
+        return {"runs": flat.runs_of(shapes.cleaned(flat.Spans.of(b.column("runs")), height, width, max_area), height * width)}
+
+    return flat.by_batch(df, fn, ["runs"], f"runs {RUNS}").select(*df.columns)

@@ -69,13 +69,131 @@ def boxes(spans: Spans, height: np.ndarray) -> np.ndarray:
     return out
 
 
-def by_batch(df: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, np.ndarray]], drop: list[str], more: str) -> DataFrame:
+def by_batch(df: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, np.ndarray | pa.Array]], drop: list[str], more: str) -> DataFrame:
     """`df` less `drop` with the columns that fn gives for each batch (`more`: their names and types)."""
     kept = [c for c in df.columns if c not in drop]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             made = fn(b)
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), *map(pa.array, made.values())], names=[*kept, *made])
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), *(v if isinstance(v, pa.Array) else pa.array(v) for v in made.values())], names=[*kept, *made])
 
     return df.mapInArrow(run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name in kept), more]))
+
+
+def union(spans: Spans, size: np.ndarray) -> Spans:
+    """Spans of each mask, in any order, as sorted disjoint ones; touching ones are joined, empty ones are gone."""
+    stretch = int(size.max(initial=0)) + 1
+    some = spans.end > spans.start
+    row, start, end = spans.row[some], spans.start[some], spans.end[some]
+    at = row * stretch + start
+    order = np.argsort(at, kind="stable")
+    row, at, reach = row[order], at[order], np.maximum.accumulate((row * stretch + end)[order]) if len(order) else end
+    new = np.ones(len(order), bool)
+    new[1:] = at[1:] > reach[:-1]
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(order))[: len(first)] - 1
+    return Spans(row[first], at[first] - row[first] * stretch, reach[last] - row[first] * stretch, spans.n)
+
+
+def runs_of(spans: Spans, size: np.ndarray) -> pa.ListArray:
+    """Run lengths of masks of `size` pixels from sorted, disjoint spans."""
+    times = np.bincount(spans.row, minlength=spans.n)
+    first = np.concatenate([[0], np.cumsum(times)])
+    before = np.concatenate([[0], spans.end[:-1]])[: len(spans.row)]
+    before[first[:-1][times > 0]] = 0
+    tail = size.astype(np.int64).copy()
+    tail[times > 0] -= spans.end[first[1:][times > 0] - 1]
+    has_tail = (tail > 0) | (times == 0)
+    offsets = np.concatenate([[0], np.cumsum(2 * times + has_tail)])
+    out = np.empty(offsets[-1], np.int32)
+    at = offsets[spans.row] + 2 * (np.arange(len(spans.row)) - first[spans.row])
+    out[at], out[at + 1] = spans.start - before, spans.end - spans.start
+    out[offsets[1:][has_tail] - 1] = tail[has_tail]
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(out))
+
+
+#: Polygons are walked on a grid this much finer: a fixed value of the format's rule.
+FINER = 5
+
+
+def _whole(x: np.ndarray) -> np.ndarray:
+    return np.trunc(x).astype(np.int64)
+
+
+def from_polygons(polygons: pa.Array, height: np.ndarray, width: np.ndarray) -> pa.ListArray:
+    """Runs of the union of each row's polygons (lists of x, y, x, y, ...), by the rule of the COCO format.
+
+    Corners are rounded on a grid FINER times finer, edges walked along their longer axis; where a walk steps from one fine column to the next in the
+    middle of a pixel's column, the boundary crosses it, and crossings of a column pair up into spans. Nothing of an image's size is made. Null
+    and polygons of fewer than three corners are empty.
+    """
+    n = len(polygons)
+    of_row = np.repeat(np.arange(n), np.asarray(pc.fill_null(pc.list_value_length(polygons), 0)))
+    flat = polygons.flatten()
+    sizes = np.asarray(pc.fill_null(pc.list_value_length(flat), 0)).astype(np.int64)
+    xy = np.asarray(flat.flatten().cast(pa.float64()))
+    first = np.concatenate([[0], np.cumsum(sizes)])[:-1]
+    of_row, first, corners = of_row[sizes >= 6], first[sizes >= 6], sizes[sizes >= 6] // 2
+    poly = np.repeat(np.arange(len(corners)), corners)
+    k = np.arange(len(poly)) - np.repeat(np.cumsum(corners) - corners, corners)
+    fine = lambda axis, k: _whole(FINER * xy[first[poly] + 2 * k + axis] + 0.5)
+    x0, y0, x1, y1 = fine(0, k), fine(1, k), fine(0, (k + 1) % corners[poly]), fine(1, (k + 1) % corners[poly])
+    dx, dy = np.abs(x1 - x0), np.abs(y1 - y0)
+    flat_edge = dx >= dy
+    back = np.where(flat_edge, x0 > x1, y0 > y1)  # an edge is walked upwards on its longer axis, and its points turned round again
+    a, b, c, d = (np.where(back, q, p) for p, q in ((x0, x1), (y0, y1), (x1, x0), (y1, y0)))
+    long = np.maximum(dx, dy)
+    slope = np.divide(np.where(flat_edge, d - b, c - a), long, out=np.zeros(len(long)), where=long > 0)
+    edge = np.repeat(np.arange(len(long)), long + 1)
+    t = np.arange(len(edge)) - np.repeat(np.cumsum(long + 1) - long - 1, long + 1)
+    t = np.where(back[edge], long[edge] - t, t)
+    u = np.where(flat_edge[edge], t + a[edge], _whole(a[edge] + slope[edge] * t + 0.5))
+    v = np.where(flat_edge[edge], _whole(b[edge] + slope[edge] * t + 0.5), t + b[edge])
+    of = poly[edge]
+    step = np.flatnonzero((u[1:] != u[:-1]) & (of[1:] == of[:-1])) + 1
+    column = (np.minimum(u[step], u[step - 1]) + 0.5) / FINER - 0.5
+    row = of_row[of[step]]
+    keep = (np.floor(column) == column) & (column >= 0) & (column <= width[row] - 1)
+    step, row, column = step[keep], row[keep], column[keep]
+    y = np.ceil(np.clip((np.minimum(v[step], v[step - 1]) + 0.5) / FINER - 0.5, 0, height[row])).astype(np.int64)
+    at, of = column.astype(np.int64) * height[row] + y, of[step]
+    size = (height * width).astype(np.int64)
+    # crossings of a polygon pair up in order; one without a partner runs to the end of the image
+    order = np.lexsort((at, of))
+    at, of = at[order], of[order]
+    place = np.arange(len(of)) - np.searchsorted(of, of)
+    opens = np.flatnonzero(place % 2 == 0)
+    closes = np.minimum(opens + 1, max(0, len(of) - 1))
+    paired = (opens + 1 < len(of)) & (of[closes] == of[opens])
+    rows = of_row[of[opens]]
+    spans = Spans(rows, at[opens], np.where(paired, at[closes], size[rows]), n)
+    return runs_of(union(spans, size), size)
+
+
+def from_texts(texts: pa.Array) -> pa.ListArray:
+    """Runs of compressed strings: five bits a character, differences to the run two before from the fourth run on."""
+    plain = pc.fill_null(texts, "")
+    lengths = np.asarray(pc.binary_length(plain)).astype(np.int64)
+    code = np.frombuffer("".join(plain.to_pylist()).encode(), np.uint8).astype(np.int64) - 48
+    last = (code & 32) == 0
+    number = np.concatenate([[0], np.cumsum(last)[:-1]]) if len(code) else np.zeros(0, np.int64)
+    begin = np.flatnonzero(np.concatenate([[True], last[:-1]])) if len(code) else np.zeros(0, np.int64)
+    shift = 5 * (np.arange(len(code)) - begin[number])
+    value = np.zeros(len(begin), np.int64)
+    np.add.at(value, number, (code & 31) << shift)
+    end = np.flatnonzero(last)
+    value -= np.where(code[end] & 16, np.int64(1) << (shift[end] + 5), 0)
+    row = np.repeat(np.arange(len(lengths)), lengths)[end]
+    times = np.bincount(row, minlength=len(lengths))
+    offsets = np.concatenate([[0], np.cumsum(times)])
+    place = np.arange(len(row)) - offsets[row]
+    # odd places add up from 1 on, even ones from 2 on; place 0 stands alone
+    chain = np.where(place == 0, 0, 1 + (place % 2 == 0))
+    order = np.lexsort((place, chain, row))
+    total = np.cumsum(value[order])
+    key = row[order] * 3 + chain[order]
+    start = np.searchsorted(key, key)
+    out = np.empty(len(row), np.int64)
+    out[order] = total - np.where(start > 0, total[start - 1], 0)
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(out.astype(np.int32)))
