@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import boxes as bx
+from . import files
 
 _FIELDS = ("class_id", "xc", "yc", "w", "h")
 
@@ -26,13 +27,13 @@ def yolo_lines(dets: DataFrame, frame: str, width: int, height: int, classes: Da
     return texts if frames is None else frames.select(frame).distinct().join(texts, frame, "left").fillna("", ["text"])
 
 
-def parse_lines(files: DataFrame, strict: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(frames, boxes) from files (frame, text). frames: frame, status (ok, empty, missing).
+def parse_lines(texts: DataFrame, strict: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(frames, boxes) from texts of files (frame, text). frames: frame, status (ok, empty, missing).
 
     Lenient: blank and short lines are skipped, further tokens ignored, and a bad number makes the file `missing`.
     Strict: any line of other than five numbers is an error when it is read.
     """
-    lines = files.select("frame", F.posexplode_outer(F.split("text", "\r?\n")).alias("line_no", "line"))
+    lines = texts.select("frame", F.posexplode_outer(F.split("text", "\r?\n")).alias("line_no", "line"))
     tokens = lines.select("frame", "line_no", F.filter(F.split(F.trim("line"), r"\s+"), lambda t: t != "").alias("t")).where("size(t) > 0")
     numbers = [F.try_element_at("t", F.lit(i + 1)).try_cast("double") for i in range(5)]
     bad = F.lit(False)
@@ -44,17 +45,23 @@ def parse_lines(files: DataFrame, strict: bool = False) -> tuple[DataFrame, Data
     whole = tokens.where("size(t) >= 5").select("frame", "line_no", *(n.alias(c) for n, c in zip(numbers, _FIELDS, strict=True)), bad.alias("bad"))
     status = whole.groupBy("frame").agg(F.bool_or("bad").alias("bad"), F.count(F.lit(1)).alias("n"))
     named = F.when(F.col("bad"), "missing").when(F.col("n") > 0, "ok").otherwise("empty")
-    frames = files.select("frame").join(status, "frame", "left").select("frame", named.alias("status"))
+    frames = texts.select("frame").join(status, "frame", "left").select("frame", named.alias("status"))
     boxes = whole.join(frames.where("status = 'ok'").select("frame"), "frame", "left_semi").drop("bad")
     return frames, boxes.withColumn("class_id", F.col("class_id").cast("int"))
 
 
 def read_yolo(spark: SparkSession, path: str, strict: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(frames, boxes) of a folder of label files; the file's stem is the frame."""
-    # the DataFrame readers skip empty files, and an empty label file is a frame without boxes
-    files = spark.createDataFrame(spark.sparkContext.wholeTextFiles(path), "path string, text string")
-    files = files.select(F.regexp_extract("path", r"([^/]*?)(\.[^./]*)?$", 1).alias("frame"), "text")
-    return parse_lines(files, strict)
+    """(frames, boxes) of a folder of label files (.txt); the file's stem is the frame, and an empty file is a frame without boxes."""
+    files.register(spark)
+    return parse_lines(spark.read.format("label_files").option("path", path).load(), strict)
+
+
+def write_yolo(texts: DataFrame, path: str) -> None:
+    """One label file per row of yolo_lines (a frame's name, text), an empty one for an empty text; files of an earlier run go."""
+    files.register(texts.sparkSession)
+    frame = next(c for c in texts.columns if c != "text")
+    rows = texts.select(F.col(frame).cast("string").alias("frame"), F.coalesce("text", F.lit("")).alias("text"))
+    rows.write.format("label_files").option("path", path).mode("overwrite").save()
 
 
 def class_map(spark: SparkSession, text: str) -> DataFrame:
