@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import math
-
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import boxes as bx
 from . import masks
+from .runs import by_batch
 
 
 def iou_join(gt: DataFrame, dt: DataFrame, keys: list[str], min_iou: float | None = None, crowd: str | None = None) -> DataFrame:
@@ -56,50 +57,56 @@ def tracklet_mask_iou(gt: DataFrame, dt: DataFrame, keys: list[str], frame: str
     return sized.select(*keys, "gt_id", "dt_id", "inter", union.alias("union"), F.when(union > 0, F.col("inter") / union).otherwise(F.lit(1.0)).alias("iou"))
 
 
-def _turned(xc: float, yc: float, w: float, h: float, angle: float) -> list[tuple[float, float]]:
-    c, s = math.cos(math.radians(angle)), math.sin(math.radians(angle))
-    return [(xc + c * dx + s * dy, yc - s * dx + c * dy) for dx, dy in ((-w / 2, -h / 2), (w / 2, -h / 2), (w / 2, h / 2), (-w / 2, h / 2))]
-
+def corners(boxes: np.ndarray) -> np.ndarray:
+    """(n, 4, 2) corners of rotated boxes (n, 5: xc, yc, w, h, angle in degrees), in the direction of positive area."""
+    xc, yc, w, h, angle = boxes.T
+    turn = np.radians(angle)
+    c, s = np.cos(turn)[:, None], np.sin(turn)[:, None]
+    dx, dy = np.abs(w)[:, None] * [[-0.5, 0.5, 0.5, -0.5]], np.abs(h)[:, None] * [[-0.5, -0.5, 0.5, 0.5]]
+    return np.stack([xc[:, None] + c * dx + s * dy, yc[:, None] - s * dx + c * dy], axis=2)
 
-def _shoelace(points: list[tuple[float, float]]) -> float:
-    return sum(a[0] * b[1] - a[1] * b[0] for a, b in zip(points, points[1:] + points[:1], strict=True)) / 2
 
+def common_area(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Area of the part of each quadrilateral of a (n, 4, 2) within the one of b: a cut along the four lines of b, all pairs at once.
 
-def _clipped(subject: list[tuple[float, float]], window: list[tuple[float, float]]) -> list[tuple[float, float]]:
-    """The part of a convex polygon within another, edge by edge."""
-    for (ax, ay), (bx_, by) in zip(window, window[1:] + window[:1], strict=True):
-        if not subject:
-            return []
-        side = [(bx_ - ax) * (y - ay) - (by - ay) * (x - ax) for x, y in subject]
-        out = []
-        for k, p in enumerate(subject):
-            q, s, t = subject[k - 1], side[k], side[k - 1]
-            if (s >= 0) != (t >= 0):
-                r = t / (t - s)
-                out.append((q[0] + r * (p[0] - q[0]), q[1] + r * (p[1] - q[1])))
-            if s >= 0:
-                out.append(p)
-        subject = out
-    return subject
+    Corners of the part so far stand left in rows of up to eight, `n` of them in each; a cut adds one at most.
+    """
+    points = np.zeros((len(a), 8, 2))
+    points[:, :4] = a
+    n = np.full(len(a), 4)
+    place = np.arange(8)
+    for k in range(4):
+        p, q = b[:, k, None], b[:, (k + 1) % 4, None]
+        side = (q[..., 0] - p[..., 0]) * (points[..., 1] - p[..., 1]) - (q[..., 1] - p[..., 1]) * (points[..., 0] - p[..., 0])
+        before = np.where(place == 0, np.maximum(n - 1, 0)[:, None], place - 1)
+        last, from_ = np.take_along_axis(side, before, axis=1), np.take_along_axis(points, before[..., None], axis=1)
+        there = place < n[:, None]
+        crosses = there & ((side >= 0) != (last >= 0))
+        share = np.divide(last, last - side, out=np.zeros_like(side), where=crosses)[..., None]
+        made = np.empty((len(a), 16, 2))
+        made[:, 0::2], made[:, 1::2] = from_ + share * (points - from_), points
+        keep = np.empty((len(a), 16), bool)
+        keep[:, 0::2], keep[:, 1::2] = crosses, there & (side >= 0)
+        order = np.argsort(~keep, axis=1, kind="stable")[:, :8]
+        points, n = np.take_along_axis(made, order[..., None], axis=1), keep.sum(axis=1)
+    after = np.where(place == n[:, None] - 1, 0, np.minimum(place + 1, 7))
+    to = np.take_along_axis(points, after[..., None], axis=1)
+    cross = points[..., 0] * to[..., 1] - points[..., 1] * to[..., 0]
+    return np.maximum(np.where((place < n[:, None]) & (n[:, None] > 2), cross, 0.0).sum(axis=1) / 2, 0.0)
 
 
 def rotated_iou(pairs: DataFrame) -> DataFrame:
-    """pairs with `iou` of two rotated boxes (a_ and b_ columns xc, yc, w, h, angle in degrees).
+    """pairs with `iou` of two rotated boxes (a_ and b_ columns xc, yc, w, h, angle in degrees); 0 if both are empty.
 
     Filter the pairs by their upright bounds first: only what is left needs polygon clipping.
     """
-    names = [f"{p}_{c}" for p in "ab" for c in ("xc", "yc", "w", "h", "angle")]
-
-    def run(batches):
-        for rows in batches:
-            got = []
-            for r in rows[names].itertuples(index=False):
-                a, b = _turned(*r[:5]), _turned(*r[5:])
-                a, b = (p if _shoelace(p) > 0 else p[::-1] for p in (a, b))
-                part = _clipped(a, b)
-                i = _shoelace(part) if len(part) > 2 else 0.0
-                whole = abs(r[2] * r[3]) + abs(r[7] * r[8]) - i
-                got.append(i / whole if whole > 0 else 0.0)
-            yield rows.assign(iou=got)
-
-    return pairs.mapInPandas(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pairs.schema) + ", iou double")
+
+    def fn(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
+        a, b = (np.column_stack([np.asarray(batch.column(f"{p}_{c}")).astype(float) for c in ("xc", "yc", "w", "h", "angle")]) for p in "ab")
+        middle = (a[:, :2] + b[:, :2]) / 2  # clipped near the origin
+        near = lambda x: corners(np.column_stack([x[:, :2] - middle, x[:, 2:]]))
+        inter = common_area(near(a), near(b))
+        whole = np.abs(a[:, 2] * a[:, 3]) + np.abs(b[:, 2] * b[:, 3]) - inter
+        return {"iou": np.divide(inter, whole, out=np.zeros(len(whole)), where=whole > 0)}
+
+    return by_batch(pairs, fn, [], "iou double")

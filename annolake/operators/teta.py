@@ -45,10 +45,10 @@ def preprocessed(gt: DataFrame, dt: DataFrame, video: str = "video_id", measure:
     return overlapping, kept.select(video, "cls", "frame_idx", "track_id", F.col("category_id").alias("own_class"), *shape_of(dt))
 
 
-def teta(gt: DataFrame, dt: DataFrame, video: str = "video_id", measure: Callable[..., DataFrame] = similarity, exhaustive: bool = True) -> DataFrame:
-    """cls, alpha (percent), loc_tp, loc_fn, loc_fp, loc_a, assoc_a, assoc_re, assoc_pr, cls_a (over the thresholds from 50 on) and teta,
-    for every class of truths, over all videos. At alpha 0 any overlap counts. `measure`: similarity of boxes, or tracks.mask_similarity.
-    Unless truths are `exhaustive`, predictions that lie on no truth are no classification errors."""
+def teta_sums(gt: DataFrame, dt: DataFrame, video: str = "video_id", measure: Callable[..., DataFrame] = similarity, exhaustive: bool = True) -> DataFrame:
+    """video, cls, alpha (percent) and what adds up over videos: n_gt, c (matches), same (of the right class), a, re, pr (association, by match), near, used,
+    wrong and stray. At alpha 0 any overlap counts. `measure`: similarity of boxes, or tracks.mask_similarity. Unless truths
+    are `exhaustive`, predictions that lie on no truth are no classification errors."""
     overlapping, kept = preprocessed(gt, dt, video, measure)
     keys = [video, "cls"]
     own = gt.select(video, F.col("category_id").alias("cls"), "frame_idx", "track_id", *shape_of(gt))
@@ -62,26 +62,40 @@ def teta(gt: DataFrame, dt: DataFrame, video: str = "video_id", measure: Callabl
     pairs = at(matched, [*keys, "gt_id", "dt_id"], same=(F.col("own_class") == F.col("cls")).cast("long"))
     pairs = pairs.join(n(own, "gt_id", "g"), [*keys, "gt_id"]).join(n(kept, "dt_id", "d"), [*keys, "dt_id"])
     c, g, d = F.col("c"), F.col("g"), F.col("d")
-    by = pairs.groupBy("cls", "alpha").agg(
-        F.sum("c").alias("loc_tp"), F.sum("same").alias("cls_tp"), F.sum(c * c / F.greatest(F.lit(1), g + d - c)).alias("a"), F.sum(c * c / g).alias("re"), F.sum(c * c / d).alias("pr")
-    )
+    by = pairs.groupBy(*keys, "alpha").agg(F.sum("c").alias("c"), F.sum("same").alias("same"), F.sum(c * c / F.greatest(F.lit(1), g + d - c)).alias("a"), F.sum(c * c / g).alias("re"), F.sum(c * c / d).alias("pr"))
     # of the ids on truths in a frame that has any, those that are not matched there
-    seen = overlapping.groupBy("cls").agg(F.count(F.lit(1)).alias("near"))
-    used = at(matched.join(overlapping.withColumnRenamed("track_id", "dt_id"), [*keys, "frame_idx", "dt_id"], "left_semi"), ["cls"]).withColumnRenamed("c", "used")
-    wrong = at(matched.where("own_class <> cls").select(F.col("own_class").alias("cls"), "sim"), ["cls"]).withColumnRenamed("c", "wrong")
+    used = at(matched.join(overlapping.withColumnRenamed("track_id", "dt_id"), [*keys, "frame_idx", "dt_id"], "left_semi"), keys).withColumnRenamed("c", "used")
+    wrong = at(matched.where("own_class <> cls").select(video, F.col("own_class").alias("cls"), "sim"), keys).withColumnRenamed("c", "wrong")
     stray = dt.where(F.lit(exhaustive)).select(video, F.col("category_id").alias("cls"), "frame_idx", "track_id").distinct().join(overlapping, [*keys, "frame_idx", "track_id"], "left_anti")
-    stray = stray.groupBy("cls").agg(F.count(F.lit(1)).alias("stray"))
-    base = own.groupBy("cls").agg(F.count(F.lit(1)).alias("n_gt")).withColumn("alpha", grid)
-    out = base.join(by, ["cls", "alpha"], "left").join(seen, "cls", "left").join(used, ["cls", "alpha"], "left").join(wrong, ["cls", "alpha"], "left").join(stray, "cls", "left").fillna(0)
-    tp, fp, ctp = F.col("loc_tp"), F.col("near") - F.col("used"), F.col("cls_tp")
+    count = lambda df, name: df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name)).withColumn("alpha", grid)
+    parts = [count(own, "n_gt"), by, count(overlapping, "near"), used, wrong, count(stray, "stray")]
+    all_ = parts[0]
+    for p in parts[1:]:
+        all_ = all_.unionByName(p, allowMissingColumns=True)
+    names = ["n_gt", "c", "same", "a", "re", "pr", "near", "used", "wrong", "stray"]
+    return all_.groupBy(*keys, "alpha").agg(*(F.coalesce(F.sum(x), F.lit(0)).alias(x) for x in names))
+
+
+def combine_teta(sums: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """keys, alpha (percent), loc_tp, loc_fn, loc_fp, loc_a, assoc_a, assoc_re, assoc_pr, cls_a (over the thresholds from 50 on) and teta from sums of
+    videos or classes, for keys that have truths. Without `keys` everything is one."""
+    keys = ["cls"] if keys is None else keys
+    names = ["n_gt", "c", "same", "a", "re", "pr", "near", "used", "wrong", "stray"]
+    out = sums.groupBy(*keys, "alpha").agg(*(F.sum(x).alias(x) for x in names)).where("n_gt > 0")
+    tp, fp, ctp = F.col("c"), F.col("near") - F.col("used"), F.col("same")
     one = lambda x: F.greatest(F.lit(1), x)
     out = out.withColumns({"loc_fn": F.col("n_gt") - tp, "loc_fp": fp, "loc_a": tp / one(F.col("n_gt") + fp)})
     out = out.withColumns({f"assoc_{k}": F.col(k) / one(tp) for k in ("a", "re", "pr")})
-    # cls_fn = loc_tp - cls_tp, and cls_fp the stray and the wrong ones
+    # classes missed are c - same, and those claimed wrongly the stray and the wrong ones
     out = out.withColumn("__c", ctp / one(tp + F.col("stray") + F.col("wrong")))
-    mean = out.where("alpha >= 50").groupBy("cls").agg(F.avg("__c").alias("cls_a"))
-    out = out.join(mean, "cls").withColumn("teta", (F.col("loc_a") + F.col("assoc_a") + F.col("cls_a")) / 3)
-    return out.select("cls", "alpha", "loc_tp", "loc_fn", "loc_fp", "loc_a", "assoc_a", "assoc_re", "assoc_pr", "cls_a", "teta")
+    mean = out.where("alpha >= 50").groupBy(*keys).agg(F.avg("__c").alias("cls_a"))
+    out = (out.join(mean, keys) if keys else out.crossJoin(F.broadcast(mean))).withColumn("teta", (F.col("loc_a") + F.col("assoc_a") + F.col("cls_a")) / 3)
+    return out.select(*keys, "alpha", F.col("c").alias("loc_tp"), "loc_fn", "loc_fp", "loc_a", "assoc_a", "assoc_re", "assoc_pr", "cls_a", "teta")
+
+
+def teta(gt: DataFrame, dt: DataFrame, video: str = "video_id", measure: Callable[..., DataFrame] = similarity, exhaustive: bool = True) -> DataFrame:
+    """combine_teta of teta_sums: the scores of every class of truths over all videos."""
+    return combine_teta(teta_sums(gt, dt, video, measure, exhaustive))
 
 
 def class_average(per_class: DataFrame) -> DataFrame:

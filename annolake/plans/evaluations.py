@@ -514,3 +514,24 @@ def ordered_track_rules(spark: SparkSession, d: str) -> DataFrame:
 def mask_occlusion_suppressed(spark: SparkSession, d: str) -> DataFrame:
     """The batch twin of ordered_occlusion, backwards."""
     return occlusion_suppress(object_rows(spark, d), 0.2, reverse=True)
+
+
+@query()
+def turned_pair_iou(spark: SparkSession, d: str) -> DataFrame:
+    """Overlap of boxes turned by any angles, of one image and class."""
+    b = fx.gt_boxes(spark, d).selectExpr("image_id", "class_id", "ann_id", "x + w / 2 xc", "y + h / 2 yc", "w", "h", "cast((pk * 37) % 720 - 360 as double) / 2 angle")
+    side = lambda p, i: b.select("image_id", "class_id", F.col("ann_id").alias(i), *(F.col(c).alias(f"{p}_{c}") for c in ("xc", "yc", "w", "h", "angle")))
+    both = side("a", "ann_id").join(side("b", "other"), ["image_id", "class_id"]).where("ann_id < other")
+    near = both.where(bx.intersection(*(bx.rotated_bounds(*(F.col(f"{p}_{c}") for c in ("xc", "yc", "w", "h", "angle"))) for p in "ab")) > 0)
+    return rounded(pairs.rotated_iou(near).where("iou > 1e-9").select("image_id", "ann_id", "other", "iou"), "iou")
+
+
+@query()
+def polygon_masks(spark: SparkSession, d: str) -> DataFrame:
+    """Area and box of hexagons drawn by the rule of the COCO format, partly outside their images of 300 x 400 pixels."""
+    x, y, w, h = (F.col(c) for c in "xywh")
+    corner = [(0.25, 0.0), (0.75, 0.0), (1.0, 0.4), (0.7, 1.0), (0.3, 0.9), (0.0, 0.5)]
+    six = F.array(*(v for a, b in corner for v in (x + w * a + 0.25, y + h * b)))
+    rows = fx.gt_boxes(spark, d).select("image_id", "ann_id", F.lit(None).cast("array<int>").alias("counts"), F.lit(None).cast("string").alias("text"), F.array(six).alias("polygons"), F.lit(300).alias("height"), F.lit(400).alias("width"))
+    made = masks.bounds(masks.canonical(rows))
+    return made.select("image_id", "ann_id", masks.area(F.col("runs")).alias("area"), "mx", "my", "mw", "mh")

@@ -154,3 +154,45 @@ def test_large_images_cost_no_more_than_their_runs():
     spans = runs.Spans.of(made)
     edge = shapes.boundary(spans, np.full(n, side), np.full(n, side))
     assert edge.area().tolist() == [4 * 1000] * n and shapes.cleaned(spans, np.full(n, side), np.full(n, side), 50).area().tolist() == [10**6] * n
+
+
+def test_polygons_of_a_whole_table(spark, sf):
+    from annolake.plans import evaluations
+    from annolake.plans import fixtures as fx
+
+    corner = [(0.25, 0.0), (0.75, 0.0), (1.0, 0.4), (0.7, 1.0), (0.3, 0.9), (0.0, 0.5)]
+    want = {}
+    for r in fx.gt_boxes(spark, sf).collect():
+        if r.image_id % 7 == 0:
+            ones = drawn([v for a, b in corner for v in (r.x + r.w * a + 0.25, r.y + r.h * b)], 300, 400)
+            xs, ys = [p // 300 for p in ones], [p % 300 for p in ones]
+            want[r.image_id, r.ann_id] = (len(ones), min(xs), min(ys), max(xs) - min(xs) + 1, max(ys) - min(ys) + 1) if ones else (0, 0, 0, 0, 0)
+    got = {(r.image_id, r.ann_id): tuple(r)[2:] for r in evaluations.polygon_masks(spark, sf).collect()}
+    assert len(want) > 500 and {k: got[k] for k in want} == want
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_turned_boxes_against_counted_points(seed):
+    """Overlap of boxes at any angle, by the share of a fine grid's points that lie in both; and of equal, touching, nested and empty ones."""
+    from annolake.operators import pairs
+
+    rng = np.random.default_rng(seed)
+    boxes = np.column_stack([rng.uniform(-3, 3, (60, 2)), rng.uniform(1, 6, (60, 2)), rng.uniform(-400, 400, 60)])
+    a, b = boxes[:30], boxes[30:]
+    axis = np.linspace(-10, 10, 801)
+    x, y = np.meshgrid(axis, axis)
+
+    def inside(box):
+        xc, yc, w, h, angle = box
+        c, s = math.cos(math.radians(angle)), math.sin(math.radians(angle))
+        u, v = c * (x - xc) - s * (y - yc), s * (x - xc) + c * (y - yc)
+        return (abs(u) <= w / 2) & (abs(v) <= h / 2)
+
+    got = pairs.common_area(pairs.corners(a), pairs.corners(b))
+    for g, p, q in zip(got, a, b, strict=True):
+        assert g == pytest.approx((inside(p) & inside(q)).sum() * (axis[1] - axis[0]) ** 2, abs=0.25)
+    same = pairs.common_area(pairs.corners(a), pairs.corners(a))
+    assert same == pytest.approx(a[:, 2] * a[:, 3])
+    fixed = np.array([[0, 0, 2, 2, 0], [0, 0, 2, 2, 0], [0, 0, 4, 4, 45], [0, 0, 0, 0, 0], [0, 0, 2, 2, 0.0]])
+    other = np.array([[2, 0, 2, 2, 0], [0, 0, 1, 1, 30], [0, 0, 2, 2, 0], [0, 0, 2, 2, 0], [9, 9, 2, 2, 10.0]])
+    assert pairs.common_area(pairs.corners(fixed), pairs.corners(other)) == pytest.approx([0, 1, 4, 0, 0], abs=1e-12)
