@@ -325,15 +325,18 @@ def global_alignment(spark: SparkSession, d: str) -> DataFrame:
     return rounded(tracks.alignment(tracks.similarity(gt, dt, ["video_id"]), gt, dt, ["video_id"]), "align")
 
 
+HOTA = ["det_a", "ass_a", "loc_a", "hota", "det_re", "det_pr", "ass_re", "ass_pr", "owta"]
+
+
 @query()
 def hota_by_video(spark: SparkSession, d: str) -> DataFrame:
     out = tracks.hota(fx.tracks_gt(spark, d), fx.tracks_pred(spark, d).where("score > 0.1"), ["video_id"])
-    return rounded(out, "det_a", "ass_a", "loc_a", "hota")
+    return rounded(out, *HOTA)
 
 
 @query()
 def hota_combined(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(tracks.combine_hota(tracks.hota(fx.tracks_gt(spark, d), fx.tracks_pred(spark, d), ["video_id"])), "det_a", "ass_a", "loc_a", "hota")
+    return rounded(tracks.combine_hota(tracks.hota(fx.tracks_gt(spark, d), fx.tracks_pred(spark, d), ["video_id"])), *HOTA)
 
 
 @query(
