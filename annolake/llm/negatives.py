@@ -130,13 +130,18 @@ def _positives(rows: pa.Table, anchors: pa.Table, k: int) -> pa.Table:
 
 
 def _negatives(rows: pa.Table, anchors: pa.Table, k: int, low: int, high: int) -> pa.Table:
-    """Keys of the k first rows of other labels in each window of each anchor, within a part."""
-    if not rows.num_rows or not anchors.num_rows:
+    """Keys of the k first rows of other labels in each window of each anchor, within a part; and those of the positives of the anchors that
+    have this part for their own."""
+    if not anchors.num_rows:
         return _KEYS.empty_table()
     keys = []
-    for _, anchor, scores, ids, labels in _scored(rows, anchors):
+    for a, own, near in zip(*(anchors.column(c).to_pylist() for c in ("anchor_id", "own", "positives")), strict=True):
+        if own:
+            ids, scores = (np.array([p[c] for p in near], np.int64) for c in ("positive_id", "positive_score"))
+            keys.append(packed(np.full(len(ids), a), scores, np.zeros(len(ids), np.uint8), ids))
+    for _, anchor, scores, ids, labels in _scored(rows, anchors) if rows.num_rows else ():
         other = labels != anchor["label"]
-        spans = {(-(-low * p // 100), high * p // 100) for p in anchor["scores"] if p >= 0}
+        spans = {(-(-low * p["positive_score"] // 100), high * p["positive_score"] // 100) for p in anchor["positives"] if p["positive_score"] >= 0}
         found = [_firsts(scores, other & (scores >= least) & (scores <= most), k) for least, most in spans if least <= most]
         if found:
             at = np.unique(np.concatenate(found))
@@ -144,12 +149,6 @@ def _negatives(rows: pa.Table, anchors: pa.Table, k: int, low: int, high: int) -
     return pa.Table.from_arrays([pa.chunked_array(keys, pa.binary()).combine_chunks()], schema=_KEYS)
 
 
-def _pack_positives(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        anchor, ids, score = (np.asarray(b.column(c)) for c in ("anchor_id", "positive_id", "positive_score"))
-        yield pa.RecordBatch.from_arrays([packed(anchor, score, np.zeros(len(ids), np.uint8), ids)], schema=_KEYS)
-
-
 def usable(vectors: DataFrame, label: Column, scale: int) -> DataFrame:
     """vec_id, label and v (scaled, floored longs) of the rows that take part, one for each id."""
     v = F.col("embedding").cast("array<double>")
@@ -186,10 +185,10 @@ def mine(
 
     near = met(anchors).applyInArrow(lambda r, a: _positives(r, a, positives), "anchor_id long, positive_id long, positive_score long")
     best = Window.partitionBy("anchor_id").orderBy(F.desc("positive_score"), "positive_id")
-    near = near.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= positives).drop("rank")
-    windows = near.groupBy("anchor_id").agg(F.collect_list("positive_score").alias("scores"))  # at most `positives` of them
-    hard = met(anchors.join(windows, "anchor_id")).applyInArrow(lambda r, a: _negatives(r, a, negatives, low, high), "key binary")
-    keys = near.mapInArrow(_pack_positives, "key binary").unionByName(hard)
+    near = near.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= positives)
+    windows = near.groupBy("anchor_id").agg(F.collect_list(F.struct("positive_id", "positive_score")).alias("positives"))  # at most `positives` of them
+    own = fresh(anchors.join(windows, "anchor_id")).withColumn("own", F.col("part") == dealt(parts, "anchor_id"))
+    keys = searched.groupBy(*key).cogroup(own.groupBy(*key)).applyInArrow(lambda r, a: _negatives(r, a, negatives, low, high), "key binary")
     ordered = keys.rdd.map(lambda r: (bytes(r.key), None)).repartitionAndSortWithinPartitions(shuffle_width(spark), lambda k: zlib.crc32(k[:8]))
     found = ordered.mapPartitions(lambda part: emitted((k for k, _ in part), negatives, low, high))
     return spark.createDataFrame(found, OUT, verifySchema=False)
