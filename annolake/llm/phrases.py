@@ -6,7 +6,7 @@
    of at most 2 * SIZE words, which goes to its anchor's shard; at an anchor that occurs more than `HOT` times every window
    is a passage, which goes to its own key's shard. A shard gives each chunk the passages of the anchors (or keys) that the chunk
    has. Their phrases of `GRAM` words (the anchor; of a single window its first words) are compiled into Aho-Corasick automata, one for
-   about `SHARD` words. A word is one character there.
+   about `SHARD` words.
 3. Stream. Every document of the chunk runs through every automaton that it was given. Around a hit the passage and the document are compared word by
    word; SIZE or more equal words in a row are windows of the passage, so all of them go. Positions come from hits alone: without the
    dictionary nothing is found.
@@ -35,7 +35,7 @@ from . import util, words
 SIZE = 35
 GRAM = 12
 SHARD = 1_000_000
-HOT = 256
+HOT = 8_192
 ANCHORS, WINDOWS, NEEDS, PASSAGES = 0, 1, 2, 3
 _STEPS = (np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F))
 
@@ -85,20 +85,28 @@ class Windows:
 
 
 class Automaton:
-    """Aho-Corasick over passages of words; a word is one character, and words of no passage are one more."""
+    """Aho-Corasick over passages of words; a word is a pair of characters, of two alphabets, and words of no passage are one more pair. So a
+    node has few branches, also the first, where thousands of words begin passages."""
 
     def __init__(self, passages: list[list[bytes]]):
         self.code: dict[bytes, str] = {}
-        self.machine = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
+        self.machine = ahocorasick.Automaton(ahocorasick.STORE_ANY)
         for own in passages:
-            # from 2 up, without the surrogates
-            self.machine.add_word("".join([self.code.setdefault(w, chr(len(self.code) + (2 if len(self.code) < 0xD7FE else 0x802))) for w in own]))
+            self.machine.add_word("".join([self._pair(w) for w in own]), (len(own), b" ".join(own)))
         self.machine.make_automaton()
 
+    def _pair(self, word: bytes) -> str:
+        k = len(self.code)
+        return self.code.setdefault(word, chr(0x400 + k // 512) + chr(0x200 + k % 512))
+
+    def places(self, own: list[bytes]) -> Iterator[tuple[int, bytes]]:
+        """Where a passage begins in a document, and the passage, for every occurrence in the order of their ends."""
+        text = "".join([self.code.get(w, "\1\1") for w in own])
+        return (((end + 1) // 2 - n, passage) for end, (n, passage) in self.machine.iter(text))
+
     def hits(self, own: list[bytes]) -> list[tuple[int, int]]:
         """(from, to) of every occurrence of a passage in a document."""
-        text = "".join([self.code.get(w, "\1") for w in own])
-        return [(end + 1 - n, end + 1) for end, n in self.machine.iter(text)]
+        return [(at, at + passage.count(b" ") + 1) for at, passage in self.places(own)]
 
 
 def compiled(passages: list[list[bytes]]) -> Iterator[Automaton]:
@@ -197,12 +205,23 @@ def _located(chunk: an.Chunk, passages: list[bytes]) -> pa.Table:
         by.setdefault(b" ".join(own[int(off) : int(off) + GRAM]), []).append((int(off), own))
     for automaton in compiled([phrase.split(b" ") for phrase in by]):
         for own, spans in zip(split, found, strict=True):
-            if len(own) >= SIZE:
-                for x, y in automaton.hits(own):
-                    spans += [c for off, passage in by[b" ".join(own[x:y])] if (c := covered(own, x, passage, off))]
+            if len(own) < SIZE:
+                continue
+            lo = hi = 0  # the span that grows as hits come
+            for x, phrase in automaton.places(own):
+                for off, passage in by[phrase]:
+                    if lo <= x - off and x - off + len(passage) <= hi:
+                        continue
+                    if c := covered(own, x, passage, off):
+                        if lo <= c[0] <= hi:
+                            hi = max(hi, c[1])
+                        else:
+                            spans.append((lo, hi))
+                            lo, hi = c
+            spans.append((lo, hi))
     out = []
     for own, hits in zip(split, found, strict=True):
-        spans = an.union(hits)
+        spans = an.union([h for h in hits if h[1] > h[0]])
         kept, at = [], 0
         for x, y in spans:
             kept += own[at:x]
