@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import boxes as bx
 from ..functions import text as tx
-from ..operators import evaluation, label_qa, matching, metrics, nms, pairs, prep, remap, tracks
+from ..operators import evaluation, label_qa, matching, metrics, nms, pairs, prep, remap, summaries, tracks
 from ..operators.cut import shared_folder
 from . import fixtures as fx
 from .fixtures import DT, FR, GT, IMG, TD, TG, inter_sql, iou_sql
@@ -356,8 +356,7 @@ def repeated_track_ids(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"with {TD} select video_id, track_id, round(avg(score), 6) score, count(*) n, round(avg(w*h), 6) mean_area from td group by 1,2")
 def tracklet_scores(spark: SparkSession, d: str) -> DataFrame:
-    out = fx.tracks_pred(spark, d).groupBy("video_id", "track_id").agg(F.avg("score").alias("score"), F.count(F.lit(1)).alias("n"), F.avg(F.col("w") * F.col("h")).alias("mean_area"))
-    return rounded(out, "score", "mean_area")
+    return rounded(summaries.tracklets(fx.tracks_pred(spark, d), ["video_id", "track_id"]), "score", "mean_area")
 
 
 # -- re-indexing and shapes -----------------------------------------------------------------------------------------------------
@@ -507,10 +506,7 @@ def reconciled_ids(spark: SparkSession, d: str) -> DataFrame:
 )
 def presence_analysis(spark: SparkSession, d: str) -> DataFrame:
     after = F.col("score") * bx.sigmoid((F.col("image_id") % 7 - 3).cast("double"))
-    s = fx.pred_boxes(spark, d).withColumn("after", after)
-    aggs = [f(c).alias(n) for f, c, n in ((F.max, "score", "max_before"), (F.avg, "score", "mean_before"), (F.max, "after", "max_after"), (F.avg, "after", "mean_after"))]
-    out = s.groupBy("class_id").agg(*aggs, *(F.count_if(F.col("after") > t / 100).alias(f"n_{t}") for t in (10, 20, 30, 50)))
-    return rounded(out, "max_before", "mean_before", "max_after", "mean_after")
+    return rounded(summaries.presence(fx.pred_boxes(spark, d), "class_id", after), "max_before", "mean_before", "max_after", "mean_after")
 
 
 @query(
@@ -521,17 +517,7 @@ def presence_analysis(spark: SparkSession, d: str) -> DataFrame:
 )
 def best_f1_threshold(spark: SparkSession, d: str) -> DataFrame:
     """Grid of 100 thresholds: scores fall into cells once, then a cumulative sum from the right."""
-    y = (F.col("det_id") <= 100) & (F.col("image_id") % 3 != 0)
-    cells = fx.pred_boxes(spark, d).select("class_id", y.cast("int").alias("y"), (F.ceil(F.col("score") * 99) - 1).alias("k")).where("k >= 0")
-    cells = cells.groupBy("class_id", "k").agg(F.sum("y").alias("p"), F.sum(1 - F.col("y")).alias("q"))
-    w = Window.partitionBy("class_id").orderBy(F.desc("k"))
-    run = cells.withColumn("tp", F.sum("p").over(w)).withColumn("fp", F.sum("q").over(w))
-    # thresholds between two filled cells give the same sums as the upper one: the first grid point above the lower cell
-    below = F.coalesce(F.lead("k").over(w) + 1, F.lit(0))
-    total = fx.pred_boxes(spark, d).select("class_id", y.cast("int").alias("y")).groupBy("class_id").agg(F.sum("y").alias("n"))
-    f1 = run.withColumn("first", below).join(total, "class_id").withColumn("f1", 2 * F.col("tp") / (F.col("tp") + F.col("fp") + F.col("n")))
-    best = f1.groupBy("class_id").agg(F.max_by(F.struct("first", "f1"), F.struct(F.round("f1", 12), -F.col("first"))).alias("b"))
-    return rounded(best.select("class_id", F.col("b.first").cast("long").alias("k"), F.col("b.f1").alias("f1")), "f1")
+    return rounded(summaries.best_threshold(fx.pred_boxes(spark, d), "class_id", (F.col("det_id") <= 100) & (F.col("image_id") % 3 != 0)), "f1")
 
 
 @query(
@@ -542,20 +528,13 @@ def best_f1_threshold(spark: SparkSession, d: str) -> DataFrame:
 def bucket_roll_up(spark: SparkSession, d: str) -> DataFrame:
     img = fx.images(spark, d).select(F.col("id").alias("image_id"), "rarity")
     s = fx.pred_boxes(spark, d).join(img, "image_id").groupBy("rarity", "class_id").agg(F.avg("score").alias("v"))
-    b = s.groupBy("rarity").agg(F.avg("v").alias("v"), F.count(F.lit(1)).alias("n"))
-    one = lambda df, name: df.agg(F.avg("v").alias("v"), F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("bucket"), "v", "n")
-    out = b.select(F.col("rarity").cast("string").alias("bucket"), "v", "n").unionByName(one(b, "mean_of_means")).unionByName(one(s, "true_mean"))
-    return rounded(out, "v")
+    return rounded(summaries.bucket_means(s, "rarity"), "v")
 
 
-@query("select o_orderpriority source, count(*) items, count_if(o_totalprice > 100000) successes, round(min(o_totalprice), 4) lo, round(max(o_totalprice), 4) hi, round(avg(o_totalprice), 4) mean, round(median(o_totalprice), 4) median, arg_min(o_totalprice, o_orderkey) \"first\" from orders group by 1")
+@query("select o_orderpriority source, count(*) items, count_if(o_totalprice > 100000) successes, round(min(o_totalprice), 4) lo, round(max(o_totalprice), 4) hi, round(avg(o_totalprice), 4) mean, round(median(o_totalprice), 4) median, arg_min(o_totalprice, o_orderkey) \"first\", round((sum(o_totalprice)-arg_min(o_totalprice, o_orderkey))/(count(*)-1), 4) rest_mean from orders group by 1")
 def run_summary(spark: SparkSession, d: str) -> DataFrame:
-    v = F.col("o_totalprice")
-    out = fx.table(spark, d, "orders").groupBy(F.col("o_orderpriority").alias("source")).agg(
-        F.count(F.lit(1)).alias("items"), F.count_if(v > 100000).alias("successes"), F.min(v).alias("lo"), F.max(v).alias("hi"),
-        F.avg(v).alias("mean"), F.median(v).alias("median"), F.min_by(v, "o_orderkey").alias("first"),
-    )
-    return rounded(out, "lo", "hi", "mean", "median", places=4)
+    out = summaries.run_summary(fx.table(spark, d, "orders"), "o_orderpriority", "o_totalprice", "o_orderkey", F.col("o_totalprice") > 100000)
+    return rounded(out, "lo", "hi", "mean", "median", "rest_mean", places=4)
 
 
 @query(f"with {GT}, {DT} select image_id, count_if(score > 0.5) n from dt group by 1")
@@ -742,7 +721,7 @@ def hashed_shards(spark: SparkSession, d: str) -> DataFrame:
 @query(f"with {TD} select video_id, arg_max(track_id, score*1000000-track_id/1e9) track_id, round(max(score), 6) score from (select video_id, track_id, round(avg(score), 6) score from td group by 1,2) group by 1")
 def best_track_of_video(spark: SparkSession, d: str) -> DataFrame:
     t = fx.tracks_pred(spark, d).groupBy("video_id", "track_id").agg(F.round(F.avg("score"), 6).alias("score"))
-    return t.groupBy("video_id").agg(F.max_by("track_id", F.struct("score", -F.col("track_id"))).alias("track_id"), F.round(F.max("score"), 6).alias("score"))
+    return rounded(summaries.best_of(t, "video_id", "track_id"), "score")
 
 
 @query(f"with {QO} select datapoint_id, query_idx, case when query_text = 'geometric' then query_text else 'a photo of ' || query_text || (case when lower(trim(role)) in ('user') then '.' else '' end) end query_text from q")
@@ -862,12 +841,9 @@ def oracle_annotator(spark: SparkSession, d: str) -> DataFrame:
     img = fx.images(spark, d)
     out = None
     for k, gt in enumerate(sets):
-        per = metrics.image_counts(img, gt, dt, matching.optimal_match(gt, dt, ["image_id"]))
-        f1 = F.aggregate("tps", F.lit(0.0), lambda s, tp: s + metrics.f1_of(tp, F.col("n_dt") - tp, F.col("n_gt") - tp, 1e-4)) / F.size("tps")
-        per = per.select("image_id", F.lit(k).alias("annotator"), ((F.col("n_gt") == 0) & (F.col("n_dt") == 0)).alias("tn"), F.round(f1, 6).alias("mean_f1"))
+        per = metrics.image_counts(img, gt, dt, matching.optimal_match(gt, dt, ["image_id"])).withColumn("annotator", F.lit(k))
         out = per if out is None else out.unionByName(per)
-    best = out.groupBy("image_id").agg(F.max_by(F.struct("annotator", "mean_f1", "tn"), F.struct("tn", "mean_f1", -F.col("annotator"))).alias("b"))
-    return best.select("image_id", "b.annotator", "b.mean_f1", "b.tn")
+    return summaries.best_annotator(out)
 
 
 @query()

@@ -5,7 +5,7 @@ from collections import Counter
 import duckdb
 import pytest
 
-from annolake.plans import evaluations, oracles  # noqa: F401
+from annolake.plans import evaluations, oracles, preparation  # noqa: F401
 from annolake.plans import queries as own
 
 D = "/root/testdata/sf0.001"
