@@ -6,22 +6,26 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
 
 def map_groups(df: DataFrame, keys: list[str], fn: Callable[[pd.DataFrame, np.ndarray], pd.DataFrame], schema: str, order: list[str]) -> DataFrame:
     """Apply fn(rows, starts) to batches of whole groups.
 
-    Rows are shuffled by the keys and sorted by keys and `order`, so a group is a run of rows; `starts` holds the first row
+    Rows of a partition are sorted by keys and `order`, so a group is a run of rows; `starts` holds the first row
     of each group and the end. A group that a batch cuts waits for the next batch. A group (a frame, an image)
-    has to fit in memory, a partition has not.
+    has to fit in memory, a partition has not. A window over the keys asks for that order: rows that a join has dealt out by the
+    keys are not shuffled again.
     """
+    number = F.row_number().over(Window.partitionBy(*keys).orderBy(*(order or keys)))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []  # batches of the group that is not complete yet
         for batch in batches:
             if len(batch) == 0:
                 continue
+            batch = batch.drop(columns="__number")
             new = np.zeros(len(batch), bool)
             new[0] = bool(held) and any(held[-1][k].iloc[-1] != batch[k].iloc[0] for k in keys)
             for k in keys:
@@ -39,7 +43,7 @@ def map_groups(df: DataFrame, keys: list[str], fn: Callable[[pd.DataFrame, np.nd
             rows = pd.concat(held, ignore_index=True)
             yield fn(rows, np.array([0, len(rows)]))
 
-    return df.repartition(*keys).sortWithinPartitions(*keys, *order).mapInPandas(run, schema)
+    return df.withColumn("__number", number).mapInPandas(run, schema)
 
 
 def group_of(starts: np.ndarray) -> np.ndarray:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import boxes as bx
 from ..functions import text as tx
 from ..operators import evaluation, label_qa, matching, metrics, nms, pairs, prep, remap, summaries, tracks
-from ..operators.cut import shared_folder
+from ..operators.cut import settled, shared_folder
 from . import fixtures as fx
 from .fixtures import DT, FR, GT, IMG, TD, TG, inter_sql, iou_sql
 
@@ -84,7 +84,7 @@ def phrase_cgf1(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def coco_average_precision(spark: SparkSession, d: str) -> DataFrame:
     gt, dt = fx.gt_boxes(spark, d), fx.pred_boxes(spark, d)
-    flags = matching.score_match(gt, dt, ["image_id", "class_id"], [p / 100 for p in metrics.IOU_PERCENT])
+    flags = settled(matching.score_match(gt, dt, ["image_id", "class_id"], [p / 100 for p in metrics.IOU_PERCENT]))  # ranges are sampled first
     truths = metrics.truth_counts(gt, ["class_id"], [matching.AREAS["all"]], len(metrics.IOU_PERCENT))
     ap = metrics.average_precision(flags, truths, ["class_id"])
     return rounded(ap.select("class_id", (50 + 5 * F.col("k")).alias("iou_percent"), "ap", "recall"), "ap", "recall")
