@@ -89,6 +89,38 @@ def test_long_texts_are_reconciled(tagger):
     assert base == brute(text) and set(base) <= set(spans)
 
 
+def test_entries_across_the_edges_of_windows(tagger):
+    """Entries that the patterns do not know, at every offset around the places where windows begin, end and overlap, in texts of several windows:
+    found as often as in texts of one window, once each, and nothing else."""
+    rng = random.Random(7)
+    entries = []
+    while len(entries) < 40:
+        kind, entry = pii._generated(rng)
+        if not pii.base_spans(entry):
+            entries.append((kind - 1, entry))
+    words = "and so it was written before the day was over, plainly "
+    step = pii.WINDOW - pii.OVERLAP
+
+    def found(texts, spans):
+        hits = 0
+        for (_, got), (kind, a, b) in zip(pii.find_texts(texts, tagger), spans, strict=True):
+            own = [s for s in got if s[0] == kind and s[1] < b and a < s[2]]
+            assert len(own) <= 1 and len(got) <= 2
+            hits += bool(own)
+        return hits
+
+    long, short, at_long, at_short = [], [], [], []
+    for k, (kind, entry) in enumerate(entries):
+        edge = step * (1 + k % 3) + (0, pii.OVERLAP // 2, pii.OVERLAP)[k % 3] - k % (len(entry) + 5)
+        before = (words * 200)[:edge]
+        before = before[: before.rfind(" ") + 1]
+        long.append(before + entry + " " + words * 40)
+        at_long.append((kind, len(before), len(before) + len(entry)))
+        short.append(words + entry + " " + words)
+        at_short.append((kind, len(words), len(words) + len(entry)))
+    assert found(long, at_long) >= 0.85 * found(short, at_short) > 10
+
+
 def test_query_and_odd_rows(spark, sf, tagger, odd_docs, no_docs):
     docs = util.table(spark, sf, "documents")
     texts = {r.doc_id: r.text for r in docs.collect()}
