@@ -67,6 +67,19 @@ def nested_tracks(rows: DataFrame, keys: list[str]) -> DataFrame:
     return got.select(*keys, boxes.alias("bboxes"), "mean_area")
 
 
+def video_nests(videos: DataFrame, rows: DataFrame) -> DataFrame:
+    """`videos` (video_id, ...) with images (frame numbers in order), tracks (track_id, category_id, frames in order and mean_area, by track_id) and n_boxes; a
+    video without rows keeps empty lists. rows: video_id, frame_idx, track_id, category_id, w, h."""
+    own = rows.groupBy("video_id", "track_id").agg(
+        F.min("category_id").alias("category_id"), F.array_sort(F.collect_list("frame_idx")).alias("frames"), F.avg(F.col("w") * F.col("h")).alias("mean_area"), F.count(F.lit(1)).alias("__n"),
+    )
+    track = F.struct("track_id", "category_id", "frames", "mean_area")
+    per = own.groupBy("video_id").agg(F.array_sort(F.collect_list(track)).alias("tracks"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("frames")))).alias("images"), F.sum("__n").alias("n_boxes"))
+    out = videos.join(per, "video_id", "left")
+    empty = lambda c: F.coalesce(c, F.array().cast(per.schema[c].dataType)).alias(c)
+    return out.select(*videos.columns, empty("images"), empty("tracks"), F.coalesce("n_boxes", F.lit(0)).alias("n_boxes"))
+
+
 def exploded_tracks(tracks: DataFrame, keys: list[str]) -> DataFrame:
     """Track rows to frame rows; null and all-zero boxes are absent, and so are those of area 0 where the tracks have areas;
     without areas the area is w * h."""

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import boxes as bx
-from ..operators import evaluation, matching, metrics, prep, summaries
+from ..operators import evaluation, matching, metrics, prep, remap, summaries
 from ..sources import coco, yolo
 from . import fixtures as fx
 from .fixtures import DT, GT, IMG, TD, TG
@@ -160,3 +160,27 @@ def tracklet_labels(spark: SparkSession, d: str) -> DataFrame:
     """Tracks whose frames are labelled apart: the mean score and the label of most frames."""
     rows = fx.tracks_pred(spark, d).withColumn("label", F.col("frame_idx") % 3)
     return rounded(summaries.tracklets(rows, ["video_id", "track_id"], "label").drop("mean_area"), "score")
+
+
+@query(
+    f"with {TG}, v as (select c_custkey video_id from customer), s as (select video_id, category_id, track_id, round(avg(w*h), 6) area, string_agg(frame_idx::varchar, ',' order by frame_idx) frames, count(*) n from tg group by 1, 2, 3),"
+    " f as (select video_id, string_agg(frame_idx::varchar, ',' order by frame_idx) images from (select distinct video_id, frame_idx from tg) group by 1),"
+    " t as (select video_id, string_agg(track_id||':'||frames, ';' order by track_id) tracks, sum(n)::bigint n_boxes, round(sum(area), 4) area from s group by 1)"
+    " select video_id, coalesce(images, '') images, coalesce(tracks, '') tracks, coalesce(n_boxes, 0) n_boxes, coalesce(area, 0) area from v left join f using (video_id) left join t using (video_id)"
+)
+def nested_videos(spark: SparkSession, d: str) -> DataFrame:
+    """A video for each customer, with its frames and tracks in order, as text; many have none."""
+    out = remap.video_nests(fx.table(spark, d, "customer").select(F.col("c_custkey").alias("video_id")), fx.tracks_gt(spark, d))
+    joined = lambda c: F.array_join(c.cast("array<string>"), ",")
+    tracks = F.array_join(F.transform("tracks", lambda t: F.concat(t["track_id"].cast("string"), F.lit(":"), joined(t["frames"]))), ";")
+    area = F.aggregate("tracks", F.lit(0.0), lambda s, t: s + F.round(t["mean_area"], 6))
+    return out.select("video_id", joined(F.col("images")).alias("images"), tracks.alias("tracks"), "n_boxes", F.round(area, 4).alias("area"))
+
+
+@query(f"with {TG}, m as (select *, round(avg(w*h) over (partition by video_id, track_id), 6) mean_area from tg) select video_id, category_id, track_id, frame_idx, x, y, w, h, mean_area from m")
+def nested_and_exploded_tracks(spark: SparkSession, d: str) -> DataFrame:
+    """Frame rows to nests and back: the same rows, with the mean area of their track."""
+    keys = ["video_id", "category_id", "track_id"]
+    nests = remap.nested_tracks(fx.tracks_gt(spark, d), keys)
+    back = remap.exploded_tracks(nests, keys).join(nests.select(*keys, "mean_area"), keys)
+    return rounded(back.select(*keys, F.col("frame_idx").cast("long").alias("frame_idx"), *"xywh", "mean_area"), "mean_area")
