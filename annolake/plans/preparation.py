@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import boxes as bx
 from ..operators import evaluation, matching, metrics, prep, remap, summaries
-from ..sources import coco, yolo
+from ..sources import coco, listing, yolo
 from . import fixtures as fx
 from .fixtures import DT, GT, IMG, TD, TG
 from .queries import GREEDY, PAIRS, _folder, query, rounded
@@ -184,3 +184,50 @@ def nested_and_exploded_tracks(spark: SparkSession, d: str) -> DataFrame:
     nests = remap.nested_tracks(fx.tracks_gt(spark, d), keys)
     back = remap.exploded_tracks(nests, keys).join(nests.select(*keys, "mean_area"), keys)
     return rounded(back.select(*keys, F.col("frame_idx").cast("long").alias("frame_idx"), *"xywh", "mean_area"), "mean_area")
+
+
+#: Images of one document.
+DOCUMENT = 2_000
+
+
+def _documents(spark: SparkSession, d: str) -> str:
+    """A folder of JSON documents, each of about DOCUMENT images with their annotations and the categories."""
+    gt, img = fx.gt_boxes(spark, d), fx.images(spark, d)
+    shard = lambda c: F.pmod(F.xxhash64(c), F.lit(max(1, -(-img.count() // DOCUMENT)))).alias("doc")
+    images = img.select(shard("id"), F.struct("id", "file_name", "width", "height").alias("r")).groupBy("doc").agg(F.collect_list("r").alias("images"))
+    row = F.struct((F.col("image_id") * 100 + F.col("ann_id")).alias("id"), "image_id", F.col("class_id").alias("category_id"), F.array(*"xywh").alias("bbox"), (F.col("w") * F.col("h")).alias("area"), "iscrowd")
+    annotations = gt.select(shard("image_id"), row.alias("r")).groupBy("doc").agg(F.collect_list("r").alias("annotations"))
+    kinds = F.array(*(F.struct(F.lit(k).alias("id"), F.lit(f"c{k}").alias("name")) for k in range(3))).alias("categories")
+    folder = _folder(spark, "documents")
+    whole = images.join(annotations, "doc", "left").select("doc", F.to_json(F.struct("images", F.coalesce("annotations", F.array().cast(annotations.schema["annotations"].dataType)).alias("annotations"), kinds)).alias("value"))
+    whole.write.partitionBy("doc").text(folder)  # a row, and so a file, for each document
+    return folder
+
+
+@query(f"with {GT}, {IMG} select image_id*100+ann_id id, image_id, 'c'||class_id name, x, y, w, h, w*h area, iscrowd, file_name from gt join img on img.id=image_id")
+def annotation_documents(spark: SparkSession, d: str) -> DataFrame:
+    """Truths written as annotation documents and read again by byte ranges: each annotation with its image and category."""
+    images, annotations, categories = coco.read_coco(spark, _documents(spark, d))
+    named = annotations.join(categories.select(F.col("id").alias("category_id"), "name").distinct(), "category_id")
+    both = named.join(images.select(F.col("id").alias("image_id"), "file_name"), "image_id")
+    return both.select("id", "image_id", "name", *(F.col("bbox")[k].alias(c) for k, c in enumerate("xywh")), "area", "iscrowd", "file_name")
+
+
+@query(f"with {IMG} select file_name path from img where id%3<>1")
+def listed_images(spark: SparkSession, d: str) -> DataFrame:
+    """A list file that names every image, some without a file and some twice, and holds blank lines: the names that exist."""
+    img = fx.images(spark, d)
+    folder = _folder(spark, "list")
+    lines = img.select(F.explode(F.array("file_name", F.concat(F.lit(" "), "file_name"), F.lit(""))).alias("value"))
+    lines.write.text(folder)
+    return listing.images_of_list(spark, folder, img.where("id % 3 <> 1").select(F.col("file_name").alias("path")))
+
+
+@query("select c_nationkey::double nation, max(c_custkey)::double step, round(arg_max(c_acctbal, c_custkey), 2) balance from customer group by 1")
+def last_log_lines(spark: SparkSession, d: str) -> DataFrame:
+    """A log of JSON lines for each nation, in the order of customers: its last line."""
+    folder = _folder(spark, "logs")
+    rows = fx.table(spark, d, "customer").repartition("c_nationkey").sortWithinPartitions("c_nationkey", "c_custkey")
+    line = F.to_json(F.struct(F.col("c_nationkey").alias("nation"), F.col("c_custkey").alias("step"), F.col("c_acctbal").alias("balance")))
+    rows.select("c_nationkey", line.alias("value")).write.partitionBy("c_nationkey").text(folder)
+    return rounded(coco.last_metric_rows(spark, folder, ["nation", "step", "balance"]).drop("file"), "balance", places=2)
