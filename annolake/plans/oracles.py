@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from .evaluations import ell_inter, ell_sql
-from .fixtures import DT, GT, IMG, TD, iou_sql
+from .fixtures import DT, GT, IMG, TD, inter_sql, iou_sql
 from .queries import ORACLE
 
 #: From pr (k, g, d, v > 0) the pairs best (k, g, d, v) of each group k that use every g and d once and have the greatest sum of v.
@@ -84,3 +84,60 @@ ORACLE["class_averaged_hota"] = (
     f"with recursive {TD}, {hota('tg', 'td', iou_sql('a', 'b'), 'video_id, category_id')}, {COMBINED.format(k='category_id, ')}, {SCORES.format(t='cm')}"
     f" select alpha::int alpha, sum(tp)::bigint tp, sum(fn)::bigint fn, sum(fp)::bigint fp, {MEANS} from out group by 1"
 )
+
+# -- average precision: detections of an image and class take truths one by one, for each threshold and range of areas
+
+AREAS = [("all", "0.0", "1e10"), ("small", "0.0", "1024.0"), ("medium", "1024.0", "9216.0"), ("large", "9216.0", "1e10")]
+
+
+def precision(truths: str, dets: str, inter: str, g_area: str, d_area: str, keys: str = "class_id", areas: int = 4) -> str:
+    """ap: keys, t, a, n_gt, ap and recall of every class, threshold and range of areas with truths, and fl, the flags of detections. `keys` is what is
+    averaged apart and then the class; tables hold image_id and keys; `inter` is the overlap of g and d in area."""
+    image = f"image_id, {keys}"
+    ranges = ", ".join(f"({k}, {lo}::double, {hi}::double)" for k, (_, lo, hi) in enumerate(AREAS[:areas]))
+    return f"""pp as (select {image}, g.ann_id::bigint ann_id, d.det_id, g.iscrowd c, ({g_area})::double ga, {inter}/(case when g.iscrowd=1 then {d_area} else {g_area}+{d_area}-{inter} end)::double v from {truths} g join {dets} d using ({image}) where {inter} > 0),
+dn as (select {image}, det_id, score, ({d_area})::double da, row_number() over (partition by {image} order by score desc, det_id) r from {dets} d),
+ta as (select i t, least((50+5*i)/100.0::double, 1-1e-10::double) thr, k a, lo, hi from range(10) x(i), (values {ranges}) y(k, lo, hi)),
+st as (select {image}, t, a, 0::bigint r, []::bigint[] used, null::bigint det_id, null::int flag from (select distinct {image} from dn) cross join ta
+  union all
+  select {", ".join(f"s.{c}" for c in image.split(", "))}, s.t, s.a, s.r+1, case when max(p.ann_id) is null then any_value(s.used) else list_append(any_value(s.used), max(case when p.ann_id is not null then struct_pack(nc := p.c=0 and p.ga between ta.lo and ta.hi, v := p.v, a := p.ann_id) end).a) end,
+    any_value(dn.det_id)::bigint, case when max(p.ann_id) is null then case when any_value(dn.da between ta.lo and ta.hi) then 0 else -1 end
+      when max(case when p.ann_id is not null then struct_pack(nc := p.c=0 and p.ga between ta.lo and ta.hi, v := p.v, a := p.ann_id) end).nc then 1 else -1 end
+  from st s join ta on ta.t=s.t and ta.a=s.a join dn on {" and ".join(f"dn.{c}=s.{c}" for c in image.split(", "))} and dn.r=s.r+1 and dn.r <= 100
+  left join pp p on {" and ".join(f"p.{c}=s.{c}" for c in image.split(", "))} and p.det_id=dn.det_id and p.v >= ta.thr and (p.c=1 or not list_contains(s.used, p.ann_id))
+  group by {", ".join(f"s.{c}" for c in image.split(", "))}, s.t, s.a, s.r),
+fl as (select {image}, st.t, st.a, st.r, det_id, flag, score from st join dn using ({image}, det_id) where st.r > 0),
+cu as (select {keys}, t, a, flag, sum((flag=1)::int) over w tp, sum((flag>=0)::int) over w n from fl window w as (partition by {keys}, t, a order by score desc, image_id, det_id rows unbounded preceding)),
+ng as (select {keys}, a, count_if(iscrowd=0 and ({g_area}) between lo and hi) n_gt from {truths} g cross join (select distinct a, lo, hi from ta) group by all having n_gt > 0),
+hi as (select {keys}, t, a, least(floor(tp/n_gt*100+1e-9::double), 100) gi, max(tp/n) p from cu join ng using ({keys}, a) where flag=1 group by all),
+gr as (select {keys}, t, a, g, max(p) p from hi join range(101) x(g) on gi >= g group by all),
+ap as (select {keys}, t, a, n_gt, coalesce(s, 0)/101 ap, coalesce(tp, 0)/n_gt recall from ng cross join (select distinct t from ta) left join (select {keys}, t, a, sum(p) s from gr group by all) using ({keys}, t, a)
+  left join (select {keys}, t, a, count_if(flag=1) tp from fl group by all) using ({keys}, t, a))"""
+
+
+def summary(apart: str = "") -> str:
+    """The summary of ap and fl, for each value of `apart` (a column and a comma)."""
+    rows = [("AP", "avg(ap) filter (a=0)"), ("AP_50", "avg(ap) filter (a=0 and t=0)"), ("AP_75", "avg(ap) filter (a=0 and t=5)")]
+    rows += [(f"AP_{n}", f"avg(ap) filter (a={k})") for k, (n, *_) in enumerate(AREAS) if k] + [("AR@100", "avg(recall) filter (a=0)")] + [(f"AR_{n}", f"avg(recall) filter (a={k})") for k, (n, *_) in enumerate(AREAS) if k]
+    parts = [f"select {apart}'{m}' metric, coalesce({v}, -1) \"value\" from ap group by all" for m, v in rows]
+    for most in (1, 10):
+        parts.append(
+            f"select {apart}'AR@{most}', coalesce(avg(coalesce(tp, 0)/n_gt), -1) from (select * from ap where a=0) left join (select {apart}class_id, t, count_if(flag=1) tp from fl where a=0 and r <= {most} group by all) using ({apart}class_id, t) group by all"
+        )
+    return " union all ".join(parts)
+
+
+def rounded_summary() -> str:
+    return f", su as ({summary()}) select metric, round(\"value\", 6) \"value\" from su"
+
+
+BOXES = (inter_sql("g", "d"), "g.w*g.h", "d.w*d.h")
+MASKS = (f"({ell_inter('g', 'd')})::double", "g.area", "d.area")
+ORACLE["coco_average_precision"] = f"with recursive {GT}, {DT}, {precision('gt', 'dt', *BOXES, areas=1)} select class_id, (50+5*t)::int iou_percent, round(ap, 6) ap, round(recall, 6) recall from ap"
+ORACLE["precision_by_area"] = f"with recursive {GT}, {DT}, {precision('gt', 'dt', *BOXES)}{rounded_summary()}"
+ORACLE["precision_on_positives"] = f"with recursive {GT}, {DT}, dp as (select * from dt where (image_id, class_id) in (select image_id, class_id from gt)), {precision('gt', 'dp', *BOXES)}{rounded_summary()}"
+ORACLE["mask_average_precision"] = f"with recursive {GT}, {DT}, {ell_sql('ma', 'gt', 4)}, {ell_sql('mb', 'dt', 4)}, {precision('ma', 'mb', *MASKS)}{rounded_summary()}"
+ORACLE["precision_by_rarity"] = (
+    f"with recursive {GT}, {DT}, {IMG}, gb as (select gt.*, rarity bucket from gt join img on img.id=gt.image_id), db as (select dt.*, rarity bucket from dt join img on img.id=dt.image_id), {precision('gb', 'db', *BOXES, keys='bucket, class_id')},"
+    f" su as ({summary('bucket, ')}) select bucket, metric, round(\"value\", 6) \"value\" from su union all select null, metric, round(avg(\"value\"), 6) from su group by 2"
+)
