@@ -151,7 +151,7 @@ def score_assigned(dets: DataFrame, pairs: DataFrame, keys: list[str], threshold
         out["rank"], out["flags"] = ranks, flags
         return out
 
-    schema = ", ".join(f"{k} {fields[k]}" for k in [*keys, "det_id", "score"]) + ", rank int, flags array<int>"
+    schema = ", ".join(f"{k} {fields[k]}" for k in [*keys, "det_id", "score"]) + ", rank int, flags array<tinyint>"
     return map_groups(rows, keys, match, schema, ["__order", "det_id", "ann_id"])
 
 

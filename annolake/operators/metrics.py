@@ -134,16 +134,22 @@ def mask_demo_metrics(images: DataFrame, gt: DataFrame, dt: DataFrame) -> DataFr
     return demo_metrics(per, per.where(least > 0).join(sums, "image_id", "left").select("image_id", share("j"), share("f")))
 
 
+#: Detections of one range of average_precision.
+RANGE = 100_000
+
+
 def average_precision(flags: DataFrame, truths: DataFrame, by: list[str], points: int = 101) -> DataFrame:
     """by, k, ap, recall: precision, made monotonic from the right, averaged over a grid of recalls; for every k that has truths.
 
     flags: by, image_id, det_id, score, flags (an array: 1 hit, 0 miss, -1 ignored). truths: by, n_gt (an array as long). Detections are cut into ranges
     of (by, score), which are written once. Each range's counts give the counts before it; each range then tells, for
     every recall of the grid, the best precision among its own hits that reach it; the best of all ranges is the answer.
-    So no class is one task's, and thresholds stay an array.
+    So no class is one task's, and thresholds stay an array. A range holds about RANGE detections, however many there are in all: it is one
+    group of a task's Python. `flags` are read several times and should be settled.
     """
     order = [*by, F.desc("score"), "image_id", "det_id"]
-    rows = flags.select(*by, "image_id", "det_id", "score", "flags").repartitionByRange(*order).sortWithinPartitions(*order)
+    ranges = max(int(flags.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-flags.count() // RANGE))
+    rows = flags.select(*by, "image_id", "det_id", "score", "flags").repartitionByRange(ranges, *order).sortWithinPartitions(*order)
     rows = settled(rows.withColumn("__p", F.spark_partition_id()))
     kinds = ", ".join(f"`{b}` {rows.schema[b].dataType.simpleString()}" for b in by)
 
