@@ -122,3 +122,49 @@ def test_removals_feed_occlusion(spark, objects, tmp_path):
     assert sorted(map(tuple, batch.collect())) == sorted(w[:3] for w in want)
     got = drained(lambda s: rules.ordered_track_rules(s, 0.2, **RULES, late="3 days"), objects, str(tmp_path), "f1")
     assert got == sorted(want + told, key=str)
+
+
+def test_a_batch_reads_and_writes_a_state_once():
+    from annolake.streaming.rules import FrameWarnings
+
+    calls = []
+
+    class State:
+        value = None
+
+        def __init__(self, name):
+            self.name = name
+
+        def get(self):
+            calls.append(self.name)
+            return self.value
+
+        def update(self, value):
+            calls.append(self.name)
+            self.value = value
+
+        def clear(self):
+            calls.append(self.name)
+            self.value = None
+
+    class Handle:
+        def getValueState(self, name, schema):
+            return State(name)
+
+        def registerTimer(self, at):
+            calls.append("timer")
+
+        deleteTimer = registerTimer
+
+    class Now:
+        def getCurrentWatermarkInMs(self):
+            return 50
+
+    import pandas as pd
+
+    rule = FrameWarnings(0.5, 10**6)
+    rule.init(Handle())
+    rows = pd.DataFrame([(at, at, 1, 100 - at) for at in range(100)], columns=["at_ms", "frame_idx", "category_id", "n"])
+    out = list(rule.handleInputRows((7,), iter([rows]), Now()))
+    assert out == [] and len(calls) <= 10  # 51 frames were due
+    assert rule.last.value == (50,) and len(rule.held()) == 49
