@@ -43,3 +43,14 @@ def test_ranges_of_average_precision_are_bounded(spark, sf, monkeypatch):
     monkeypatch.setattr(metrics, "RANGE", 100, raising=False)
     assert sorted(map(tuple, metrics.average_precision(flags, truths, ["class_id"]).collect())) == want
     assert sum(sizes) == flags.count() and max(sizes) <= 300  # ranges are cut by a sample
+
+
+def test_small_documents_share_tasks(spark, tmp_path):
+    from annolake.sources import files
+
+    n = 2 * files.LEAST_TASKS
+    for k in range(n):
+        (tmp_path / f"{k}.json").write_text(f'{{"images": [{{"id": {k}}}]}}')
+    rows = files.json_lists(spark, str(tmp_path), ["images"])
+    assert rows.count() == n and rows.select("file").distinct().count() == n
+    assert rows.rdd.getNumPartitions() <= files.LEAST_TASKS
