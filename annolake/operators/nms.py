@@ -91,9 +91,9 @@ def track_nms(tracks: DataFrame, keys: list[str], thr: float) -> DataFrame:
     """The frame rows of tracks that no higher-scored kept track overlaps with `thr` or more.
 
     Overlap of two tracks: intersections over unions, summed over the frames that hold both. tracks: keys,
-    track_id, frame_idx, x, y, w, h, score; a track's score is its mean.
+    track_id, frame_idx, x, y, w, h, score; a track's score is its mean, to twelve decimals: equal means stay equal in whatever order they are summed.
     """
-    scores = tracks.groupBy(*keys, "track_id").agg(F.avg("score").alias("s"))
+    scores = tracks.groupBy(*keys, "track_id").agg(F.round(F.avg("score"), 12).alias("s"))
     side = lambda p: tracks.select(*keys, "frame_idx", F.col("track_id").alias(f"{p}t"), *(F.col(c).alias(f"{p}_{c}") for c in "xywh"))
     a, b = bx.xywh("a_"), bx.xywh("b_")
     both = side("a").join(side("b"), [*keys, "frame_idx"]).where("at <> bt")

@@ -329,3 +329,12 @@ def test_compaction_of_images_and_negative_pairs(spark):
     ids = spark.createDataFrame([(1, 1, 1), (1, 2, 2)], "video_id long, category_id int, new_id long")
     more = spark.createDataFrame([(9, 1, 0), (1, 1, 1), (3, 2, 2)], "video_id long, category_id int, line long")
     assert sorted(map(tuple, remap.with_negatives(ids, more, ["line"]).collect())) == [(1, 1, 1), (1, 2, 2), (3, 2, 4), (9, 1, 3)]
+
+
+def test_tracks_of_equal_mean_scores_go_by_id(spark):
+    from annolake.operators import nms
+
+    scores = {1: [0.3, 0.2, 0.1], 2: [0.1, 0.2, 0.3]}  # summed in this order they differ in the last bit
+    rows = [(1, t, k, 0.0, 0.0, 10.0, 10.0, s) for t, own in scores.items() for k, s in enumerate(own)]
+    df = spark.createDataFrame(rows, "video_id long, track_id long, frame_idx long, x double, y double, w double, h double, score double").coalesce(1)
+    assert {r.track_id for r in nms.track_nms(df, ["video_id"], 0.3).collect()} == {1}
