@@ -59,15 +59,16 @@ def optimal_match(gt: DataFrame, dt: DataFrame, keys: list[str]) -> DataFrame:
     return assigned(iou_join(gt, dt, keys, min_iou=0.0), keys)
 
 
-def assigned(pairs: DataFrame, keys: list[str]) -> DataFrame:
-    """The assignment of given pairs (keys, ann_id, det_id, iou) that maximises the summed iou of each group."""
-    pairs = pairs.select(*keys, "ann_id", "det_id", "iou")
+def assigned(pairs: DataFrame, keys: list[str], more: list[str] | None = None) -> DataFrame:
+    """The assignment of given pairs (keys, ann_id, det_id, iou) that maximises the summed iou of each group; `more` names further columns to keep."""
+    cols = [*keys, "ann_id", "det_id", "iou", *(more or [])]
+    pairs = pairs.select(*cols)
     fields = {f.name: f.dataType.simpleString() for f in pairs.schema}
 
     def match(rows: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
         return rows.iloc[best_pairs(rows["ann_id"].to_numpy(), rows["det_id"].to_numpy(), rows["iou"].to_numpy(), starts)]
 
-    schema = ", ".join(f"{k} {fields[k]}" for k in [*keys, "ann_id", "det_id", "iou"])
+    schema = ", ".join(f"{k} {fields[k]}" for k in cols)
     return map_groups(pairs, keys, match, schema, ["ann_id", "det_id"])
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .cut import settled
-from .masks import area, boundary_f, mask_pairs
+from .masks import SHARE, area, mask_pairs
 from .matching import AREAS, assigned, score_assigned, score_match
 from .pairs import tracklet_iou, tracklet_mask_iou
 
@@ -29,9 +29,10 @@ def class_report(matches: DataFrame, dt: DataFrame, keys: list[str], eps: float
     return out.select("class_id", "tp", "fp", "fn", p.alias("precision"), r.alias("recall"), (2 * p * r / (p + r + eps)).alias("f1"))
 
 
-def image_counts(images: DataFrame, gt: DataFrame, dt: DataFrame, matched: DataFrame) -> DataFrame:
-    """Per image its number of truths, detections and matches at each of the ten thresholds (array tps)."""
-    hits = matched.groupBy("image_id").agg(F.array(*(F.count_if(F.round(F.col("iou"), 12) >= p / 100) for p in IOU_PERCENT)).alias("tps"))
+def image_counts(images: DataFrame, gt: DataFrame, dt: DataFrame, matched: DataFrame, **sums: Column) -> DataFrame:
+    """Per image its number of truths, detections and matches at each of the ten thresholds (array tps), and `sums` over its matches."""
+    tps = F.array(*(F.count_if(F.round(F.col("iou"), 12) >= p / 100) for p in IOU_PERCENT)).alias("tps")
+    hits = matched.groupBy("image_id").agg(tps, *(F.sum(v).alias(k) for k, v in sums.items()))
     count = lambda df, name: df.groupBy("image_id").agg(F.count(F.lit(1)).alias(name))
     out = images.select(F.col("id").alias("image_id")).join(count(gt, "n_gt"), "image_id", "left").join(count(dt, "n_dt"), "image_id", "left").join(hits, "image_id", "left")
     return out.fillna(0, ["n_gt", "n_dt"]).withColumn("tps", F.coalesce("tps", F.array_repeat(F.lit(0).cast("long"), len(IOU_PERCENT))))
@@ -110,28 +111,25 @@ def demo_metrics(per_image: DataFrame, jf: DataFrame | None = None) -> DataFrame
     return out.crossJoin(F.broadcast(mean))  # one row
 
 
-def mask_matches(gt: DataFrame, dt: DataFrame) -> DataFrame:
-    """image_id, ann_id, det_id, iou: the assignment of an image's masks that maximises the summed overlap."""
-    return assigned(mask_pairs(gt, dt, ["image_id"]), ["image_id"])
+def mask_matches(gt: DataFrame, dt: DataFrame, share: float | None = None) -> DataFrame:
+    """image_id, ann_id, det_id, iou: the assignment of an image's masks that maximises the summed overlap; with `share` also boundary_f."""
+    return assigned(mask_pairs(gt, dt, ["image_id"], share=share), ["image_id"], None if share is None else ["boundary_f"])
 
 
-def mask_phrase_metrics(images: DataFrame, gt: DataFrame, dt: DataFrame) -> DataFrame:
-    """phrase_metrics of masks: gt (image_id, ann_id, runs, height), dt (image_id, det_id, runs, height)."""
-    return phrase_metrics(image_counts(images, gt, dt, mask_matches(gt, dt)))
+def mask_phrase_metrics(images: DataFrame, gt: DataFrame, dt: DataFrame, rows: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    """phrase_metrics of masks: gt (image_id, ann_id, runs, height), dt (image_id, det_id, runs, height). `rows`: both again without their masks,
+    to be counted (image_id), where drawing them once more would cost."""
+    return phrase_metrics(image_counts(images, *(rows or (gt, dt)), mask_matches(gt, dt)))
 
 
-def mask_demo_metrics(images: DataFrame, gt: DataFrame, dt: DataFrame) -> DataFrame:
+def mask_demo_metrics(images: DataFrame, gt: DataFrame, dt: DataFrame, rows: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """demo_metrics of masks (with width). Per image with truths and detections J is the mean overlap and F the mean boundary F over as many pairs as
-    the smaller side has; pairs without overlap count 0 in both."""
-    matched = settled(mask_matches(gt, dt))
-    a = gt.select("image_id", "ann_id", F.col("runs").alias("runs_a"), "height", "width")
-    b = dt.select("image_id", "det_id", F.col("runs").alias("runs_b"))
-    both = boundary_f(matched.join(a, ["image_id", "ann_id"]).join(b, ["image_id", "det_id"]))
-    sums = both.groupBy("image_id").agg(F.sum("iou").alias("j"), F.sum("boundary_f").alias("f"))
-    per = image_counts(images, gt, dt, matched)
+    the smaller side has; pairs without overlap count 0 in both. `rows` as in mask_phrase_metrics. The rows of images are written once."""
+    matched = mask_matches(gt, dt, SHARE)
+    per = settled(image_counts(images, *(rows or (gt, dt)), matched, j=F.col("iou"), f=F.col("boundary_f")))
     least = F.least("n_gt", "n_dt")
     share = lambda c: (F.coalesce(c, F.lit(0.0)) / least).alias(c)
-    return demo_metrics(per, per.where(least > 0).join(sums, "image_id", "left").select("image_id", share("j"), share("f")))
+    return demo_metrics(per, per.where(least > 0).select("image_id", share("j"), share("f")))
 
 
 #: Detections of one range of average_precision.

@@ -275,8 +275,8 @@ def class_averaged_hota(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def demo_metrics(spark: SparkSession, d: str) -> DataFrame:
     """Over masks: J is their overlap, F that of their boundaries."""
-    gt, dt = ell_masks(fx.gt_boxes(spark, d).where("iscrowd = 0"), 4), ell_masks(fx.pred_boxes(spark, d).where("score >= 0.5"), 4)
-    out = metrics.mask_demo_metrics(fx.images(spark, d), gt, dt)
+    rows = fx.gt_boxes(spark, d).where("iscrowd = 0"), fx.pred_boxes(spark, d).where("score >= 0.5")
+    out = metrics.mask_demo_metrics(fx.images(spark, d), *(ell_masks(r, 4) for r in rows), rows)
     return rounded(out, *(f.name for f in out.schema if f.dataType.simpleString() == "double"))
 
 
@@ -385,9 +385,8 @@ def ell_masks(boxes: DataFrame, scale: int) -> DataFrame:
     at = {"x1": (F.col("x"), w), "x2": (F.col("x") + F.col("w"), w), "y1": (F.col("y"), h), "y2": (F.col("y") + F.col("h"), h)}
     px = boxes.withColumns({k: F.greatest(F.least(F.floor(v / scale), F.lit(top)), F.lit(0)).cast("int") for k, (v, top) in at.items()})
     px = px.withColumns({"xm": F.expr("(x1 + x2) div 2").cast("int"), "ym": F.expr("(y1 + y2) div 2").cast("int")})
-    runs = masks.step_runs(*(F.col(c) for c in ("x1", "xm", "x2", "y1", "ym", "y2")), h, w)
-    shaped = px.withColumns({"runs": runs, "height": F.lit(h), "width": F.lit(w)}).drop("x1", "x2", "xm", "y1", "y2", "ym", *"xywh")
-    return masks.bounds(shaped)
+    two = F.array(masks.corners(*map(F.col, ("x1", "y1", "xm", "y2"))), masks.corners(*map(F.col, ("xm", "ym", "x2", "y2"))))
+    return masks.filled(px.select(*(c for c in boxes.columns if c not in "xywh"), two.alias("boxes"), F.lit(h).alias("height"), F.lit(w).alias("width")))
 
 
 @query(
@@ -405,8 +404,8 @@ def mask_phrase_cgf1(spark: SparkSession, d: str) -> DataFrame:
     """phrase_cgf1 with the overlap of masks."""
     img = prep.eligible_images(fx.images(spark, d), [])
     ids = img.select(F.col("id").alias("image_id"))
-    gt, dt = (ell_masks(b.join(ids, "image_id", "left_semi"), 4) for b in (fx.gt_boxes(spark, d).where("iscrowd = 0"), fx.pred_boxes(spark, d).where("score >= 0.5")))
-    out = metrics.mask_phrase_metrics(img, gt, dt)
+    rows = tuple(b.join(ids, "image_id", "left_semi") for b in (fx.gt_boxes(spark, d).where("iscrowd = 0"), fx.pred_boxes(spark, d).where("score >= 0.5")))
+    out = metrics.mask_phrase_metrics(img, *(ell_masks(r, 4) for r in rows), rows)
     return rounded(out, "f1", "positive_micro_f1", "positive_macro_f1", "il_f1", "il_fpr", "il_mcc", "cgf1")
 
 
