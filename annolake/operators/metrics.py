@@ -29,10 +29,14 @@ def class_report(matches: DataFrame, dt: DataFrame, keys: list[str], eps: float
     return out.select("class_id", "tp", "fp", "fn", p.alias("precision"), r.alias("recall"), (2 * p * r / (p + r + eps)).alias("f1"))
 
 
+def matches_at() -> Column:
+    """tps: how many of a group's overlaps (iou) reach each of the ten thresholds."""
+    return F.array(*(F.count_if(F.round(F.col("iou"), 12) >= p / 100) for p in IOU_PERCENT)).alias("tps")
+
+
 def image_counts(images: DataFrame, gt: DataFrame, dt: DataFrame, matched: DataFrame, **sums: Column) -> DataFrame:
     """Per image its number of truths, detections and matches at each of the ten thresholds (array tps), and `sums` over its matches."""
-    tps = F.array(*(F.count_if(F.round(F.col("iou"), 12) >= p / 100) for p in IOU_PERCENT)).alias("tps")
-    hits = matched.groupBy("image_id").agg(tps, *(F.sum(v).alias(k) for k, v in sums.items()))
+    hits = matched.groupBy("image_id").agg(matches_at(), *(F.sum(v).alias(k) for k, v in sums.items()))
     count = lambda df, name: df.groupBy("image_id").agg(F.count(F.lit(1)).alias(name))
     out = images.select(F.col("id").alias("image_id")).join(count(gt, "n_gt"), "image_id", "left").join(count(dt, "n_dt"), "image_id", "left").join(hits, "image_id", "left")
     return out.fillna(0, ["n_gt", "n_dt"]).withColumn("tps", F.coalesce("tps", F.array_repeat(F.lit(0).cast("long"), len(IOU_PERCENT))))

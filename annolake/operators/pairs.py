@@ -12,13 +12,13 @@ from . import masks
 from .runs import by_batch
 
 
-def iou_join(gt: DataFrame, dt: DataFrame, keys: list[str], min_iou: float | None = None, crowd: str | None = None) -> DataFrame:
-    """Pairs of `gt` (ann_id, x, y, w, h) and `dt` (det_id, ...) with equal keys, and their iou.
+def iou_join(gt: DataFrame, dt: DataFrame, keys: list[str], min_iou: float | None = None, crowd: str | None = None, more: list[str] | None = None) -> DataFrame:
+    """Pairs of `gt` (ann_id, x, y, w, h) and `dt` (det_id, ...) with equal keys, and their iou; `more` names further columns of gt to keep.
 
     `crowd` names a 0/1 column of gt: where it is 1 the denominator is the detection's area. Pairs of at most
     `min_iou` are dropped. The join is by the keys alone, so AQE can split a crowded key.
     """
-    left = gt.select(*keys, "ann_id", *(F.col(c).alias(f"g_{c}") for c in "xywh"), *([F.col(crowd).alias("g_crowd")] if crowd else []))
+    left = gt.select(*keys, *(more or []), "ann_id", *(F.col(c).alias(f"g_{c}") for c in "xywh"), *([F.col(crowd).alias("g_crowd")] if crowd else []))
     right = dt.select(*keys, "det_id", *(F.col(c).alias(f"d_{c}") for c in "xywh"), *(["score"] if "score" in dt.columns else []))
     a, b = bx.xywh("g_"), bx.xywh("d_")
     iou = bx.iou(a, b)

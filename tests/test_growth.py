@@ -118,3 +118,18 @@ def test_boundaries_come_with_the_pairs(spark, sf):
     want = masks.boundary_f(metrics.mask_matches(gt, dt).join(a, ["image_id", "ann_id"]).join(b, ["image_id", "det_id"])).drop("height", "width")
     some = lambda df: sorted(map(tuple, df.select("image_id", "ann_id", "det_id", "iou", "boundary_f").collect()))
     assert some(got) == some(want) != []
+
+
+def test_annotators_share_one_assignment(spark, sf, monkeypatch):
+    from annolake.operators import summaries
+    from annolake.plans.queries import QUERIES
+
+    calls, assigned = [], matching.assigned
+    monkeypatch.setattr(matching, "assigned", lambda *a, **k: calls.append(1) or assigned(*a, **k))
+    assert QUERIES["oracle_annotator"](spark, sf).count() == fx.images(spark, sf).count() and len(calls) == 1
+    box = "cast(0 as double) x, cast(0 as double) y, cast(2 as double) w, cast(2 as double) h"
+    images = spark.createDataFrame([(1,), (2,), (3,)], "id long")
+    truths = spark.sql(f"select id image_id, annotator, 1 ann_id, {box} from values (1L, 1), (3L, 0), (9L, 0) t(id, annotator)")
+    dets = spark.sql(f"select id image_id, 1 det_id, {box} from values (1L), (2L), (9L) t(id)")
+    got = {(r.image_id, r.annotator): (r.n_gt, r.n_dt, sum(r.tps)) for r in summaries.annotator_counts(images, truths, dets, [0, 1]).collect()}
+    assert got == {(1, 0): (0, 1, 0), (1, 1): (1, 1, 10), (2, 0): (0, 1, 0), (2, 1): (0, 1, 0), (3, 0): (1, 0, 0), (3, 1): (0, 0, 0)}
