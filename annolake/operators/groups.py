@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import permutations
 
 import numpy as np
 import pandas as pd
@@ -63,10 +64,12 @@ def repeated_in(group: np.ndarray, *columns: np.ndarray) -> np.ndarray:
 
 def best_pairs(a: np.ndarray, b: np.ndarray, value: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Rows of the assignment of a to b that maximises the summed value (above 0) of each group. A group in which nothing is
-    wanted twice keeps all its rows; only the others are solved one by one."""
+    wanted twice keeps all its rows; of the others small ones are solved together, the rest one by one."""
     group = group_of(starts)
     hard = repeated_in(group, a, b)
     keep = ~np.isin(group, hard)
+    chosen, hard = small_assignments(a, b, value, group, hard)
+    keep[chosen] = True
     for k in hard.tolist():
         lo, hi = int(starts[k]), int(starts[k + 1])
         x, xi = np.unique(a[lo:hi], return_inverse=True)
@@ -78,6 +81,49 @@ def best_pairs(a: np.ndarray, b: np.ndarray, value: np.ndarray, starts: np.ndarr
     return np.flatnonzero(keep)
 
 
+#: The largest side of a group of which all assignments are tried, and how many groups at once.
+SIDE, AT_ONCE = 5, 2_048
+
+
+def small_assignments(a: np.ndarray, b: np.ndarray, value: np.ndarray, group: np.ndarray, hard: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(rows of the best assignment of each small group of `hard`, the groups that are left): all assignments of many groups are added up at once.
+
+    Left are groups with a side above SIDE or a value that is not above 0, and those in which other pairs come within rounding of the best sum.
+    """
+    rows = np.flatnonzero(np.isin(group, hard))
+    if not len(rows):
+        return rows, hard
+    at = np.searchsorted(hard, group[rows])
+    place, side = [], np.zeros(len(hard), np.int64)
+    for x in (a[rows], b[rows]):
+        order = np.lexsort((x, at))
+        first = np.concatenate([[True], at[order][1:] != at[order][:-1]])
+        step = np.cumsum(np.concatenate([[True], x[order][1:] != x[order][:-1]]) | first)
+        own = np.empty(len(rows), np.int64)
+        own[order] = step - step[first][np.cumsum(first) - 1]
+        place.append(own)
+        np.maximum.at(side, at, own + 1)
+    good = np.ones(len(hard), bool)
+    good[at[~((value[rows] > 0) & np.isfinite(value[rows]))]] = False
+    solved, chosen = np.zeros(len(hard), bool), [np.zeros(0, np.int64)]
+    for k in range(2, SIDE + 1):
+        orders = np.array(list(permutations(range(k))))
+        own = np.flatnonzero(good & (side == k))
+        for some in (own[lo : lo + AT_ONCE] for lo in range(0, len(own), AT_ONCE)):
+            inside = np.flatnonzero(np.isin(at, some))
+            g, x, y = np.searchsorted(some, at[inside]), place[0][inside], place[1][inside]
+            worth, bit, where = np.zeros((len(some), k, k)), np.zeros((len(some), k, k), np.int64), np.full((len(some), k, k), -1)
+            worth[g, x, y], bit[g, x, y], where[g, x, y] = value[rows[inside]], np.int64(1) << (x * k + y), rows[inside]
+            total, pairs = (sum(m[:, i, orders[:, i]] for i in range(k)) for m in (worth, bit))
+            best, n = total.argmax(axis=1), np.arange(len(some))
+            near = total >= total[n, best, None] * (1 - 1e-9)
+            clear = ~(near & (pairs != pairs[n, best, None])).any(axis=1)
+            solved[some[clear]] = True
+            got = where[n[:, None], np.arange(k), orders[best]][clear]
+            chosen.append(got[got >= 0])
+    return np.concatenate(chosen), hard[~solved]
+
+
 def hungarian(cost: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Rows and columns of a least-cost assignment of min(n, m) pairs (shortest augmenting paths)."""
     if cost.size == 0:

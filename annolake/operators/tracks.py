@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .cut import settled
 from .groups import best_pairs, map_groups
 from .masks import mask_pairs
 from .nms import track_nms
@@ -33,20 +34,21 @@ def mask_similarity(gt: DataFrame, dt: DataFrame, seq: list[str], frame: str = "
 
 
 def alignment(sim: DataFrame, gt: DataFrame, dt: DataFrame, seq: list[str], frame: str = "frame_idx") -> DataFrame:
-    """seq, gt_id, dt_id, align: the summed share of each pair in its frames' rows and columns, over the union of frames."""
+    """seq, gt_id, dt_id, align, g, d: the summed share of each pair in its frames' rows and columns, over the union of frames; g and d are the
+    frames of either track."""
     row, col = Window.partitionBy(*seq, frame, "gt_id"), Window.partitionBy(*seq, frame, "dt_id")
     share = sim.withColumn("__s", F.col("sim") / (F.sum("sim").over(row) + F.sum("sim").over(col) - F.col("sim")))
     sums = share.groupBy(*seq, "gt_id", "dt_id").agg(F.sum("__s").alias("m"))
     n = lambda df, a, b: df.groupBy(*seq, F.col("track_id").alias(a)).agg(F.count(F.lit(1)).alias(b))
     out = sums.join(n(gt, "gt_id", "g"), [*seq, "gt_id"]).join(n(dt, "dt_id", "d"), [*seq, "dt_id"])
-    return out.select(*seq, "gt_id", "dt_id", (F.col("m") / (F.col("g") + F.col("d") - F.col("m"))).alias("align"))
+    return out.select(*seq, "gt_id", "dt_id", (F.col("m") / (F.col("g") + F.col("d") - F.col("m"))).alias("align"), "g", "d")
 
 
 def frame_matches(sim: DataFrame, align: DataFrame, seq: list[str], frame: str = "frame_idx") -> DataFrame:
-    """seq, frame, gt_id, dt_id, sim of the assignment that maximises align * sim in each frame."""
+    """seq, frame, gt_id, dt_id, sim, g, d of the assignment that maximises align * sim in each frame."""
     rows = sim.join(align, [*seq, "gt_id", "dt_id"])
     fields = {f.name: f.dataType.simpleString() for f in rows.schema}
-    cols = [*seq, frame, "gt_id", "dt_id", "sim"]
+    cols = [*seq, frame, "gt_id", "dt_id", "sim", "g", "d"]
 
     def match(rows: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
         score = (rows["align"] * rows["sim"]).to_numpy()
@@ -76,11 +78,9 @@ def hota(gt: DataFrame, dt: DataFrame, seq: list[str], frame: str = "frame_idx",
 
     `measure` gives the similarity of pairs: of boxes, or mask_similarity.
     """
-    sim = measure(gt, dt, seq, frame)
+    sim = settled(measure(gt, dt, seq, frame))  # read twice
     matched = frame_matches(sim, alignment(sim, gt, dt, seq, frame), seq, frame)
-    n = lambda df, a, b: df.groupBy(*seq, F.col("track_id").alias(a)).agg(F.count(F.lit(1)).alias(b))
-    pairs = by_threshold(matched, [*seq, "gt_id", "dt_id"], ALPHAS, EPS, s=F.col("sim"))
-    pairs = pairs.join(n(gt, "gt_id", "g"), [*seq, "gt_id"]).join(n(dt, "dt_id", "d"), [*seq, "dt_id"])
+    pairs = by_threshold(matched, [*seq, "gt_id", "dt_id", "g", "d"], ALPHAS, EPS, s=F.col("sim"))
     ass = F.col("c") / F.greatest(F.lit(1), F.col("g") + F.col("d") - F.col("c"))
     c = F.col("c")
     by = pairs.groupBy(*seq, "alpha").agg(F.sum("c").alias("tp"), F.sum("s").alias("s"), F.sum(c * ass).alias("a"), F.sum(c * c / F.col("g")).alias("re"), F.sum(c * c / F.col("d")).alias("pr"))

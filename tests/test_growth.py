@@ -133,3 +133,47 @@ def test_annotators_share_one_assignment(spark, sf, monkeypatch):
     dets = spark.sql(f"select id image_id, 1 det_id, {box} from values (1L), (2L), (9L) t(id)")
     got = {(r.image_id, r.annotator): (r.n_gt, r.n_dt, sum(r.tps)) for r in summaries.annotator_counts(images, truths, dets, [0, 1]).collect()}
     assert got == {(1, 0): (0, 1, 0), (1, 1): (1, 1, 10), (2, 0): (0, 1, 0), (2, 1): (0, 1, 0), (3, 0): (1, 0, 0), (3, 1): (0, 0, 0)}
+
+
+def test_small_assignments_are_those_of_the_solver(monkeypatch):
+    import numpy as np
+
+    from annolake.operators import groups
+
+    rng = np.random.default_rng(3)
+    key = np.unique(np.column_stack([np.repeat(np.arange(600), 14), rng.integers(0, 6, 8400), rng.integers(0, 5, 8400)])[rng.random(8400) < 0.5], axis=0)
+    group, a, b = key.T
+    starts = np.searchsorted(group, np.append(np.unique(group), 600))
+    for value in (rng.random(len(group)), rng.integers(0, 3, len(group)) / 2):
+        got = groups.best_pairs(a, b, value, starts)
+        with monkeypatch.context() as m:
+            m.setattr(groups, "SIDE", 1)
+            want = groups.best_pairs(a, b, value, starts)
+        assert got.tolist() == want.tolist()
+    ran = []
+    solve = groups.hungarian
+    monkeypatch.setattr(groups, "hungarian", lambda cost: ran.append(cost.shape) or solve(cost))
+    groups.best_pairs(a, b, rng.random(len(a)), starts)
+    assert ran and min(map(max, ran)) > groups.SIDE
+
+
+@pytest.mark.parametrize("name", ["mask_hota"])
+def test_masks_of_tracks_are_drawn_once(spark, sf, monkeypatch, name):
+    from annolake.plans import evaluations
+    from annolake.plans.queries import QUERIES
+
+    drawn = spark.sparkContext.accumulator(0)
+    filled = evaluations.masks.filled
+
+    def counted(df):
+        def each(batches):
+            for b in batches:
+                drawn.add(b.num_rows)
+                yield b
+
+        out = filled(df)
+        return out.mapInArrow(each, out.schema)
+
+    monkeypatch.setattr(evaluations.masks, "filled", counted)
+    QUERIES[name](spark, sf).collect()
+    assert drawn.value == fx.tracks_gt(spark, sf).count() + fx.tracks_pred(spark, sf).count()
