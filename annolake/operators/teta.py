@@ -19,48 +19,44 @@ ALPHAS = list(range(0, 100, 5))
 NEAR = 0.5
 
 
-def shape_of(df: DataFrame) -> list[str]:
-    """The columns that hold a row's box or mask."""
-    return [c for c in ("x", "y", "w", "h", "runs", "height", "mx", "my", "mw", "mh") if c in df.columns]
-
-
-def preprocessed(gt: DataFrame, dt: DataFrame, video: str = "video_id", measure: Callable[..., DataFrame] = similarity) -> tuple[DataFrame, DataFrame]:
-    """(overlapping: video, cls, frame_idx, track_id; kept: dt's rows as video, cls, frame_idx, track_id, own_class, and their shape).
+def preprocessed(gt: DataFrame, dt: DataFrame, video: str = "video_id", measure: Callable[..., DataFrame] = similarity) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(overlapping: video, cls, frame_idx, track_id; kept: dt's rows as video, cls, frame_idx, track_id, own_class; sim: video, cls, frame_idx, gt_id, dt_id, sim).
 
     `overlapping` holds, per class and frame, the ids on one of its truths that belong to no other class's truth there; `kept` all
-    rows of ids that overlap so in any frame. gt, dt: video, frame_idx, track_id, category_id, and what `measure` needs.
+    rows of ids that overlap so in any frame; `sim` the overlaps of a class's truths with them. gt, dt: video, frame_idx, track_id (once in a frame),
+    category_id, and what `measure` needs. It is called once: classes are told by ids.
     """
-    sim = settled(measure(gt, dt, [video]))
-    near = sim.where(F.col("sim") >= NEAR)
-    ids = near.select(video, "dt_id").distinct()
-    on = sim.join(ids, [video, "dt_id"], "left_semi")
-    there = dt.join(ids.withColumnRenamed("dt_id", "track_id"), [video, "track_id"], "left_semi")
-    assigned = frame_matches(on, alignment(on, gt, there, [video]), [video]).where(F.col("sim") >= NEAR - EPS)
-    label = gt.select(video, "frame_idx", F.col("track_id").alias("gt_id"), F.col("category_id").alias("cls"))
-    by_class = near.join(label, [video, "frame_idx", "gt_id"]).select(video, "cls", "frame_idx", F.col("dt_id").alias("track_id")).distinct()
+    all_ = settled(measure(gt, dt, [video]))
+    ids = all_.where(F.col("sim") >= NEAR).select(video, "dt_id").distinct()
+    on = all_.join(ids, [video, "dt_id"], "left_semi")
+    assigned = frame_matches(on, alignment(on, gt, dt, [video]), [video]).where(F.col("sim") >= NEAR - EPS)
+    label = gt.select(video, "frame_idx", F.col("track_id").alias("gt_id"), F.col("category_id").alias("cls")).distinct()
+    # only ids that overlap a truth somewhere can be kept
+    labelled = settled(on.join(label, [video, "frame_idx", "gt_id"]))
+    by_class = labelled.where(F.col("sim") >= NEAR).select(video, "cls", "frame_idx", F.col("dt_id").alias("track_id")).distinct()
     taken = assigned.join(label, [video, "frame_idx", "gt_id"]).select(video, "frame_idx", F.col("dt_id").alias("track_id"), F.col("cls").alias("of"))
     others = by_class.join(taken, [video, "frame_idx", "track_id"]).where("of <> cls").select(video, "cls", "frame_idx", "track_id")
     overlapping = settled(by_class.join(others, [video, "cls", "frame_idx", "track_id"], "left_anti"))
-    kept = dt.join(overlapping.select(video, "cls", "track_id").distinct(), [video, "track_id"])
-    return overlapping, kept.select(video, "cls", "frame_idx", "track_id", F.col("category_id").alias("own_class"), *shape_of(dt))
+    stay = overlapping.select(video, "cls", "track_id").distinct()
+    kept = dt.join(stay, [video, "track_id"]).select(video, "cls", "frame_idx", "track_id", F.col("category_id").alias("own_class"))
+    sim = labelled.join(stay.withColumnRenamed("track_id", "dt_id"), [video, "cls", "dt_id"], "left_semi")
+    return overlapping, kept, sim.select(video, "cls", "frame_idx", "gt_id", "dt_id", "sim")
 
 
-def teta_sums(gt: DataFrame, dt: DataFrame, video: str = "video_id", measure: Callable[..., DataFrame] = similarity, exhaustive: bool = True) -> DataFrame:
-    """video, cls, alpha (percent) and what adds up over videos: n_gt, c (matches), same (of the right class), a, re, pr (association, by match), near, used,
-    wrong and stray. At alpha 0 any overlap counts. `measure`: similarity of boxes, or tracks.mask_similarity. Unless truths
+def teta_parts(gt: DataFrame, dt: DataFrame, video: str = "video_id", measure: Callable[..., DataFrame] = similarity, exhaustive: bool = True) -> DataFrame:
+    """Rows of video, cls, alpha (percent) and what adds up over rows and videos, null where a row does not tell: n_gt, c (matches), same (of the right class), a, re,
+    pr (association, by match), near, used, wrong and stray. At alpha 0 any overlap counts. `measure`: similarity of boxes, or tracks.mask_similarity. Unless truths
     are `exhaustive`, predictions that lie on no truth are no classification errors."""
-    overlapping, kept = preprocessed(gt, dt, video, measure)
+    overlapping, kept, found = preprocessed(gt, dt, video, measure)
     keys = [video, "cls"]
-    own = gt.select(video, F.col("category_id").alias("cls"), "frame_idx", "track_id", *shape_of(gt))
-    sim = settled(measure(own, kept, keys))
+    own = gt.select(video, F.col("category_id").alias("cls"), "frame_idx", "track_id")
+    sim = settled(found)
     matched = settled(
         frame_matches(sim, alignment(sim, own, kept, keys), keys).join(kept.select(*keys, "frame_idx", F.col("track_id").alias("dt_id"), "own_class"), [*keys, "frame_idx", "dt_id"])
     )
     grid = F.explode(F.array(*(F.lit(a) for a in ALPHAS)))
     at = lambda df, pair, **sums: by_threshold(df, pair, ALPHAS, EPS, F.col("sim") > 0, **sums)
-    n = lambda df, name, alias: df.groupBy(*keys, F.col("track_id").alias(name)).agg(F.count(F.lit(1)).alias(alias))
-    pairs = at(matched, [*keys, "gt_id", "dt_id"], same=(F.col("own_class") == F.col("cls")).cast("long"))
-    pairs = pairs.join(n(own, "gt_id", "g"), [*keys, "gt_id"]).join(n(kept, "dt_id", "d"), [*keys, "dt_id"])
+    pairs = at(matched, [*keys, "gt_id", "dt_id", "g", "d"], same=(F.col("own_class") == F.col("cls")).cast("long"))
     c, g, d = F.col("c"), F.col("g"), F.col("d")
     by = pairs.groupBy(*keys, "alpha").agg(F.sum("c").alias("c"), F.sum("same").alias("same"), F.sum(c * c / F.greatest(F.lit(1), g + d - c)).alias("a"), F.sum(c * c / g).alias("re"), F.sum(c * c / d).alias("pr"))
     # of the ids on truths in a frame that has any, those that are not matched there
@@ -72,16 +68,22 @@ def teta_sums(gt: DataFrame, dt: DataFrame, video: str = "video_id", measure: Ca
     all_ = parts[0]
     for p in parts[1:]:
         all_ = all_.unionByName(p, allowMissingColumns=True)
-    names = ["n_gt", "c", "same", "a", "re", "pr", "near", "used", "wrong", "stray"]
-    return all_.groupBy(*keys, "alpha").agg(*(F.coalesce(F.sum(x), F.lit(0)).alias(x) for x in names))
+    return all_
+
+
+NAMES = ["n_gt", "c", "same", "a", "re", "pr", "near", "used", "wrong", "stray"]
+
+
+def teta_sums(gt: DataFrame, dt: DataFrame, video: str = "video_id", measure: Callable[..., DataFrame] = similarity, exhaustive: bool = True) -> DataFrame:
+    """teta_parts added up, a row for each video, cls and alpha."""
+    return teta_parts(gt, dt, video, measure, exhaustive).groupBy(video, "cls", "alpha").agg(*(F.coalesce(F.sum(x), F.lit(0)).alias(x) for x in NAMES))
 
 
 def combine_teta(sums: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """keys, alpha (percent), loc_tp, loc_fn, loc_fp, loc_a, assoc_a, assoc_re, assoc_pr, cls_a (over the thresholds from 50 on) and teta from sums of
     videos or classes, for keys that have truths. Without `keys` everything is one."""
     keys = ["cls"] if keys is None else keys
-    names = ["n_gt", "c", "same", "a", "re", "pr", "near", "used", "wrong", "stray"]
-    out = sums.groupBy(*keys, "alpha").agg(*(F.sum(x).alias(x) for x in names)).where("n_gt > 0")
+    out = sums.groupBy(*keys, "alpha").agg(*(F.coalesce(F.sum(x), F.lit(0)).alias(x) for x in NAMES)).where("n_gt > 0")
     tp, fp, ctp = F.col("c"), F.col("near") - F.col("used"), F.col("same")
     one = lambda x: F.greatest(F.lit(1), x)
     out = out.withColumns({"loc_fn": F.col("n_gt") - tp, "loc_fp": fp, "loc_a": tp / one(F.col("n_gt") + fp)})
@@ -94,8 +96,8 @@ def combine_teta(sums: DataFrame, keys: list[str] | None = None) -> DataFrame:
 
 
 def teta(gt: DataFrame, dt: DataFrame, video: str = "video_id", measure: Callable[..., DataFrame] = similarity, exhaustive: bool = True) -> DataFrame:
-    """combine_teta of teta_sums: the scores of every class of truths over all videos."""
-    return combine_teta(teta_sums(gt, dt, video, measure, exhaustive))
+    """combine_teta of teta_parts: the scores of every class of truths over all videos. Sums of each video are not made on the way."""
+    return combine_teta(teta_parts(gt, dt, video, measure, exhaustive))
 
 
 def class_average(per_class: DataFrame) -> DataFrame:

@@ -449,9 +449,9 @@ def mask_hota(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def mask_teta(spark: SparkSession, d: str) -> DataFrame:
     """Every fifth predicted track is of the next class; truths are not exhaustive."""
-    gt, dt = track_masks(spark, d)
+    gt, dt = fx.tracks_gt(spark, d), fx.tracks_pred(spark, d)
     other = F.when(F.col("track_id") % 5 == 0, F.col("category_id") % 5 + 1).otherwise(F.col("category_id")).cast("int")
-    out = teta.teta(gt, dt.withColumn("category_id", other), measure=tracks.mask_similarity, exhaustive=False)
+    out = teta.teta(gt, dt.withColumn("category_id", other), measure=drawn_similarity, exhaustive=False)
     return rounded(out, "loc_a", "assoc_a", "assoc_re", "assoc_pr", "cls_a", "teta")
 
 

@@ -157,7 +157,7 @@ def test_small_assignments_are_those_of_the_solver(monkeypatch):
     assert ran and min(map(max, ran)) > groups.SIDE
 
 
-@pytest.mark.parametrize("name", ["mask_hota"])
+@pytest.mark.parametrize("name", ["mask_hota", "mask_teta"])
 def test_masks_of_tracks_are_drawn_once(spark, sf, monkeypatch, name):
     from annolake.plans import evaluations
     from annolake.plans.queries import QUERIES
@@ -177,3 +177,15 @@ def test_masks_of_tracks_are_drawn_once(spark, sf, monkeypatch, name):
     monkeypatch.setattr(evaluations.masks, "filled", counted)
     QUERIES[name](spark, sf).collect()
     assert drawn.value == fx.tracks_gt(spark, sf).count() + fx.tracks_pred(spark, sf).count()
+
+
+def test_overlaps_of_tracks_are_measured_once(spark, sf):
+    from annolake.operators import teta, tracks
+
+    calls = []
+    measure = lambda *a, **k: calls.append(1) or tracks.similarity(*a, **k)
+    gt, dt = fx.tracks_gt(spark, sf), fx.tracks_pred(spark, sf)
+    got = teta.teta(gt, dt, measure=measure)
+    assert len(calls) == 1
+    key = lambda df: [tuple(round(v, 9) for v in r) for r in df.orderBy("cls", "alpha").collect()]
+    assert key(got) == key(teta.combine_teta(teta.teta_sums(gt, dt))) != []
