@@ -189,3 +189,14 @@ def test_overlaps_of_tracks_are_measured_once(spark, sf):
     assert len(calls) == 1
     key = lambda df: [tuple(round(v, 9) for v in r) for r in df.orderBy("cls", "alpha").collect()]
     assert key(got) == key(teta.combine_teta(teta.teta_sums(gt, dt))) != []
+
+
+def test_joined_partitions_are_bounded(spark, sf):
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    try:
+        for given, want in (("64MB", str(cut.JOINED)), ("8m", "8m"), ("67108864b", str(cut.JOINED)), ("1g", str(cut.JOINED)), ("1000", "1000")):
+            spark.conf.set(size, given)
+            fx.frames(spark, sf)
+            assert spark.conf.get(size) == want
+    finally:
+        spark.conf.unset(size)
