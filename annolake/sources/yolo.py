@@ -50,10 +50,15 @@ def parse_lines(texts: DataFrame, strict: bool = False) -> tuple[DataFrame, Data
     return frames, boxes.withColumn("class_id", F.col("class_id").cast("int"))
 
 
+def label_texts(spark: SparkSession, path: str) -> DataFrame:
+    """frame, text of a folder of label files."""
+    files.register(spark)
+    return spark.read.format("label_files").option("path", path).load()
+
+
 def read_yolo(spark: SparkSession, path: str, strict: bool = False) -> tuple[DataFrame, DataFrame]:
     """(frames, boxes) of a folder of label files (.txt); the file's stem is the frame, and an empty file is a frame without boxes."""
-    files.register(spark)
-    return parse_lines(spark.read.format("label_files").option("path", path).load(), strict)
+    return parse_lines(label_texts(spark, path), strict)
 
 
 def write_yolo(texts: DataFrame, path: str) -> None:
@@ -64,6 +69,29 @@ def write_yolo(texts: DataFrame, path: str) -> None:
     rows.write.format("label_files").option("path", path).mode("overwrite").save()
 
 
+#: About how many label files stand at once in through_files.
+STANDING = 500_000
+
+
+def through_files(texts: DataFrame, path: str, frames: int) -> DataFrame:
+    """frame, text of every row of yolo_lines, each written to its label file and read again; `frames` says about how many there are.
+
+    A file takes a block of the disk however short it is. So frames go in rounds by hash: a round's files are written and read as ever, and removed when
+    what was read is in a table below `path`. Each frame has its file; those of one round stand at once.
+    """
+    spark, frame = texts.sparkSession, next(c for c in texts.columns if c != "text")
+    rounds, share, key = max(1, -(-frames // STANDING)), int(spark.conf.get("spark.sql.shuffle.partitions")), F.xxhash64(frame)
+    dealt = texts.select(F.col(frame).cast("string").alias("frame"), "text", F.pmod(key, F.lit(rounds)).cast("int").alias("round"), F.pmod(F.shiftright(key, 32), F.lit(share)).alias("share"))
+    dealt.repartition(rounds * share, "round", "share").drop("share").write.partitionBy("round").parquet(f"{path}/texts")
+    rows = spark.read.schema("frame string, text string, round int").parquet(f"{path}/texts")
+    for k in range(rounds):
+        own = f"{path}/files/{k}"
+        write_yolo(rows.where(F.col("round") == k).drop("round"), own)
+        label_texts(spark, own).write.parquet(f"{path}/read/{k}")
+        files.remove(spark.read.parquet(f"{path}/read/{k}").select("frame"), own)
+    return spark.read.schema("frame string, text string").parquet(*(f"{path}/read/{k}" for k in range(rounds)))
+
+
 def class_map(spark: SparkSession, text: str) -> DataFrame:
     """name, class_id from "name:id,name:id"."""
     pairs = spark.range(1).select(F.explode(F.expr(f"str_to_map({_quoted(text)}, ',', ':')")).alias("name", "id"))

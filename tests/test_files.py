@@ -25,6 +25,35 @@ def test_label_files_written_and_read_again(spark, sf, tmp_path):
     assert len(list((tmp_path / "labels").glob("*.txt"))) == 2
 
 
+def test_label_files_of_one_round_stand_at_once(spark, tmp_path, monkeypatch):
+    names = [f"f{k}" for k in range(90)] + ["a:b", "é"]
+    rows = [(n, "" if k % 3 == 0 else f"{k} 0.1 0.2 0.3 0.4\n1 0.5 0.5 0.5 0.5") for k, n in enumerate(names)]
+    texts, stood, written = spark.createDataFrame(rows, "frame string, text string"), [], yolo.write_yolo
+
+    def write(some, path):
+        written(some, path)
+        stood.append(len(list(tmp_path.rglob("*.txt"))))
+
+    monkeypatch.setattr(yolo, "write_yolo", write)
+    monkeypatch.setattr(yolo, "STANDING", 20)
+    got = yolo.through_files(texts, str(tmp_path / "labels"), len(rows))
+    assert sorted(map(tuple, got.collect())) == sorted(rows)
+    assert sum(stood) == len(rows) and len(stood) == 5 and max(stood) < 40 and not list(tmp_path.rglob("*.txt"))
+    assert yolo.through_files(texts.limit(0), str(tmp_path / "none"), 0).count() == 0
+
+
+def test_label_queries_leave_no_files(spark, sf, monkeypatch):
+    from annolake.plans import preparation
+    from annolake.plans.queries import QUERIES
+
+    folders, folder = [], preparation._folder
+    monkeypatch.setattr(preparation, "_folder", lambda *a: folders.append(folder(*a)) or folders[-1])
+    monkeypatch.setattr(yolo, "STANDING", 400)
+    assert QUERIES["label_file_states"](spark, sf).count() == fx.images(spark, sf).count()
+    assert QUERIES["label_file_boxes"](spark, sf).count() == fx.gt_boxes(spark, sf).count()
+    assert len(folders) == 2 and not [f for x in folders for f in files.listed(x, ".txt")]
+
+
 def test_partitions_are_planned(tmp_path, monkeypatch):
     for k in range(10):
         (tmp_path / f"{k}.txt").write_text("x" * 10 * k)
