@@ -7,8 +7,8 @@
    is a passage, which goes to its own key's shard. A shard gives each chunk the passages of the anchors (or keys) that the chunk
    has. Their phrases of `GRAM` words (the anchor; of a single window its first words) are compiled into Aho-Corasick automata, one for
    about `SHARD` words.
-3. Stream. Every document of the chunk runs through every automaton that it was given. Around a hit the passage and the document are compared word by
-   word; SIZE or more equal words in a row are windows of the passage, so all of them go. Positions come from hits alone: without the
+3. Stream. Every document of the chunk runs through every automaton that it was given, all on one line of words. Around a hit the passage and the document
+   are compared by their bytes; SIZE or more equal words in a row are windows of the passage, so all of them go. Positions come from hits alone: without the
    dictionary nothing is found.
 
 A passage that a third of the documents share is sent to the dictionary once, and comes back once a chunk. Passages at one anchor are at most `HOT`.
@@ -20,6 +20,7 @@ read. Windows are judged on the input, and a repeat within one text counts.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import zlib
 from collections.abc import Iterator
@@ -37,27 +38,27 @@ GRAM = 12
 SHARD = 1_000_000
 HOT = 8_192
 ANCHORS, WINDOWS, NEEDS, PASSAGES = 0, 1, 2, 3
-_STEPS = (np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F))
+_STEPS = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 
 
 class Windows:
     """The word windows of a chunk: their hashes, and the anchors that they stand at."""
 
     def __init__(self, chunk: an.Chunk):
-        starts, ends, self.first_word = words.word_spans(chunk.data, chunk.offsets)
-        self.hashes = words.word_hashes(chunk.data, starts, ends)
+        self.line = words.Line(chunk.raw)
         none = np.zeros(0, np.int64)
         self.anchor, self.at, self.first, self.last, self.row = none.astype(np.uint64), none, none, none, none
-        if len(starts) < SIZE:
+        hashes, first = self.line.hashes, self.line.first
+        if len(hashes) < SIZE:
             return
-        h = words.gram_hashes(self.hashes, GRAM)
-        ok = np.zeros(len(starts) - SIZE + 2, np.int32)
-        long = np.diff(self.first_word) >= SIZE
-        np.add.at(ok, self.first_word[:-1][long], 1)
-        np.add.at(ok, self.first_word[1:][long] - SIZE + 1, -1)
+        h = words.gram_hashes(hashes, GRAM)
+        ok = np.zeros(len(hashes) - SIZE + 2, np.int32)
+        long = np.diff(first) >= SIZE
+        np.add.at(ok, first[:-1][long], 1)
+        np.add.at(ok, first[1:][long] - SIZE + 1, -1)
         self.at, self.first, self.last = an.anchor_runs(h, np.cumsum(ok[:-1]) > 0, SIZE - GRAM + 1)
         self.anchor = h[self.at]
-        self.row = np.searchsorted(self.first_word, self.at, side="right") - 1
+        self.row = np.searchsorted(first, self.at, side="right") - 1
 
     def anchors(self, chunk: an.Chunk) -> an.Keys:
         """Distinct anchors; in a row that stands for several equal ones, each occurs as often."""
@@ -67,46 +68,43 @@ class Windows:
         """Starts of the windows of the chosen runs, and their keys: two hashes of all words of a window."""
         first, size = self.first[run], (self.last - self.first + 1)[run]
         start = np.repeat(first - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
-        columns = []
-        for k, step in enumerate(_STEPS):
-            own = words.mix64(self.hashes ^ np.uint64(k + 1))
-            whole = np.zeros(max(0, len(own) - SIZE + 1), np.uint64)
-            factor = np.uint64(1)
-            span, at = 1, 0  # words [at, SIZE) of every window are still to be added; own covers `span` words
-            while at < SIZE:
-                if (SIZE >> (span.bit_length() - 1)) & 1:
-                    whole += own[at : at + len(whole)] * factor
-                    factor = np.uint64(int(factor) * pow(int(step), span, 2**64) % 2**64)
-                    at += span
-                own = own[:-span] + own[span:] * np.uint64(pow(int(step), span, 2**64)) if at < SIZE else own
-                span *= 2
-            columns.append(words.mix64(whole)[start])
+        columns = [words.window_hashes(self.line.hashes, SIZE, k + 1, step, start) for k, step in enumerate(_STEPS)]
         return start, an.Keys(columns, np.repeat(chunk.copies[self.row[run]], size))
 
 
 class Automaton:
     """Aho-Corasick over passages of words; a word is a pair of characters, of two alphabets, and words of no passage are one more pair. So a
-    node has few branches, also the first, where thousands of words begin passages."""
+    node has few branches, also the first, where thousands of words begin passages. Words are told by their 64-bit hashes: no occurrence is
+    missed, and whoever takes one compares the words."""
 
     def __init__(self, passages: list[list[bytes]]):
-        self.code: dict[bytes, str] = {}
+        texts = [b" ".join(own) for own in passages]
+        line = words.Line(texts)
+        #: the hashes of the passages' words, in order; the number of a word is the place of its hash
+        self.known, number = np.unique(line.hashes, return_inverse=True)
+        k = np.arange(len(self.known))
+        #: two characters (UTF-16) for each number, and for all words without one
+        self.pairs = np.append(0x400 + k // 512 | 0x200 + k % 512 << 16, 0x10001).astype("<u4")
+        text = self.pairs[number.reshape(-1)].tobytes().decode("utf-16-le")
+        same: dict[str, list[tuple[int, bytes]]] = {}
+        for own, x, y in zip(texts, line.first.tolist(), line.first[1:].tolist(), strict=False):
+            same.setdefault(text[2 * x : 2 * y], []).append((y - x, own))
         self.machine = ahocorasick.Automaton(ahocorasick.STORE_ANY)
-        for own in passages:
-            self.machine.add_word("".join([self._pair(w) for w in own]), (len(own), b" ".join(own)))
+        for key, owns in same.items():
+            self.machine.add_word(key, owns)
         self.machine.make_automaton()
 
-    def _pair(self, word: bytes) -> str:
-        k = len(self.code)
-        return self.code.setdefault(word, chr(0x400 + k // 512) + chr(0x200 + k % 512))
-
-    def places(self, own: list[bytes]) -> Iterator[tuple[int, bytes]]:
-        """Where a passage begins in a document, and the passage, for every occurrence in the order of their ends."""
-        text = "".join([self.code.get(w, "\1\1") for w in own])
-        return (((end + 1) // 2 - n, passage) for end, (n, passage) in self.machine.iter(text))
+    def places(self, hashes: np.ndarray) -> Iterator[tuple[int, bytes]]:
+        """Where a passage begins in a row of words, given by their hashes, and the passage, for every occurrence in the order of their ends."""
+        text = self.pairs[words.places_of(hashes, self.known)].tobytes().decode("utf-16-le")
+        for end, same in self.machine.iter(text):
+            for n, passage in same:
+                yield (end + 1) // 2 - n, passage
 
     def hits(self, own: list[bytes]) -> list[tuple[int, int]]:
         """(from, to) of every occurrence of a passage in a document."""
-        return [(at, at + passage.count(b" ") + 1) for at, passage in self.places(own)]
+        found = ((at, at + passage.count(b" ") + 1, passage) for at, passage in self.places(words.Line([b" ".join(own)]).hashes))
+        return [(x, y) for x, y, passage in found if b" ".join(own[x:y]) == passage]
 
 
 def compiled(passages: list[list[bytes]]) -> Iterator[Automaton]:
@@ -142,13 +140,9 @@ def _sent(chunk: an.Chunk, windows: Windows, answers: pa.Table, buckets: int) ->
     first = np.flatnonzero(np.concatenate([[True], (starts[1:] != starts[:-1] + 1) | (key[1:] != key[:-1]) | (at[1:] != at[:-1])]))
     last = an.stops(first, len(starts)) - 1
     offset = np.where(hot[at[first]], 0, windows.at[at[first]] - starts[first])
-    split: dict[int, list[bytes]] = {}
     texts: dict[int, set[bytes]] = {}
-    for r, k, a, z, off in zip(windows.row[at[first]].tolist(), key[first].tolist(), starts[first].tolist(), starts[last].tolist(), offset.tolist(), strict=True):
-        if r not in split:
-            split = {r: chunk.raw[r].split()}  # rows come in order: one is held at a time
-        base = int(windows.first_word[r])
-        texts.setdefault(k, set()).add(b"%d %s" % (off, b" ".join(split[r][a - base : z - base + SIZE])))
+    for k, a, z, off in zip(key[first].tolist(), starts[first].tolist(), starts[last].tolist(), offset.tolist(), strict=True):
+        texts.setdefault(k, set()).add(b"%d %s" % (off, windows.line.words(a, z + SIZE)))
     own = np.array(sorted(texts), np.uint64)
     for b, where in an.dealt(an.bucket_of(own, buckets)):
         some = [(int(k), t) for k in own[where] for t in sorted(texts[int(k)])]
@@ -180,54 +174,82 @@ def _given(rows: pa.Table) -> pa.Table:
     return pa.table({"chunk": pa.array(chunks, pa.int32()), "payload": pa.array(out, pa.binary())})
 
 
-def covered(own: list[bytes], at: int, passage: list[bytes], phrase: int) -> tuple[int, int] | None:
-    """(from, to) of the words around a hit that are equal in a document and a passage, if they are SIZE or more. The phrase begins at word `at`
-    of the document and at word `phrase` of the passage."""
-    lo = at - phrase
-    if lo >= 0 and own[lo : lo + len(passage)] == passage:
-        return lo, lo + len(passage)
-    left = right = 0
-    while left < min(phrase, at) and own[at - left - 1] == passage[phrase - left - 1]:
-        left += 1
-    x, y = at + GRAM, phrase + GRAM
-    while right < min(len(own) - x, len(passage) - y) and own[x + right] == passage[y + right]:
-        right += 1
-    return (at - left, x + right) if left + GRAM + right >= SIZE else None
-
-
-def _located(chunk: an.Chunk, passages: list[bytes]) -> pa.Table:
-    """Results for the distinct rows of a chunk, by the hits of the passages' phrases in them."""
-    split = [raw.split() for raw in chunk.raw]
-    found: list[list[tuple[int, int]]] = [[] for _ in split]
-    by: dict[bytes, list[tuple[int, list[bytes]]]] = {}
-    for text in passages:
-        off, *own = text.split(b" ")
-        by.setdefault(b" ".join(own[int(off) : int(off) + GRAM]), []).append((int(off), own))
+class Passage:
+    """A passage of the dictionary, with a space after each word: `size` words, of which `before` stand before its phrase."""
+
+    __slots__ = ("before", "core", "from_core", "line", "size", "start", "text", "to_core")
+
+    def __init__(self, line: words.Line, start: int, size: int, before: int):
+        self.line, self.start, self.size, self.before = line, start, size, before
+        # every window of a passage holds its words [size - SIZE, SIZE), and the phrase lies in them
+        self.from_core, self.to_core = size - SIZE, SIZE
+        self.text, self.core = line.spaced(start, start + size), line.spaced(start + size - SIZE, start + SIZE)
+
+    def part(self, own: words.Line, row: tuple[int, int], lo: int) -> tuple[int, int] | None:
+        """(from, to) of the words that a document and the passage share around its phrase, if they are SIZE or more. The document's words are those of
+        `row` on the line `own`; the passage would begin at word lo of that line."""
+        x, y = lo + self.from_core, lo + self.to_core
+        if x < row[0] or y > row[1] or not own.holds(self.core, x):
+            return None
+        move = self.start - lo
+        left, more = 0, min(self.from_core, x - row[0])  # the most words that are equal to the left, and to the right, by halving
+        while left < more:
+            k = (left + more + 1) // 2
+            left, more = (k, more) if own.holds(self.line.spaced(x - k + move, x + move), x - k) else (left, k - 1)
+        right, more = 0, min(self.size - SIZE, row[1] - y)
+        while right < more:
+            k = (right + more + 1) // 2
+            right, more = (k, more) if own.holds(self.line.spaced(y + move, y + k + move), y) else (right, k - 1)
+        return (x - left, y + right) if left + y - x + right >= SIZE else None
+
+
+def _by_phrase(given: list[bytes]) -> dict[bytes, tuple[int, int, list[Passage]]]:
+    """Passages, each after the place of its phrase: for each phrase its passages, long ones first, and the most words before it and from it on."""
+    line = words.Line(given)
+    first, by = line.first.tolist(), {}
+    for text, x, y in zip(given, first, first[1:], strict=False):
+        before = int(text[: text.index(b" ")])
+        by.setdefault(line.words(x + 1 + before, x + 1 + before + GRAM), []).append(Passage(line, x + 1, y - x - 1, before))
+    return {phrase: (max(p.before for p in own), max(p.size - p.before for p in own), sorted(own, key=lambda p: -p.size)) for phrase, own in by.items()}
+
+
+def _located(chunk: an.Chunk, given: list[bytes]) -> pa.Table:
+    """Results for the distinct rows of a chunk, by the hits of the passages' phrases in them. All rows run through an automaton on one line; a hit
+    that crosses rows is none."""
+    line, by = words.Line(chunk.raw), _by_phrase(given)
+    first = line.first.tolist()
+    found: list[list[tuple[int, int]]] = [[] for _ in chunk.raw]
     for automaton in compiled([phrase.split(b" ") for phrase in by]):
-        for own, spans in zip(split, found, strict=True):
-            if len(own) < SIZE:
+        z = 0
+        for x, phrase in automaton.places(line.hashes):
+            if x >= z:  # the next row with hits
+                r = bisect.bisect_right(first, x) - 1
+                spans, a, z = found[r], first[r], first[r + 1]
+                lo = hi = a  # the span that grows as hits come
+            before, after, passages = by[phrase]
+            if x + GRAM > z or (lo <= x - before and x + after <= hi):
                 continue
-            lo = hi = 0  # the span that grows as hits come
-            for x, phrase in automaton.places(own):
-                for off, passage in by[phrase]:
-                    if lo <= x - off and x - off + len(passage) <= hi:
+            for p in passages:
+                start = x - p.before
+                stop = start + p.size
+                if lo <= start and stop <= hi:
+                    continue
+                if start < a or stop > z or not line.holds(p.text, start):
+                    if not (part := p.part(line, (a, z), start)):
                         continue
-                    if c := covered(own, x, passage, off):
-                        if lo <= c[0] <= hi:
-                            hi = max(hi, c[1])
-                        else:
-                            spans.append((lo, hi))
-                            lo, hi = c
-            spans.append((lo, hi))
+                    start, stop = part
+                if lo <= start <= hi:
+                    hi = max(hi, stop)
+                else:
+                    lo, hi = start, stop
+                spans.append((lo, hi))
     out = []
-    for own, hits in zip(split, found, strict=True):
-        spans = an.union([h for h in hits if h[1] > h[0]])
-        kept, at = [], 0
-        for x, y in spans:
-            kept += own[at:x]
-            at = y
-        kept += own[at:]
-        out.append((len(own), len(own) - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest(), [{"start": x, "stop": y} for x, y in spans]))
+    for a, z, hits in zip(first, first[1:], found, strict=False):
+        spans = an.union(hits)
+        edges = [a, *(k for span in spans for k in span), z]
+        kept = b"".join([line.spaced(x, y) for x, y in zip(edges[::2], edges[1::2], strict=True)])
+        n = sum(y - x for x, y in spans)
+        out.append((z - a, n, hashlib.sha256(kept[:-1]).hexdigest(), [{"start": x - a, "stop": y - a} for x, y in spans]))
     cols = list(zip(*out, strict=True)) if out else [[]] * 4
     return pa.table([pa.array(c, f.type) for c, f in zip(cols, list(_OUT)[1:], strict=True)], _OUT.names[1:])
 

@@ -154,6 +154,125 @@ def test_automata_shards_find_what_one_finds(monkeypatch):
     assert sorted(h for a in phrases.compiled(passages) for h in a.hits(text)) == whole[0]
 
 
+def passages_of(texts, most=58):
+    """A passage for each place that is divisible by 20, its phrase where every window of it has it."""
+    out = set()
+    for text in texts:
+        w = text.split()
+        for at in range(0, len(w) - 34, 20):
+            n = min(len(w) - at, 35 + at % (most - 34))
+            out.add(b"%d %s" % ((n - 35 + 23) // 2, b" ".join(w[at : at + n])))
+    return sorted(out)
+
+
+def chunk_of(texts):
+    n = list(range(len(texts)))
+    return Chunk(pa.table({"__k0": [1] * len(n), "__k1": n, "__h": n, "__text": texts}))
+
+
+def some_texts(seed, words=40, rows=30):
+    """Texts that share parts of a line in which parts come again, with many kinds of white space, and some of a few words."""
+    import random
+
+    rng = random.Random(seed)
+    line = [b"w%d" % rng.randrange(words) for _ in range(150)] * 2
+    texts = [b"", b" ", b"w1 w2"]
+    for _ in range(rows):
+        own = []
+        for _ in range(3):
+            a = rng.randrange(200)
+            own += [b"x%d" % rng.randrange(5), *line[a : a + rng.randrange(10, 90)]]
+        texts.append(b"".join(rng.choice([b" ", b"\n", b" \t ", b"\x0b"]) + w for w in own) + rng.choice([b"", b"\r\n"]))
+    return texts
+
+
+def located_plainly(texts, passages):
+    """Words in a run of 35 or more that a text and a passage share where they have the phrase in common."""
+    out = []
+    for text in texts:
+        w, gone = text.split(), set()
+        for p in passages:
+            off, *q = p.split()
+            off = int(off)
+            for x in range(len(w) - 11):
+                if w[x : x + 12] == q[off : off + 12]:
+                    lo, hi = 0, 12
+                    while x + lo > 0 and off + lo > 0 and w[x + lo - 1] == q[off + lo - 1]:
+                        lo -= 1
+                    while x + hi < len(w) and off + hi < len(q) and w[x + hi] == q[off + hi]:
+                        hi += 1
+                    if hi - lo >= 35:
+                        gone |= set(range(x + lo, x + hi))
+        out.append((len(w), len(gone), hashlib.sha256(b" ".join(v for k, v in enumerate(w) if k not in gone)).hexdigest()))
+    return out
+
+
+def test_located_against_plain_comparison(monkeypatch):
+    """Also when an automaton holds a few phrases only, and when most words share a hash: hashes find places, words confirm them."""
+    from annolake.llm import words
+
+    def check():
+        for seed in range(4):
+            texts = some_texts(seed)
+            passages = passages_of(texts[::4])
+            got = phrases._located(chunk_of(texts), passages)
+            want = located_plainly(texts, passages)
+            assert list(zip(*(got.column(c).to_pylist() for c in ("n_words", "n_removed", "kept_sha256")), strict=True)) == want
+            assert sum(n for _, n, _ in want) > 500
+
+    check()
+    monkeypatch.setattr(phrases, "SHARD", 50)
+    check()
+    plain = words.word_hashes
+    monkeypatch.setattr(words, "word_hashes", lambda *a: plain(*a) & words.np.uint64(3 << 62))
+    check()
+
+
+def test_no_step_in_python_for_each_word():
+    """What is called while passages are located follows the hits, not the words: it was at least a call for each word."""
+    import sys
+
+    texts = [b" ".join(b"w%d" % (k * k % (997 + i)) for k in range(2000)) for i in range(40)]
+    shared = b" ".join(b"s%d" % k for k in range(50))
+    chunk, calls = chunk_of([*texts, texts[0] + b" " + shared]), 0
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event in ("call", "c_call")
+
+    sys.setprofile(count)
+    try:
+        got = phrases._located(chunk, [b"12 " + shared])
+    finally:
+        sys.setprofile(None)
+    assert got.column("n_removed").to_pylist() == [0] * 40 + [50]
+    assert calls < 82_000 / 10
+
+
+def test_hashes_of_words_and_windows():
+    """Sums over blocks give each word, and each window of words, its polynomial; a word may be longer than a block."""
+    import numpy as np
+
+    from annolake.llm import words
+
+    texts = [b" a  bb\tccc", b"x" * (words.BLOCK + 9) + b" y", b"", b" ".join(b"%d" % (k % 700) for k in range(20_000))]
+    line = words.Line(texts)
+    own = [w for t in texts for w in t.split()]
+    assert line.text == b"".join(w + b" " for w in own) and line.first.tolist() == [0, 3, 5, 5, 20_005]
+    base, top = int(words._BASE), 2**64
+    some = own[:60]
+    plain = [(sum(int(words._BYTE[b]) * pow(base, i, top) for i, b in enumerate(w)) + len(w)) % top for w in some if len(w) < 99]
+    assert [int(h) for w, h in zip(some, line.hashes, strict=False) if len(w) < 99] == words.mix64(np.array(plain, np.uint64)).tolist()
+    assert len(set(line.hashes.tolist())) == len(set(own))
+    start = np.array([0, 1, 8_190, 8_191, 8_192, 8_300, len(own) - 35])
+    mixed, step = words.mix64(line.hashes ^ np.uint64(1)), phrases._STEPS[0]
+    plain = [sum(int(mixed[s + j]) * pow(step, j, top) for j in range(35)) % top for s in start.tolist()]
+    assert words.window_hashes(line.hashes, 35, 1, step, start).tolist() == words.mix64(np.array(plain, np.uint64)).tolist()
+    known = np.unique(line.hashes[:300])
+    want = {h: k for k, h in enumerate(known.tolist())}
+    assert words.places_of(line.hashes, known).tolist() == [want.get(h, len(known)) for h in line.hashes.tolist()]
+
+
 def test_odd_rows(odd_docs, no_docs):
     short = odd_docs
     assert rows_of(suffix_dedup.removed_spans(short), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == removed_bytes(short)
