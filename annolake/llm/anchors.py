@@ -96,6 +96,16 @@ def runs_of(*ordered: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
+def grouped(columns: list[np.ndarray]) -> np.ndarray:
+    """An order by one or two columns; equal rows come in any order."""
+    order = np.argsort(columns[0])
+    if len(columns) > 1:  # rarely are rows equal in the first column alone
+        x, y = (c[order] for c in columns)
+        if ((x[1:] == x[:-1]) & (y[1:] != y[:-1])).any():
+            return np.lexsort(columns[::-1])
+    return order
+
+
 def stops(first: np.ndarray, n: int) -> np.ndarray:
     """Where the runs that begin at `first` end, in n rows."""
     return np.append(first[1:], n)[: len(first)]
@@ -145,7 +155,7 @@ class Keys:
     """Distinct keys of a chunk (one or two 64-bit columns), and how often it holds each."""
 
     def __init__(self, columns: list[np.ndarray], times: np.ndarray):
-        order = np.lexsort(columns[::-1])
+        order = grouped(columns)
         columns = [c[order] for c in columns]
         first = runs_of(*columns)
         self.columns = [c[first] for c in columns]
@@ -182,7 +192,7 @@ def answered(asked: DataFrame, hot: int = 1 << 60, own: bool = False) -> DataFra
     def answer(rows: pa.Table) -> pa.Table:
         got = [unpack(x.as_py(), "<u4", *["<u8"] * (struct.unpack_from("<q", x.as_py())[0] - 1)) for x in rows.column("payload")]
         times, *columns = (np.concatenate(x) for x in zip(*got, strict=True))
-        order = np.lexsort(columns[::-1])
+        order = grouped(columns)
         first = runs_of(*(c[order] for c in columns))
         total = np.empty(len(order), np.int64)
         total[order] = np.repeat(np.add.reduceat(times[order].astype(np.int64), first), stops(first, len(order)) - first)

@@ -23,7 +23,7 @@ from __future__ import annotations
 import bisect
 import hashlib
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import ahocorasick
 import numpy as np
@@ -77,9 +77,8 @@ class Automaton:
     node has few branches, also the first, where thousands of words begin passages. Words are told by their 64-bit hashes: no occurrence is
     missed, and whoever takes one compares the words."""
 
-    def __init__(self, passages: list[list[bytes]]):
-        texts = [b" ".join(own) for own in passages]
-        line = words.Line(texts)
+    def __init__(self, passages: list[bytes]):
+        line = words.Line(passages)
         #: the hashes of the passages' words, in order; the number of a word is the place of its hash
         self.known, number = np.unique(line.hashes, return_inverse=True)
         k = np.arange(len(self.known))
@@ -87,7 +86,7 @@ class Automaton:
         self.pairs = np.append(0x400 + k // 512 | 0x200 + k % 512 << 16, 0x10001).astype("<u4")
         text = self.pairs[number.reshape(-1)].tobytes().decode("utf-16-le")
         same: dict[str, list[tuple[int, bytes]]] = {}
-        for own, x, y in zip(texts, line.first.tolist(), line.first[1:].tolist(), strict=False):
+        for own, x, y in zip(passages, line.first.tolist(), line.first[1:].tolist(), strict=False):
             same.setdefault(text[2 * x : 2 * y], []).append((y - x, own))
         self.machine = ahocorasick.Automaton(ahocorasick.STORE_ANY)
         for key, owns in same.items():
@@ -107,14 +106,14 @@ class Automaton:
         return [(x, y) for x, y, passage in found if b" ".join(own[x:y]) == passage]
 
 
-def compiled(passages: list[list[bytes]]) -> Iterator[Automaton]:
-    """Automata of the distinct passages, each of about `SHARD` words."""
-    distinct = list({b" ".join(p): p for p in passages}.values())
+def compiled(passages: Iterable[bytes | list[bytes]]) -> Iterator[Automaton]:
+    """Automata of the distinct passages (words, or words joined by one space), each of about `SHARD` words."""
+    distinct = list(dict.fromkeys(p if isinstance(p, bytes) else b" ".join(p) for p in passages))
     at = 0
     while at < len(distinct):
         stop, n = at, 0
-        while stop < len(distinct) and (stop == at or n + len(distinct[stop]) <= SHARD):
-            n += len(distinct[stop])
+        while stop < len(distinct) and (stop == at or n + distinct[stop].count(b" ") < SHARD):
+            n += distinct[stop].count(b" ") + 1
             stop += 1
         yield Automaton(distinct[at:stop])
         at = stop
@@ -141,8 +140,9 @@ def _sent(chunk: an.Chunk, windows: Windows, answers: pa.Table, buckets: int) ->
     last = an.stops(first, len(starts)) - 1
     offset = np.where(hot[at[first]], 0, windows.at[at[first]] - starts[first])
     texts: dict[int, set[bytes]] = {}
+    text, at = windows.line.text, windows.line.at
     for k, a, z, off in zip(key[first].tolist(), starts[first].tolist(), starts[last].tolist(), offset.tolist(), strict=True):
-        texts.setdefault(k, set()).add(b"%d %s" % (off, windows.line.words(a, z + SIZE)))
+        texts.setdefault(k, set()).add(b"%d %s" % (off, text[at[a] : at[z + SIZE] - 1]))
     own = np.array(sorted(texts), np.uint64)
     for b, where in an.dealt(an.bucket_of(own, buckets)):
         some = [(int(k), t) for k in own[where] for t in sorted(texts[int(k)])]
@@ -177,22 +177,19 @@ def _given(rows: pa.Table) -> pa.Table:
 class Passage:
     """A passage of the dictionary, with a space after each word: `size` words, of which `before` stand before its phrase."""
 
-    __slots__ = ("before", "core", "from_core", "line", "size", "start", "text", "to_core")
+    __slots__ = ("before", "core", "line", "size", "start", "text")
 
     def __init__(self, line: words.Line, start: int, size: int, before: int):
         self.line, self.start, self.size, self.before = line, start, size, before
-        # every window of a passage holds its words [size - SIZE, SIZE), and the phrase lies in them
-        self.from_core, self.to_core = size - SIZE, SIZE
-        self.text, self.core = line.spaced(start, start + size), line.spaced(start + size - SIZE, start + SIZE)
+        #: words [size - SIZE, SIZE), which every window of a passage holds, and which hold the phrase
+        self.core = line.spaced(start + size - SIZE, start + SIZE)
+        self.text = line.spaced(start, start + size)
 
-    def part(self, own: words.Line, row: tuple[int, int], lo: int) -> tuple[int, int] | None:
-        """(from, to) of the words that a document and the passage share around its phrase, if they are SIZE or more. The document's words are those of
+    def part(self, own: words.Line, row: tuple[int, int], lo: int) -> tuple[int, int]:
+        """(from, to) of the words that a document and the passage share around its core, which the document has. The document's words are those of
         `row` on the line `own`; the passage would begin at word lo of that line."""
-        x, y = lo + self.from_core, lo + self.to_core
-        if x < row[0] or y > row[1] or not own.holds(self.core, x):
-            return None
-        move = self.start - lo
-        left, more = 0, min(self.from_core, x - row[0])  # the most words that are equal to the left, and to the right, by halving
+        x, y, move = lo + self.size - SIZE, lo + SIZE, self.start - lo
+        left, more = 0, min(self.size - SIZE, x - row[0])  # the most words that are equal to the left, and to the right, by halving
         while left < more:
             k = (left + more + 1) // 2
             left, more = (k, more) if own.holds(self.line.spaced(x - k + move, x + move), x - k) else (left, k - 1)
@@ -200,32 +197,38 @@ class Passage:
         while right < more:
             k = (right + more + 1) // 2
             right, more = (k, more) if own.holds(self.line.spaced(y + move, y + k + move), y) else (right, k - 1)
-        return (x - left, y + right) if left + y - x + right >= SIZE else None
+        return x - left, y + right
 
 
-def _by_phrase(given: list[bytes]) -> dict[bytes, tuple[int, int, list[Passage]]]:
+def _by_phrase(given: list[bytes]) -> dict[bytes, tuple[int, int, Sequence[Passage]]]:
     """Passages, each after the place of its phrase: for each phrase its passages, long ones first, and the most words before it and from it on."""
     line = words.Line(given)
-    first, by = line.first.tolist(), {}
+    first, by, several = line.first.tolist(), {}, {}
     for text, x, y in zip(given, first, first[1:], strict=False):
         before = int(text[: text.index(b" ")])
-        by.setdefault(line.words(x + 1 + before, x + 1 + before + GRAM), []).append(Passage(line, x + 1, y - x - 1, before))
-    return {phrase: (max(p.before for p in own), max(p.size - p.before for p in own), sorted(own, key=lambda p: -p.size)) for phrase, own in by.items()}
+        phrase, passage = line.words(x + 1 + before, x + 1 + before + GRAM), Passage(line, x + 1, y - x - 1, before)
+        if phrase in by:
+            several.setdefault(phrase, [*by[phrase][2]]).append(passage)
+        else:
+            by[phrase] = before, passage.size - before, (passage,)
+    for phrase, own in several.items():
+        by[phrase] = max(p.before for p in own), max(p.size - p.before for p in own), sorted(own, key=lambda p: -p.size)
+    return by
 
 
 def _located(chunk: an.Chunk, given: list[bytes]) -> pa.Table:
     """Results for the distinct rows of a chunk, by the hits of the passages' phrases in them. All rows run through an automaton on one line; a hit
     that crosses rows is none."""
     line, by = words.Line(chunk.raw), _by_phrase(given)
-    first = line.first.tolist()
+    first, text, at = line.first.tolist(), line.text, line.at
     found: list[list[tuple[int, int]]] = [[] for _ in chunk.raw]
-    for automaton in compiled([phrase.split(b" ") for phrase in by]):
+    for automaton in compiled(by):
         z = 0
         for x, phrase in automaton.places(line.hashes):
             if x >= z:  # the next row with hits
                 r = bisect.bisect_right(first, x) - 1
                 spans, a, z = found[r], first[r], first[r + 1]
-                lo = hi = a  # the span that grows as hits come
+                lo = hi = -1  # the span that grows as hits come
             before, after, passages = by[phrase]
             if x + GRAM > z or (lo <= x - before and x + after <= hi):
                 continue
@@ -234,15 +237,18 @@ def _located(chunk: an.Chunk, given: list[bytes]) -> pa.Table:
                 stop = start + p.size
                 if lo <= start and stop <= hi:
                     continue
-                if start < a or stop > z or not line.holds(p.text, start):
-                    if not (part := p.part(line, (a, z), start)):
+                if stop - SIZE < a or start + SIZE > z or not text.startswith(p.core, at[stop - SIZE]):
+                    continue
+                if start < a or stop > z or not text.startswith(p.text, at[start]):
+                    start, stop = p.part(line, (a, z), start)
+                    if stop - start < SIZE:
                         continue
-                    start, stop = part
                 if lo <= start <= hi:
                     hi = max(hi, stop)
+                    spans[-1] = lo, hi
                 else:
                     lo, hi = start, stop
-                spans.append((lo, hi))
+                    spans.append((lo, hi))
     out = []
     for a, z, hits in zip(first, first[1:], found, strict=False):
         spans = an.union(hits)

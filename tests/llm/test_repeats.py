@@ -134,6 +134,20 @@ def test_counts_of_frequent_keys_are_whole():
     assert sum(int(an.unpack(t.column("payload")[0].as_py(), "<u4", "<u8")[0][0]) for t in asked) == 10_000
 
 
+def test_keys_that_are_equal_in_their_first_half_only():
+    """Keys of two columns are one only if both are equal, in whatever order they come."""
+    import numpy as np
+
+    from annolake.llm import anchors as an
+
+    for columns in ([7, 5, 7, 5, 7, 9], [1, 2, 3, 2, 1, 9]), ([7, 5, 7, 5, 7, 9], [1, 2, 1, 2, 1, 9]):
+        keys = an.Keys([np.array(c, np.uint64) for c in columns], np.arange(1, 7))
+        pairs = list(zip(*(c.tolist() for c in keys.columns), strict=True))
+        rows = list(zip(*columns, strict=True))
+        assert pairs == sorted(set(rows)) and [pairs[k] for k in keys.of] == rows
+        assert keys.times.tolist() == [sum(n for n, r in enumerate(rows, 1) if r == p) for p in pairs]
+
+
 def test_rows_of_one_key_are_one_only_if_their_texts_are(monkeypatch):
     """Null ids, an id at the edge of its type, and texts whose hashes collide."""
     rows = pa.table({"__k0": [0, 0, 0, 1, 1], "__k1": [0, 0, 0, 0, -(2**63)], "__h": [7, 7, 7, 7, 7], "__text": [b"b", b"a", b"b", b"b", b"a"]})
