@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+from functools import reduce
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import boxes as bx
 from . import files
 
 _FIELDS = ("class_id", "xc", "yc", "w", "h")
+_ROW = "struct<line_no: int, class_id: int, xc: double, yc: double, w: double, h: double, bad: boolean>"
 
 
 def yolo_lines(dets: DataFrame, frame: str, width: int, height: int, classes: DataFrame | None = None, frames: DataFrame | None = None) -> DataFrame:
@@ -33,21 +38,20 @@ def parse_lines(texts: DataFrame, strict: bool = False) -> tuple[DataFrame, Data
     Lenient: blank and short lines are skipped, further tokens ignored, and a bad number makes the file `missing`.
     Strict: any line of other than five numbers is an error when it is read.
     """
-    lines = texts.select("frame", F.posexplode_outer(F.split("text", "\r?\n")).alias("line_no", "line"))
-    tokens = lines.select("frame", "line_no", F.filter(F.split(F.trim("line"), r"\s+"), lambda t: t != "").alias("t")).where("size(t) > 0")
-    numbers = [F.try_element_at("t", F.lit(i + 1)).try_cast("double") for i in range(5)]
-    bad = F.lit(False)
-    for n in numbers:
-        bad = bad | n.isNull()
-    if strict:
-        wrong = (F.size("t") != 5) | bad
-        tokens = tokens.where(F.when(wrong, F.raise_error(F.concat(F.lit("bad label line in "), "frame"))).otherwise(F.lit(True)).cast("boolean"))
-    whole = tokens.where("size(t) >= 5").select("frame", "line_no", *(n.alias(c) for n, c in zip(numbers, _FIELDS, strict=True)), bad.alias("bad"))
-    status = whole.groupBy("frame").agg(F.bool_or("bad").alias("bad"), F.count(F.lit(1)).alias("n"))
-    named = F.when(F.col("bad"), "missing").when(F.col("n") > 0, "ok").otherwise("empty")
-    frames = texts.select("frame").join(status, "frame", "left").select("frame", named.alias("status"))
-    boxes = whole.join(frames.where("status = 'ok'").select("frame"), "frame", "left_semi").drop("bad")
-    return frames, boxes.withColumn("class_id", F.col("class_id").cast("int"))
+    line = lambda text, i: F.struct(i.alias("line_no"), F.filter(F.split(F.trim(text), r"\s+"), lambda t: t != "").alias("t"))
+    lines = F.filter(F.transform(F.split(F.coalesce("text", F.lit("")), "\r?\n"), line), lambda s: F.size(s["t"]) > 0)
+
+    def row(s: Column) -> Column:
+        numbers = [F.try_element_at(s["t"], F.lit(i + 1)).try_cast("double") for i in range(5)]
+        bad = reduce(Column.__or__, (n.isNull() for n in numbers))
+        out = F.struct(s["line_no"].alias("line_no"), numbers[0].cast("int").alias("class_id"), *(n.alias(c) for c, n in zip(_FIELDS[1:], numbers[1:], strict=True)), bad.alias("bad"))
+        return F.when((F.size(s["t"]) != 5) | bad, F.raise_error(F.concat(F.lit("bad label line in "), "frame")).cast(_ROW)).otherwise(out) if strict else out
+
+    # a file's lines stay in its row, so nothing is shuffled
+    read = texts.select("frame", F.transform(lines if strict else F.filter(lines, lambda s: F.size(s["t"]) >= 5), row).alias("rows"))
+    bad = F.exists("rows", lambda r: r["bad"])
+    frames = read.select("frame", F.when(bad, "missing").when(F.size("rows") > 0, "ok").otherwise("empty").alias("status"))
+    return frames, read.select("frame", F.inline(F.when(~bad, F.col("rows")))).drop("bad")
 
 
 def label_texts(spark: SparkSession, path: str) -> DataFrame:
@@ -92,6 +96,30 @@ def through_files(texts: DataFrame, path: str, frames: int) -> DataFrame:
     return spark.read.schema("frame string, text string").parquet(*(f"{path}/read/{k}" for k in range(rounds)))
 
 
+#: About how many label files one task of by_files writes.
+TASK_FILES = 20_000
+
+
+def by_files(texts: DataFrame, path: str, frames: int) -> DataFrame:
+    """frame, text of every row of yolo_lines, each written to its label file below `path` and read again; `frames` says about how many there are.
+
+    As through_files, in one job: a task writes files.PART_FILES files at a time into a folder of its own, by the sink, lists and reads it, by the source, and
+    removes it. Making files in one folder is done one after another by most file systems, and removing them costs little before they have reached the disk.
+    """
+    frame = next(c for c in texts.columns if c != "text")
+    tasks = max(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-frames // TASK_FILES))
+    names = ["frame", "text"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(0, b.num_rows, files.PART_FILES):
+                some = b.slice(at, files.PART_FILES)
+                read = files.passed(zip(*(some.column(c).to_pylist() for c in names), strict=True), path)
+                yield pa.RecordBatch.from_arrays([pa.array(v, pa.string()) for v in zip(*read, strict=True)], names)
+
+    return texts.select(F.col(frame).cast("string").alias("frame"), "text").repartition(tasks, "frame").mapInArrow(run, "frame string, text string")
+
+
 def class_map(spark: SparkSession, text: str) -> DataFrame:
     """name, class_id from "name:id,name:id"."""
     pairs = spark.range(1).select(F.explode(F.expr(f"str_to_map({_quoted(text)}, ',', ':')")).alias("name", "id"))

@@ -54,6 +54,22 @@ def test_label_queries_leave_no_files(spark, sf, monkeypatch):
     assert len(folders) == 2 and not [f for x in folders for f in files.listed(x, ".txt")]
 
 
+def test_label_files_pass_through_tasks(spark, tmp_path, monkeypatch):
+    rows = [(f"f{k}", "" if k % 3 == 0 else f"{k} 0.1 0.2 0.3 0.4\n\n1 0.5 0.5 0.5 0.5") for k in range(90)] + [("a:b", "2 1 1 1 1"), ("é", "")]
+    texts = spark.createDataFrame(rows, "frame string, text string")
+    monkeypatch.setattr(yolo, "TASK_FILES", 10)
+    read = yolo.by_files(texts, str(tmp_path / "labels"), len(rows))
+    assert read.rdd.getNumPartitions() == 10 and sorted(map(tuple, read.collect())) == sorted(rows)
+    frames, boxes = yolo.parse_lines(texts, strict=True)
+    assert not [df for df in (frames, boxes) if "Exchange" in df._jdf.queryExecution().toString()]  # a file is a row all the way
+    assert {r.frame for r in frames.collect() if r.status == "empty"} == {f for f, t in rows if not t}
+    assert sorted((r.frame, r.line_no, r.class_id) for r in boxes.collect() if r.line_no == 2) == sorted((f, 2, 1) for f, t in rows if "\n" in t)
+    stood, written = [], files.LabelWriter.commit
+    monkeypatch.setattr(files.LabelWriter, "commit", lambda self, messages: written(self, messages) or stood.append(len(files.listed(self.path, ".txt"))))
+    assert sorted(files.passed(iter(rows), str(tmp_path / "one"))) == sorted(rows)
+    assert stood == [len(rows)] and not list(tmp_path.rglob("*.txt"))
+
+
 def test_partitions_are_planned(tmp_path, monkeypatch):
     for k in range(10):
         (tmp_path / f"{k}.txt").write_text("x" * 10 * k)
