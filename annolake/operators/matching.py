@@ -83,16 +83,22 @@ def score_match(gt: DataFrame, dt: DataFrame, keys: list[str], thresholds: list[
     and turns its detection to ignored; so does a truth outside the area range, which is taken once and after all others; an
     unmatched detection outside the range is ignored. Of equal overlaps the later truth wins. `rank` is the detection's place in its group.
     """
-    ranked = dt.select(*keys, "det_id", "score", "x", "y", "w", "h")
-    pairs = iou_join(gt, ranked, keys, min_iou=0.0, crowd="iscrowd").where(F.col("iou") >= min(thresholds))
-    pairs = pairs.select(*keys, "ann_id", "det_id", "g_crowd", "iou", (F.col("g_w") * F.col("g_h")).alias("g_area"))
-    return score_assigned(ranked.select(*keys, "det_id", "score", (F.col("w") * F.col("h")).alias("d_area")), pairs, keys, thresholds, max_dets, areas)
+    # one join, by the keys: its rows are not shuffled again to be matched
+    rows = iou_join(gt, dt.select(*keys, "det_id", "score", *"xywh"), keys, crowd="iscrowd", every=min(thresholds))
+    rows = rows.select(*keys, "det_id", "score", (F.col("d_w") * F.col("d_h")).alias("d_area"), "ann_id", "g_crowd", "iou", (F.col("g_w") * F.col("g_h")).alias("g_area"))
+    return score_taken(rows, keys, thresholds, max_dets, areas)
 
 
 def score_assigned(dets: DataFrame, pairs: DataFrame, keys: list[str], thresholds: list[float], max_dets: int = 100, areas: list[tuple[float, float]] | None = None) -> DataFrame:
     """score_match on given pairs (keys, ann_id, det_id, g_crowd, g_area, iou) of detections (keys, det_id, score, d_area)."""
+    return score_taken(dets.join(pairs, [*keys, "det_id"], "left"), keys, thresholds, max_dets, areas)
+
+
+def score_taken(rows: DataFrame, keys: list[str], thresholds: list[float], max_dets: int = 100, areas: list[tuple[float, float]] | None = None) -> DataFrame:
+    """score_match on detections (keys, det_id, score, d_area) with the truths that they may take (ann_id, g_crowd, g_area, iou): a row for each
+    pair, and one with nulls for a detection without any. Pairs below the thresholds do no harm."""
     areas = areas or [AREAS["all"]]
-    rows = dets.join(pairs, [*keys, "det_id"], "left").withColumn("__order", -F.col("score"))
+    rows = rows.withColumn("__order", -F.col("score"))
     fields = {f.name: f.dataType.simpleString() for f in rows.schema}
     tops = [min(t, 1 - 1e-10) for t in thresholds]
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from .cut import settled
 from .masks import SHARE, area, mask_pairs
-from .matching import AREAS, assigned, score_assigned, score_match
+from .matching import AREAS, assigned, score_assigned, score_match, score_taken
 from .pairs import tracklet_iou, tracklet_mask_iou
 
 IOU_PERCENT = list(range(50, 100, 5))
@@ -220,9 +220,9 @@ def mask_precision_summary(gt: DataFrame, dt: DataFrame, keys: list[str], label:
     """precision_summary over masks: gt (keys, ann_id, iscrowd, runs, height), dt (keys, det_id, score, runs, height). Areas are those of the masks."""
     areas = areas or AREAS
     thresholds = [p / 100 for p in IOU_PERCENT]
-    pairs = mask_pairs(gt, dt, keys, "iscrowd").where(F.col("iou") >= thresholds[0])
-    dets = dt.select(*keys, "det_id", "score", area(F.col("runs")).cast("double").alias("d_area"))
-    flags = score_assigned(dets, pairs.select(*keys, "ann_id", "det_id", "g_crowd", "iou", F.col("g_area").cast("double").alias("g_area")), keys, thresholds, max_dets[-1], list(areas.values()))
+    rows = mask_pairs(gt, dt, keys, "iscrowd", every=["score"])
+    rows = rows.withColumns({c: F.col(c).cast("double") for c in ("g_area", "d_area")})
+    flags = score_taken(rows, keys, thresholds, max_dets[-1], list(areas.values()))
     return summarised(flags, truth_counts(gt, [label], list(areas.values()), len(IOU_PERCENT), area(F.col("runs"))), [label], max_dets, list(areas))
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import boxes as bx
@@ -12,11 +14,12 @@ from . import masks
 from .runs import by_batch
 
 
-def iou_join(gt: DataFrame, dt: DataFrame, keys: list[str], min_iou: float | None = None, crowd: str | None = None, more: list[str] | None = None) -> DataFrame:
+def iou_join(gt: DataFrame, dt: DataFrame, keys: list[str], min_iou: float | None = None, crowd: str | None = None, more: list[str] | None = None, every: float | None = None) -> DataFrame:
     """Pairs of `gt` (ann_id, x, y, w, h) and `dt` (det_id, ...) with equal keys, and their iou; `more` names further columns of gt to keep.
 
     `crowd` names a 0/1 column of gt: where it is 1 the denominator is the detection's area. Pairs of at most
-    `min_iou` are dropped. The join is by the keys alone, so AQE can split a crowded key.
+    `min_iou` are dropped. The join is by the keys alone, so AQE can split a crowded key. With `every` pairs count from that iou on, and a
+    detection without any stays, with nulls in place of the truth.
     """
     left = gt.select(*keys, *(more or []), "ann_id", *(F.col(c).alias(f"g_{c}") for c in "xywh"), *([F.col(crowd).alias("g_crowd")] if crowd else []))
     right = dt.select(*keys, "det_id", *(F.col(c).alias(f"d_{c}") for c in "xywh"), *(["score"] if "score" in dt.columns else []))
@@ -24,6 +27,10 @@ def iou_join(gt: DataFrame, dt: DataFrame, keys: list[str], min_iou: float | Non
     iou = bx.iou(a, b)
     if crowd:
         iou = F.when(F.col("g_crowd") == 1, bx.ioa(a, b)).otherwise(iou)
+    if every is not None:
+        left = left.withColumnsRenamed({k: f"__{k}" for k in keys})
+        met = reduce(Column.__and__, (F.col(k) == F.col(f"__{k}") for k in keys)) & (iou > 0) & (iou >= every)
+        return right.join(left, met, "left").withColumn("iou", F.when(F.col("ann_id").isNotNull(), iou)).drop(*(f"__{k}" for k in keys))
     out = left.join(right, keys).withColumn("iou", iou)
     return out if min_iou is None else out.where(F.col("iou") > min_iou)
 

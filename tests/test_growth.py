@@ -200,3 +200,30 @@ def test_joined_partitions_are_bounded(spark, sf):
             assert spark.conf.get(size) == want
     finally:
         spark.conf.unset(size)
+
+
+def test_files_of_shuffles_go_when_a_table_is_settled(spark):
+    import time
+
+    store, conf = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager(), cut._SHUFFLES_GO
+    shuffles = lambda: sum(1 for f in store.getAllFiles().mkString(" ").split() if "shuffle_" in f)
+    given, before = spark.conf.get(conf), shuffles()
+    rows = cut.settled(spark.range(1000).repartition(7, "id"))
+    until = time.time() + 20
+    while shuffles() > before and time.time() < until:
+        time.sleep(0.2)
+    assert shuffles() <= before and rows.count() == 1000 and spark.conf.get(conf) == given
+
+
+def test_detections_meet_their_truths_in_one_join(spark, sf):
+    from annolake.operators.pairs import iou_join
+
+    keys, thresholds = ["image_id", "class_id"], [0.5, 0.75]
+    gt, dt, areas = fx.gt_boxes(spark, sf), fx.pred_boxes(spark, sf), list(matching.AREAS.values())
+    got = matching.score_match(gt, dt, keys, thresholds, areas=areas)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftOuter") == 1 and "Join Inner" not in plan
+    pairs = iou_join(gt, dt, keys, min_iou=0.0, crowd="iscrowd").where("iou >= 0.5").selectExpr(*keys, "ann_id", "det_id", "g_crowd", "iou", "g_w * g_h g_area")
+    want = matching.score_assigned(dt.selectExpr(*keys, "det_id", "score", "w * h d_area"), pairs, keys, thresholds, areas=areas)
+    some = lambda df: sorted(map(str, df.collect()))
+    assert some(got) == some(want) != []
