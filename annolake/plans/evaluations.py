@@ -537,5 +537,4 @@ def polygon_masks(spark: SparkSession, d: str) -> DataFrame:
     corner = [(0.25, 0.0), (0.75, 0.0), (1.0, 0.4), (0.7, 1.0), (0.3, 0.9), (0.0, 0.5)]
     six = F.array(*(v for a, b in corner for v in (x + w * a + 0.25, y + h * b)))
     rows = fx.gt_boxes(spark, d).select("image_id", "ann_id", F.lit(None).cast("array<int>").alias("counts"), F.lit(None).cast("string").alias("text"), F.array(six).alias("polygons"), F.lit(300).alias("height"), F.lit(400).alias("width"))
-    made = masks.bounds(masks.canonical(rows))
-    return made.select("image_id", "ann_id", masks.area(F.col("runs")).alias("area"), "mx", "my", "mw", "mh")
+    return masks.sizes(rows).drop("height", "width")

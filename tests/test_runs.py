@@ -5,6 +5,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from annolake.operators import masks, runs
 
@@ -196,3 +197,19 @@ def test_turned_boxes_against_counted_points(seed):
     fixed = np.array([[0, 0, 2, 2, 0], [0, 0, 2, 2, 0], [0, 0, 4, 4, 45], [0, 0, 0, 0, 0], [0, 0, 2, 2, 0.0]])
     other = np.array([[2, 0, 2, 2, 0], [0, 0, 1, 1, 30], [0, 0, 2, 2, 0], [0, 0, 2, 2, 0], [9, 9, 2, 2, 10.0]])
     assert pairs.common_area(pairs.corners(fixed), pairs.corners(other)) == pytest.approx([0, 1, 4, 0, 0], abs=1e-12)
+
+
+def test_only_steps_within_the_image_are_worked_out():
+    from annolake.operators import runs
+
+    far = 1e8  # a walk along such edges has two thousand million points
+    polygons = [[[-far, -far, far, -far, far, far, -far, far]], [[-far, 2.0, far, 2.0, far, 4.0, -far, 4.0]], [[1.0, -far, 3.0, -far, 3.0, far, 1.0, far]], None]
+    got = runs.from_polygons(pa.array(polygons, pa.list_(pa.list_(pa.float64()))), np.full(4, 5), np.full(4, 4))
+    assert got.to_pylist() == [[0, 20], [2, 2, 3, 2, 3, 2, 3, 2, 1], [5, 10, 5], [20]]
+
+
+def test_sizes_are_those_of_the_runs(spark):
+    rows = [(1, [2, 3, 7], None, None), (2, None, masks.to_text(np.array([0, 4, 4, 4])), None), (3, None, None, [[0.2, 0.1, 2.7, 0.3, 1.4, 3.6], [1.0, 1.0, 3.0, 1.0, 3.0, 2.0]]), (4, None, None, None)]
+    df = spark.createDataFrame([(*r, 4, 3) for r in rows], "k int, counts array<int>, text string, polygons array<array<double>>, height int, width int")
+    want = masks.bounds(masks.canonical(df)).select("k", "height", "width", masks.area(F.col("runs")), "mx", "my", "mw", "mh")
+    assert sorted(map(tuple, masks.sizes(df).collect())) == sorted(map(tuple, want.collect())) != []
